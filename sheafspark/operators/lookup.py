@@ -1,0 +1,24 @@
+"""Joins of many rows to a table with one row per key."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest lookup table that is sent to every executor, in rows of a few short columns.
+BROADCAST_ROWS = 500_000
+
+# Share of a hot key one task gets in a shuffled join.
+SALTS = 16
+
+
+def join_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joins rows to a stored lookup table whose keys are unique.
+
+    The table is broadcast after its row count (from the stored footers) proves
+    it small. Beyond that the join is shuffled and salted: each lookup row is
+    repeated per salt, so the rows of a hot key spread over as many tasks.
+    """
+    if lookup.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup), keys, how)
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

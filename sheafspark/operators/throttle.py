@@ -1,0 +1,63 @@
+"""Back-off delays reconstructed from request logs."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sheafspark.operators.lookup import join_lookup
+from sheafspark.operators.numbering import running_count
+from sheafspark.storage import written_table
+
+# Statuses that raise the delay, the status that ends it, and delays in seconds.
+RAISING = [503, 504]
+RESETTING = 200
+FIRST_DELAY = 1
+MAX_DELAY = 60
+
+
+def delay_steps(max_delay: int = MAX_DELAY) -> list[int]:
+    """The delays an outage goes through: doubling from the first up to the maximum."""
+    steps = [FIRST_DELAY]
+    while steps[-1] < max_delay:
+        steps.append(min(steps[-1] * 2, max_delay))
+    return steps
+
+
+def throttle_timeline(log: DataFrame, key: str = "server", max_delay: int = MAX_DELAY) -> DataFrame:
+    """Adds ``delay_s``, the delay in force after each row of ``(key, micros, seq, status, …)``.
+
+    Rows are ordered by time in microseconds, then ``seq``. A raising status
+    starts at one second and doubles up to the maximum, unless it falls within
+    the current delay of the last raise. Status 200 sets the delay to zero.
+
+    A reset forgets everything, so rows split into outages between resets. Once
+    the maximum is reached the delay stays, so an outage is described by at most
+    seven raises. Each is found for all outages at once as a minimum with
+    partial aggregation; no task walks through the rows of a server.
+    """
+    flagged = log.withColumn("_reset", F.coalesce(F.col("status") == RESETTING, F.lit(False)))
+    rows = written_table(running_count(flagged, "_reset", "_outage", ["micros", "seq"], [key]), "throttle-rows")
+    outage = [key, "_outage"]
+    left = rows.where(F.col("status").isin(RAISING)).select(*outage, "micros", "seq")
+    raises = []
+    for delay in delay_steps(max_delay):
+        first = left.groupBy(*outage).agg(F.min(F.struct("micros", "seq")).alias("_hit"))
+        hits = written_table(first.select(*outage, "_hit.micros", "_hit.seq", F.lit(delay).alias("delay")), "raises")
+        if hits.isEmpty():
+            break
+        raises.append(hits)
+        if delay == max_delay:
+            break
+        until = hits.select(*outage, (F.col("micros") + delay * 1_000_000).alias("_until"))
+        later = join_lookup(left, until, outage).where(F.col("micros") >= F.col("_until"))
+        left = written_table(later.drop("_until"), "later-raises")
+    if not raises:
+        return rows.drop("_reset", "_outage").withColumn("delay_s", F.lit(0))
+    hits = raises[0]
+    for more in raises[1:]:
+        hits = hits.unionByName(more)
+    steps = hits.groupBy(*outage).agg(F.collect_list(F.struct("micros", "seq", "delay")).alias("_steps"))
+    placed = join_lookup(rows, written_table(steps, "outages"), outage, "left")
+    here = F.struct("micros", "seq")
+    in_force = F.filter("_steps", lambda s: F.struct(s["micros"].alias("micros"), s["seq"].alias("seq")) <= here)
+    delay = F.coalesce(F.array_max(F.transform(in_force, lambda s: s["delay"])), F.lit(0))
+    return placed.select(*log.columns, delay.alias("delay_s"))
