@@ -74,5 +74,5 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
     found = join_lookup(reached, links.select("url", "error", F.lit(True).alias("_landed")), ["url"], "left")
     missing = F.when(F.col("_landed").isNull(), F.concat(F.lit("no page for "), F.col("url")))
     walked = found.select("chain", "page_no", "url", F.coalesce(F.col("error"), missing).alias("error"))
-    details = [c for c in pages.columns if c != url]
+    details = [c for c in pages.columns if c not in (url, "chain", "page_no", "url", "error")]
     return walked.join(pages.select(F.col(url).alias("url"), *details), "url", "left")
