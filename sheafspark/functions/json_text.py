@@ -17,6 +17,14 @@ _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
 _SPACE = re.compile(r"[ \t\r\n]*")
 
 
+def using(value: Column, build) -> Column:
+    """``build(value)`` with the value computed once, however often it is used.
+
+    The optimizer repeats an expression for each field taken from its struct; a lambda variable stays one.
+    """
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def compact_json(text: Column) -> Column:
     """Drops insignificant whitespace; numbers, escapes and key order stay untouched."""
     return F.regexp_replace(text, _STRING_OR_SPACE, "$1")

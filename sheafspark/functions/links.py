@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sheafspark.functions.json_text import using
 from sheafspark.schemas import LINKS
 
 
@@ -20,9 +21,17 @@ def next_from_links(links: Column) -> Column:
     return F.get(F.filter(links, lambda link: link["relation"] == "next"), F.lit(0))["url"]
 
 
-def body_links(body: Column) -> Column:
-    """Struct of the body's links and, where it cannot be decoded, the raw text in ``_corrupt``."""
-    return F.from_json(body, f"link {LINKS}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
+def next_from_body(body: Column) -> Column:
+    """Struct ``(url, readable)`` of the next link in a body and whether the body is a JSON object."""
+    parsed = F.from_json(body, f"link {LINKS}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
+    is_object = F.coalesce(body.rlike(r"^\s*\{"), F.lit(False))
+    return using(
+        parsed,
+        lambda p: F.struct(
+            next_from_links(p["link"]).alias("url"),
+            (is_object & p["_corrupt"].isNull()).alias("readable"),
+        ),
+    )
 
 
 def is_request_uri(url: Column) -> Column:

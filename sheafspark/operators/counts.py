@@ -11,7 +11,9 @@ TOTAL = "total"
 
 def page_types(pages: DataFrame, body: str = "body") -> DataFrame:
     """``resource_type`` of every result entry, straight from the pages."""
-    return pages.select(F.explode(carried_types(F.col(body))).alias("resource_type"))
+    # the outer form keeps the optimizer from parsing each body a second time to find empty pages
+    rows = pages.select(F.explode_outer(carried_types(F.col(body))).alias("entry"))
+    return rows.where(F.col("entry").isNotNull()).select(F.col("entry.type").alias("resource_type"))
 
 
 def resource_types(resources: DataFrame, resource: str = "resource") -> DataFrame:

@@ -62,12 +62,15 @@ def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
     placed = blocks.withColumn("total", F.sum("block_n").over(group)).withColumn(
         "before", F.coalesce(F.sum("block_n").over(earlier), F.lit(0))
     )
-    ranks = {"q50_ms": F.floor(F.col("total") / 2)}
-    ranks |= {name: _rank(F.col("total"), quantile) for name, quantile in QUANTILES.items()}
-    picks = []
-    for name, rank in ranks.items():
-        inside = (rank >= F.col("before")) & (rank < F.col("before") + F.col("block_n"))
-        picks.append(F.max(F.when(inside, _cell_at(F.col("cells"), rank - F.col("before")))).alias(name))
+    total = F.col("total")
+    ranks = F.array(F.floor(total / 2), *[_rank(total, quantile) for quantile in QUANTILES.values()])
+    here = F.transform(ranks, lambda rank: rank - F.col("before"))
+    # null unless the rank falls into this block
+    found = F.transform(
+        here, lambda rank: F.when((rank >= 0) & (rank < F.col("block_n")), _cell_at(F.col("cells"), rank))
+    )
+    placed = placed.withColumn("found", found)
+    picks = [F.max(F.get("found", F.lit(i))).alias(name) for i, name in enumerate(["q50_ms", *QUANTILES])]
     # sums are exact, so the mean does not depend on the order of rows
     nanos = F.sum("block_ms").cast("decimal(38,0)") * 1_000_000 + F.sum("block_rest")
     mean = nanos.cast("double") / 1e9 / F.sum("block_n") * 1000.0

@@ -9,21 +9,20 @@ from sheafspark.operators.responses import result_class
 from sheafspark.operators.unbundle import carried_types
 
 
-def _with_latencies(totals: DataFrame, latencies: DataFrame, by: list[str], metrics: list[str]) -> DataFrame:
-    """Adds ``<metric>_<statistic>`` columns to the totals of the same groups.
+def _with_latencies(totals: DataFrame, latencies: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``request_<statistic>`` and ``processing_<statistic>`` columns to the totals of the same groups.
 
     A union and one aggregate over a few rows per group, since without groups there is no key to join on.
     """
-    columns = {f"{metric}_{s}": (metric, s) for metric in metrics for s in STATISTICS}
+    statistics = F.struct(*STATISTICS)
     spread = latencies.select(
-        *by,
-        *[F.when(F.col("metric") == m, F.col(s)).alias(name) for name, (m, s) in columns.items()],
+        *by, *[F.when(F.col("metric") == m, statistics).alias(f"_{m}") for m in ("request", "processing")]
     )
     values = [c for c in totals.columns if c not in by]
     rows = totals.unionByName(spread, allowMissingColumns=True)
-    return rows.groupBy(*by).agg(
-        *[F.max(c).alias(c) for c in values],
-        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in columns],
+    both = rows.groupBy(*by).agg(*[F.max(c).alias(c) for c in [*values, "_request", "_processing"]])
+    return both.selectExpr(
+        *by, *values, *[f"coalesce(_{m}.{s}, 0) AS {m}_{s}" for m in ("request", "processing") for s in STATISTICS]
     )
 
 
@@ -57,7 +56,7 @@ def upload_stats(log: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.when(F.col("_class") == "ok", F.col("processing_s")).alias("processing"),
     )
     latencies = duration_columns(timed, ["request", "processing"], by)
-    return _with_latencies(totals, latencies, by, ["request", "processing"])
+    return _with_latencies(totals, latencies, by)
 
 
 def status_histogram(log: DataFrame) -> DataFrame:
@@ -80,7 +79,7 @@ def download_stats(pages: DataFrame, by: list[str] | None = None, ok: int = 200)
     """
     by = by or []
     good = F.coalesce(F.col("status") == ok, F.lit(False))
-    found = F.size(F.coalesce(carried_types(F.col("body")), F.array().cast("array<string>")))
+    found = F.greatest(F.size(carried_types(F.col("body"))), F.lit(0))
     rows = pages.select(
         *by,
         good.alias("_good"),
@@ -103,15 +102,16 @@ def download_stats(pages: DataFrame, by: list[str] | None = None, ok: int = 200)
     )
     timed = pages.where(good).select(*by, F.col("request_s").alias("request"), F.col("processing_s").alias("processing"))
     latencies = duration_columns(timed, ["request", "processing"], by)
-    return _with_latencies(totals, latencies, by, ["request", "processing"])
+    return _with_latencies(totals, latencies, by)
 
 
 def _latency_text(metric):
-    return F.concat_ws(", ", *[duration_text(F.col(f"{metric}_{s}")) for s in STATISTICS])
+    return F.array_join(F.transform(F.array(*[f"{metric}_{s}" for s in STATISTICS]), duration_text), ", ")
 
 
 def _bytes_text(name):
-    return F.concat_ws(", ", fmt_bytes(F.col(name)), F.coalesce(fmt_bytes(F.col(f"{name}_mean")), F.lit("–")))
+    sizes = F.array(F.col(name).cast("float"), F.col(f"{name}_mean").cast("float"))
+    return F.array_join(F.transform(sizes, lambda size: F.coalesce(fmt_bytes(size), F.lit("–"))), ", ")
 
 
 def _lines(stats, lines):

@@ -95,7 +95,7 @@ def _group_counts(df, number, group, library, arguments):
     named = {p: library[d.expression] for p, d in zip(populations, group.population)}
     named |= {s: library[d.expression] for s, d in zip(strata, group.stratifier)}
     rows = _with_expressions(df, named, arguments).select(
-        *[F.coalesce(F.col(p), F.lit(False)).alias(p) for p in populations],
+        *populations,
         *[F.col(s).cast("string").alias(s) for s in strata],
     )
     members = rows.where(reduce(or_, [F.col(p) for p in populations]))

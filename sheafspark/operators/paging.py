@@ -1,12 +1,18 @@
 """Walking next-page links over landed pages."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.functions.links import body_links, is_request_uri, next_from_link_header, next_from_links
+from sheafspark.functions.json_text import using
+from sheafspark.functions.links import is_request_uri, next_from_body, next_from_link_header
 from sheafspark.operators.lookup import join_lookup
 from sheafspark.storage import written_table
 
+# Factor by which a round extends the walked distance.
+FAN = 4
+
 
 def page_links(pages: DataFrame, url: str = "request_url") -> DataFrame:
     """``(url, next_url, error)`` per page.
@@ -14,29 +20,27 @@ def page_links(pages: DataFrame, url: str = "request_url") -> DataFrame:
     A non-empty link header decides alone; the body is decoded only without one.
     """
     header = F.coalesce(F.col("link_header"), F.lit(""))
-    decoded = F.when(header == "", body_links(F.col("body")))
-    readable = F.col("body").rlike(r"^\s*\{") & decoded["_corrupt"].isNull()
-    target = F.when(header != "", next_from_link_header(header)).otherwise(next_from_links(decoded["link"]))
+    by_header = F.struct(next_from_link_header(header).alias("url"), F.lit(True).alias("readable"))
+    link = F.when(header != "", by_header).otherwise(next_from_body(F.col("body")))
     at = F.col(url)
-    error = (
-        F.when(
-            F.col("status") != 200,
-            F.concat(
-                F.lit("request to "), at, F.lit(" had a non-ok response status ("), F.col("status").cast("string"), F.lit(")")
-            ),
-        )
-        .when(
-            (header == "") & ~F.coalesce(readable, F.lit(False)),
-            F.concat(F.lit("could not parse the response after request to "), at),
-        )
-        .when(
-            target.isNotNull() & ~is_request_uri(target),
-            F.concat(F.lit("could not parse the next link after request to "), at),
+
+    def judged(link):
+        error = (
+            F.when(
+                F.col("status") != 200,
+                F.concat(
+                    F.lit("request to "), at, F.lit(" had a non-ok response status ("), F.col("status").cast("string"), F.lit(")")
+                ),
+            )
+            .when(~link["readable"], F.concat(F.lit("could not parse the response after request to "), at))
+            .when(
+                ~is_request_uri(link["url"]), F.concat(F.lit("could not parse the next link after request to "), at)
+            )
         )
-    )
-    return pages.select(
-        at.alias("url"), F.when(error.isNull(), target).alias("next_url"), error.alias("error")
-    )
+        return F.struct(F.when(error.isNull(), link["url"]).alias("next_url"), error.alias("error"))
+
+    # one column of two fields, so a body is decoded once for both
+    return pages.select(at.alias("url"), F.inline(F.array(using(link, judged))))
 
 
 def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url") -> DataFrame:
@@ -46,32 +50,43 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
     without next link, at a bad page (its row has an ``error``), at a url nobody
     landed, or before a page the chain has already shown.
 
-    Pointer doubling: each round doubles the walked distance, so a chain of n
-    pages takes log2 n rounds over (url, next url) pairs. Page bodies join once at the end.
+    Pointer jumping: a round hops several times along stored links, and then replaces
+    the links by ones that reach as far, so a chain of n pages takes log n rounds over
+    (url, next url) pairs. Page bodies join once at the end.
     """
     links = written_table(
         page_links(pages, url).groupBy("url").agg(F.min("next_url").alias("next_url"), F.min("error").alias("error")),
         "page-links",
     )
+    link_count = links.count()
     hops = links.where(F.col("next_url").isNotNull()).select("url", F.col("next_url").alias("target"))
     reached = written_table(
         starts.select("chain", "url", F.lit(0).cast("bigint").alias("page_no")).distinct(), "reached-pages"
     )
     known, step = reached.count(), 1
     while True:
-        hops = written_table(hops, "page-hops")
-        further = join_lookup(reached, hops, ["url"]).select(
-            "chain", F.col("target").alias("url"), (F.col("page_no") + step).alias("page_no")
-        )
-        both = reached.unionByName(further).groupBy("chain", "url").agg(F.min("page_no").alias("page_no"))
-        reached = written_table(both, "reached-pages")
+        further = [reached]
+        for _ in range(FAN - 1):
+            further.append(
+                join_lookup(further[-1], hops, ["url"], link_count).select(
+                    "chain", F.col("target").alias("url"), (F.col("page_no") + step).alias("page_no")
+                )
+            )
+        # a page reached again keeps its first place, so the walk of a cycle stops growing
+        places = reduce(DataFrame.unionByName, further).groupBy("chain", "url")
+        reached = written_table(places.agg(F.min("page_no").alias("page_no")), "reached-pages")
         now = reached.count()
         if now == known:
             break
-        known, step = now, step * 2
+        known, step = now, step * FAN
         ahead = hops.select(F.col("url").alias("target"), F.col("target").alias("after"))
-        hops = join_lookup(hops, written_table(ahead, "page-hops"), ["target"]).select("url", F.col("after").alias("target"))
-    found = join_lookup(reached, links.select("url", "error", F.lit(True).alias("_landed")), ["url"], "left")
+        jumps = hops
+        for _ in range(FAN - 1):
+            jumps = join_lookup(jumps, ahead, ["target"], link_count).select("url", F.col("after").alias("target"))
+        hops = written_table(jumps, "page-hops")
+        if hops.isEmpty():
+            break
+    found = join_lookup(reached, links.select("url", "error", F.lit(True).alias("_landed")), ["url"], link_count, "left")
     missing = F.when(F.col("_landed").isNull(), F.concat(F.lit("no page for "), F.col("url")))
     walked = found.select("chain", "page_no", "url", F.coalesce(F.col("error"), missing).alias("error"))
     details = [c for c in pages.columns if c not in (url, "chain", "page_no", "url", "error")]

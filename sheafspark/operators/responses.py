@@ -5,6 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafspark.functions.json_text import using
 from sheafspark.functions.outcomes import fmt_outcome, parse_outcome
 from sheafspark.schemas import RESPONSE_BUNDLE
 
@@ -33,20 +34,25 @@ def split_results(log: DataFrame) -> SplitResults:
 
 def decode_error(body: Column) -> Column:
     """Struct of ``issue`` if the body is an outcome, else of ``other_error`` with its text."""
-    parsed = parse_outcome(body)
-    is_outcome = body.rlike(r"^\s*\{") & (parsed["resourceType"] == "OperationOutcome")
-    is_outcome = F.coalesce(is_outcome, F.lit(False))
-    return F.struct(
-        F.when(is_outcome, parsed["issue"]).alias("issue"),
-        F.when(~is_outcome, body).alias("other_error"),
-    )
+    is_object = body.rlike(r"^\s*\{")
+
+    def judged(outcome):
+        is_outcome = F.coalesce(is_object & (outcome["resourceType"] == "OperationOutcome"), F.lit(False))
+        return F.struct(
+            F.when(is_outcome, outcome["issue"]).alias("issue"),
+            F.when(~is_outcome, body).alias("other_error"),
+        )
+
+    return using(parse_outcome(body), judged)
 
 
 def unwrap_async(body: Column) -> Column:
     """Struct ``(resource, location, error)`` of the batch response an asynchronous request ends with."""
-    bundle = F.from_json(body, RESPONSE_BUNDLE)
-    entries = F.coalesce(F.size(bundle["entry"]), F.lit(0))
-    entries = F.when(entries < 0, F.lit(0)).otherwise(entries)
+    return using(F.from_json(body, RESPONSE_BUNDLE), _unwrapped)
+
+
+def _unwrapped(bundle):
+    entries = F.greatest(F.coalesce(F.size(bundle["entry"]), F.lit(0)), F.lit(0))
     entry = F.get(bundle["entry"], F.lit(0))
     response = entry["response"]
     kind = F.coalesce(bundle["type"], F.lit(""))

@@ -1,5 +1,7 @@
 """Back-off delays reconstructed from request logs."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,25 +40,26 @@ def throttle_timeline(log: DataFrame, key: str = "server", max_delay: int = MAX_
     rows = written_table(running_count(flagged, "_reset", "_outage", ["micros", "seq"], [key]), "throttle-rows")
     outage = [key, "_outage"]
     left = rows.where(F.col("status").isin(RAISING)).select(*outage, "micros", "seq")
-    raises = []
+    raises, outages = [], 0
     for delay in delay_steps(max_delay):
-        first = left.groupBy(*outage).agg(F.min(F.struct("micros", "seq")).alias("_hit"))
-        hits = written_table(first.select(*outage, "_hit.micros", "_hit.seq", F.lit(delay).alias("delay")), "raises")
-        if hits.isEmpty():
-            break
+        hits = left.groupBy(*outage).agg(F.min(F.struct("micros", "seq")).alias("_hit"))
+        hits = hits.select(*outage, "_hit.micros", "_hit.seq", F.lit(delay).alias("delay"))
+        if not raises:
+            hits = written_table(hits, "first-raises")
+            outages = hits.count()
         raises.append(hits)
         if delay == max_delay:
             break
         until = hits.select(*outage, (F.col("micros") + delay * 1_000_000).alias("_until"))
-        later = join_lookup(left, until, outage).where(F.col("micros") >= F.col("_until"))
+        later = join_lookup(left, until, outage, outages).where(F.col("micros") >= F.col("_until"))
         left = written_table(later.drop("_until"), "later-raises")
-    if not raises:
-        return rows.drop("_reset", "_outage").withColumn("delay_s", F.lit(0))
-    hits = raises[0]
-    for more in raises[1:]:
-        hits = hits.unionByName(more)
-    steps = hits.groupBy(*outage).agg(F.collect_list(F.struct("micros", "seq", "delay")).alias("_steps"))
-    placed = join_lookup(rows, written_table(steps, "outages"), outage, "left")
+        if left.isEmpty():
+            break
+    # at most one raise per step and outage
+    steps = reduce(DataFrame.unionByName, raises).groupBy(*outage).agg(
+        F.collect_list(F.struct("micros", "seq", "delay")).alias("_steps")
+    )
+    placed = join_lookup(rows, steps, outage, outages, "left")
     here = F.struct("micros", "seq")
     in_force = F.filter("_steps", lambda s: F.struct(s["micros"].alias("micros"), s["seq"].alias("seq")) <= here)
     delay = F.coalesce(F.array_max(F.transform(in_force, lambda s: s["delay"])), F.lit(0))

@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_text import compact_json, exact_entries
+from sheafspark.functions.json_text import compact_json, exact_entries, using
 from sheafspark.functions.outcomes import parse_outcome
 from sheafspark.schemas import ENTRY_TEXT, ENTRY_TYPE
 
@@ -16,12 +16,12 @@ class Unbundled(NamedTuple):
     malformed: DataFrame
 
 
-def _decoded(body, schema):
+def _entries(body, schema):
     """Entries by the JSON functions; null where the body is no bundle."""
     parsed = F.from_json(body, f"entry {schema}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
-    entries = F.coalesce(parsed["entry"], F.array().cast(schema))
-    sound = body.rlike(r"^\s*\{") & parsed["_corrupt"].isNull()
-    return F.when(body == "", F.array().cast(schema)).when(sound, entries)
+    empty = F.array().cast(schema)
+    entries = using(parsed, lambda p: F.when(p["_corrupt"].isNull(), F.coalesce(p["entry"], empty)))
+    return F.when(body == "", empty).when(body.rlike(r"^\s*\{"), entries)
 
 
 def is_outcome(entry):
@@ -29,23 +29,22 @@ def is_outcome(entry):
 
 
 def carried_types(body):
-    """Resource types of a page's result entries; null for a malformed page.
+    """One ``struct<type>`` per result entry of a page; null for a malformed page.
 
     Decodes the type of each resource only and builds no resource text.
     """
-    entries = _decoded(body, ENTRY_TYPE)
-    carried = F.filter(entries, lambda e: e["resource"].isNotNull() & ~is_outcome(e))
-    return F.transform(carried, lambda e: e["resource"]["resourceType"])
+    carried = F.filter(_entries(body, ENTRY_TYPE), lambda e: e["resource"].isNotNull() & ~is_outcome(e))
+    return F.transform(carried, lambda e: F.struct(e["resource"]["resourceType"].alias("type")))
 
 
 def _kinds(rows, strict, named):
     """Splits the ``_entries`` column into rows and marks each as resource, outcome or malformed."""
     broken = F.col("_entries").isNull()
+    # a malformed page becomes one row without entry, or an error; a page without entries no row at all
+    instead = F.array(F.lit(None)).cast(ENTRY_TEXT)
     if strict:
-        message = F.concat(F.lit("could not parse the bundle entries of "), F.coalesce(named, F.lit("a page")))
-        broken = F.when(broken, F.raise_error(message)).otherwise(F.lit(False)).cast("boolean")
-    # a malformed page becomes one row without entry; a page without entries none at all
-    entries = F.coalesce(F.col("_entries"), F.array(F.lit(None).cast("STRUCT<resource: STRING, search: STRUCT<mode: STRING>>")))
+        instead = F.raise_error(F.concat(F.lit("could not parse the bundle entries of "), F.coalesce(named, F.lit("a page"))))
+    entries = F.coalesce(F.col("_entries"), instead)
     keep = [c for c in rows.columns if c != "_entries"]
     split = rows.select(*keep, broken.alias("_broken"), F.posexplode(entries).alias("entry_no", "_entry"))
     kind = (
@@ -74,9 +73,8 @@ def route_entries(pages: DataFrame, body: str = "body", exact: bool = True, stri
     suffices for routing and counting.
     """
     text = F.col(body)
-    entries = exact_entries(text) if exact else _decoded(text, ENTRY_TEXT)
-    rows = pages.withColumn("_entries", entries).drop(body)
-    return _kinds(rows, strict, F.col(named) if named else F.lit(None).cast("string"))
+    rows = pages.withColumn("_entries", exact_entries(text) if exact else _entries(text, ENTRY_TEXT))
+    return _kinds(rows.drop(body), strict, F.col(named) if named else F.lit(None).cast("string"))
 
 
 def route_file_entries(entries: DataFrame, strict: bool = False) -> DataFrame:

@@ -150,7 +150,7 @@ def async_results(spark, sf_dir):
     )
     kind = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("searchset")).otherwise(F.lit("batch-response"))
     body = F.concat(F.lit('{"resourceType":"Bundle","type":"'), kind, F.lit('","entry":['), entry, F.lit("]}"))
-    return orders.select("o_orderkey", unwrap_async(body).alias("result")).select("o_orderkey", "result.*")
+    return orders.select("o_orderkey", F.inline(F.array(unwrap_async(body))))
 
 
 def _question_answers(spark, sf_dir):

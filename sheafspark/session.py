@@ -13,5 +13,7 @@ def local_session(cores="*", app="sheafspark", shuffle_partitions=8):
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # call sites of every column cost more than building it
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

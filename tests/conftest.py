@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from sheafspark.session import local_session
 
-    session = local_session(8, "tests")
+    session = local_session(8, "tests", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
