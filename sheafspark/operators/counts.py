@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafspark.operators.capabilities import supports_interaction
+from sheafspark.operators.lookup import join_lookup
 from sheafspark.operators.unbundle import carried_types
+from sheafspark.storage import written_table
 
 TOTAL = "total"
 
@@ -23,10 +25,10 @@ def resource_types(resources: DataFrame, resource: str = "resource") -> DataFram
 def restrict_to_types(rows: DataFrame, capabilities: DataFrame, code: str = "search-type") -> DataFrame:
     """Rows whose ``resource_type`` offers the interaction.
 
-    The type list is deduplicated; whether it is broadcast is left to its size at run time.
+    The type list is stored and counted before it may be broadcast.
     """
-    offered = supports_interaction(capabilities, code).select("resource_type").distinct()
-    return rows.join(offered, "resource_type", "left_semi")
+    offered = written_table(supports_interaction(capabilities, code).select("resource_type").distinct(), "types")
+    return join_lookup(rows, offered, ["resource_type"], offered.count(), "left_semi")
 
 
 def count_resources(types: DataFrame, capabilities: DataFrame | None = None, by_name: bool = False) -> DataFrame:

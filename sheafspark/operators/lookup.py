@@ -10,14 +10,14 @@ BROADCAST_ROWS = 500_000
 SALTS = 16
 
 
-def join_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], size: int, how: str = "inner") -> DataFrame:
-    """Joins rows to a lookup table with unique keys and at most ``size`` rows.
+def join_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], size: int | None, how: str = "inner") -> DataFrame:
+    """Joins rows to a lookup table with unique keys and at most ``size`` rows (None if unknown).
 
     The table is broadcast only if that bound is small. Beyond it the join is
     shuffled and salted: each lookup row is repeated per salt, so the rows of a
     hot key spread over as many tasks.
     """
-    if size <= BROADCAST_ROWS:
+    if size is not None and size <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), keys, how)
     salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

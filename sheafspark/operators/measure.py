@@ -288,7 +288,8 @@ def stratum_ratios(counts: DataFrame) -> DataFrame:
 
     The group side has one row per group of the definition, which bounds its broadcast.
     """
-    first = counts.where(F.col("population_no") == 0)
+    # stored, so that strata and groups do not evaluate the measure twice
+    first = written_table(counts.where(F.col("population_no") == 0), "measure-counts")
     groups = first.where(F.col("stratifier_no").isNull()).select("group_no", F.col("count").alias("group_count"))
     strata = first.where(F.col("stratifier_no").isNotNull()).drop("population_no")
     return _with_ratio(strata.join(F.broadcast(groups), "group_no"))

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafspark.operators.lookup import join_lookup
+
 # Metric names and their labels in display order.
 METRIC_LABELS = {
     "seq-write-throughput": "Seq. Write Throughput",
@@ -58,7 +60,7 @@ def render_metrics(labelled: DataFrame, value: str = "value", keys: list[str] |
     keys = keys or []
     width = F.max(F.length("label")).alias("_width")
     if keys:
-        rows = labelled.join(labelled.groupBy(*keys).agg(width), keys)
+        rows = join_lookup(labelled, labelled.groupBy(*keys).agg(width), keys, None)
     else:
         # one row of one number, bounded by construction
         rows = labelled.withColumn("_width", F.lit(labelled.agg(width).first()[0]))

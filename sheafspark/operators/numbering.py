@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafspark.operators.lookup import BROADCAST_ROWS
 from sheafspark.storage import written_table
 
 
@@ -12,12 +13,11 @@ def sliced_rows(df: DataFrame, order_by: list[str], keys: list[str]) -> DataFram
     A hot key spreads over many slices. The table is stored because a second run
     of the range partitioning could cut the slices elsewhere.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # arrival spreads rows that agree in all order columns
     ranges = [*keys, *order_by, "_arrival"]
     sliced = (
         df.withColumn("_arrival", F.monotonically_increasing_id())
-        .repartitionByRange(slices, *ranges)
+        .repartitionByRange(*ranges)
         .sortWithinPartitions(*ranges)
         .drop("_arrival")
         .withColumn("_slice", F.spark_partition_id())
@@ -27,10 +27,18 @@ def sliced_rows(df: DataFrame, order_by: list[str], keys: list[str]) -> DataFram
 
 
 def _with_heads(stored, heads, keys):
-    """Joins one row per key and slice to the rows; slices are bounded, so no join key is hot."""
+    """Joins one row per key and slice to the rows.
+
+    There are at most as many heads as keys and slices together. They are stored
+    and counted, and broadcast if few; else the rows are shuffled by key and
+    slice, and as slices are bounded, no join key is hot.
+    """
     heads = heads.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_slice").alias("_head_slice"), "_shift"
     )
+    heads = written_table(heads, "slice-heads")
+    if heads.count() <= BROADCAST_ROWS:
+        heads = F.broadcast(heads)
     match = F.col("_slice") == F.col("_head_slice")
     for key in keys:
         match = match & F.col(key).eqNullSafe(F.col(f"_key_{key}"))

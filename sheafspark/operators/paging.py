@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sheafspark.functions.json_text import using
 from sheafspark.functions.links import is_request_uri, next_from_body, next_from_link_header
-from sheafspark.operators.lookup import join_lookup
+from sheafspark.operators.lookup import BROADCAST_ROWS, join_lookup
 from sheafspark.storage import written_table
 
 # Factor by which a round extends the walked distance.
@@ -87,7 +87,11 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
         if hops.isEmpty():
             break
     found = join_lookup(reached, links.select("url", "error", F.lit(True).alias("_landed")), ["url"], link_count, "left")
-    missing = F.when(F.col("_landed").isNull(), F.concat(F.lit("no page for "), F.col("url")))
-    walked = found.select("chain", "page_no", "url", F.coalesce(F.col("error"), missing).alias("error"))
+    landed = found.where(F.col("_landed")).drop("_landed")
+    missing = found.where(F.col("_landed").isNull()).drop("_landed")
+    missing = missing.withColumn("error", F.concat(F.lit("no page for "), F.col("url")))
+    # bodies stay where they are while the walk is small enough to broadcast
     details = [c for c in pages.columns if c not in (url, "chain", "page_no", "url", "error")]
-    return walked.join(pages.select(F.col(url).alias("url"), *details), "url", "left")
+    walked = F.broadcast(landed) if known <= BROADCAST_ROWS else landed
+    shown = pages.select(F.col(url).alias("url"), *details).join(walked, "url")
+    return shown.unionByName(missing, allowMissingColumns=True).select("chain", "page_no", "url", "error", *details)

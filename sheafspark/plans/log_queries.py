@@ -19,6 +19,7 @@ from sheafspark.operators.responses import split_results
 from sheafspark.plans import sql_text as sql
 from sheafspark.plans import workload as w
 from sheafspark.plans.bundle_queries import QUERIES as BUNDLE_QUERIES
+from sheafspark.storage import written_table
 
 
 def event_durations(spark, sf_dir):
@@ -66,11 +67,11 @@ def failed_requests(spark, sf_dir):
 
 
 def download_totals(spark, sf_dir):
-    return download_stats(w.order_pages(spark, sf_dir))
+    return download_stats(written_table(w.order_pages(spark, sf_dir), "pages"))
 
 
 def download_report(spark, sf_dir):
-    return render_download_stats(download_stats(w.order_pages(spark, sf_dir)))
+    return render_download_stats(download_totals(spark, sf_dir))
 
 
 def conversation_chains(spark, sf_dir):
@@ -81,7 +82,7 @@ def conversation_chains(spark, sf_dir):
 
 
 def order_page_chain(spark, sf_dir):
-    pages = w.order_pages(spark, sf_dir)
+    pages = written_table(w.order_pages(spark, sf_dir), "pages")
     following = F.concat(F.lit("<" + w.SERVER + "ServiceRequest?page="), (F.col("page_no") + 1).cast("string"), F.lit('>;rel="next"'))
     starts = pages.groupBy().agg(F.min(F.struct("page_no", "request_url")).alias("s"))
     starts = starts.select(F.lit(0).alias("chain"), F.col("s.request_url").alias("url"))

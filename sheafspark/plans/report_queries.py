@@ -21,6 +21,7 @@ from sheafspark.operators.measure import (
 from sheafspark.operators.metrics import label_params, render_metrics
 from sheafspark.operators.responses import batch_totals, length_mismatches, unwrap_async, zip_by_position
 from sheafspark.operators.search import history, search
+from sheafspark.plans import sql_text as sql
 from sheafspark.plans import workload as w
 
 MEASURE = Measure(
@@ -35,17 +36,18 @@ MEASURE = Measure(
     ]
 )
 
-LIBRARY = {
-    "InDebt": "c_acctbal < 5000",
-    "HasBalance": F.col("c_acctbal") > 0,
-    "Segment": F.col("c_mktsegment"),
-    "Nation": F.col("c_nationkey"),
-    "Wealth": "CASE WHEN c_acctbal > 9000 THEN 'rich' WHEN c_acctbal < 0 THEN 'poor' END",
-    "Shipped": "l_quantity > 10",
-    "Flag": F.col("l_returnflag"),
-    "Line": F.col("l_linestatus"),
-    "Everything": F.lit(True),
-}
+def library():
+    return {
+        "InDebt": "c_acctbal < 5000",
+        "HasBalance": F.col("c_acctbal") > 0,
+        "Segment": F.col("c_mktsegment"),
+        "Nation": F.col("c_nationkey"),
+        "Wealth": "CASE WHEN c_acctbal > 9000 THEN 'rich' WHEN c_acctbal < 0 THEN 'poor' END",
+        "Shipped": "l_quantity > 10",
+        "Flag": F.col("l_returnflag"),
+        "Line": F.col("l_linestatus"),
+        "Everything": F.lit(True),
+    }
 
 
 def _bases(spark, sf_dir):
@@ -53,12 +55,12 @@ def _bases(spark, sf_dir):
 
 
 def measure_counts(spark, sf_dir):
-    return evaluate_measure(_bases(spark, sf_dir), MEASURE, LIBRARY)
+    return evaluate_measure(_bases(spark, sf_dir), MEASURE, library())
 
 
 def measure_with_params(spark, sf_dir):
     measure = Measure([Group([Population("Chosen")], [Stratifier("priority", "Priority")], "Order", "chosen orders")])
-    library = {
+    expressions = {
         "Chosen": "o_totalprice >= :MinPrice AND array_contains(:Status, o_orderstatus) AND o_orderdate >= :Start",
         "Priority": F.col("o_orderpriority"),
     }
@@ -67,7 +69,7 @@ def measure_with_params(spark, sf_dir):
         "Status": ("code", ["F", "O"]),
         "Start": ("dateTime", "1995-01-01"),
     }
-    return evaluate_measure({"Order": w.table(spark, sf_dir, "orders")}, measure, library, params)
+    return evaluate_measure({"Order": w.table(spark, sf_dir, "orders")}, measure, expressions, params)
 
 
 def measure_ratios(spark, sf_dir):
@@ -90,8 +92,8 @@ def flat_strata(spark, sf_dir):
 
 def many_strata(spark, sf_dir):
     measure = Measure([Group([Population("All")], [Stratifier("order", "OrderKey"), Stratifier("part", "PartKey")], "LineItem")])
-    library = {"All": F.lit(True), "OrderKey": F.col("l_orderkey"), "PartKey": F.col("l_partkey")}
-    counts = evaluate_measure({"LineItem": w.table(spark, sf_dir, "lineitem")}, measure, library)
+    expressions = {"All": F.lit(True), "OrderKey": F.col("l_orderkey"), "PartKey": F.col("l_partkey")}
+    counts = evaluate_measure({"LineItem": w.table(spark, sf_dir, "lineitem")}, measure, expressions)
     return stratum_rows(counts).select("stratifier_no", "stratum_no", "display", "count", "ratio")
 
 
@@ -290,7 +292,7 @@ _PARAMS = f"""SELECT p_brand, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS pos,
     unnest(['write-iops', 'score', 'score', 'read-latency-p50', 'seq-write-throughput', 'direct-io', 'rating', 'processing-duration', 'comment']) AS name,
     unnest(['write-iops', 'Score', 'score', 'Read Latency (p50)', 'Seq. Write Throughput', 'Direct I/O', 'Rating', 'Processing Duration', 'comment']) AS label,
     unnest([1099511627776, 12, 1099511627778, 3, 0, 11, 13, 14, 1099511627784]) AS place,
-    unnest([n || '/s', price, CAST(n AS VARCHAR), size || ' µs', printf('%.2f MiB/s', CAST(n * 3 AS DOUBLE)),
+    unnest([n || '/s', price, CAST(n AS VARCHAR), size || ' µs', {sql.fmt_bytes('(n * 3145728)')} || '/s',
       CASE WHEN n > 85 THEN 'yes' ELSE 'no' END, CASE WHEN size >= 50 THEN 'good' ELSE 'poor' END, price || ' s', '<unknown>']) AS value FROM ({_PARTS})"""
 
 QUERIES = {

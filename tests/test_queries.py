@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the given tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from compare import connect, duck_rows, spark_rows
 
@@ -22,3 +26,9 @@ def test_query(spark, sf_dir, duck, name):
 def test_entry(spark):
     rows = registry.entry(spark).collect()
     assert rows[-1].resource_type == "total" and rows[-1]["count"] == sum(r["count"] for r in rows[:-1])
+
+
+def test_registry_imports_without_a_session():
+    code = "import __spark_entry__ as r; assert set(r.oracle_sql()) <= set(r.queries())"
+    folder = os.path.dirname(os.path.abspath(registry.__file__))
+    subprocess.run([sys.executable, "-c", code], cwd=folder, check=True)
