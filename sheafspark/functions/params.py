@@ -19,7 +19,7 @@ def typed_param(name: str, type: str | None, value: str):
             raise ValueError(f"invalid boolean value `{value}` for parameter `{name}`")
         return value in TRUE_TEXTS
     if type == "integer":
-        if not re.fullmatch(r"[+-]?[0-9]+", value):
+        if not re.fullmatch(r"[+-]?[0-9]+", value) or not -(2**63) <= int(value) < 2**63:
             raise ValueError(f"invalid integer value `{value}` for parameter `{name}`")
         return int(value)
     if type == "decimal":

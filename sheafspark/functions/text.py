@@ -10,42 +10,43 @@ BYTE_UNITS = ["B", "KiB", "MiB", "GiB", "TiB", "PiB"]
 
 
 def two_decimals(value: Column) -> Column:
-    """Two digits after the point, exact ties to the even digit.
+    """Two digits after the point of a single-precision number, exact ties to the even digit.
 
-    Java's own ``%.2f`` rounds the shortest decimal text half up, which gives
-    other digits for ties, so the rounding goes through a decimal.
+    Java's own ``%.2f`` rounds ties up, so the rounding goes through a decimal,
+    whose twelve digits tell any single-precision number from a tie.
     """
-    return F.bround(value.cast("double").cast("decimal(38,12)"), 2).cast("string")
+    return F.bround(value.cast("float").cast("double").cast("decimal(38,12)"), 2).cast("string")
 
 
 def fmt_bytes(value: Column) -> Column:
     """Scales down while the value exceeds 1024, so 1024 itself stays ``1024.00 B``."""
     size = value.cast("float").cast("double")
-    text = F.concat(two_decimals(size), F.lit(" B"))
-    for power, unit in enumerate(BYTE_UNITS[1:], start=1):
+    scaled, unit = size, F.lit(" B")
+    for power, name in enumerate(BYTE_UNITS[1:], start=1):
+        larger = size > F.lit(1024.0**power)
         # a division by a power of two is exact, so one step equals repeated ones
-        scaled = F.concat(two_decimals(size / F.lit(1024.0**power)), F.lit(f" {unit}"))
-        text = F.when(size > F.lit(1024.0**power), scaled).otherwise(text)
-    return F.when(value.isNotNull(), text)
+        scaled = F.when(larger, size / F.lit(1024.0**power)).otherwise(scaled)
+        unit = F.when(larger, F.lit(f" {name}")).otherwise(unit)
+    return F.concat(two_decimals(scaled), unit)
 
 
 def duration_text(ms: Column) -> Column:
     """Whole milliseconds as ``1h0m0s``, ``1m2.5s``, ``2.8s``, ``512ms`` or ``0s``."""
     size = F.abs(ms.cast("bigint"))
     whole = F.floor(size / 1000)
-    hours, minutes, seconds = F.floor(whole / 3600), F.floor(whole / 60) % 60, whole % 60
-    fraction = F.regexp_replace(F.lpad((size % 1000).cast("string"), 3, "0"), "0+$", "")
-    tail = F.concat(
-        seconds.cast("string"),
-        F.when(fraction == "", F.lit("")).otherwise(F.concat(F.lit("."), fraction)),
+    # trailing zeros go, and the point with them if nothing remains
+    fraction = F.rtrim(F.concat(F.lit("."), F.lpad((size % 1000).cast("string"), 3, "0")), F.lit("0."))
+    clock = F.concat(
+        F.when(whole >= 3600, F.concat(F.floor(whole / 3600).cast("string"), F.lit("h"))).otherwise(F.lit("")),
+        F.when(whole >= 60, F.concat((F.floor(whole / 60) % 60).cast("string"), F.lit("m"))).otherwise(F.lit("")),
+        (whole % 60).cast("string"),
+        fraction,
         F.lit("s"),
     )
     text = (
         F.when(size == 0, F.lit("0s"))
         .when(size < 1000, F.concat(size.cast("string"), F.lit("ms")))
-        .when(hours > 0, F.concat(hours.cast("string"), F.lit("h"), minutes.cast("string"), F.lit("m"), tail))
-        .when(minutes > 0, F.concat(minutes.cast("string"), F.lit("m"), tail))
-        .otherwise(tail)
+        .otherwise(clock)
     )
     return F.when(ms < 0, F.concat(F.lit("-"), text)).otherwise(text)
 

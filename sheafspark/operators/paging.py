@@ -10,8 +10,9 @@ from sheafspark.functions.links import is_request_uri, next_from_body, next_from
 from sheafspark.operators.lookup import BROADCAST_ROWS, join_lookup
 from sheafspark.storage import written_table
 
-# Factor by which a round extends the walked distance.
-FAN = 4
+# Factors by which a round extends the walked distance: with few links a join
+# costs less than another round, with many it is the other way round.
+FAN_FEW, FAN_MANY = 4, 2
 
 
 def page_links(pages: DataFrame, url: str = "request_url") -> DataFrame:
@@ -59,6 +60,7 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
         "page-links",
     )
     link_count = links.count()
+    fan = FAN_FEW if link_count <= BROADCAST_ROWS else FAN_MANY
     hops = links.where(F.col("next_url").isNotNull()).select("url", F.col("next_url").alias("target"))
     reached = written_table(
         starts.select("chain", "url", F.lit(0).cast("bigint").alias("page_no")).distinct(), "reached-pages"
@@ -66,7 +68,7 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
     known, step = reached.count(), 1
     while True:
         further = [reached]
-        for _ in range(FAN - 1):
+        for _ in range(fan - 1):
             further.append(
                 join_lookup(further[-1], hops, ["url"], link_count).select(
                     "chain", F.col("target").alias("url"), (F.col("page_no") + step).alias("page_no")
@@ -78,10 +80,10 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
         now = reached.count()
         if now == known:
             break
-        known, step = now, step * FAN
+        known, step = now, step * fan
         ahead = hops.select(F.col("url").alias("target"), F.col("target").alias("after"))
         jumps = hops
-        for _ in range(FAN - 1):
+        for _ in range(fan - 1):
             jumps = join_lookup(jumps, ahead, ["target"], link_count).select("url", F.col("after").alias("target"))
         hops = written_table(jumps, "page-hops")
         if hops.isEmpty():

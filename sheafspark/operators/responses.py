@@ -48,7 +48,8 @@ def decode_error(body: Column) -> Column:
 
 def unwrap_async(body: Column) -> Column:
     """Struct ``(resource, location, error)`` of the batch response an asynchronous request ends with."""
-    return using(F.from_json(body, RESPONSE_BUNDLE), _unwrapped)
+    parsed = F.from_json(body, f"{RESPONSE_BUNDLE}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
+    return using(parsed, _unwrapped)
 
 
 def _unwrapped(bundle):
@@ -57,7 +58,8 @@ def _unwrapped(bundle):
     response = entry["response"]
     kind = F.coalesce(bundle["type"], F.lit(""))
     error = (
-        F.when(
+        F.when(bundle["_corrupt"].isNotNull(), F.lit("error while reading the async response bundle"))
+        .when(
             kind != "batch-response",
             F.concat(F.lit("expected batch-response bundle but the bundle type is: "), kind),
         )

@@ -1,5 +1,6 @@
 """Selecting resources by query and by history level."""
 
+import re
 from functools import reduce
 from operator import and_
 from urllib.parse import parse_qsl
@@ -35,6 +36,8 @@ def search(
     """
     if ";" in query:
         raise ValueError("could not parse the search query: invalid semicolon separator in query")
+    if re.search("%(?![0-9A-Fa-f]{2})", query):
+        raise ValueError("could not parse the search query: invalid escape")
     conditions: list[Column] = []
     count_only = False
     if resource_type is not None:

@@ -136,7 +136,7 @@ def discovered_files(spark, sf_dir):
 
 def single_bundle_files(spark, sf_dir):
     path = scratch_path(spark, "single")
-    pages = _typed_pages(spark, sf_dir).where(F.col("type") == "Patient").select("body")
+    pages = _typed_pages(spark, sf_dir).select("body")
     pages.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
     read = read_single_bundles(spark, path, "part-*")
     size = F.size(F.from_json("value", "entry ARRAY<STRUCT<request: STRUCT<url: STRING>>>")["entry"])
@@ -177,7 +177,12 @@ _BUNDLE_OF = """'{"resourceType":"Bundle","type":"batch","entry":[' || string_ag
 # resource texts with the whitespace they are written with
 _WRITTEN = """SELECT 'Patient' AS type, c_custkey AS id,
     '{"resourceType": "Patient", "id": "' || c_custkey || '",' || chr(10) || '  "segment": "' || c_mktsegment ||
-    '", "balance": ' || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) || '0 }' AS resource FROM customer"""
+    '", "balance": ' || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) || '0 }' AS resource FROM customer
+  UNION ALL SELECT 'ServiceRequest', o_orderkey, '{"resourceType": "ServiceRequest", "id": "' || o_orderkey || '", "subject": "Patient/' ||
+    o_custkey || '", "note": "a  b, \\"c\\" \\u00e9", "price": ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || '0}' FROM orders
+  UNION ALL SELECT 'Location', n_nationkey, '{"resourceType": "Location", "id": "' || n_nationkey || '", "name": "' || n_name || '"}' FROM nation"""
+_WRITTEN_BUNDLES = f"""SELECT type, {_BUNDLE_OF} AS bundle, count(*) AS entries
+  FROM (SELECT type, id, id // 100 AS page_no, {_POST} AS entry FROM ({_WRITTEN})) GROUP BY type, page_no"""
 
 QUERIES = {
     "count_resources": (
@@ -277,19 +282,13 @@ QUERIES = {
     ),
     "single_bundle_files": (
         single_bundle_files,
-        f"""WITH e AS (SELECT type, id, id // 100 AS page_no, {_POST} AS entry FROM ({_WRITTEN}))
-        SELECT CAST(1 AS BIGINT) AS bundle_no, CAST(0 AS BIGINT) AS start_bytes, CAST(strlen({_BUNDLE_OF}) + 1 AS BIGINT) AS payload_bytes,
-          CAST(count(*) AS INTEGER) AS entries FROM e GROUP BY page_no""",
+        f"""SELECT CAST(1 AS BIGINT) AS bundle_no, CAST(0 AS BIGINT) AS start_bytes, CAST(strlen(bundle) + 1 AS BIGINT) AS payload_bytes,
+          CAST(entries AS INTEGER) AS entries FROM ({_WRITTEN_BUNDLES})""",
     ),
     "read_bundles": (
         source_files,
-        f"""WITH p AS (SELECT type, id, id // 100 AS page_no, {_POST} AS entry FROM ({_WRITTEN})),
-          o AS (SELECT 'ServiceRequest' AS type, o_orderkey AS id, o_orderkey // 100 AS page_no, {sql.SERVICE_JSON} AS resource FROM orders
-            UNION ALL SELECT 'Location', n_nationkey, n_nationkey // 100, {sql.LOCATION_JSON} FROM nation),
-          oe AS (SELECT type, id, page_no, {_POST} AS entry,
-            CASE type WHEN 'Location' THEN 2 ELSE 4 END AS spaces FROM o)
-        SELECT 'single' AS kind, count(*) AS bundles, CAST(sum(bytes) AS BIGINT) AS payload_bytes FROM (SELECT strlen({_BUNDLE_OF}) + 1 AS bytes FROM p GROUP BY page_no)
-        UNION ALL SELECT 'multi', count(*), CAST(sum(bytes) AS BIGINT) FROM (SELECT strlen({_BUNDLE_OF}) + sum(CASE type WHEN 'Location' THEN 5 ELSE 9 END) AS bytes FROM oe GROUP BY type, page_no)""",
+        f"""SELECT CASE type WHEN 'Patient' THEN 'single' ELSE 'multi' END AS kind, count(*) AS bundles,
+          CAST(sum(strlen(bundle) + CASE type WHEN 'Patient' THEN 1 ELSE 0 END) AS BIGINT) AS payload_bytes FROM ({_WRITTEN_BUNDLES}) GROUP BY 1""",
     ),
     "read_pages": (
         landed_pages,

@@ -83,6 +83,7 @@ def test_decoding_errors(spark):
     "body, expected",
     [
         ('{"type": "searchset"}', (None, None, "expected batch-response bundle but the bundle type is: searchset")),
+        ("no json", (None, None, "error while reading the async response bundle")),
         ('{"type": "batch-response"}', (None, None, "expected one entry in async response bundle but was 0 entries")),
         ('{"type": "batch-response", "entry": [{}, {}]}', (None, None, "expected one entry in async response bundle but was 2 entries")),
         ('{"type": "batch-response", "entry": [{}]}', (None, None, "missing response in bundle entry")),
@@ -161,7 +162,7 @@ def test_typed_values(type, value, expected):
 
 
 @pytest.mark.parametrize(
-    "type, value", [("boolean", "yes"), ("integer", "1.5"), ("decimal", "abc"), ("quantity", "1"), ("integer", "")]
+    "type, value", [("boolean", "yes"), ("integer", "1.5"), ("decimal", "abc"), ("quantity", "1"), ("integer", ""), ("integer", "9223372036854775808")]
 )
 def test_invalid_values(type, value):
     with pytest.raises(ValueError, match="for parameter `Foo`"):
@@ -294,7 +295,7 @@ def test_search(spark):
     assert found("n=1,2&n=2,x") == [2]
     assert found("") == [1, 2, 3]
     assert search(rows, "_summary=count&gender=female", fields).first()["count"] == 2
-    for bad in ("other=1", "a=1;b=2"):
+    for bad in ("other=1", "a=1;b=2", "n=%zz"):
         with pytest.raises(ValueError):
             search(rows, bad, fields)
 

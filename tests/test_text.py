@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,9 +45,11 @@ def test_bytes(spark):
 
 
 def test_two_decimals_rounds_like_exact_binary(spark):
-    numbers = [k / 8 for k in range(200)] + [1.005, 2.675, 99.995]
-    got = values(spark, [(n,) for n in numbers[:200]], "n DOUBLE", two_decimals(F.col("n")))
-    assert got == [f"{n:.2f}" for n in numbers[:200]]
+    rng = random.Random(5)
+    numbers = [k / 8 for k in range(200)] + [1.005, 2.675, 99.995, 0.0, 5e-7, 123456.785, -2.125, 3e9]
+    numbers = [float(np.float32(n)) for n in numbers + [rng.expovariate(0.01) for _ in range(2000)]]
+    got = values(spark, [(n,) for n in numbers], "n DOUBLE", two_decimals(F.col("n")))
+    assert got == [f"{n:.2f}" for n in numbers]
 
 
 def test_indentation(spark):
