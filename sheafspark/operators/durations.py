@@ -49,11 +49,11 @@ def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
 
     A group's window sees one row per 4096 ms of its value range, not its rows.
     """
-    exact_ms = F.col("ms").cast("decimal(20,0)") * F.col("n")
+    in_block = F.col("ms") - F.shiftleft(F.shiftright("ms", _BLOCK_BITS), _BLOCK_BITS)
     blocks = histogram.groupBy(*by, F.shiftright("ms", _BLOCK_BITS).alias("block")).agg(
         F.sum("n").alias("block_n"),
-        F.sum(exact_ms).alias("block_ms"),
-        F.sum(F.col("rest_ns").cast("decimal(20,0)")).alias("block_rest"),
+        F.sum(in_block * F.col("n")).alias("block_ms"),
+        F.sum("rest_ns").alias("block_rest"),
         F.max("ms").alias("block_max"),
         F.array_sort(F.collect_list(F.struct("ms", "n"))).alias("cells"),
     )
@@ -71,8 +71,11 @@ def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
     )
     placed = placed.withColumn("found", found)
     picks = [F.max(F.get("found", F.lit(i))).alias(name) for i, name in enumerate(["q50_ms", *QUANTILES])]
-    # sums are exact, so the mean does not depend on the order of rows
-    nanos = F.sum("block_ms").cast("decimal(38,0)") * 1_000_000 + F.sum("block_rest")
+    # sums are exact, in decimals where they may exceed a long, so the mean does not depend on the order of rows
+    wide = "decimal(20,0)"
+    block_start = F.shiftleft("block", _BLOCK_BITS).cast(wide) * F.col("block_n").cast(wide)
+    all_ms = F.sum(block_start) + F.sum(F.col("block_ms").cast(wide))
+    nanos = all_ms.cast("decimal(32,0)") * F.lit(1_000_000).cast("decimal(7,0)") + F.sum(F.col("block_rest").cast(wide))
     mean = nanos.cast("double") / 1e9 / F.sum("block_n") * 1000.0
     stats = placed.groupBy(*by).agg(
         F.sum("block_n").alias("n"), mean.cast("bigint").alias("mean_ms"), *picks, F.max("block_max").alias("max_ms")
