@@ -14,7 +14,8 @@ from sheafspark.schemas import ENTRY_TEXT
 # possessive: Java then matches long strings in a loop instead of recursing.
 _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
 
-_SPACE = re.compile(r"[ \t\r\n]*")
+_BLANK = " \t\r\n"
+_SPACE = re.compile(f"[{_BLANK}]*")
 
 
 def using(value: Column, build) -> Column:
@@ -35,41 +36,42 @@ def _no_constant(name):
 
 
 def _after_space(text, at):
-    return _SPACE.match(text, at).end()
+    return _SPACE.match(text, at).end() if text[at] in _BLANK else at
 
 
-def _expect(text, at, char):
-    if text[at] != char:
-        raise ValueError(f"expected {char} at {at}")
-    return _after_space(text, at + 1)
-
-
-def _each(text, at, opening, closing, visit):
-    """Runs ``visit(start) -> end`` on the comma-separated items and returns the end of the whole."""
-    at = _expect(text, at, opening)
+def _each(text, at, closing, visit):
+    """Runs ``visit(start) -> end`` on comma-separated items after the opening bracket; returns the end of the whole."""
+    at = _after_space(text, at)
     if text[at] == closing:
         return at + 1
     while True:
         at = _after_space(text, visit(at))
         if text[at] == closing:
             return at + 1
-        at = _expect(text, at, ",")
+        if text[at] != ",":
+            raise ValueError(f"expected a comma at {at}")
+        at = _after_space(text, at + 1)
 
 
 def _each_member(text, at, visit):
-    """Like ``_each`` for an object: ``visit(key, start) -> end`` gets every value."""
+    """Like ``_each`` for an object from its brace on: ``visit(key, start) -> end`` gets every value."""
+    if text[at] != "{":
+        raise ValueError(f"expected an object at {at}")
 
     def member(start):
         if text[start] != '"':
             raise ValueError(f"expected a key at {start}")
         key, after = scanstring(text, start + 1, True)
-        return visit(key, _expect(text, _after_space(text, after), ":"))
+        after = _after_space(text, after)
+        if text[after] != ":":
+            raise ValueError(f"expected a colon at {after}")
+        return visit(key, _after_space(text, after + 1))
 
-    return _each(text, at, "{", "}", member)
+    return _each(text, at + 1, "}", member)
 
 
 def cut_entries(text):
-    """Resources of a bundle as they are written, with the search mode of their entry.
+    """``(resource, search mode)`` of a bundle's entries, resources as they are written.
 
     Raises ``ValueError`` or ``IndexError`` for text that is no JSON bundle.
     """
@@ -79,43 +81,51 @@ def cut_entries(text):
     entries = []
 
     def entry(start):
-        found = {"resource": None, "search": None}
+        resource = mode = None
 
         def member(key, at):
+            nonlocal resource, mode
             value, end = decode(text, at)
             if key == "resource" and value is not None:
-                found["resource"] = text[at:end]
+                resource = text[at:end]
             elif key == "search" and value is not None:
-                found["search"] = {"mode": value.get("mode")}
+                mode = value.get("mode")
             return end
 
         end = decode(text, start)[1] if text[start] == "n" else _each_member(text, start, member)
-        entries.append(found)
+        entries.append((resource, mode))
         return end
 
     def top(key, at):
-        if key == "entry" and text[at] != "n":
-            return _each(text, at, "[", "]", entry)
-        return decode(text, at)[1]
+        if key == "entry" and text[at] == "[":
+            return _each(text, at + 1, "]", entry)
+        value, end = decode(text, at)
+        if key == "entry" and value is not None:
+            raise ValueError("entry is no list")
+        return end
 
     end = _each_member(text, _after_space(text, 0), top)
-    if _after_space(text, end) != len(text):
+    if text[end:].strip(_BLANK):
         raise ValueError("text after the bundle")
     return entries
 
 
-def _cut_or_none(text):
-    if text is None:
-        return None
-    try:
-        return cut_entries(text)
-    except (ValueError, IndexError, AttributeError, RecursionError):
-        return None
-
-
 def _cut_all(bodies: pa.Array) -> pa.Array:
-    entry = pa.struct([("resource", pa.string()), ("search", pa.struct([("mode", pa.string())]))])
-    return pa.array((_cut_or_none(body.as_py()) for body in bodies), pa.list_(entry))
+    resources, modes, offsets = [], [], []
+    for body in bodies.to_pylist():
+        start = len(resources)
+        try:
+            found = None if body is None else cut_entries(body)
+        except (ValueError, IndexError, AttributeError, RecursionError):
+            found = None
+        # a null offset makes the list null
+        offsets.append(None if found is None else start)
+        for resource, mode in found or ():
+            resources.append(resource)
+            modes.append(mode)
+    search = pa.StructArray.from_arrays([pa.array(modes, pa.string())], names=["mode"])
+    entries = pa.StructArray.from_arrays([pa.array(resources, pa.string()), search], names=["resource", "search"])
+    return pa.ListArray.from_arrays(pa.array([*offsets, len(resources)], pa.int32()), entries)
 
 
 def exact_entries(body: Column) -> Column:

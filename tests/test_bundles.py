@@ -3,12 +3,13 @@ import gzip
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_text import compact_json, cut_entries
+from sheafspark.functions.json_text import _cut_all, compact_json, cut_entries
 from sheafspark.operators.counts import count_resources, page_types, render_counts, resource_types
 from sheafspark.operators.unbundle import route_file_entries, split_kinds, unbundle
 from sheafspark.sources.bundles import (
@@ -104,8 +105,20 @@ json_values = st.recursive(
 def test_cutting_keeps_every_resource(resources, space):
     text = json.dumps({"link": [], "entry": [{"fullUrl": "x", "resource": r} for r in resources], "z": 1}, indent=space)
     cut = cut_entries(text)
-    assert [json.loads(c["resource"]) for c in cut] == resources
-    assert all(c["resource"] in text for c in cut)
+    assert [json.loads(resource) for resource, _ in cut] == resources
+    assert all(resource in text for resource, _ in cut)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(json_values, max_size=2), st.integers(0, 60), st.sampled_from('{}[],:" 1a'))
+def test_damaged_text_is_found(values, place, char):
+    text = json.dumps({"entry": [{"resource": {"v": v}} for v in values]})
+    damaged = text[:place] + char + text[place + 1 :]
+    try:
+        json.loads(damaged)
+    except ValueError:
+        assert _cut_all(pa.array([damaged, text])).to_pylist()[0] is None
+    assert len(_cut_all(pa.array([None, "", text])).to_pylist()[2]) == len(values)
 
 
 def fill(folder):
