@@ -15,6 +15,9 @@ from sheafspark.storage import written_table
 # Strata a nested report may hold; larger results stay flat.
 REPORT_STRATA = 100_000
 
+# Stratifiers counted in one scan; a grouping id has 64 bits.
+STRATIFIERS_PER_SCAN = 48
+
 # Fixed value: shown for a missing system, code or display.
 MISSING = "–"
 
@@ -89,39 +92,61 @@ def _with_expressions(df, named, arguments):
     return df.sparkSession.sql(f"SELECT *, {select} FROM {{basis}}", args=arguments, basis=rows)
 
 
-def _group_counts(df, number, group, library, arguments):
-    populations = [f"_p{i}" for i in range(len(group.population))]
-    strata = [f"_s{i}" for i in range(len(group.stratifier))]
-    named = {p: library[d.expression] for p, d in zip(populations, group.population)}
-    named |= {s: library[d.expression] for s, d in zip(strata, group.stratifier)}
-    rows = _with_expressions(df, named, arguments).select(
-        *populations,
-        *[F.col(s).cast("string").alias(s) for s in strata],
+def _basis_counts(df, groups, stratifiers, with_totals, library, arguments):
+    """Counts of all groups over one basis in one scan.
+
+    ``groups`` holds ``(number, group)``, ``stratifiers`` those to count as ``(number, position, stratifier)``.
+    """
+    populations = {(g, i): f"_p{g}_{i}" for g, group in groups for i in range(len(group.population))}
+    strata = {(g, i): f"_s{g}_{i}" for g, i, _ in stratifiers}
+    named = {populations[g, i]: library[p.expression] for g, group in groups for i, p in enumerate(group.population)}
+    named |= {strata[g, i]: library[stratifier.expression] for g, i, stratifier in stratifiers}
+    rows = _with_expressions(df, named, arguments)
+    members = rows.where(reduce(or_, [F.col(p) for p in populations.values()])).select(
+        *populations.values(), *[F.col(s).cast("string").alias(s) for s in strata.values()]
+    )
+    # a row of no population, so that a group without members still has its total of zero
+    nobody = df.sparkSession.range(1).select(
+        *[F.lit(False).alias(p) for p in populations.values()],
+        *[F.lit(None).cast("string").alias(s) for s in strata.values()],
     )
-    members = rows.where(reduce(or_, [F.col(p) for p in populations]))
-    counts = [F.count_if(p).alias(f"_n{i}") for i, p in enumerate(populations)]
-    if strata:
-        sets = [[], *[[F.col(s)] for s in strata]]
+    columns = [F.col(s) for s in strata.values()]
+    counts = [F.count_if(p).alias(f"_n{p}") for p in populations.values()]
+    everyone = members.unionByName(nobody)
+    if columns:
         # the grouping id tells a null stratum from the total
-        counted = members.groupingSets(sets, *[F.col(s) for s in strata]).agg(*counts, F.grouping_id().alias("_set"))
+        counted = everyone.groupingSets([[], *[[c] for c in columns]], *columns).agg(*counts, F.grouping_id().alias("_set"))
     else:
-        counted = members.agg(*counts).withColumn("_set", F.lit(0).cast("bigint"))
-    everything = (1 << len(strata)) - 1
-    of_stratifier = {everything & ~(1 << (len(strata) - 1 - i)): i for i in range(len(strata))}
-    stratifier_no, code, stratum = F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("string")
-    for set_id, i in of_stratifier.items():
-        this = F.col("_set") == set_id
-        stratifier_no = F.when(this, F.lit(i)).otherwise(stratifier_no)
-        code = F.when(this, F.lit(group.stratifier[i].code)).otherwise(code)
-        stratum = F.when(this, F.col(strata[i])).otherwise(stratum)
-    return counted.select(
-        F.lit(number).alias("group_no"),
-        F.lit(group.code or None).cast("string").alias("group_code"),
-        stratifier_no.alias("stratifier_no"),
-        code.alias("stratifier_code"),
-        stratum.alias("stratum"),
-        F.posexplode(F.array(*[F.col(f"_n{i}") for i in range(len(populations))])).alias("population_no", "count"),
-    )
+        counted = everyone.agg(*counts).withColumn("_set", F.lit(0).cast("bigint"))
+
+    def results(g, group, position, code, stratum):
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(g).alias("group_no"),
+                    F.lit(group.code or None).cast("string").alias("group_code"),
+                    F.lit(position).cast("int").alias("stratifier_no"),
+                    F.lit(code).cast("string").alias("stratifier_code"),
+                    stratum.cast("string").alias("stratum"),
+                    F.lit(i).alias("population_no"),
+                    F.col(f"_n{populations[g, i]}").alias("count"),
+                )
+                for i in range(len(group.population))
+            ]
+        )
+
+    all_bits = (1 << len(strata)) - 1
+    totals = [results(g, group, None, None, F.lit(None)) for g, group in groups] if with_totals else []
+    shown = F.when(F.col("_set") == all_bits, F.concat(*totals)) if totals else None
+    by_number = dict(groups)
+    for n, (g, position, stratifier) in enumerate(stratifiers):
+        group = by_number[g]
+        # strata exist through members of their own group
+        present = reduce(or_, [F.col(f"_n{populations[g, i]}") > 0 for i in range(len(group.population))])
+        here = (F.col("_set") == (all_bits & ~(1 << (len(strata) - 1 - n)))) & present
+        found = results(g, group, position, stratifier.code, F.col(strata[g, position]))
+        shown = F.when(here, found) if shown is None else shown.when(here, found)
+    return counted.select(F.inline(shown))
 
 
 def evaluate_measure(
@@ -130,15 +155,20 @@ def evaluate_measure(
     """Counts per group, stratifier, stratum and population; the group's own counts have no stratifier.
 
     ``tables`` maps a basis type to its rows; an empty group type means Patient.
-    ``library`` maps expression names to columns or SQL text. Each group is one
-    scan with one aggregate over grouping sets. A null stratum is a stratum of its own.
+    ``library`` maps expression names to columns or SQL text. Groups of one basis
+    share a scan and an aggregate over grouping sets. A null stratum is a stratum of its own.
     """
     validate_measure(measure)
     arguments = typed_params(params or {})
-    parts = [
-        _group_counts(tables[group.type or "Patient"], number, group, library, arguments)
-        for number, group in enumerate(measure.group)
-    ]
+    by_basis: dict[str, list] = {}
+    for number, group in enumerate(measure.group):
+        by_basis.setdefault(group.type or "Patient", []).append((number, group))
+    parts = []
+    for basis, groups in by_basis.items():
+        stratifiers = [(g, i, s) for g, group in groups for i, s in enumerate(group.stratifier)]
+        for start in range(0, max(len(stratifiers), 1), STRATIFIERS_PER_SCAN):
+            some = stratifiers[start : start + STRATIFIERS_PER_SCAN]
+            parts.append(_basis_counts(tables[basis], groups, some, start == 0, library, arguments))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -300,7 +330,8 @@ def stratum_rows(counts: DataFrame) -> DataFrame:
     strata = stratum_ratios(counts)
     numbered = number_rows(strata, ["stratum"], ["group_no", "stratifier_no"])
     sizes = numbered.groupBy("group_no", "stratifier_no").agg(F.count("*").alias("_strata"))
-    rows = numbered.join(sizes, ["group_no", "stratifier_no"])
+    # one row per stratifier of the definition bounds the broadcast
+    rows = numbered.join(F.broadcast(sizes), ["group_no", "stratifier_no"])
     null = _is_null_text(F.col("stratum"))
     nothing = null & (F.col("_strata") == 1)
     return rows.where(~null | nothing).select(

@@ -55,10 +55,9 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
     the links by ones that reach as far, so a chain of n pages takes log n rounds over
     (url, next url) pairs. Page bodies join once at the end.
     """
-    links = written_table(
-        page_links(pages, url).groupBy("url").agg(F.min("next_url").alias("next_url"), F.min("error").alias("error")),
-        "page-links",
-    )
+    # of a page landed twice, one without error counts
+    best = page_links(pages, url).groupBy("url").agg(F.min(F.struct("error", "next_url")).alias("link"))
+    links = written_table(best.select("url", "link.next_url", "link.error"), "page-links")
     link_count = links.count()
     fan = FAN_FEW if link_count <= BROADCAST_ROWS else FAN_MANY
     hops = links.where(F.col("next_url").isNotNull()).select("url", F.col("next_url").alias("target"))

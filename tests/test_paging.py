@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheafspark.functions.links import next_from_link_header
-from sheafspark.operators import lookup
+from sheafspark.operators import lookup, paging
 from sheafspark.operators.paging import follow_pages
 
 SCHEMA = "request_url STRING, status INT, link_header STRING, body STRING"
@@ -18,17 +18,20 @@ def walk(spark, pages, starts=(("c", "/0"),)):
     return sorted((r.chain, r.page_no, r.url, r.error) for r in rows)
 
 
-@pytest.mark.parametrize("n", [1, 2, 5, 17, 70])
-@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("n, broadcast", [(1, True), (2, True), (5, True), (17, True), (70, True), (5, False), (17, False)])
 def test_chains_of_many_lengths(spark, monkeypatch, n, broadcast):
     if not broadcast:
-        if n not in (5, 17):
-            pytest.skip("two lengths suffice for the shuffled way")
         monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(paging, "BROADCAST_ROWS", 0)
     pages = [(f"/{i}", 200, None, linked(f"/{i + 1}") if i + 1 < n else "{}") for i in range(n)]
     assert walk(spark, pages) == [("c", i, f"/{i}", None) for i in range(n)]
 
 
+def test_a_page_landed_twice(spark):
+    pages = [("/0", 500, None, "x"), ("/0", 200, None, linked("/1")), ("/1", 200, None, "{}")]
+    assert walk(spark, pages) == [("c", 0, "/0", None), ("c", 0, "/0", None), ("c", 1, "/1", None)]
+
+
 def test_header_wins_over_body(spark):
     pages = [
         ("/0", 200, '<something>;rel="self",</1>;rel="next"', linked("/wrong")),

@@ -202,6 +202,28 @@ def test_measure_with_null_strata(spark):
     assert [(r.group_no, r.group_title, r.group_count) for r in rows if r.kind == "group"] == [(1, "people", 4), (2, "Group", 4)]
 
 
+@pytest.mark.parametrize("per_scan", [1, 2, 48])
+def test_groups_without_members_and_split_scans(spark, monkeypatch, per_scan):
+    monkeypatch.setattr(module, "STRATIFIERS_PER_SCAN", per_scan)
+    people = spark.createDataFrame([("m", 1), (None, 2)], "gender STRING, age INT")
+    definition = Measure(
+        [
+            Group([Population("Nobody")], [Stratifier("gender", "Gender"), Stratifier("age", "Age")]),
+            Group([Population("Old"), Population("Young")], [Stratifier("gender", "Gender")]),
+            Group([Population("Everybody")]),
+        ]
+    )
+    library = {"Nobody": F.lit(False), "Old": "age > 1", "Young": "age < 2", "Everybody": F.lit(True), "Gender": "gender", "Age": F.col("age")}
+    for rows, expected in (
+        (people, {(0, None, None, 0): 0, (1, None, None, 0): 1, (1, None, None, 1): 1, (1, "gender", "m", 0): 0, (1, "gender", "m", 1): 1,
+                  (1, "gender", None, 0): 1, (1, "gender", None, 1): 0, (2, None, None, 0): 2}),
+        (people.where("age > 5"), {(0, None, None, 0): 0, (1, None, None, 0): 0, (1, None, None, 1): 0, (2, None, None, 0): 0}),
+    ):
+        got = evaluate_measure({"Patient": rows}, definition, library).collect()
+        assert {(r.group_no, r.stratifier_code, r.stratum, r.population_no): r["count"] for r in got} == expected
+        assert len(got) == len(expected)
+
+
 def test_a_report_has_a_size(spark, monkeypatch):
     monkeypatch.setattr(module, "REPORT_STRATA", 3)
     counts = evaluate_measure(
