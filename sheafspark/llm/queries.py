@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafspark.llm.bpe import encode_decode
+from sheafspark.llm.exact_dedup import exact_dedup
+from sheafspark.llm.secret_ledger import scan_versions, span_count, span_text
+from sheafspark.llm.simhash import simhash_groups
 from sheafspark.llm.token_counts import token_counts
+from sheafspark.llm.toxicity import toxicity
 
 #: Folder of the public vocabulary files, the same on every machine.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -17,6 +21,77 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  doc_id = max(doc_id) OVER g AS kept, h AS text_sha256
+FROM d WINDOW g AS (PARTITION BY h)
+"""
+
+
+def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_versions(docs).select("key", "spans", span_text(F.col("spans")).alias("text"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        *[span_count(F.col("spans"), rule).alias(f"n_{rule}") for rule in ("assign", "access", "hex")],
+        F.sha2("text", 256).alias("base_sha256"),
+        F.col("text").alias("spans"),
+    )
+
+
+def _spans_sql(kind: str, number: int, regex: str, group: int, least: int) -> str:
+    """One row for each kept match: lengths of the gaps and matches before it give its place."""
+    regex = regex.replace("'", "''")
+    return f"""
+SELECT doc_id, '{kind}' AS kind, {number} AS no,
+  list_sum(gaps[:i]) + coalesce(list_sum(sizes[:i - 1]), 0) AS a, list_sum(gaps[:i]) + list_sum(sizes[:i]) AS b
+FROM (
+  SELECT doc_id, sizes, judged, list_transform(string_split_regex(text, '{regex}'), lambda x: length(x)) AS gaps,
+    unnest(range(1, len(sizes) + 1)) AS i
+  FROM (
+    SELECT doc_id, text, list_transform(regexp_extract_all(text, '{regex}'), lambda x: length(x)) AS sizes,
+      list_transform(regexp_extract_all(text, '{regex}', {group}), lambda x: length(x)) AS judged
+    FROM d WHERE regexp_matches(text, '{regex}')))
+WHERE judged[i] >= {least}"""
+
+
+_ASSIGN = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+    "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+)
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({_spans_sql("assign", 0, _ASSIGN, 2, 12)}
+UNION ALL {_spans_sql("access", 1, "AKIA[A-Z0-9]+", 0, 18)}
+UNION ALL {_spans_sql("hex", 2, "[0-9a-f]+", 0, 16)}),
+s AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, no) AS spans
+  FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+"""
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_groups(docs).select("doc_id", "fingerprint", "component_id")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, WORD_BPE).drop("text")
@@ -43,6 +118,10 @@ def pipeline_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 QUERIES = {
+    "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
+    "op3_secret_ledger": (op3_secret_ledger, OP3_SQL),
+    "op8_simhash": (op8_simhash, None),
+    "op10_toxicity": (op10_toxicity, None),
     "op7_token_counts": (op7_token_counts, None),
     "op9_bpe": (op9_bpe, None),
 }
