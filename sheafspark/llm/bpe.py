@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sheafspark.llm.arrow_text import byte_column, row_slices, white_space_blocks
 
 #: Distinct words whose tokens a task keeps; beyond that it starts over.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 _NONE = np.iinfo(np.int64).max
 
 
@@ -211,6 +211,45 @@ class WordBpe:
         return ids, np.diff(upto)
 
 
+def _encoded(bpe: WordBpe, column: pa.Array) -> pa.ListArray:
+    column = byte_column(column)
+    values, counts = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+    for start, stop in row_slices(column):
+        found, sizes = bpe.encode(column.slice(start, stop - start).to_pylist())
+        values.append(found)
+        counts.append(sizes)
+    offsets = np.cumsum(np.concatenate(counts)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values)))
+
+
+class TokenStrings:
+    """The string of each token id of a tokenizer file."""
+
+    def __init__(self, path: str, skip_special_tokens: bool = False):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.known = {i: s for s, i in spec["model"]["vocab"].items()}
+        for token in spec["added_tokens"]:
+            self.known[token["id"]] = token["content"]
+            if skip_special_tokens and token["special"]:
+                del self.known[token["id"]]
+
+    def decode(self, column: pa.ListArray) -> pa.Array:
+        """The strings of each list, with one space between; unknown ids have none."""
+        known, out = self.known, []
+        for row in column:
+            tokens = row.values
+            if tokens is None:
+                out.append(None)
+                continue
+            tokens = tokens.to_numpy(zero_copy_only=False).tolist()
+            try:
+                out.append(" ".join(map(known.__getitem__, tokens)))
+            except KeyError:
+                out.append(" ".join(known[t] for t in tokens if t in known))
+        return pa.array(out, pa.string())
+
+
 def encode(text: Column, tokenizer: str) -> Column:
     """The token ids of each whole text, as the file's own library gives them without added special tokens.
 
@@ -221,14 +260,7 @@ def encode(text: Column, tokenizer: str) -> Column:
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = WordBpe(tokenizer)
         for column in columns:
-            column = byte_column(column)
-            values, counts = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
-            for start, stop in row_slices(column):
-                found, sizes = bpe.encode(column.slice(start, stop - start).to_pylist())
-                values.append(found)
-                counts.append(sizes)
-            offsets = np.cumsum(np.concatenate(counts)).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values)))
+            yield _encoded(bpe, column)
 
     return ids(text)
 
@@ -241,26 +273,9 @@ def decode(ids: Column, tokenizer: str, skip_special_tokens: bool = False) -> Co
 
     @F.arrow_udf("string")
     def texts(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        with open(tokenizer, encoding="utf-8") as file:
-            spec = json.load(file)
-        strings = {i: s for s, i in spec["model"]["vocab"].items()}
-        for token in spec["added_tokens"]:
-            strings[token["id"]] = token["content"]
-        skipped = {t["id"] for t in spec["added_tokens"] if t["special"]} if skip_special_tokens else set()
-        known = {i: s for i, s in strings.items() if i not in skipped}
+        strings = TokenStrings(tokenizer, skip_special_tokens)
         for column in columns:
-            out = []
-            for row in range(len(column)):
-                tokens = column[row].values
-                if tokens is None:
-                    out.append(None)
-                    continue
-                tokens = tokens.to_numpy(zero_copy_only=False).tolist()
-                try:
-                    out.append(" ".join(map(known.__getitem__, tokens)))
-                except KeyError:
-                    out.append(" ".join(known[t] for t in tokens if t in known))
-            yield pa.array(out, pa.string())
+            yield strings.decode(column)
 
     return texts(ids)
 
@@ -272,6 +287,14 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFr
     Repeated rows are encoded each; an empty table gives an empty table. Columns of the same names are replaced,
     other columns stay.
     """
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def coded(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # both steps in one worker process
+        bpe, strings = WordBpe(tokenizer), TokenStrings(tokenizer)
+        for column in columns:
+            ids = _encoded(bpe, column)
+            yield pa.StructArray.from_arrays([ids, strings.decode(ids)], ["ids", "decoded"])
+
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "decoded")])
-    encoded = docs.select(row.alias("row"), encode(F.col(f"`{text}`"), tokenizer).alias("ids"))
-    return encoded.select("row", "ids", decode(F.col("ids"), tokenizer).alias("decoded")).select("row.*", "ids", "decoded")
+    return docs.select(row.alias("row"), coded(F.col(f"`{text}`")).alias("coded")).select("row.*", "coded.ids", "coded.decoded")

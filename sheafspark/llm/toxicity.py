@@ -13,8 +13,10 @@ from sheafspark.llm.word_features import BUCKETS, Hasher, word_tokens
 from sheafspark.storage import written_table
 
 #: About so many labelled rows of each class are learned from; a larger class is thinned by a hash of the key.
-ROWS_PER_CLASS = 12_000
-EPOCHS = 4
+ROWS_PER_CLASS = 10_000
+EPOCHS = 10
+#: Features of fewer rows of the sample are not learned.
+LEAST_ROWS = 3
 #: Scores from here on are predicted as 1.
 THRESHOLD = 0.7
 
@@ -22,7 +24,7 @@ THRESHOLD = 0.7
 class Ftrl:
     """FTRL-proximal with a learning rate for each coordinate; L1 keeps coordinates at zero that little speaks for."""
 
-    def __init__(self, buckets: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.5, l2: float = 0.5):
+    def __init__(self, buckets: int, alpha: float = 2.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.1):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(buckets), np.zeros(buckets)
         self.bias_z = self.bias_n = 0.0
@@ -116,26 +118,32 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = sample.select("key", "label", "share", text_features(F.col("text")).alias("features"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, targets, weight = [], [], {0: 0.0, 1: 0.0}
+        flat, sizes, targets, weight = [], [], [], {0: 0.0, 1: 0.0}
+        rows_with = np.zeros(BUCKETS, np.int32)
         for batch in batches:
             column = batch.column(3)
-            offsets, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            features += [flat[a:b].copy() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            flat.append(column.flatten().to_numpy(zero_copy_only=False))
+            sizes += np.diff(column.offsets.to_numpy()).tolist()
+            rows_with += np.bincount(flat[-1], minlength=BUCKETS).astype(np.int32)
             targets += batch.column(1).to_pylist()
             for y, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 weight[y] += 1 / s
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        kept = rows_with >= LEAST_ROWS
+        sizes = np.bincount(owner[np.concatenate([kept[f] for f in flat])], minlength=len(sizes)) if flat else np.empty(0, int)
+        features = np.split(np.concatenate([f[kept[f]] for f in flat]), np.cumsum(sizes)[:-1]) if flat else []
         model = Ftrl(BUCKETS)
         if weight[0] and weight[1]:
             for epoch in range(EPOCHS):
                 for k in np.random.default_rng(epoch).permutation(len(targets)):
                     model.learn(features[k], targets[k])
             # the classes were thinned by different shares
-            model_bias = model.bias() + np.log(weight[1] / weight[0] / (sum(targets) / (len(targets) - sum(targets))))
+            bias = model.bias() + np.log(weight[1] / weight[0] / (sum(targets) / (len(targets) - sum(targets))))
         else:
-            model_bias = -5.0 if not weight[1] else 0.0
+            bias = -5.0
         weights = model.weights(slice(None))
         at = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(weights[at], model_bias))], ["at", "weight"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(weights[at], bias))], ["at", "weight"])
 
     # the sample is bounded; steps follow each other, in an order that reruns repeat
     ordered = rows.repartition(1).sortWithinPartitions(F.xxhash64("key"), "key", F.size("features"))
