@@ -129,7 +129,7 @@ def _maybe_repeated(sha: Column, bits: Broadcast) -> Column:
     return test(sha)
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
     """Adds text_sha256, keep_id, group_size and kept to every row of ``docs``, a stored table.
 
     Rows are equal if their texts are, with A-Z lower-cased; a null text is an empty one. The row with the largest key
@@ -137,10 +137,11 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     of equal rows. Rows whose hash cannot be repeated pass straight through; the others are stored in the shared
     folder, grouped by hash and joined with their group. False positives of the filter only add rows there, so the
     result does not depend on its size. An empty table gives an empty table. Columns of the four names are replaced.
+    Without ``keep_text`` the text column is left out.
     """
     spark = docs.sparkSession
     own = ("text_sha256", "keep_id", "group_size", "kept")
-    columns = [c for c in docs.columns if c not in own]
+    columns = [c for c in docs.columns if c not in own and (keep_text or c != text)]
     hashed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
         F.col(f"`{key}`").alias("key"),

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafspark.llm.bpe import encode_decode
+from sheafspark.llm.cotraining import quality
 from sheafspark.llm.exact_dedup import exact_dedup
+from sheafspark.llm.html_templates import extract_main_text
+from sheafspark.llm.knn import knn_join
+from sheafspark.llm.mixing import mix
 from sheafspark.llm.secret_ledger import scan_versions, span_count, span_text
-from sheafspark.llm.simhash import simhash_groups
+from sheafspark.llm.simhash import simhash_groups, simhash_survivors
 from sheafspark.llm.token_counts import token_counts
 from sheafspark.llm.toxicity import toxicity
 
@@ -21,6 +25,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality(docs, _table(spark, sf_dir, "labels")).drop("text", "lang")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -82,6 +95,29 @@ FROM d LEFT JOIN s ON d.doc_id = s.doc_id
 """
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mix(docs, keep_text=False)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op6_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_join(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash_groups(docs).select("doc_id", "fingerprint", "component_id")
@@ -112,14 +148,43 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
     )
 
 
+def pipeline_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    scored = toxicity(row, _table(spark, sf_dir, "labels"))
+    return scored.where("predicted = 0").select("row.*")
+
+
+def pipeline_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, that with the largest doc_id."""
+    row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    return exact_dedup(row, keep_text=False).where("kept").select("row.*")
+
+
+def pipeline_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked texts, that with the smallest doc_id."""
+    return simhash_survivors(docs)
+
+
+def pipeline_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; 0 times: not at all."""
+    row = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
+    mixed = mix(row, keep_text=False).where("copies > 0")
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
+
+
 def pipeline_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last stage: the columns of documents with the token ids and the decoded text."""
     return encode_decode(docs, WORD_BPE)
 
 
 QUERIES = {
+    "op1_html_templates": (op1_html_templates, None),
+    "op4_cotraining": (op4_cotraining, None),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
     "op3_secret_ledger": (op3_secret_ledger, OP3_SQL),
+    "op5_mixing": (op5_mixing, None),
+    "op6_voronoi_knn": (op6_voronoi_knn, OP6_SQL),
     "op8_simhash": (op8_simhash, None),
     "op10_toxicity": (op10_toxicity, None),
     "op7_token_counts": (op7_token_counts, None),

@@ -170,6 +170,13 @@ def near_links(prints: DataFrame) -> DataFrame:
     return links.unionByName(star).distinct()
 
 
+def _components(prints: DataFrame) -> DataFrame:
+    """(fp, least, root) for a stored table (key, fp, ...): each fingerprint with its least order and its component."""
+    distinct = written_table(prints.groupBy("fp").agg(F.min("order").alias("least")), "distinct-fingerprints")
+    components = connected_components(near_links(distinct.select("fp")))
+    return distinct.join(components, distinct.fp == components.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For every row of ``docs``: key, ``fp`` (long), ``fingerprint`` (16 hex digits) and ``component_id``.
 
@@ -177,20 +184,31 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     reach, the row's own included; null keys are never the smallest. Null and empty texts have fingerprint zero and are
     linked like others. Repeated rows share a component. An empty table gives an empty table.
     """
-    prints = docs.select(F.col(f"`{key}`").alias(key), fingerprint(F.col(f"`{text}`")).alias("fp"))
+    prints = docs.select(F.col(f"`{key}`").alias("order"), fingerprint(F.col(f"`{text}`")).alias("fp"))
     prints = written_table(prints, "fingerprints")
-    distinct = written_table(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct-fingerprints")
-    components = connected_components(near_links(distinct.select("fp")))  # node, root
-    least = distinct.join(components, distinct.fp == components.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    roots = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = written_table(least.join(roots, "root").select("fp", "component_id"), "fingerprint-components")
+    found = _components(prints)
+    roots = found.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_print = written_table(found.join(roots, "root").select("fp", "component_id"), "fingerprint-components")
     return prints.join(by_print, "fp").select(
-        key, "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        F.col("order").alias(key), "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
+def simhash_survivors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, a stored table, without those linked to a row with a smaller key; see :func:`simhash_groups`.
+
+    Of rows with the smallest key one stays, a null key being the largest. All columns are kept as they are.
+    """
+    # the number tells rows with the same key apart; a stored table gives it again
+    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n"), F.col(f"`{text}`").alias("text"))
+    order = F.struct(F.col(f"row.`{key}`").isNull().alias("without"), F.col(f"row.`{key}`").alias("key"), "n")
+    prints = written_table(rows.select(order.alias("order"), fingerprint(F.col("text")).alias("fp")), "fingerprints")
+    found = _components(prints)
+    kept = found.groupBy("root").agg(F.min("least").alias("least")).select("least.n")
+    kept = written_table(kept, "kept-rows")
+    return rows.select("row", "n").join(kept, "n", "left_semi").select("row.*")
+
+
 def whole_ball_rows(radius: int = RADIUS) -> int:
     """Rows a fingerprint would emit with the ball on all 64 bits only."""
     return sum(math.comb(64, k) for k in range(radius // 2 + 1))

@@ -27,14 +27,14 @@ def word_tokens(word: str) -> list[str]:
 
 
 def shape_tokens(word: str) -> list[str]:
-    """The kinds of characters in the word, runs as one, and the word itself."""
+    """The kinds of characters in the word, runs of letters and digits as one, and the last three other ones."""
     kinds, last = [], ""
     for c in word[:64]:
         kind = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c
         if kind != last or kind not in "aA0":
             kinds.append(kind)
         last = kind
-    return ["s" + "".join(kinds), "e" + "".join(k for k in kinds if k not in "aA0")[-3:], "w" + word.lower()]
+    return ["s" + "".join(kinds), "e" + "".join(k for k in kinds if k not in "aA0")[-3:], ""]
 
 
 class Hasher:
