@@ -7,12 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafspark.llm.queries import pipeline_bpe
+from sheafspark.llm.queries import pipeline_bpe, pipeline_exact_dedup, pipeline_mixing, pipeline_simhash, pipeline_toxicity
 from sheafspark.storage import written_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", pipeline_toxicity),
+    ("exact dedup", pipeline_exact_dedup),
+    ("simhash near-dedup", pipeline_simhash),
+    ("mixing", pipeline_mixing),
     ("bpe", pipeline_bpe),
 ]
 
@@ -26,7 +30,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n, (name, stage) in enumerate(STAGES, start=1):
         docs = stage(spark, docs, sf_dir)
         if n < len(STAGES):
-            docs = written_table(docs, f"pipeline-{name}")
+            docs = written_table(docs, f"pipeline-{name.replace(' ', '-')}")
     return docs
 
 
