@@ -66,6 +66,11 @@ def _block_masks() -> list[int]:
     return [sum(1 << b for k, block in enumerate(blocks) if k != left for b in block) for left in range(3)]
 
 
+def _flipped(base: Column, flips: list[int]) -> Column:
+    """The number with each of the given sets of bits turned over."""
+    return F.transform(F.array(*map(F.lit, flips)), lambda bits: base.bitwiseXOR(bits))
+
+
 def variants(prints: DataFrame) -> DataFrame:
     """(pair, variant, fp): all variants within one bit on each pair of blocks, half of the 2 bits left there."""
     rows = []
@@ -73,8 +78,7 @@ def variants(prints: DataFrame) -> DataFrame:
         flips = [0] + [1 << b for b in range(64) if mask >> b & 1]
         signed = [x - (1 << 64) if x >> 63 else x for x in [mask, *flips]]
         base = F.col("fp").bitwiseAND(F.lit(signed[0]))
-        moved = F.transform(F.array(*[F.lit(x) for x in signed[1:]]), lambda x, base=base: base.bitwiseXOR(x))
-        rows.append(prints.select(F.lit(pair).cast("byte").alias("pair"), F.explode(moved).alias("variant"), "fp"))
+        rows.append(prints.select(F.lit(pair).cast("byte").alias("pair"), F.explode(_flipped(base, signed[1:])).alias("variant"), "fp"))
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
@@ -82,8 +86,8 @@ def ball(prints: DataFrame) -> DataFrame:
     """(variant, fp): all variants within two bits of all 64. Fingerprints of one variant differ in at most 4 bits."""
     single = [1 << b for b in range(64)]
     flips = [0, *single, *(a | b for i, a in enumerate(single) for b in single[:i])]
-    signed = F.array(*[F.lit(x - (1 << 64) if x >> 63 else x) for x in flips])
-    return prints.select(F.explode(F.transform(signed, lambda x: F.col("fp").bitwiseXOR(x))).alias("variant"), "fp")
+    signed = [x - (1 << 64) if x >> 63 else x for x in flips]
+    return prints.select(F.explode(_flipped(F.col("fp"), signed)).alias("variant"), "fp")
 
 
 def _links_of(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
