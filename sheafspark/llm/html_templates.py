@@ -215,7 +215,7 @@ def main_text(blocks: list[Block], template: set[int]) -> str:
     level = max((b.main for b in free), default=0)
     if level:
         return "\n".join(b.text for b in free if b.main == level)
-    return "\n".join(b.text for b in free if not b.linked and b.path not in template and b.token() not in template)
+    return "\n".join(b.text for b in free if not b.linked and b.token() not in template)
 
 
 def host_of(url: Column) -> Column:

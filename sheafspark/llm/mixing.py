@@ -61,28 +61,37 @@ class Flight:
 
     At most two rows stay open between steps. A third one makes a direction in which both totals keep still; the step
     goes to one of its two ends, by chance and so that the expected probabilities keep still as well, and decides a row.
+
+    Rows come with the largest first. Open rows land when much smaller ones follow: they are decided by chance, and
+    what that misses in size is moved to rows that follow. ``taken`` and ``left`` are about the size that rows to come
+    will take and leave; a row lands only where they can make up for it.
     """
 
-    def __init__(self, seed: int, landing: bool):
+    def __init__(self, seed: int, taken: float = np.inf, left: float = np.inf):
         self.chance = np.random.default_rng(seed & (2**63 - 1))
-        self.landing, self.missing = landing, 0.0
+        self.taken, self.left, self.missing = taken, left, 0.0
         self.open: list[list] = []  # row, probability, size
 
     def _land(self) -> list[tuple[int, float]]:
-        """Decides the open rows by chance; what that misses in size goes to rows that follow."""
         decided = []
         for row, p, size in self.open:
+            ends = {v: self.missing + (p - v) * size for v in (0.0, 1.0)}
+            over = {v: max(0.0, -e - max(0.0, self.taken), e - max(0.0, self.left)) for v, e in ends.items()}
             value = float(self.chance.random() < p)
-            self.missing += (p - value) * size
+            if over[value] > over[1 - value]:
+                value = 1 - value
+            self.missing = ends[value]
             decided.append((row, value))
         self.open = []
         return decided
 
-    def add(self, row: int, probability: float, size: float) -> list[tuple[int, float]]:
+    def add(self, row: int, probability: float, size: float, landing: bool = True) -> list[tuple[int, float]]:
         """Takes a row; returns the decided ones with their probability, 0 or 1."""
         decided = []
-        if self.landing and probability > _EPS:
-            if self.open and size < max(x[2] for x in self.open) / 2:  # smaller rows can still make up for these
+        self.taken -= probability * size
+        self.left -= (1 - probability) * size
+        if landing and probability > _EPS:
+            if self.open and size < max(x[2] for x in self.open) / 2:
                 decided = self._land()
             if self.missing:
                 moved = min(1.0, max(0.0, probability + self.missing / size))
@@ -111,11 +120,8 @@ class Flight:
         return decided
 
 
-def _fly(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-    """Adds ``decided`` to rows (block, order, size, probability, row) that are sorted by block.
-
-    With ``last`` a block lands: open rows are decided while smaller ones, which follow, can make up for them.
-    """
+def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``decided`` to rows (block, n, size, probability, taken, left, row) that are sorted by block."""
     block, flight, held = None, None, {}
 
     def with_column(batch, values):
@@ -127,15 +133,15 @@ def _fly(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBat
             continue
         found = np.full(batch.num_rows, np.nan)
         first = number
-        blocks, sizes, chances = (batch.column(k).to_pylist() for k in (0, 2, 3))
-        for i, (own, size, p) in enumerate(zip(blocks, sizes, chances, strict=True)):
+        columns = (batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5))
+        for i, (own, size, p, taken, left) in enumerate(zip(*columns, strict=True)):
             if own != block:
-                for row, value in _settled(flight, last):
+                for row, value in _settled(flight):
                     if row >= first:
                         found[row - first] = value
                     else:
                         yield with_column(held.pop(row), [value])
-                block, flight = own, Flight(own, last)
+                block, flight = own, Flight(own, taken, left)
             for row, value in flight.add(number, p, float(size)):
                 if row >= first:
                     found[row - first] = value
@@ -147,16 +153,14 @@ def _fly(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBat
             held[first + int(i)] = batch.slice(int(i), 1)
         if done.any():
             yield with_column(batch.filter(pa.array(done)), found[done])
-    for row, value in _settled(flight, last):
+    for row, value in _settled(flight):
         yield with_column(held.pop(row), [value])
 
 
-def _settled(flight: Flight | None, last: bool) -> list[tuple[int, float]]:
-    """What a block ends with: its open rows, landed where their total size is met best if this flight is the last."""
+def _settled(flight: Flight | None) -> list[tuple[int, float]]:
+    """The open rows of a block that ends, landed where the total size is met best."""
     if flight is None:
         return []
-    if not last:
-        return [(row, p) for row, p, _ in flight.open]
     options: list[list[tuple[int, float]]] = [[]]
     for row, _, _ in flight.open:
         options = [[*o, (row, v)] for o in options for v in (0.0, 1.0)]
@@ -168,47 +172,13 @@ def _settled(flight: Flight | None, last: bool) -> list[tuple[int, float]]:
     return min(options, key=miss)
 
 
-def balanced_copies(rows: DataFrame) -> DataFrame:
-    """(row, decided): 0 or 1 for rows (source_no, rows, n, size, probability, row); see :func:`mix`.
-
-    Flights run over blocks of a source; rows that stay open, two of a block at most, fly again in larger blocks of
-    their source until each source has one block, where they land.
-    """
-    open_rows, decided = rows, []
-    while True:
-        # rows of a source are dealt to its blocks by a hash, and fly there with the largest first
-        blocks = F.ceil(F.col("rows") / BLOCK_ROWS).cast("long")
-        block = F.xxhash64("source_no", F.pmod("n", blocks))
-        last = not open_rows.where(F.col("rows") > BLOCK_ROWS).limit(1).count()
-        dealt = (
-            open_rows.select(block.alias("block"), "n", "size", "probability", "row", "source_no", "rows")
-            .repartition("block")
-            .sortWithinPartitions("block", F.desc("size"), "n")
-        )
-
-        def fly(batches, last=last):
-            return _fly(batches, last)
-
-        schema = StructType([*dealt.schema.fields, StructField("decided", DoubleType())])
-        flown = written_table(dealt.mapInArrow(fly, schema), "flight")
-        decided.append(flown.where("decided = 0 or decided = 1").select("row", "decided"))
-        if last:
-            break
-        left = flown.where("decided > 0 and decided < 1").drop("probability").withColumnRenamed("decided", "probability")
-        left = left.withColumn("rows", 2 * F.ceil(F.col("rows") / BLOCK_ROWS)).withColumn("n", F.xxhash64("block", "n"))
-        open_rows = left.drop("block")
-    out = decided[0]
-    for more in decided[1:]:
-        out = out.unionByName(more)
-    return out
-
-
 def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
     """Adds size, source_size, target and copies to every row of ``docs``, a stored table.
 
     Size counts words. ``copies`` is how often the mix takes the row: the whole part of target / source_size, and one
     more for a sample with the rest as inclusion probability, which keeps the number and total size of the taken rows
-    of each source near their expectation. Rows are told apart by source, size, key and order, so reruns agree.
+    of each source near their expectation. Each source is cut into blocks that fly and land by themselves; a
+    block misses its total by less than its smallest rows where those can make up for the others. Rows are told apart by source, size, key and order, so reruns agree.
     Null texts have size 0 and are taken 0 times; null sources are one source, the last; null keys are keys like others.
     An empty table gives an empty table. Columns of the four names are replaced. Without ``keep_text`` the text column
     is left out, and only sizes are shuffled.
@@ -226,17 +196,26 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
     targets = written_table(targets.withColumn("source_no", F.xxhash64("source", F.col("source").isNull())), "source-targets")
     ready = sized.join(targets, sized.source.eqNullSafe(targets.source)).select("key", "size", "row", "source_size", "target", "source_no", "rows")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    ready = ready.select(
-        "rows",
-        "source_no",
-        "size",
-        F.xxhash64("source_no", "key", "size").alias("n"),
-        F.when(F.col("size") > 0, expected - F.floor(expected)).otherwise(0.0).alias("probability"),
-        F.struct(
-            "row", "size", "source_size", "target", F.when(F.col("size") > 0, F.floor(expected)).otherwise(0).cast("int").alias("whole")
-        ).alias("row"),
+    rest = expected - F.floor(expected)
+    # rows of a source are dealt to its blocks by a hash, and fly there with the largest first
+    blocks = F.ceil(F.col("rows") / BLOCK_ROWS).cast("long")
+    place = F.xxhash64("source_no", "key", "size")
+    whole = F.when(F.col("size") > 0, F.floor(expected)).otherwise(0).cast("int")
+    dealt = (
+        ready.select(
+            F.xxhash64("source_no", F.pmod(place, blocks)).alias("block"),
+            place.alias("n"),
+            "size",
+            F.when(F.col("size") > 0, rest).otherwise(0.0).alias("probability"),
+            (rest * F.col("source_size") / blocks).alias("taken"),
+            ((1 - rest) * F.col("source_size") / blocks).alias("left"),
+            F.struct("row", "size", "source_size", "target", whole.alias("whole")).alias("row"),
+        )
+        .repartition("block")
+        .sortWithinPartitions("block", F.desc("size"), "n")
     )
-    return balanced_copies(ready).select(
+    flown = dealt.mapInArrow(_fly, StructType([*dealt.schema.fields, StructField("decided", DoubleType())]))
+    return flown.select(
         *[F.col("row.row")[c].alias(c) for c in columns],
         F.col("row.size").alias("size"),
         F.col("row.source_size").alias("source_size"),

@@ -90,12 +90,17 @@ def ball(prints: DataFrame) -> DataFrame:
     return prints.select(F.explode(_flipped(F.col("fp"), signed)).alias("variant"), "fp")
 
 
+def _differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of bits in which fingerprints differ; of signed numbers numpy counts the bits of the absolute value."""
+    return np.bitwise_count((left ^ right).astype(np.int64).view(np.uint64))
+
+
 def _links_of(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Verified links that connect what is connected within one group of distinct fingerprints: a forest of them."""
     root = np.arange(len(group))
     left, right = [], []
     for i in range(1, len(group)):
-        near = np.flatnonzero(np.bitwise_count(group[:i] ^ group[i]) <= RADIUS)
+        near = np.flatnonzero(_differing(group[:i], group[i]) <= RADIUS)
         joined = np.unique(root[near])
         for r in joined:
             left.append(group[near[np.flatnonzero(root[near] == r)[0]]])
@@ -134,7 +139,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(bounds)
         last = len(sizes) - 1
         twos = np.array(bounds)[np.flatnonzero(sizes[1:last] == 2) + 1]
-        near = twos[(np.bitwise_count(fp[twos] ^ fp[twos + 1]) <= RADIUS) & (fp[twos] != fp[twos + 1])] if len(twos) else twos
+        near = twos[(_differing(fp[twos], fp[twos + 1]) <= RADIUS) & (fp[twos] != fp[twos + 1])] if len(twos) else twos
         if len(near):
             both = np.unique(np.stack([fp[near], fp[near + 1]]), axis=1)
             yield out(both[0], both[1])
