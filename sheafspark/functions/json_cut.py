@@ -1,0 +1,352 @@
+"""Cutting bundle entries out of JSON text, as they are written.
+
+Whole batches are cut with array operations on their bytes: unescaped quotes, the brackets, colons and
+commas outside of strings, and the depth of each. That presumes valid JSON; texts that are not, or that
+have an unusual form, are walked one by one with a stack of their own, so nesting has no limit.
+"""
+
+import json
+import re
+
+import numpy as np
+import pyarrow as pa
+
+_BLANK = " \t\r\n"
+_SPACE = re.compile(r"[ \t\r\n]*+")
+_SCALAR = re.compile(
+    r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
+    r"|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?|true|false|null"
+)
+_OPEN = {"{": "}", "[": "]"}
+
+
+def _after_space(text, at):
+    return _SPACE.match(text, at).end()
+
+
+def value_end(text: str, at: int) -> int:
+    """The end of the JSON value at ``at``; ``ValueError`` if there is none."""
+    stack = []
+    while True:
+        # a value starts here
+        at = _after_space(text, at)
+        closing = _OPEN.get(text[at : at + 1])
+        if closing:
+            at = _after_space(text, at + 1)
+            if text[at : at + 1] != closing:
+                stack.append(closing)
+                at = _member_value(text, at) if closing == "}" else at
+                continue
+            at += 1
+        else:
+            found = _SCALAR.match(text, at)
+            if not found:
+                raise ValueError(f"no value at {at}")
+            at = found.end()
+        # a value ended; close what ends with it
+        while stack:
+            at = _after_space(text, at)
+            mark = text[at : at + 1]
+            if mark == stack[-1]:
+                stack.pop()
+                at += 1
+            elif mark == ",":
+                at = _member_value(text, at + 1) if stack[-1] == "}" else at + 1
+                break
+            else:
+                raise ValueError(f"expected a comma at {at}")
+        else:
+            return at
+
+
+def _member_value(text, at):
+    """The start of the value of the member at ``at``."""
+    return _member(text, at)[1]
+
+
+def _member(text, at):
+    at = _after_space(text, at)
+    found = _SCALAR.match(text, at)
+    if not found or text[at] != '"':
+        raise ValueError(f"expected a key at {at}")
+    end = _after_space(text, found.end())
+    if text[end : end + 1] != ":":
+        raise ValueError(f"expected a colon at {end}")
+    return json.loads(found[0]), _after_space(text, end + 1)
+
+
+def _items(text, at, closing):
+    """Starts of the items behind the bracket at ``at``; the last one yielded is the end of the whole, as ``(None, end)``."""
+    at = _after_space(text, at + 1)
+    if text[at : at + 1] == closing:
+        yield None, at + 1
+        return
+    while True:
+        yield "item", at
+        at = _after_space(text, value_end(text, at) if closing == "]" else value_end(text, _member_value(text, at)))
+        mark = text[at : at + 1]
+        if mark == closing:
+            yield None, at + 1
+            return
+        if mark != ",":
+            raise ValueError(f"expected a comma at {at}")
+        at = _after_space(text, at + 1)
+
+
+def members(text: str, at: int) -> tuple[list[tuple[str, str]], int]:
+    """Keys and value texts of the object at ``at``, and its end."""
+    if text[at : at + 1] != "{":
+        raise ValueError(f"expected an object at {at}")
+    found = []
+    for kind, place in _items(text, at, "}"):
+        if kind is None:
+            return found, place
+        key, start = _member(text, place)
+        found.append((key, text[start : value_end(text, start)]))
+    raise ValueError("no end")
+
+
+def elements(text: str) -> list[str]:
+    """Texts of the elements of an array."""
+    return [text[at : value_end(text, at)] for kind, at in _items(text, 0, "]") if kind]
+
+
+def whole_object(text: str) -> list[tuple[str, str]]:
+    """Keys and value texts of a document that is one object."""
+    found, end = members(text, _after_space(text, 0))
+    if text[end:].strip(_BLANK):
+        raise ValueError("text after the object")
+    return found
+
+
+def _given(pairs, name):
+    """The last value of a name that is not null."""
+    return next((v for k, v in reversed(pairs) if k == name and v != "null"), None)
+
+
+def _string(value):
+    if value is not None and not value.startswith('"'):
+        raise ValueError("expected a string")
+    return None if value is None else json.loads(value)
+
+
+def cut_entries(text: str) -> list[tuple[str | None, str | None]]:
+    """``(resource, search mode)`` of a bundle's entries, resources as they are written.
+
+    Raises ``ValueError`` for text that is no JSON bundle.
+    """
+    if text == "":
+        return []
+    entries = []
+    for key, value in whole_object(text):
+        if key != "entry" or value == "null":
+            continue
+        if value[0] != "[":
+            raise ValueError("entry is no list")
+        for entry in elements(value):
+            pairs = [] if entry == "null" else members(entry, 0)[0]
+            search = _given(pairs, "search")
+            mode = None if search is None else _string(_given(members(search, 0)[0], "mode"))
+            entries.append((_given(pairs, "resource"), mode))
+    return entries
+
+
+def cut_response(text: str | None) -> dict:
+    """What an asynchronous batch response holds: ``type``, number of ``entries``, and the parts of the first one."""
+    pairs = whole_object(text or "")
+    entry = _given(pairs, "entry")
+    if entry is not None and entry[0] != "[":
+        raise ValueError("entry is no list")
+    listed = [] if entry is None else elements(entry)
+    first = members(listed[0], 0)[0] if listed and listed[0] != "null" else []
+    response = _given(first, "response")
+    parts = members(response, 0)[0] if response is not None else []
+    return {
+        "type": _string(_given(pairs, "type")),
+        "entries": len(listed),
+        "resource": _given(first, "resource"),
+        "answered": response is not None,
+        "status": _string(_given(parts, "status")),
+        "location": _string(_given(parts, "location")),
+        "outcome": _given(parts, "outcome"),
+    }
+
+
+class Structure:
+    """Quotes and structural characters of a batch of texts, each with its row and depth."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        self.data, self.at = data, at
+        quotes = np.flatnonzero(data == 34) + at[0]
+        row = np.searchsorted(at, quotes, side="right") - 1
+        escaped = np.zeros(len(quotes), bool)
+        open_, back = np.arange(len(quotes)), 1
+        while len(open_):  # as long as backslashes stand before them
+            behind = quotes[open_] - back
+            more = (behind >= at[row[open_]]) & (data[np.maximum(behind, at[0]) - at[0]] == 92)
+            open_, back = open_[more], back + 1
+            escaped[open_] ^= True
+        self.quotes, row = quotes[~escaped], row[~escaped]
+        self.quotes_before = np.searchsorted(self.quotes, at)
+        marks = np.flatnonzero(_MARKS[data]) + at[0]
+        row = np.searchsorted(at, marks, side="right") - 1
+        inside = (np.searchsorted(self.quotes, marks) - self.quotes_before[row]) % 2 == 1
+        self.place, self.row = marks[~inside], row[~inside]
+        self.kind = data[self.place - at[0]]
+        step = _STEPS[self.kind]
+        depth = np.cumsum(step)
+        first = np.searchsorted(self.place, at[:-1])
+        base = np.append(0, depth)[first]
+        self.depth = depth - base[self.row]  # behind the character
+        self.first = first
+
+    def byte(self, place):
+        return self.data[place - self.at[0]]
+
+    def key_is(self, colons: np.ndarray, name: bytes) -> np.ndarray:
+        """Whether the string before each colon is the name, written plainly."""
+        last = np.searchsorted(self.quotes, self.place[colons]) - 1
+        good = last >= 1
+        end, start = self.quotes[last], self.quotes[np.maximum(last - 1, 0)] + 1
+        good &= end - start == len(name)
+        for k, letter in enumerate(name):
+            good &= self.byte(np.minimum(start + k, self.at[-1] - 1)) == letter
+        return good
+
+    def first_byte(self, place: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The first place from ``place`` on, before ``stop``, that is no white space."""
+        place = place.copy()
+        while True:
+            blank = (place < stop) & _BLANKS[self.byte(np.minimum(place, self.at[-1] - 1))]
+            if not blank.any():
+                return place
+            place[blank] += 1
+
+
+_MARKS, _BLANKS, _STEPS = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, np.int64)
+_MARKS[list(b"{}[]:,")] = True
+_BLANKS[list(b" \t\r\n")] = True
+_STEPS[list(b"{[")], _STEPS[list(b"}]")] = 1, -1
+
+
+def _cut_valid(data: np.ndarray, at: np.ndarray):
+    """Entries of valid texts: ``(row, resource start, resource end, mode)`` by entry, and the rows of unusual form.
+
+    ``mode`` is a text or None; a start of -1 means no resource.
+    """
+    s = Structure(data, at)
+    n = len(at) - 1
+    odd = np.zeros(n, bool)
+    # the document is one object, and only white space stands after it
+    ends = np.flatnonzero(s.depth == 0)
+    odd |= np.bincount(s.row[ends], minlength=n) != 1
+    colons = np.flatnonzero(s.kind == 58)
+    top = colons[s.depth[colons] == 1]
+    # keys with escapes are left to the walk
+    entry = top[s.key_is(top, b"entry")]
+    odd |= np.bincount(s.row[entry], minlength=n) > 1
+    opening = np.minimum(entry + 1, len(s.place) - 1)
+    value = s.first_byte(s.place[entry] + 1, s.at[s.row[entry] + 1])
+    listed = (s.kind[opening] == 91) & (s.place[opening] == value)
+    odd[s.row[entry[~listed]]] = True
+    opening = opening[listed]
+    level_one = np.flatnonzero((s.depth == 1) & (s.kind == 93))
+    closing = level_one[np.minimum(np.searchsorted(level_one, opening), max(len(level_one) - 1, 0))] if len(level_one) else opening
+    # members of the array: objects one level deeper; anything else is unusual
+    objects = np.flatnonzero((s.kind == 123) & (s.depth == 3))
+    holder = np.searchsorted(opening, objects, side="right") - 1
+    held = (holder >= 0) & (objects < closing[np.maximum(holder, 0)]) if len(opening) else np.zeros(len(objects), bool)
+    objects, holder = objects[held], holder[held]
+    commas = np.flatnonzero((s.kind == 44) & (s.depth == 2))
+    between = np.searchsorted(commas, closing) - np.searchsorted(commas, opening)
+    count = np.bincount(holder, minlength=len(opening))
+    odd[s.row[opening[(count > 0) & (between != count - 1)]]] = True
+    bare = opening[count == 0]
+    inner = s.first_byte(s.place[bare] + 1, s.at[s.row[bare] + 1])
+    odd[s.row[bare[s.byte(np.minimum(inner, at[-1] - 1)) != 93]]] = True
+
+    end_of = np.flatnonzero((s.kind == 125) & (s.depth == 2))
+    object_end = end_of[np.searchsorted(end_of, objects)] if len(objects) else objects
+    stops = np.flatnonzero(((s.kind == 44) & (s.depth == 3)) | ((s.kind == 125) & (s.depth == 2)))
+
+    def values(level, name):
+        """Colons of a name, the entry they belong to, and the span of the value."""
+        found = colons[s.depth[colons] == level]
+        found = found[s.key_is(found, name)]
+        owner = np.searchsorted(objects, found, side="right") - 1
+        good = (owner >= 0) & (found < object_end[np.maximum(owner, 0)]) if len(objects) else np.zeros(len(found), bool)
+        return found[good], owner[good]
+
+    start, end = np.full(len(objects), -1), np.full(len(objects), -1)
+    found, owner = values(3, b"resource")
+    if len(found):
+        stop = s.place[stops[np.searchsorted(stops, found)]]
+        first = s.first_byte(s.place[found] + 1, stop)
+        null = s.byte(first) == 110
+        start[owner[~null]], end[owner[~null]] = first[~null], stop[~null]
+    slashes = np.flatnonzero(data == 92) + at[0]
+    modes: list[str | None] = [None] * len(objects)
+    found, owner = values(3, b"search")
+    nested, _ = values(4, b"mode")
+    if len(found):
+        stop = s.place[stops[np.searchsorted(stops, found)]]
+        kind = s.byte(s.first_byte(s.place[found] + 1, stop))
+        first_mode = np.searchsorted(nested, found)
+        count = np.where(kind == 123, np.searchsorted(s.place[nested], stop) - first_mode, 0)
+        odd[s.row[found[((kind != 123) & (kind != 110)) | (count > 1)]]] = True
+        one = count == 1
+        found, owner, stop = found[one], owner[one], stop[one]
+        start_of = s.first_byte(s.place[nested[first_mode[one]]] + 1, stop)
+        kind = s.byte(start_of)
+        text = kind == 34
+        odd[s.row[found[~text & (kind != 110)]]] = True
+        start_of, owner, found = start_of[text], owner[text], found[text]
+        end_of = s.quotes[np.minimum(np.searchsorted(s.quotes, start_of) + 1, len(s.quotes) - 1)]
+        odd[s.row[found[np.searchsorted(slashes, start_of) != np.searchsorted(slashes, end_of)]]] = True
+        raw = data.tobytes()
+        for k, a, b in zip(owner.tolist(), (start_of + 1 - at[0]).tolist(), (end_of - at[0]).tolist(), strict=True):
+            modes[k] = raw[a:b].decode()
+    # a key that is written with escapes could be one of those looked for
+    if len(slashes):
+        deep = colons[(s.depth[colons] == 1) | (s.depth[colons] == 3) | (s.depth[colons] == 4)]
+        last = np.searchsorted(s.quotes, s.place[deep]) - 1
+        inside = np.searchsorted(slashes, s.quotes[last]) > np.searchsorted(slashes, s.quotes[np.maximum(last - 1, 0)])
+        odd[s.row[deep[inside]]] = True
+    tail = s.place[np.maximum(np.searchsorted(s.place, at[1:]) - 1, 0)] + 1
+    odd |= s.first_byte(np.minimum(tail, at[1:]), at[1:]) < at[1:]
+    return s.row[objects], start, end, modes, odd
+
+
+def cut_all(bodies: pa.Array, valid: pa.Array) -> pa.Array:
+    """Entries of all texts; null where a text is no bundle. ``valid`` marks those known to be JSON objects."""
+    n = len(bodies)
+    known = np.asarray(valid.fill_null(False).to_numpy(zero_copy_only=False), bool)
+    by_row: list[list | None] = [None] * n
+    done = np.zeros(n, bool)
+    if known.any():
+        rows = np.flatnonzero(known)
+        texts = bodies.take(pa.array(rows)).cast(pa.large_binary())
+        _, offsets, buffer = texts.buffers()
+        at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(buffer, np.uint8)[at[0] : at[-1]]
+        owner, start, end, modes, odd = _cut_valid(data, at)
+        raw = data.tobytes()
+        found: list[list] = [[] for _ in rows]
+        for row, a, b, mode in zip(owner.tolist(), (start - at[0]).tolist(), (end - at[0]).tolist(), modes, strict=True):
+            found[row].append((None if b < 0 else raw[a:b].rstrip().decode(), mode))
+        for k in np.flatnonzero(~odd).tolist():
+            by_row[rows[k]] = found[k]
+            done[rows[k]] = True
+    for row in np.flatnonzero(~done).tolist():
+        text = bodies[row].as_py()
+        try:
+            by_row[row] = None if text is None else cut_entries(text)
+        except ValueError:
+            by_row[row] = None
+    sizes = [0 if x is None else len(x) for x in by_row]
+    offsets = np.append(0, np.cumsum(sizes)).tolist()
+    offsets = [None if x is None else o for x, o in zip(by_row, offsets, strict=False)] + offsets[-1:]
+    flat = [e for x in by_row if x for e in x]
+    search = pa.StructArray.from_arrays([pa.array([m for _, m in flat], pa.string())], names=["mode"])
+    entries = pa.StructArray.from_arrays([pa.array([r for r, _ in flat], pa.string()), search], names=["resource", "search"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)

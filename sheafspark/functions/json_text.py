@@ -1,22 +1,16 @@
 """JSON text kept as written: whitespace removal and cutting out entries."""
 
-import json
-import re
-from json.decoder import scanstring
-
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sheafspark.functions.json_cut import cut_all, cut_response
 from sheafspark.schemas import ENTRY_TEXT
 
 # A string literal, or a run of whitespace between tokens. All quantifiers are
 # possessive: Java then matches long strings in a loop instead of recursing.
 _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
 
-_BLANK = " \t\r\n"
-_SPACE = re.compile(f"[{_BLANK}]*")
-
 
 def using(value: Column, build) -> Column:
     """``build(value)`` with the value computed once, however often it is used.
@@ -31,103 +25,46 @@ def compact_json(text: Column) -> Column:
     return F.regexp_replace(text, _STRING_OR_SPACE, "$1")
 
 
-def _no_constant(name):
-    raise ValueError(f"{name} is not JSON")
-
-
-def _after_space(text, at):
-    return _SPACE.match(text, at).end() if text[at] in _BLANK else at
-
-
-def _each(text, at, closing, visit):
-    """Runs ``visit(start) -> end`` on comma-separated items after the opening bracket; returns the end of the whole."""
-    at = _after_space(text, at)
-    if text[at] == closing:
-        return at + 1
-    while True:
-        at = _after_space(text, visit(at))
-        if text[at] == closing:
-            return at + 1
-        if text[at] != ",":
-            raise ValueError(f"expected a comma at {at}")
-        at = _after_space(text, at + 1)
+# strict JSON: what other readers refuse is refused here, too
+_STRICT = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def _each_member(text, at, visit):
-    """Like ``_each`` for an object from its brace on: ``visit(key, start) -> end`` gets every value."""
-    if text[at] != "{":
-        raise ValueError(f"expected an object at {at}")
+def is_object(text: Column) -> Column:
+    """Whether the text starts as an object and parses; a document nested very deeply counts as not parsing."""
+    parsed = F.from_json(text, f"entry {ENTRY_TEXT}, _corrupt STRING", _STRICT)
+    readable = using(parsed, lambda p: p["_corrupt"].isNull())
+    return F.coalesce(text.rlike(r"^\s*\{") & readable, F.lit(False))
 
-    def member(start):
-        if text[start] != '"':
-            raise ValueError(f"expected a key at {start}")
-        key, after = scanstring(text, start + 1, True)
-        after = _after_space(text, after)
-        if text[after] != ":":
-            raise ValueError(f"expected a colon at {after}")
-        return visit(key, _after_space(text, after + 1))
 
-    return _each(text, at + 1, "}", member)
+def exact_entries(body: Column) -> Column:
+    """Entries with exact resource text; null where the body is no JSON bundle.
 
+    The JVM checks the syntax and whole batches are cut on their bytes; the engine bounds a batch by bytes.
+    Bodies that do not parse are judged one by one.
+    """
+    return F.arrow_udf(cut_all, ENTRY_TEXT)(body, is_object(body))
 
-def cut_entries(text):
-    """``(resource, search mode)`` of a bundle's entries, resources as they are written.
 
-    Raises ``ValueError`` or ``IndexError`` for text that is no JSON bundle.
-    """
-    if text == "":
-        return []
-    decode = json.JSONDecoder(parse_constant=_no_constant).raw_decode
-    entries = []
-
-    def entry(start):
-        resource = mode = None
-
-        def member(key, at):
-            nonlocal resource, mode
-            value, end = decode(text, at)
-            if key == "resource" and value is not None:
-                resource = text[at:end]
-            elif key == "search" and value is not None:
-                mode = value.get("mode")
-            return end
-
-        end = decode(text, start)[1] if text[start] == "n" else _each_member(text, start, member)
-        entries.append((resource, mode))
-        return end
-
-    def top(key, at):
-        if key == "entry" and text[at] == "[":
-            return _each(text, at + 1, "]", entry)
-        value, end = decode(text, at)
-        if key == "entry" and value is not None:
-            raise ValueError("entry is no list")
-        return end
-
-    end = _each_member(text, _after_space(text, 0), top)
-    if text[end:].strip(_BLANK):
-        raise ValueError("text after the bundle")
-    return entries
-
-
-def _cut_all(bodies: pa.Array) -> pa.Array:
-    resources, modes, offsets = [], [], []
+def _responses(bodies: pa.Array) -> pa.Array:
+    rows = []
     for body in bodies.to_pylist():
-        start = len(resources)
         try:
-            found = None if body is None else cut_entries(body)
-        except (ValueError, IndexError, AttributeError, RecursionError):
-            found = None
-        # a null offset makes the list null
-        offsets.append(None if found is None else start)
-        for resource, mode in found or ():
-            resources.append(resource)
-            modes.append(mode)
-    search = pa.StructArray.from_arrays([pa.array(modes, pa.string())], names=["mode"])
-    entries = pa.StructArray.from_arrays([pa.array(resources, pa.string()), search], names=["resource", "search"])
-    return pa.ListArray.from_arrays(pa.array([*offsets, len(resources)], pa.int32()), entries)
+            rows.append(cut_response(body))
+        except ValueError:
+            rows.append(None)
+    return pa.array(rows, _RESPONSE_TYPE)
 
 
-def exact_entries(body: Column) -> Column:
-    """Entries with exact resource text; null where the body is no JSON bundle."""
-    return F.arrow_udf(_cut_all, ENTRY_TEXT)(body)
+_RESPONSE = (
+    "STRUCT<type: STRING, entries: INT, resource: STRING, answered: BOOLEAN, status: STRING, location: STRING, outcome: STRING>"
+)
+_RESPONSE_TYPE = pa.struct(
+    [(n, pa.string()) for n in ("type",)]
+    + [("entries", pa.int32()), ("resource", pa.string()), ("answered", pa.bool_())]
+    + [(n, pa.string()) for n in ("status", "location", "outcome")]
+)
+
+
+def exact_response(body: Column) -> Column:
+    """The type, the number of entries and the first entry's parts of a batch response, as written; null if unreadable."""
+    return F.arrow_udf(_responses, _RESPONSE)(body)

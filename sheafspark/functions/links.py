@@ -35,5 +35,5 @@ def next_from_body(body: Column) -> Column:
 
 
 def is_request_uri(url: Column) -> Column:
-    """Absolute uri or absolute path, the two forms a next link may take."""
-    return url.rlike(r"^([A-Za-z][A-Za-z0-9+.\-]*:|/)")
+    """Absolute uri or absolute path, the two forms a next link may take, without control characters and broken escapes."""
+    return url.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:|/)(?:[^\x00-\x1f\x7f%]|%[0-9A-Fa-f]{2})*+$")

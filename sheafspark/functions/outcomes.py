@@ -3,8 +3,9 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sheafspark.functions.json_text import using
 from sheafspark.functions.text import indent_except_first
-from sheafspark.schemas import OUTCOME
+from sheafspark.schemas import ISSUE, OUTCOME
 
 # Issue codes after which the same request may be sent again.
 TRANSIENT_CODES = ["transient", "lock-error", "no-store", "timeout", "incomplete", "throttled"]
@@ -69,6 +70,22 @@ def parse_outcome(text: Column) -> Column:
     return F.from_json(text, OUTCOME)
 
 
+def read_outcome(text: Column) -> Column:
+    """Struct of ``readable`` and ``issue``.
+
+    An outcome is an object that decodes as a whole and has the outcome's type, or no type but issues.
+    """
+    parsed = F.from_json(text, f"{OUTCOME}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
+
+    def judged(p):
+        typed = (p["resourceType"] == "OperationOutcome") | (p["resourceType"].isNull() & p["issue"].isNotNull())
+        readable = F.coalesce(text.rlike(r"^\s*\{") & p["_corrupt"].isNull() & typed, F.lit(False))
+        issues = F.coalesce(p["issue"], F.array().cast(f"ARRAY<{ISSUE}>"))
+        return F.struct(readable.alias("readable"), F.when(readable, issues).alias("issue"))
+
+    return using(parsed, judged)
+
+
 def is_transient(issue: Column) -> Column:
     return F.coalesce(issue["code"].isin(TRANSIENT_CODES), F.lit(False))
 

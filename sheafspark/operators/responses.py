@@ -5,9 +5,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_text import using
-from sheafspark.functions.outcomes import fmt_outcome, parse_outcome
-from sheafspark.schemas import RESPONSE_BUNDLE
+from sheafspark.functions.json_text import exact_response, using
+from sheafspark.functions.outcomes import fmt_outcome, read_outcome
 
 
 class SplitResults(NamedTuple):
@@ -34,54 +33,55 @@ def split_results(log: DataFrame) -> SplitResults:
 
 def decode_error(body: Column) -> Column:
     """Struct of ``issue`` if the body is an outcome, else of ``other_error`` with its text."""
-    is_object = body.rlike(r"^\s*\{")
-
-    def judged(outcome):
-        is_outcome = F.coalesce(is_object & (outcome["resourceType"] == "OperationOutcome"), F.lit(False))
-        return F.struct(
-            F.when(is_outcome, outcome["issue"]).alias("issue"),
-            F.when(~is_outcome, body).alias("other_error"),
-        )
-
-    return using(parse_outcome(body), judged)
+    return using(
+        read_outcome(body),
+        lambda outcome: F.struct(
+            outcome["issue"].alias("issue"), F.when(~outcome["readable"], body).alias("other_error")
+        ),
+    )
 
 
 def unwrap_async(body: Column) -> Column:
-    """Struct ``(resource, location, error)`` of the batch response an asynchronous request ends with."""
-    parsed = F.from_json(body, f"{RESPONSE_BUNDLE}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
-    return using(parsed, _unwrapped)
+    """Struct ``(resource, location, error)`` of the batch response an asynchronous request ends with.
+
+    The resource is the text as written.
+    """
+    return using(exact_response(body), _unwrapped)
 
 
 def _unwrapped(bundle):
-    entries = F.greatest(F.coalesce(F.size(bundle["entry"]), F.lit(0)), F.lit(0))
-    entry = F.get(bundle["entry"], F.lit(0))
-    response = entry["response"]
     kind = F.coalesce(bundle["type"], F.lit(""))
+    status = F.coalesce(bundle["status"], F.lit(""))
+    outcome = read_outcome(bundle["outcome"])
     error = (
-        F.when(bundle["_corrupt"].isNotNull(), F.lit("error while reading the async response bundle"))
+        F.when(bundle.isNull(), F.lit("error while reading the async response bundle"))
         .when(
             kind != "batch-response",
             F.concat(F.lit("expected batch-response bundle but the bundle type is: "), kind),
         )
         .when(
-            entries != 1,
+            bundle["entries"] != 1,
             F.concat(
-                F.lit("expected one entry in async response bundle but was "), entries.cast("string"), F.lit(" entries")
+                F.lit("expected one entry in async response bundle but was "),
+                bundle["entries"].cast("string"),
+                F.lit(" entries"),
             ),
         )
-        .when(response.isNull(), F.lit("missing response in bundle entry"))
+        .when(~bundle["answered"], F.lit("missing response in bundle entry"))
         .when(
-            ~F.coalesce(response["status"], F.lit("")).startswith("2"),
-            F.when(
-                response["outcome"].isNull(),
-                F.concat(F.lit("error status: "), F.coalesce(response["status"], F.lit(""))),
-            ).otherwise(fmt_outcome(parse_outcome(response["outcome"])["issue"])),
+            ~status.startswith("2"),
+            F.when(bundle["outcome"].isNull(), F.concat(F.lit("error status: "), status))
+            .when(
+                ~outcome["readable"],
+                F.lit("error while reading the outcome of an error response in the async response bundle"),
+            )
+            .otherwise(fmt_outcome(outcome["issue"])),
         )
     )
-    resource = entry["resource"]
+    resource = bundle["resource"]
     return F.struct(
         F.when(error.isNull(), resource).alias("resource"),
-        F.when(error.isNull() & resource.isNull(), response["location"]).alias("location"),
+        F.when(error.isNull() & resource.isNull(), bundle["location"]).alias("location"),
         error.alias("error"),
     )
 
@@ -119,9 +119,11 @@ def batch_totals(paired: DataFrame, position: str = "pos") -> DataFrame:
             ),
         )
         .when(F.col("resource").isNull(), F.concat(F.lit("missing resource in entry with index "), at))
+        .when(F.col("_searchset._corrupt").isNotNull(), F.concat(F.lit("could not read the searchset in entry with index "), at))
     )
-    total = F.get_json_object("resource", "$.total").cast("bigint")
-    return paired.withColumn("error", error).withColumn("total", F.when(F.col("error").isNull(), total))
+    searchset = F.from_json("resource", "total BIGINT, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"})
+    read = paired.withColumn("_searchset", searchset).withColumn("error", error)
+    return read.withColumn("total", F.when(F.col("error").isNull(), F.col("_searchset.total"))).drop("_searchset")
 
 
 def length_mismatches(requests: DataFrame, responses: DataFrame, batch: str = "batch_id") -> DataFrame:

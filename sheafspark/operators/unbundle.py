@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafspark.functions.json_text import compact_json, exact_entries, using
-from sheafspark.functions.outcomes import parse_outcome
+from sheafspark.functions.outcomes import parse_outcome, read_outcome
 from sheafspark.schemas import ENTRY_TEXT, ENTRY_TYPE
 
 
@@ -47,9 +47,16 @@ def _kinds(rows, strict, named):
     entries = F.coalesce(F.col("_entries"), instead)
     keep = [c for c in rows.columns if c != "_entries"]
     split = rows.select(*keep, broken.alias("_broken"), F.posexplode(entries).alias("entry_no", "_entry"))
+    resource = F.col("_entry.resource")
+    unread = F.lit("bad_outcome")
+    if strict:
+        unread = F.raise_error(F.concat(F.lit("could not parse an inline outcome of "), F.coalesce(named, F.lit("a page"))))
     kind = (
         F.when(F.col("_broken"), F.lit("malformed"))
-        .when(is_outcome(F.col("_entry")), F.lit("outcome"))
+        .when(
+            is_outcome(F.col("_entry")) & resource.isNotNull(),
+            F.when(read_outcome(resource)["readable"], F.lit("outcome")).otherwise(unread),
+        )
         .otherwise(F.lit("resource"))
     )
     routed = split.select(
@@ -64,8 +71,9 @@ def _kinds(rows, strict, named):
 def route_entries(pages: DataFrame, body: str = "body", exact: bool = True, strict: bool = False, named: str | None = None) -> DataFrame:
     """Page columns plus ``entry_no, kind, resource``, one row per entry that carries a resource.
 
-    ``kind`` is ``resource``, ``outcome`` (inline outcomes) or ``malformed`` (one
-    row for a page that cannot be decoded, or an error with ``strict``). Writing
+    ``kind`` is ``resource``, ``outcome`` (inline outcomes), ``bad_outcome`` (inline
+    outcomes that cannot be read) or ``malformed`` (one row for a page that cannot be
+    decoded); the last two are errors with ``strict``. Writing
     this table partitioned by ``kind`` yields all outputs in one pass.
 
     ``exact`` keeps numbers and escapes as written. Without it the JSON
@@ -86,15 +94,23 @@ def route_file_entries(entries: DataFrame, strict: bool = False) -> DataFrame:
     return _kinds(decoded.drop("entry", "corrupt"), strict, F.col("file"))
 
 
+_ERRORS = {"malformed": "could not parse the bundle entries", "bad_outcome": "could not parse an inline outcome"}
+
+
 def split_kinds(routed: DataFrame) -> Unbundled:
+    error = F.create_map(*[F.lit(text) for item in _ERRORS.items() for text in item])[F.col("kind")]
     outcomes = routed.where(F.col("kind") == "outcome")
     return Unbundled(
         routed.where(F.col("kind") == "resource").drop("kind"),
         outcomes.withColumn("issue", parse_outcome(F.col("resource"))["issue"]).drop("kind"),
-        routed.where(F.col("kind") == "malformed").drop("kind", "entry_no", "resource"),
+        routed.where(F.col("kind").isin(list(_ERRORS))).withColumn("error", error)
+        .drop("kind", "entry_no", "resource"),
     )
 
 
 def unbundle(pages: DataFrame, body: str = "body", exact: bool = True, strict: bool = False, named: str | None = None) -> Unbundled:
-    """Resources, inline outcomes with their issues, and malformed pages."""
+    """Resources, inline outcomes with their issues, and the errors of pages.
+
+    The three frames come from one table; to read the pages once, write ``route_entries`` and split that.
+    """
     return split_kinds(route_entries(pages, body, exact, strict, named))

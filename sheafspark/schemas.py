@@ -11,12 +11,6 @@ ENTRY_TEXT = "ARRAY<STRUCT<resource: STRING, search: STRUCT<mode: STRING>>>"
 ENTRY_TYPE = "ARRAY<STRUCT<resource: STRUCT<resourceType: STRING>, search: STRUCT<mode: STRING>>>"
 LINKS = "ARRAY<STRUCT<relation: STRING, url: STRING>>"
 
-RESPONSE_ENTRY = (
-    "STRUCT<resource: STRING, "
-    "response: STRUCT<status: STRING, location: STRING, outcome: STRING>>"
-)
-RESPONSE_BUNDLE = f"type STRING, entry ARRAY<{RESPONSE_ENTRY}>"
-
 CAPABILITIES = (
     "software STRUCT<name: STRING, version: STRING>, "
     "rest ARRAY<STRUCT<mode: STRING, "

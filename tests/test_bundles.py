@@ -1,5 +1,6 @@
 import bz2
 import gzip
+import hashlib
 import json
 import os
 
@@ -9,7 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_text import _cut_all, compact_json, cut_entries
+from sheafspark.functions.json_cut import cut_all, cut_entries, cut_response
+from sheafspark.functions.json_text import compact_json
 from sheafspark.operators.counts import count_resources, page_types, render_counts, resource_types
 from sheafspark.operators.unbundle import route_file_entries, split_kinds, unbundle
 from sheafspark.sources.bundles import (
@@ -93,6 +95,34 @@ def test_long_strings_do_not_overflow(spark):
     assert got == text.replace('": ', '":').replace(', "b', ',"b')
 
 
+def test_deeply_nested_pages_are_whole(spark):
+    deep = '{"n":' * 30_000 + "1" + "}" * 30_000
+    body = f'{{"entry":[{{"resource":{deep}}},{{"resource":{{"a":1.50}}}}]}}'
+    found = unbundle(spark.createDataFrame([(1, body), (2, body[:-1])], "page INT, body STRING"))
+    assert sorted(r.resource for r in found.resources.collect()) == sorted([deep, '{"a":1.50}'])
+    assert [r.page for r in found.malformed.collect()] == [2]
+
+
+def test_large_bodies(spark):
+    resource = '{"text":"' + "é\\\\" * 2_000_000 + '","x":"[{,:"}'
+    body = '{"entry":[' + ",".join([f'{{"resource":{resource}}}'] * 5) + "]}"
+    pages = spark.range(6).select("id", F.lit(body).alias("body"))
+    rows = unbundle(pages).resources.select("id", F.sha2("resource", 256).alias("h")).collect()
+    assert len(rows) == 30 and {r.h for r in rows} == {hashlib.sha256(resource.encode()).hexdigest()}
+
+
+def test_unreadable_outcomes_are_errors(spark):
+    bad = '{"resource": {"resourceType": "OperationOutcome", "issue": "x"}, "search": {"mode": "outcome"}}'
+    pages = spark.createDataFrame([("http://x/1", bundle(MATCH, bad)), ("http://x/2", "{")], "url STRING, body STRING")
+    found = unbundle(pages)
+    assert (found.resources.count(), found.outcomes.count()) == (1, 0)
+    assert sorted((r.url, r.error) for r in found.malformed.collect()) == [
+        ("http://x/1", "could not parse an inline outcome"), ("http://x/2", "could not parse the bundle entries")
+    ]
+    with pytest.raises(Exception, match="could not parse an inline outcome of http://x/1"):
+        unbundle(pages.where("body != '{'"), strict=True, named="url").resources.collect()
+
+
 json_values = st.recursive(
     st.one_of(st.none(), st.booleans(), st.integers(), st.floats(allow_nan=False, allow_infinity=False), st.text(max_size=6)),
     lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(st.text(max_size=4), inner, max_size=3)),
@@ -105,6 +135,7 @@ json_values = st.recursive(
 def test_cutting_keeps_every_resource(resources, space):
     text = json.dumps({"link": [], "entry": [{"fullUrl": "x", "resource": r} for r in resources], "z": 1}, indent=space)
     cut = cut_entries(text)
+    assert [(e["resource"], e["search"]["mode"]) for e in cut_all(pa.array([text]), pa.array([True])).to_pylist()[0]] == cut
     assert [json.loads(resource) for resource, _ in cut] == resources
     assert all(resource in text for resource, _ in cut)
 
@@ -117,8 +148,38 @@ def test_damaged_text_is_found(values, place, char):
     try:
         json.loads(damaged)
     except ValueError:
-        assert _cut_all(pa.array([damaged, text])).to_pylist()[0] is None
-    assert len(_cut_all(pa.array([None, "", text])).to_pylist()[2]) == len(values)
+        assert cut_all(pa.array([damaged, text]), pa.array([False, True])).to_pylist()[0] is None
+    rows = cut_all(pa.array([None, "", text, text]), pa.array([None, False, True, False])).to_pylist()
+    assert rows[0] is None and rows[1] == [] and rows[2] == rows[3] and len(rows[2]) == len(values)
+
+
+ENTRIES = st.lists(
+    st.one_of(
+        st.none(),
+        st.dictionaries(
+            st.sampled_from(["resource", "search", "fullUrl", 'a"b', "entry"]),
+            st.one_of(json_values, st.fixed_dictionaries({"mode": st.sampled_from(["match", "outcome", None, 'x"y'])})),
+            max_size=4,
+        ).filter(lambda e: e.get("search") is None or (isinstance(e["search"], dict) and isinstance(e["search"].get("mode"), (str, type(None))))),
+    ),
+    max_size=4,
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(ENTRIES, json_values, st.sampled_from([None, 1]), st.booleans())
+def test_batches_are_cut_like_single_texts(entries, other, space, ascii_only):
+    text = json.dumps({"link": other, "entry": entries, "x": {"entry": [1]}}, indent=space, ensure_ascii=ascii_only)
+    rows = cut_all(pa.array(["{}", text, text + "  "]), pa.array([True, True, True])).to_pylist()
+    want = [((e or {}).get("resource"), ((e or {}).get("search") or {}).get("mode")) for e in entries]
+    for row in rows[1:]:
+        assert [(None if e["resource"] is None else json.loads(e["resource"]), e["search"]["mode"]) for e in row] == want
+        assert all(e["resource"] is None or e["resource"] in text for e in row)
+
+
+def test_responses_keep_their_text():
+    got = cut_response('{"type": "batch-response", "entry": [{"response": {"status": "200"}, "resource": {"v": 1.50 }}, null]}')
+    assert (got["type"], got["entries"], got["resource"], got["status"], got["answered"]) == ("batch-response", 2, '{"v": 1.50 }', "200", True)
 
 
 def fill(folder):
