@@ -12,8 +12,8 @@ from sheafspark.functions.text import fmt_ratio, ratio
 from sheafspark.operators.numbering import number_rows
 from sheafspark.storage import written_table
 
-# Strata a nested report may hold; larger results stay flat.
-REPORT_STRATA = 100_000
+# Strata of one row of a report.
+PART_STRATA = 1_000
 
 # Stratifiers counted in one scan; a grouping id has 64 bits.
 STRATIFIERS_PER_SCAN = 48
@@ -79,6 +79,19 @@ def validate_measure(measure: Measure) -> None:
                 raise ValueError(f"{at}stratifier[{s}]: missing expression name")
 
 
+def _check_names(tables, measure, library):
+    """Raises ``ValueError`` naming the place of the first unknown basis or expression."""
+    for g, group in enumerate(measure.group):
+        at = f"error in group[{g}]: "
+        if (group.type or "Patient") not in tables:
+            raise ValueError(f"{at}unknown type `{group.type or 'Patient'}`")
+        named = [(f"population[{i}]", p.expression) for i, p in enumerate(group.population)]
+        named += [(f"stratifier[{i}]", s.expression) for i, s in enumerate(group.stratifier)]
+        for place, expression in named:
+            if expression not in library:
+                raise ValueError(f"{at}{place}: unknown expression `{expression}`")
+
+
 def _with_expressions(df, named, arguments):
     """Adds a column per ``name -> Column or SQL text``; SQL text may use ``:parameters``."""
     columns = {n: e for n, e in named.items() if isinstance(e, Column)}
@@ -159,6 +172,7 @@ def evaluate_measure(
     share a scan and an aggregate over grouping sets. A null stratum is a stratum of its own.
     """
     validate_measure(measure)
+    _check_names(tables, measure, library)
     arguments = typed_params(params or {})
     by_basis: dict[str, list] = {}
     for number, group in enumerate(measure.group):
@@ -173,48 +187,65 @@ def evaluate_measure(
 
 
 def measure_report(counts: DataFrame) -> DataFrame:
-    """The counts as one nested report, groups in definition order, strata by value.
+    """The counts as rows of a report: one for each group, and one for each stratifier and part of its strata.
 
-    A report is one document, so the number of strata is checked first; use
-    ``stratum_rows`` for results of any size.
+    ``(group_no, group_code, population, stratifier_no, stratifier_code, strata, part, first_stratum, stratum)``. A group's
+    own row has no stratifier. ``strata`` is how many the stratifier has, ``stratum`` the nested ones of the part, at most
+    ``PART_STRATA``, numbered by value from ``first_stratum`` on; results of any size fit.
     """
     stored = written_table(counts, "measure-counts")
-    if stored.count() > REPORT_STRATA:
-        raise ValueError(f"more than {REPORT_STRATA} strata do not fit one report; use stratum_rows")
-
-    def ordered(*columns):
-        return F.array_sort(F.collect_list(F.struct(*columns)))
-
-    def counts_of(pairs):
-        return F.transform(pairs, lambda p: F.struct(p["count"].alias("count")))
-
-    populations = stored.groupBy("group_no", "group_code", "stratifier_no", "stratifier_code", "stratum").agg(
-        counts_of(ordered("population_no", "count")).alias("population")
-    )
+    keys = ["group_no", "group_code", "stratifier_no", "stratifier_code", "stratum"]
+    # the definition bounds the populations
+    pairs = F.array_sort(F.collect_list(F.struct("population_no", "count")))
+    counted = stored.groupBy(*keys).agg(F.transform(pairs, lambda p: F.struct(p["count"].alias("count"))).alias("population"))
+    heads = counted.where(F.col("stratifier_no").isNull()).select("group_no", "group_code", "population")
+    numbered = number_rows(counted.where(F.col("stratifier_no").isNotNull()), ["stratum"], ["group_no", "stratifier_no"])
     value = F.struct(
         F.coalesce(F.col("stratum"), F.lit("null")).alias("text"),
         F.array().cast("array<struct<system: string, code: string, display: string>>").alias("coding"),
     )
-    strata = (
-        populations.where(F.col("stratifier_no").isNotNull())
-        .groupBy("group_no", "stratifier_no", "stratifier_code")
-        .agg(ordered(F.col("stratum").alias("by"), value.alias("value"), "population").alias("strata"))
+    place = F.col("row_no") - 1
+    part = F.floor(place / PART_STRATA)
+    listed = F.array_sort(F.collect_list(F.struct(place.alias("n"), value.alias("value"), F.col("population"))))
+    parts = numbered.groupBy("group_no", "stratifier_no", "stratifier_code", part.alias("part")).agg(
+        F.transform(listed, lambda s: F.struct(s["value"].alias("value"), s["population"].alias("population"))).alias("stratum"),
+        F.min(place).cast("int").alias("first_stratum"),
+    )
+    # one row per stratifier, and one per group, of the definition bounds the broadcasts
+    sizes = numbered.groupBy("group_no", "stratifier_no").agg(F.count("*").alias("strata"))
+    parts = parts.join(F.broadcast(sizes), ["group_no", "stratifier_no"]).join(F.broadcast(heads), "group_no")
+    return heads.unionByName(parts, allowMissingColumns=True).select(
+        "group_no", "group_code", "population", "stratifier_no", "stratifier_code", "strata", "part", "first_stratum", "stratum"
+    )
+
+
+def report_parts(reports: DataFrame) -> DataFrame:
+    """Whole nested reports (column ``group``) in the form of ``measure_report``, next to the other columns."""
+    keep = [c for c in reports.columns if c != "group"]
+    groups = reports.select(*keep, F.posexplode("group").alias("group_no", "_group")).select(
+        *keep,
+        "group_no",
+        F.col("_group.code.text").alias("group_code"),
+        F.col("_group.population").alias("population"),
+        F.col("_group.stratifier").alias("_stratifier"),
     )
-    stratifier = F.struct(
-        F.array(F.struct(F.col("stratifier_code").alias("text"))).alias("code"),
-        F.transform("strata", lambda s: F.struct(s["value"].alias("value"), s["population"].alias("population"))).alias("stratum"),
+    stratified = groups.select(
+        *keep, "group_no", "group_code", "population", F.posexplode("_stratifier").alias("stratifier_no", "_s")
     )
-    stratifiers = strata.groupBy("group_no").agg(ordered("stratifier_no", stratifier.alias("s")).alias("stratifiers"))
-    groups = populations.where(F.col("stratifier_no").isNull()).join(stratifiers, "group_no", "left")
-    group = F.struct(
-        F.struct(F.col("group_code").alias("text")).alias("code"),
+    strata = F.coalesce(F.col("_s.stratum"), F.array())
+    parts = stratified.select(
+        *keep,
+        "group_no",
+        "group_code",
         "population",
-        F.coalesce(
-            F.transform("stratifiers", lambda s: s["s"]),
-            F.array().cast(groups.select(F.transform("stratifiers", lambda s: s["s"])).schema[0].dataType),
-        ).alias("stratifier"),
+        "stratifier_no",
+        F.get(F.col("_s.code"), F.lit(0))["text"].alias("stratifier_code"),
+        F.size(strata).cast("bigint").alias("strata"),
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(0).alias("first_stratum"),
+        strata.alias("stratum"),
     )
-    return groups.agg(F.transform(ordered("group_no", group.alias("g")), lambda g: g["g"]).alias("group"))
+    return groups.drop("_stratifier").unionByName(parts, allowMissingColumns=True)
 
 
 def _is_null_text(text):
@@ -226,86 +257,68 @@ def _title(code_text):
 
 
 def report_rows(report: DataFrame) -> DataFrame:
-    """Flat rows of nested reports (column ``group``), next to the other columns.
+    """Flat rows of the rows of reports, next to their other columns; nested reports come from ``report_parts``.
 
     ``kind`` is ``group`` for the head of a group, ``nothing`` for a stratifier
     whose only stratum is null, ``coding`` for one row per coding of a stratum
     (count and ratio on the first only), or ``text`` for a stratum without codings.
     """
-    keep = [c for c in report.columns if c != "group"]
-    groups = report.select(*keep, F.posexplode("group").alias("_g", "_group")).select(
-        *keep,
-        (F.col("_g") + 1).alias("group_no"),
-        _title(F.col("_group.code.text")).alias("group_title"),
-        F.get(F.col("_group.population"), F.lit(0))["count"].alias("group_count"),
-        F.col("_group.stratifier").alias("_stratifiers"),
-    )
-    head = [*keep, "group_no", "group_title", "group_count"]
-    no_stratum = F.struct(
-        F.lit("group").alias("kind"),
-        F.lit(None).cast("int").alias("stratifier_no"),
-        F.lit(None).cast("string").alias("stratifier"),
-        F.lit(None).cast("int").alias("stratum_no"),
-        F.lit(0).alias("coding_no"),
-        *[F.lit(None).cast("string").alias(c) for c in ("system", "code", "display")],
-        F.lit(None).cast("bigint").alias("count"),
-    )
+    own = "group_no group_code population stratifier_no stratifier_code strata part first_stratum stratum".split()
+    keep = [c for c in report.columns if c not in own]
+    none = F.lit(None).cast("string")
+    dash = F.lit(MISSING)
+
+    def row(kind, stratum_no, coding_no, system, code, display, count):
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            F.col("stratifier_no").cast("int").alias("stratifier_no"),
+            F.col("stratifier_code").alias("stratifier"),
+            stratum_no.cast("int").alias("stratum_no"),
+            coding_no.cast("int").alias("coding_no"),
+            system.alias("system"),
+            code.alias("code"),
+            display.alias("display"),
+            count.cast("bigint").alias("count"),
+        )
 
-    def stratum_rows_of(stratifier, s):
-        strata = F.coalesce(stratifier["stratum"], F.array())
-        name = F.get(stratifier["code"], F.lit(0))["text"]
-
-        def row(kind, stratum_no, coding_no, system, code, display, count):
-            return F.struct(
-                F.lit(kind).alias("kind"),
-                s.cast("int").alias("stratifier_no"),
-                name.alias("stratifier"),
-                stratum_no.cast("int").alias("stratum_no"),
-                coding_no.cast("int").alias("coding_no"),
-                system.alias("system"),
-                code.alias("code"),
-                display.alias("display"),
-                count.cast("bigint").alias("count"),
-            )
-
-        none = F.lit(None).cast("string")
-        dash = F.lit(MISSING)
-
-        def shown(text):
-            return F.coalesce(F.nullif(text, F.lit("")), dash)
-
-        def rows_of(stratum, i):
-            value = stratum["value"]
-            count = F.get(stratum["population"], F.lit(0))["count"]
-            codings = F.transform(
-                value["coding"],
-                lambda c, k: row(
-                    "coding", i, k, shown(c["system"]), shown(c["code"]), shown(c["display"]),
-                    F.when(k == 0, count),
-                ),
-            )
-            texts = F.array(row("text", i, F.lit(0), dash, dash, value["text"], count))
-            no_rows = F.slice(texts, 1, 0)
-            return (
-                F.when(value.isNull(), no_rows)
-                .when(F.coalesce(F.size(value["coding"]), F.lit(0)) > 0, codings)
-                .when(_is_null_text(value["text"]), no_rows)
-                .otherwise(texts)
-            )
-
-        only = F.get(strata, F.lit(0))["value"]
-        nothing = (
-            (F.size(strata) == 1)
-            & _is_null_text(only["text"])
-            & (F.coalesce(F.size(only["coding"]), F.lit(0)) <= 0)
+    def shown(text):
+        return F.coalesce(F.nullif(text, F.lit("")), dash)
+
+    def rows_of(stratum, i):
+        value = stratum["value"]
+        count = F.get(stratum["population"], F.lit(0))["count"]
+        number = i + F.col("first_stratum")
+        codings = F.transform(
+            value["coding"],
+            lambda c, k: row(
+                "coding", number, k, shown(c["system"]), shown(c["code"]), shown(c["display"]), F.when(k == 0, count)
+            ),
+        )
+        texts = F.array(row("text", number, F.lit(0), dash, dash, value["text"], count))
+        no_rows = F.slice(texts, 1, 0)
+        return (
+            F.when(value.isNull(), no_rows)
+            .when(F.coalesce(F.size(value["coding"]), F.lit(0)) > 0, codings)
+            .when(_is_null_text(value["text"]), no_rows)
+            .otherwise(texts)
         )
-        return F.when(
-            nothing, F.array(row("nothing", F.lit(None), F.lit(0), none, none, F.lit("nothing"), F.lit(None)))
-        ).otherwise(F.flatten(F.transform(strata, rows_of)))
 
-    details = F.flatten(F.transform(F.col("_stratifiers"), stratum_rows_of))
-    rows = groups.select(*head, F.explode(F.concat(F.array(no_stratum), F.coalesce(details, F.slice(F.array(no_stratum), 1, 0)))).alias("_row"))
-    return _with_ratio(rows.select(*head, "_row.*"))
+    only = F.get("stratum", F.lit(0))["value"]
+    nothing = (F.col("strata") == 1) & _is_null_text(only["text"]) & (F.coalesce(F.size(only["coding"]), F.lit(0)) <= 0)
+    head = F.array(row("group", F.lit(None), F.lit(0), none, none, none, F.lit(None)))
+    rows = (
+        F.when(F.col("stratifier_no").isNull(), head)
+        .when(nothing, F.array(row("nothing", F.lit(None), F.lit(0), none, none, F.lit("nothing"), F.lit(None))))
+        .otherwise(F.flatten(F.transform("stratum", rows_of)))
+    )
+    flat = report.select(
+        *keep,
+        (F.col("group_no") + 1).alias("group_no"),
+        _title(F.col("group_code")).alias("group_title"),
+        F.get("population", F.lit(0))["count"].alias("group_count"),
+        F.explode(rows).alias("_row"),
+    )
+    return _with_ratio(flat.select(*keep, "group_no", "group_title", "group_count", "_row.*"))
 
 
 def _with_ratio(rows):
