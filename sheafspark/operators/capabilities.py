@@ -18,7 +18,7 @@ def supports_interaction(capabilities: DataFrame, code: str) -> DataFrame:
     return resources.where(offered).select(
         *keep,
         F.col("_resource.type").alias("resource_type"),
-        (F.col("_rest_no").cast("bigint") * 1_000_000 + F.col("_resource_no")).alias("position"),
+        F.struct(F.col("_rest_no").alias("rest"), F.col("_resource_no").alias("resource")).alias("position"),
     )
 
 

@@ -4,9 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafspark.operators.capabilities import supports_interaction
-from sheafspark.operators.lookup import join_lookup
 from sheafspark.operators.unbundle import carried_types
-from sheafspark.storage import written_table
 
 TOTAL = "total"
 
@@ -23,12 +21,8 @@ def resource_types(resources: DataFrame, resource: str = "resource") -> DataFram
 
 
 def restrict_to_types(rows: DataFrame, capabilities: DataFrame, code: str = "search-type") -> DataFrame:
-    """Rows whose ``resource_type`` offers the interaction.
-
-    The type list is stored and counted before it may be broadcast.
-    """
-    offered = written_table(supports_interaction(capabilities, code).select("resource_type").distinct(), "types")
-    return join_lookup(rows, offered, ["resource_type"], offered.count(), "left_semi")
+    """Rows whose ``resource_type`` offers the interaction."""
+    return rows.join(supports_interaction(capabilities, code).select("resource_type"), "resource_type", "left_semi")
 
 
 def count_resources(types: DataFrame, capabilities: DataFrame | None = None, by_name: bool = False) -> DataFrame:
@@ -44,7 +38,7 @@ def count_resources(types: DataFrame, capabilities: DataFrame | None = None, by_
 def with_total(counts: DataFrame, capabilities: DataFrame | None = None, by_name: bool = False) -> DataFrame:
     """Orders counts per type, leaves out zeros and appends the total."""
     if capabilities is None:
-        counts = counts.withColumn("position", F.lit(0).cast("bigint"))
+        counts = counts.withColumn("position", F.lit(0))
     else:
         offered = supports_interaction(capabilities, "search-type")
         places = offered.groupBy("resource_type").agg(F.min("position").alias("position"))

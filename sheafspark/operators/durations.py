@@ -6,24 +6,38 @@ smallest value. Rows therefore collapse into a histogram on the map side; no
 task ever sorts the values of a group, however hot the group is.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A block spans 4096 milliseconds and thus holds at most 4096 histogram cells.
 _BLOCK_BITS = 12
 
+# Longer values would not fit a long in nanoseconds.
+_LONGEST_S = 9.0e9
+
 # The quantiles shown next to the median.
 QUANTILES = {"q95_ms": 0.95, "q99_ms": 0.99}
 
 STATISTICS = ["mean_ms", "q50_ms", "q95_ms", "q99_ms", "max_ms"]
 
 
+def whole_and_rest(seconds: Column) -> tuple[Column, Column]:
+    """Whole milliseconds, and the nanoseconds beyond them; null for what is no duration.
+
+    Null, NaN and values of more than 9 billion seconds, infinite ones included, are no durations.
+    """
+    good = F.abs(seconds) <= _LONGEST_S
+    ms = F.when(good, (seconds * 1000.0).cast("bigint"))
+    return ms, F.when(good, F.floor(seconds * 1e9 + 0.5) - ms * 1_000_000)
+
+
 def duration_histogram(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """``(by, ms, n, rest_ns)``: counts per whole millisecond, and nanoseconds beyond them for the mean."""
-    seconds = F.col(value).cast("double")
-    ms = (seconds * 1000.0).cast("bigint")
-    rest = F.floor(seconds * 1e9 + 0.5) - ms * 1_000_000
-    cells = df.where(F.col(value).isNotNull()).select(*by, ms.alias("ms"), rest.alias("rest_ns"))
+    ms, rest = whole_and_rest(F.col(value).cast("double"))
+    cells = df.select(*by, ms.alias("ms"), rest.alias("rest_ns")).where(F.col("ms").isNotNull())
     return cells.groupBy(*by, "ms").agg(F.count("*").alias("n"), F.sum("rest_ns").alias("rest_ns"))
 
 
@@ -32,30 +46,24 @@ def _rank(total: Column, quantile: float) -> Column:
     return (total.cast("float") * F.lit(quantile).cast("float")).cast("bigint")
 
 
-def _cell_at(cells: Column, rank: Column) -> Column:
-    """Millisecond of the rank among the sorted cells of one block."""
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("ms"))
-
-    def step(state, cell):
-        seen = state["seen"] + cell["n"]
-        found = F.when(state["ms"].isNull() & (seen > rank), cell["ms"]).otherwise(state["ms"])
-        return F.struct(seen.alias("seen"), found.alias("ms"))
-
-    return F.aggregate(cells, start, step, lambda state: state["ms"])
+def _same_group(by: list[str]) -> Column:
+    """Equal keys, null keys included, of rows and of rows with renamed keys."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in by], F.lit(True))
 
 
 def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
     """``(by, n, mean_ms, q50_ms, q95_ms, q99_ms, max_ms)``.
 
-    A group's window sees one row per 4096 ms of its value range, not its rows.
+    A group's window sees one row of sums for each 4096 ms of its value range. Only the blocks that hold
+    a rank, three at most, meet their cells again.
     """
-    in_block = F.col("ms") - F.shiftleft(F.shiftright("ms", _BLOCK_BITS), _BLOCK_BITS)
-    blocks = histogram.groupBy(*by, F.shiftright("ms", _BLOCK_BITS).alias("block")).agg(
+    cells = histogram.select(*by, "ms", "n", "rest_ns", F.shiftright("ms", _BLOCK_BITS).alias("block"))
+    in_block = F.col("ms") - F.shiftleft("block", _BLOCK_BITS)
+    blocks = cells.groupBy(*by, "block").agg(
         F.sum("n").alias("block_n"),
         F.sum(in_block * F.col("n")).alias("block_ms"),
         F.sum("rest_ns").alias("block_rest"),
         F.max("ms").alias("block_max"),
-        F.array_sort(F.collect_list(F.struct("ms", "n"))).alias("cells"),
     )
     group = Window.partitionBy(*by)
     earlier = group.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,22 +72,26 @@ def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
     )
     total = F.col("total")
     ranks = F.array(F.floor(total / 2), *[_rank(total, quantile) for quantile in QUANTILES.values()])
-    here = F.transform(ranks, lambda rank: rank - F.col("before"))
-    # null unless the rank falls into this block
-    found = F.transform(
-        here, lambda rank: F.when((rank >= 0) & (rank < F.col("block_n")), _cell_at(F.col("cells"), rank))
+    here = F.filter(
+        F.transform(ranks, lambda rank, i: F.struct(i.alias("which"), (rank - F.col("before")).alias("rank"))),
+        lambda r: (r["rank"] >= 0) & (r["rank"] < F.col("block_n")),
     )
-    placed = placed.withColumn("found", found)
-    picks = [F.max(F.get("found", F.lit(i))).alias(name) for i, name in enumerate(["q50_ms", *QUANTILES])]
+    held = placed.select(*[F.col(k).alias(f"_of_{k}") for k in by], F.col("block").alias("_block"), F.inline(here))
+    near = cells.join(held, _same_group(by) & (F.col("block") == F.col("_block")))
+    upto = Window.partitionBy(*by, "which").orderBy("ms")
+    found = near.withColumn("seen", F.sum("n").over(upto)).where(F.col("seen") > F.col("rank"))
+    names = ["q50_ms", *QUANTILES]
+    picked = found.groupBy(*by).agg(*[F.min(F.when(F.col("which") == i, F.col("ms"))).alias(n) for i, n in enumerate(names)])
     # sums are exact, in decimals where they may exceed a long, so the mean does not depend on the order of rows
     wide = "decimal(20,0)"
     block_start = F.shiftleft("block", _BLOCK_BITS).cast(wide) * F.col("block_n").cast(wide)
     all_ms = F.sum(block_start) + F.sum(F.col("block_ms").cast(wide))
     nanos = all_ms.cast("decimal(32,0)") * F.lit(1_000_000).cast("decimal(7,0)") + F.sum(F.col("block_rest").cast(wide))
     mean = nanos.cast("double") / 1e9 / F.sum("block_n") * 1000.0
-    stats = placed.groupBy(*by).agg(
-        F.sum("block_n").alias("n"), mean.cast("bigint").alias("mean_ms"), *picks, F.max("block_max").alias("max_ms")
-    )
+    sums = blocks.groupBy(*by).agg(F.sum("block_n").alias("n"), mean.cast("bigint").alias("mean_ms"), F.max("block_max").alias("max_ms"))
+    # a union and one aggregate over two rows of a group, since without groups there is no key to join on
+    both = sums.unionByName(picked, allowMissingColumns=True)
+    stats = both.groupBy(*by).agg(*[F.max(c).alias(c) for c in ["n", *STATISTICS]])
     if by:
         return stats
     return stats.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in stats.columns])
@@ -88,7 +100,7 @@ def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
 def duration_stats(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """Mean, median, 95 % and 99 % nearest rank and maximum of seconds, in whole milliseconds.
 
-    Without ``by`` an empty input gives zeros.
+    What is no duration, such as null and NaN, is left out. Without ``by`` an empty input gives zeros.
     """
     by = by or []
     return statistics_of_histogram(duration_histogram(df, value, by), by)

@@ -1,12 +1,14 @@
 """Statistics of uploads and downloads from their logs."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.functions.text import duration_text, fmt_bytes, success_ratio, two_decimals
-from sheafspark.operators.durations import STATISTICS, duration_columns
+from sheafspark.functions.outcomes import fmt_error_response, fmt_outcomes
+from sheafspark.functions.text import duration_text, fmt_bytes, indent, success_ratio, two_decimals
+from sheafspark.operators.durations import STATISTICS, duration_columns, statistics_of_histogram, whole_and_rest
 from sheafspark.operators.responses import result_class
 from sheafspark.operators.unbundle import carried_types
+from sheafspark.storage import written_table
 
 
 def _with_latencies(totals: DataFrame, latencies: DataFrame, by: list[str]) -> DataFrame:
@@ -26,23 +28,90 @@ def _with_latencies(totals: DataFrame, latencies: DataFrame, by: list[str]) -> D
     )
 
 
+def log_cells(log: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Aggregates a log, batch or stream, into ``(by, metric, class, status, ms, n, rest_ns, bytes_in, bytes_out)``."""
+    by = by or []
+    classed = log.withColumn("class", result_class(F.col("status"), F.col("transport_error")))
+
+    def cell(metric, seconds, counts_bytes):
+        ms, rest = whole_and_rest(seconds)
+        return F.struct(
+            F.lit(metric).alias("metric"),
+            ms.alias("ms"),
+            rest.alias("rest"),
+            (F.col("bytes_in") if counts_bytes else F.lit(0).cast("bigint")).alias("in"),
+            (F.col("bytes_out") if counts_bytes else F.lit(0).cast("bigint")).alias("out"),
+        )
+
+    cells = F.array(
+        cell("request", F.col("request_s"), True),
+        F.when(F.col("class") == "ok", cell("processing", F.col("processing_s"), False)),
+    )
+    rows = classed.select(*by, "class", "status", F.explode(cells).alias("cell")).where(F.col("cell").isNotNull())
+    return rows.groupBy(*by, F.col("cell.metric").alias("metric"), "class", "status", F.col("cell.ms").alias("ms")).agg(
+        F.count("*").alias("n"),
+        F.sum("cell.rest").alias("rest_ns"),
+        F.sum("cell.in").alias("bytes_in"),
+        F.sum("cell.out").alias("bytes_out"),
+    )
+
+
+def _answered_sums() -> list[Column]:
+    answered = F.col("class") != "failed"
+
+    def total(value, condition=None):
+        return F.coalesce(F.sum(value if condition is None else F.when(condition, value)), F.lit(0))
+
+    return [
+        total(F.col("n")).alias("total"),
+        total(F.col("n"), ~answered).alias("errors"),
+        total(F.col("n"), F.col("class") == "non_ok").alias("error_responses"),
+        total(F.col("bytes_in"), answered).alias("bytes_in"),
+        total(F.col("bytes_out"), answered).alias("bytes_out"),
+    ]
+
+
+def _latencies(cells: DataFrame, by: list[str]) -> DataFrame:
+    timed = cells.where((F.col("class") != "failed") & F.col("ms").isNotNull())
+    histogram = timed.groupBy(*by, "ms").agg(F.sum("n").alias("n"), F.sum("rest_ns").alias("rest_ns"))
+    return statistics_of_histogram(histogram, by)
+
+
+def stats_of_cells(cells: DataFrame) -> DataFrame:
+    """``(metric, total, errors, error_responses, bytes_in, bytes_out, <statistics>)`` of the cells."""
+    totals = cells.groupBy("metric").agg(*_answered_sums())
+    return totals.join(_latencies(cells, ["metric"]).drop("n"), "metric", "left").select(
+        *totals.columns, *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in STATISTICS]
+    )
+
+
+def status_counts(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``(by, status, count)`` of the answered requests in the cells."""
+    answered = cells.where((F.col("metric") == "request") & (F.col("class") != "failed"))
+    return answered.groupBy(*(by or []), "status").agg(F.sum("n").alias("count"))
+
+
+def _status_texts(cells: DataFrame, by: list[str]) -> DataFrame:
+    """``(by, status_codes)``: the counts as ``code:count``, 200 first even without any, then by code."""
+    counts = status_counts(cells, by)
+    # a group has few status codes
+    listed = F.array_sort(F.collect_list(F.when(F.col("status") != 200, F.struct("status", "count"))))
+    texts = F.transform(listed, lambda s: F.concat_ws(":", s["status"].cast("string"), s["count"].cast("string")))
+    ok = F.coalesce(F.max(F.when(F.col("status") == 200, F.col("count"))), F.lit(0)).cast("string")
+    return counts.groupBy(*by).agg(F.array_join(F.concat(F.array(F.concat(F.lit("200:"), ok)), texts), ", ").alias("status_codes"))
+
+
 def upload_stats(log: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Totals, success ratio, bytes and latencies of a request log, one row (per group).
+    """Totals, success ratio, bytes, latencies and status codes of a request log, one row (per group).
 
     Processing latencies are those of the processing times of status 200.
-    Means over no requests are null.
+    Means over no requests are null. The log is read once: its histogram cells are stored, and everything
+    comes from them.
     """
     by = by or []
-    classed = log.withColumn("_class", result_class(F.col("status"), F.col("transport_error")))
-    answered = F.col("_class") != "failed"
-    counted = classed.groupBy(*by).agg(
-        F.count("*").alias("total"),
-        F.count_if(~answered).alias("errors"),
-        F.count_if(F.col("_class") == "non_ok").alias("error_responses"),
-        F.count_if(answered).alias("requests"),
-        F.coalesce(F.sum(F.when(answered, F.col("bytes_in"))), F.lit(0)).alias("bytes_in"),
-        F.coalesce(F.sum(F.when(answered, F.col("bytes_out"))), F.lit(0)).alias("bytes_out"),
-    )
+    cells = written_table(log_cells(log, by), "log-cells")
+    counted = cells.where(F.col("metric") == "request").groupBy(*by).agg(*_answered_sums())
+    counted = counted.withColumn("requests", F.col("total") - F.col("errors"))
     requests = F.nullif(F.col("requests"), F.lit(0))
     totals = counted.select(
         "*",
@@ -50,13 +119,11 @@ def upload_stats(log: DataFrame, by: list[str] | None = None) -> DataFrame:
         (F.col("bytes_in") / requests).alias("bytes_in_mean"),
         (F.col("bytes_out") / requests).alias("bytes_out_mean"),
     )
-    timed = classed.select(
-        *by,
-        F.when(answered, F.col("request_s")).alias("request"),
-        F.when(F.col("_class") == "ok", F.col("processing_s")).alias("processing"),
-    )
-    latencies = duration_columns(timed, ["request", "processing"], by)
-    return _with_latencies(totals, latencies, by)
+    totals = totals.unionByName(_status_texts(cells, by), allowMissingColumns=True)
+    values = [c for c in totals.columns if c not in by]
+    totals = totals.groupBy(*by).agg(*[F.max(c).alias(c) for c in values])
+    totals = totals.withColumn("status_codes", F.coalesce("status_codes", F.lit("200:0")))
+    return _with_latencies(totals, _latencies(cells, [*by, "metric"]), by)
 
 
 def status_histogram(log: DataFrame) -> DataFrame:
@@ -114,37 +181,83 @@ def _bytes_text(name):
     return F.array_join(F.transform(sizes, lambda size: F.coalesce(fmt_bytes(size), F.lit("–"))), ", ")
 
 
-def _lines(stats, lines):
-    """One ``(line_no, label, value)`` row per printed line."""
-    pairs = F.array(*[F.struct(F.lit(label).alias("label"), value.alias("value")) for label, value in lines])
-    keep = [c for c in stats.columns if c in ("server", "source")]
-    return stats.select(*keep, F.posexplode(pairs).alias("line_no", "line")).select(*keep, "line_no", "line.*")
+def _lines(stats, values, lines):
+    """One ``(keys, line_no, label, value)`` row per printed line; lines without a value are left out.
+
+    Keys are the columns that are no statistics.
+    """
+    pairs = [
+        F.struct(F.lit(i).alias("line_no"), F.lit(label).alias("label"), value.alias("value")) for i, (label, value) in enumerate(lines)
+    ]
+    known = {*values, *[f"{m}_{s}" for m in ("request", "processing") for s in STATISTICS]}
+    keep = [c for c in stats.columns if c not in known]
+    return stats.select(*keep, F.inline(F.filter(F.array(*pairs), lambda p: p["value"].isNotNull())))
+
+
+def _if_any(number, text):
+    return F.when(number > 0, text)
+
+
+# The labels of printed lines.
+UPLOADS, UPLOADS_AT = "Uploads [total]", "Uploads [total, concurrency]"
+SUCCESS = "Success [ratio]"
+REQUEST_LATENCIES = "Requ. Latencies [mean, 50, 95, 99, max]"
+PROCESSING_LATENCIES = "Proc. Latencies [mean, 50, 95, 99, max]"
+BYTES_IN, BYTES_OUT = "Bytes In [total, mean]", "Bytes Out [total, mean]"
+STATUS_CODES = "Status Codes [code:count]"
+PAGES, RESOURCES, PER_PAGE = "Pages [total]", "Resources [total]", "Resources/Page [min, mean, max]"
+WARNINGS, SERVER_ERROR = "Server Warnings & Information:", "Server Error:"
+
+_UPLOAD_VALUES = (
+    "total errors error_responses requests bytes_in bytes_out success_percent bytes_in_mean bytes_out_mean status_codes".split()
+)
+_DOWNLOAD_VALUES = (
+    "pages requests resources resources_min resources_max bytes_in resources_mean bytes_in_mean".split()
+)
 
 
-def render_upload_stats(stats: DataFrame) -> DataFrame:
+def render_upload_stats(stats: DataFrame, concurrency: int | None = None) -> DataFrame:
+    total = F.col("total").cast("string")
+    succeeded = F.col("requests") - F.col("error_responses")
     return _lines(
         stats,
+        _UPLOAD_VALUES,
         [
-            ("Uploads [total]", F.col("total").cast("string")),
-            ("Success [ratio]", F.concat(two_decimals(F.col("success_percent")), F.lit(" %"))),
-            ("Requ. Latencies [mean, 50, 95, 99, max]", _latency_text("request")),
-            ("Proc. Latencies [mean, 50, 95, 99, max]", _latency_text("processing")),
-            ("Bytes In [total, mean]", _bytes_text("bytes_in")),
-            ("Bytes Out [total, mean]", _bytes_text("bytes_out")),
+            (UPLOADS, total) if concurrency is None else (UPLOADS_AT, F.concat(total, F.lit(f", {concurrency}"))),
+            (SUCCESS, F.concat(two_decimals(F.col("success_percent")), F.lit(" %"))),
+            (REQUEST_LATENCIES, _if_any(F.col("requests"), _latency_text("request"))),
+            (PROCESSING_LATENCIES, _if_any(succeeded, _latency_text("processing"))),
+            (BYTES_IN, _bytes_text("bytes_in")),
+            (BYTES_OUT, _bytes_text("bytes_out")),
+            (STATUS_CODES, F.col("status_codes")),
         ],
     )
 
 
 def render_download_stats(stats: DataFrame) -> DataFrame:
     per_page = F.concat_ws(", ", "resources_min", "resources_mean", "resources_max")
+    requests = F.col("requests")
     return _lines(
         stats,
+        _DOWNLOAD_VALUES,
         [
-            ("Pages [total]", F.col("pages").cast("string")),
-            ("Resources [total]", F.col("resources").cast("string")),
-            ("Resources/Page [min, mean, max]", per_page),
-            ("Requ. Latencies [mean, 50, 95, 99, max]", _latency_text("request")),
-            ("Proc. Latencies [mean, 50, 95, 99, max]", _latency_text("processing")),
-            ("Bytes In [total, mean]", _bytes_text("bytes_in")),
+            (PAGES, F.col("pages").cast("string")),
+            (RESOURCES, F.col("resources").cast("string")),
+            (PER_PAGE, _if_any(requests, per_page)),
+            (REQUEST_LATENCIES, _if_any(requests, _latency_text("request"))),
+            (PROCESSING_LATENCIES, _if_any(requests, _latency_text("processing"))),
+            (BYTES_IN, _bytes_text("bytes_in")),
         ],
     )
+
+
+def download_notices(outcomes: DataFrame, errors: DataFrame) -> DataFrame:
+    """``(block, text)`` below a download report, one row per inline outcome and per error page.
+
+    ``outcomes`` has ``issue``, as ``unbundle`` gives them; ``errors`` has ``status`` and ``error_response``,
+    as ``follow_pages`` does.
+    """
+    warnings = outcomes.select(F.lit(WARNINGS).alias("block"), indent(2, fmt_outcomes(F.array(F.struct("issue")))).alias("text"))
+    text = fmt_error_response(F.col("status"), F.col("error_response.issue"), F.col("error_response.other_error"))
+    failed = errors.where(F.col("error_response").isNotNull())
+    return warnings.unionByName(failed.select(F.lit(SERVER_ERROR).alias("block"), indent(2, text).alias("text")))

@@ -1,9 +1,11 @@
 """Key/value metric reports with labels and aligned lines."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.operators.lookup import join_lookup
 
 # Metric names and their labels in display order.
 METRIC_LABELS = {
@@ -28,6 +30,13 @@ METRIC_LABELS = {
 _AFTER_LABELS = 1 << 40
 
 
+def _join_same(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows with the columns of the lookup row that has the same keys; null keys are equal."""
+    same = lookup.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys])
+    return rows.join(same, match, "left").drop(*[f"_same_{k}" for k in keys])
+
+
 def label_params(params: DataFrame, labels: dict[str, str] | None = None, keys: list[str] | None = None) -> DataFrame:
     """Adds ``label`` and ``place`` to ``(keys, pos, name, …)`` rows.
 
@@ -45,7 +54,7 @@ def label_params(params: DataFrame, labels: dict[str, str] | None = None, keys:
         .withColumn("_labelled", F.lit(True))
     )
     # the position is part of the join key, so a name that repeats a lot is no hot key
-    joined = params.join(firsts, [*keys, "name", "pos"], "left")
+    joined = _join_same(params, firsts, [*keys, "name", "pos"])
     return joined.select(
         *params.columns,
         F.when(F.col("_labelled"), texts[F.col("name")]).otherwise(F.col("name")).alias("label"),
@@ -56,13 +65,15 @@ def label_params(params: DataFrame, labels: dict[str, str] | None = None, keys:
 
 
 def render_metrics(labelled: DataFrame, value: str = "value", keys: list[str] | None = None) -> DataFrame:
-    """``(keys, place, line)``: labels padded to the widest of the report, two spaces, the value."""
+    """``(keys, place, line)``: labels padded to the widest of the report, two spaces, the value.
+
+    The widest label is the one with most bytes; padding counts characters.
+    """
     keys = keys or []
-    width = F.max(F.length("label")).alias("_width")
+    width = F.max(F.octet_length("label")).alias("_width")
     if keys:
-        rows = join_lookup(labelled, labelled.groupBy(*keys).agg(width), keys, None)
+        rows = _join_same(labelled, labelled.groupBy(*keys).agg(width), keys)
     else:
-        # one row of one number, bounded by construction
-        rows = labelled.withColumn("_width", F.lit(labelled.agg(width).first()[0]))
+        rows = labelled.withColumn("_width", labelled.agg(width).scalar())
     line = F.concat(F.rpad("label", F.col("_width"), F.lit(" ")), F.lit("  "), F.col(value))
     return rows.select(*keys, "place", line.alias("line"))

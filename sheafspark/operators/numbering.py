@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafspark.operators.lookup import BROADCAST_ROWS
 from sheafspark.storage import written_table
 
 
@@ -29,16 +28,13 @@ def sliced_rows(df: DataFrame, order_by: list[str], keys: list[str]) -> DataFram
 def _with_heads(stored, heads, keys):
     """Joins one row per key and slice to the rows.
 
-    There are at most as many heads as keys and slices together. They are stored
-    and counted, and broadcast if few; else the rows are shuffled by key and
-    slice, and as slices are bounded, no join key is hot.
+    There are at most as many heads as keys and slices together. They are stored, so the engine
+    knows their size; slices are bounded, so no join key is hot.
     """
     heads = heads.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_slice").alias("_head_slice"), "_shift"
     )
     heads = written_table(heads, "slice-heads")
-    if heads.count() <= BROADCAST_ROWS:
-        heads = F.broadcast(heads)
     match = F.col("_slice") == F.col("_head_slice")
     for key in keys:
         match = match & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
@@ -60,12 +56,3 @@ def number_rows(df: DataFrame, order_by: list[str], keys: list[str] | None = Non
         *df.columns, (F.col("_place") + F.col("_shift") + 1).alias("row_no")
     )
 
-
-def running_count(df: DataFrame, flag: str, name: str, order_by: list[str], keys: list[str]) -> DataFrame:
-    """Adds the number of rows with the flag up to and including each row of a key."""
-    stored = sliced_rows(df, order_by, keys)
-    heads = stored.groupBy(*keys, "_slice").agg(F.count_if(flag).alias("_flags"))
-    heads = heads.withColumn("_shift", F.coalesce(F.sum("_flags").over(_earlier_slices(keys)), F.lit(0)))
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
-    counted = stored.withColumn("_count", F.count_if(flag).over(in_slice))
-    return _with_heads(counted, heads, keys).select(*df.columns, (F.col("_count") + F.col("_shift")).alias(name))

@@ -7,19 +7,15 @@ from pyspark.sql import functions as F
 
 from sheafspark.functions.json_text import using
 from sheafspark.functions.links import is_request_uri, next_from_body, next_from_link_header
-from sheafspark.operators.lookup import BROADCAST_ROWS, join_lookup
+from sheafspark.operators.responses import decode_error
 from sheafspark.storage import written_table
 
-# Factors by which a round extends the walked distance: with few links a join
-# costs less than another round, with many it is the other way round.
-FAN_FEW, FAN_MANY = 4, 2
+# Factor by which a round extends the walked distance.
+FAN = 4
 
 
-def page_links(pages: DataFrame, url: str = "request_url") -> DataFrame:
-    """``(url, next_url, error)`` per page.
-
-    A non-empty link header decides alone; the body is decoded only without one.
-    """
+def _with_links(pages: DataFrame, url: str) -> DataFrame:
+    """The pages with ``_link``, a struct of ``next_url`` and ``error``."""
     header = F.coalesce(F.col("link_header"), F.lit(""))
     by_header = F.struct(next_from_link_header(header).alias("url"), F.lit(True).alias("readable"))
     link = F.when(header != "", by_header).otherwise(next_from_body(F.col("body")))
@@ -41,15 +37,25 @@ def page_links(pages: DataFrame, url: str = "request_url") -> DataFrame:
         return F.struct(F.when(error.isNull(), link["url"]).alias("next_url"), error.alias("error"))
 
     # one column of two fields, so a body is decoded once for both
-    return pages.select(at.alias("url"), F.inline(F.array(using(link, judged))))
+    return pages.withColumn("_link", using(link, judged))
+
+
+def page_links(pages: DataFrame, url: str = "request_url") -> DataFrame:
+    """``(url, next_url, error)`` per page.
+
+    A non-empty link header decides alone; the body is decoded only without one.
+    """
+    return _with_links(pages, url).select(F.col(url).alias("url"), F.inline(F.array("_link")))
 
 
 def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url") -> DataFrame:
-    """``(chain, page_no, url, error, ...page columns)`` of the pages each chain reaches.
+    """``(chain, page_no, url, error, error_response, ...page columns)`` of the pages each chain reaches.
 
     ``starts`` has ``(chain, url)``. Page 0 is the start; the walk ends at a page
     without next link, at a bad page (its row has an ``error``), at a url nobody
-    landed, or before a page the chain has already shown.
+    landed, or before a page the chain has already shown. A url landed several times
+    is one page: a landing without error, if there is one. ``error_response`` is the
+    decoded body of a page with a status other than 200.
 
     Pointer jumping: a round hops several times along stored links, and then replaces
     the links by ones that reach as far, so a chain of n pages takes log n rounds over
@@ -58,8 +64,6 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
     # of a page landed twice, one without error counts
     best = page_links(pages, url).groupBy("url").agg(F.min(F.struct("error", "next_url")).alias("link"))
     links = written_table(best.select("url", "link.next_url", "link.error"), "page-links")
-    link_count = links.count()
-    fan = FAN_FEW if link_count <= BROADCAST_ROWS else FAN_MANY
     hops = links.where(F.col("next_url").isNotNull()).select("url", F.col("next_url").alias("target"))
     reached = written_table(
         starts.select("chain", "url", F.lit(0).cast("bigint").alias("page_no")).distinct(), "reached-pages"
@@ -67,9 +71,9 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
     known, step = reached.count(), 1
     while True:
         further = [reached]
-        for _ in range(fan - 1):
+        for _ in range(FAN - 1):
             further.append(
-                join_lookup(further[-1], hops, ["url"], link_count).select(
+                further[-1].join(hops, "url").select(
                     "chain", F.col("target").alias("url"), (F.col("page_no") + step).alias("page_no")
                 )
             )
@@ -79,20 +83,22 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
         now = reached.count()
         if now == known:
             break
-        known, step = now, step * fan
+        known, step = now, step * FAN
         ahead = hops.select(F.col("url").alias("target"), F.col("target").alias("after"))
         jumps = hops
-        for _ in range(fan - 1):
-            jumps = join_lookup(jumps, ahead, ["target"], link_count).select("url", F.col("after").alias("target"))
+        for _ in range(FAN - 1):
+            jumps = jumps.join(ahead, "target").select("url", F.col("after").alias("target"))
         hops = written_table(jumps, "page-hops")
-        if hops.isEmpty():
-            break
-    found = join_lookup(reached, links.select("url", "error", F.lit(True).alias("_landed")), ["url"], link_count, "left")
-    landed = found.where(F.col("_landed")).drop("_landed")
-    missing = found.where(F.col("_landed").isNull()).drop("_landed")
+    found = reached.join(links.withColumn("_landed", F.lit(True)), "url", "left")
+    landed = found.where(F.col("_landed")).select("chain", "page_no", "url", "error", "next_url")
+    missing = found.where(F.col("_landed").isNull()).select("chain", "page_no", "url")
     missing = missing.withColumn("error", F.concat(F.lit("no page for "), F.col("url")))
-    # bodies stay where they are while the walk is small enough to broadcast
-    details = [c for c in pages.columns if c not in (url, "chain", "page_no", "url", "error")]
-    walked = F.broadcast(landed) if known <= BROADCAST_ROWS else landed
-    shown = pages.select(F.col(url).alias("url"), *details).join(walked, "url")
-    return shown.unionByName(missing, allowMissingColumns=True).select("chain", "page_no", "url", "error", *details)
+    details = [c for c in pages.columns if c not in (url, "chain", "page_no", "url", "error", "error_response")]
+    shown = _with_links(pages, url).select(F.col(url).alias("url"), "_link", F.struct(*details).alias("_page")).join(landed, "url")
+    # the landing the link came from; of several that say the same, one
+    shown = shown.where(F.col("_link.error").eqNullSafe(F.col("error")) & F.col("_link.next_url").eqNullSafe(F.col("next_url")))
+    one = shown.groupBy("url", "chain", "page_no", "error").agg(F.min_by("_page", F.xxhash64("_page")).alias("_page"))
+    bad = F.col("status") != 200
+    one = one.select("chain", "page_no", "url", "error", "_page.*")
+    one = one.withColumn("error_response", F.when(bad & F.col("error").isNotNull(), decode_error(F.col("body"))))
+    return one.unionByName(missing, allowMissingColumns=True).select("chain", "page_no", "url", "error", "error_response", *details)

@@ -77,9 +77,11 @@ def compact_patients(spark, sf_dir):
 
 
 def transaction_bundles(spark, sf_dir):
-    customers = w.table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
-    rows = w.patients(spark, sf_dir).join(customers, F.col("id") == F.col("c_custkey")).select(
-        "c_nationkey", "c_custkey", post_entry(compact_json(F.col("resource")), F.col("type")).alias("entry")
+    # a url with a quote, and customers without a resource
+    url = F.concat(F.col("type"), F.lit('?name=a"b'))
+    resource = F.when(F.col("c_custkey") % 11 != 0, F.col("resource"))
+    rows = w.patients(spark, sf_dir, "c_nationkey", "c_custkey").select(
+        "c_nationkey", "c_custkey", post_entry(compact_json(resource), url).alias("entry")
     )
     return make_bundles(rows, "entry", ["c_custkey"], 7, ["c_nationkey"], "transaction")
 
@@ -92,7 +94,9 @@ def count_request_bundles(spark, sf_dir):
 
 def ndjson_round_trip(spark, sf_dir):
     path = scratch_path(spark, "ndjson")
-    rows = w.resources(spark, sf_dir).withColumn("resource", compact_json(F.col("resource")))
+    # indented texts and rows without a resource
+    rows = w.resources(spark, sf_dir)
+    rows = rows.unionByName(rows.where("type = 'Location'").withColumn("resource", F.lit(None).cast("string")))
     export_ndjson(rows, path, order_by=["type", "id"])
     lines = read_ndjson_bundles(spark, path, "part-*")
     return lines.select(
@@ -222,7 +226,7 @@ QUERIES = {
     ),
     "malformed_pages": (
         malformed_pages,
-        f"SELECT DISTINCT page_no, {sql.PAGE_URL} AS request_url FROM ({sql.ORDER_PAGES}) WHERE NOT whole",
+        f"SELECT DISTINCT page_no, {sql.PAGE_URL} AS request_url, 'could not parse the bundle entries' AS error FROM ({sql.ORDER_PAGES}) WHERE NOT whole",
     ),
     "routed_kinds": (
         routed_kinds,
@@ -237,8 +241,9 @@ QUERIES = {
     "make_bundles": (
         transaction_bundles,
         f"""WITH e AS (SELECT c_nationkey, c_custkey AS id, 'Patient' AS type, {sql.PATIENT_JSON} AS resource,
-            (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 7 AS bundle_no FROM customer)
-        SELECT c_nationkey, bundle_no, '{{"resourceType":"Bundle","type":"transaction","entry":[' || string_agg({_POST}, ',' ORDER BY id) || ']}}' AS bundle,
+            (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 7 AS bundle_no FROM customer WHERE c_custkey % 11 <> 0)
+        SELECT c_nationkey, bundle_no, '{{"resourceType":"Bundle","type":"transaction","entry":[' ||
+          string_agg({_POST.replace("type ||", "type || '?name=a' || chr(92) || chr(34) || 'b' ||")}, ',' ORDER BY id) || ']}}' AS bundle,
           count(*) AS entries FROM e GROUP BY c_nationkey, bundle_no""",
     ),
     "count_request_bundles": (

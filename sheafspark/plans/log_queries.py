@@ -8,6 +8,20 @@ from sheafspark.functions.text import duration_text, fmt_bytes, fmt_duration, in
 from sheafspark.operators.durations import duration_stats
 from sheafspark.operators.issues import issue_summary, transient_issues
 from sheafspark.operators.logstats import (
+    BYTES_IN,
+    BYTES_OUT,
+    PAGES,
+    PER_PAGE,
+    PROCESSING_LATENCIES,
+    REQUEST_LATENCIES,
+    RESOURCES,
+    SERVER_ERROR,
+    STATUS_CODES,
+    SUCCESS,
+    UPLOADS,
+    UPLOADS_AT,
+    WARNINGS,
+    download_notices,
     download_stats,
     render_download_stats,
     render_upload_stats,
@@ -15,7 +29,8 @@ from sheafspark.operators.logstats import (
     upload_stats,
 )
 from sheafspark.operators.paging import follow_pages, page_links
-from sheafspark.operators.responses import split_results
+from sheafspark.operators.responses import decode_error, split_results
+from sheafspark.operators.unbundle import unbundle
 from sheafspark.plans import sql_text as sql
 from sheafspark.plans import workload as w
 from sheafspark.plans.bundle_queries import QUERIES as BUNDLE_QUERIES
@@ -39,7 +54,11 @@ def upload_totals_by_server(spark, sf_dir):
 
 
 def upload_report(spark, sf_dir):
-    return render_upload_stats(upload_stats(w.request_log(spark, sf_dir)))
+    return render_upload_stats(upload_stats(w.request_log(spark, sf_dir)), concurrency=4)
+
+
+def upload_report_by_file(spark, sf_dir):
+    return render_upload_stats(upload_stats(w.request_log(spark, sf_dir), ["file"]))
 
 
 def statuses(spark, sf_dir):
@@ -74,11 +93,20 @@ def download_report(spark, sf_dir):
     return render_download_stats(download_totals(spark, sf_dir))
 
 
+def notices(spark, sf_dir):
+    outcomes = unbundle(w.order_pages(spark, sf_dir).select("body")).outcomes
+    landed = w.conversation_pages(spark, sf_dir)
+    error = F.when(F.col("status") != 200, decode_error(F.col("body")))
+    found = download_notices(outcomes, landed.select("status", error.alias("error_response")))
+    return found.groupBy("block", "text").agg(F.count("*").alias("pages"))
+
+
 def conversation_chains(spark, sf_dir):
     pages = w.conversation_pages(spark, sf_dir)
     turns = w.table(spark, sf_dir, "conversations").select("conv_id").distinct()
     starts = turns.select(F.col("conv_id").alias("chain"), w.conversation_url(F.col("conv_id"), F.lit(0)).alias("url"))
-    return follow_pages(pages, starts).select("chain", "page_no", "url", "error", "chars")
+    walked = follow_pages(pages, starts)
+    return walked.select("chain", "page_no", "url", "error", "chars", F.col("error_response.other_error").alias("other_error"))
 
 
 def order_page_chain(spark, sf_dir):
@@ -155,26 +183,30 @@ def _upload_sql(by):
         )
 
     latencies = [f"{m}_{s}" for m in ("request", "processing") for s in ("mean_ms", "q50_ms", "q95_ms", "q99_ms", "max_ms")]
+    other = f"SELECT {keys}status, count(*) AS n FROM log WHERE NOT failed AND status <> 200 GROUP BY ALL"
     return f"""WITH log AS ({sql.REQUEST_LOG}),
+      o AS (SELECT {keys}string_agg(', ' || status || ':' || n, '' ORDER BY status) AS others FROM ({other}) {group}),
       t AS (SELECT {keys}count(*) AS total, count(*) FILTER (failed) AS errors,
           count(*) FILTER (NOT failed AND status <> 200) AS error_responses, count(*) FILTER (NOT failed) AS requests,
+          count(*) FILTER (NOT failed AND status = 200) AS ok,
           CAST(coalesce(sum(bytes_in) FILTER (NOT failed), 0) AS BIGINT) AS bytes_in,
           CAST(coalesce(sum(bytes_out) FILTER (NOT failed), 0) AS BIGINT) AS bytes_out FROM log {group})
-    SELECT {keys}total, errors, error_responses, requests, bytes_in, bytes_out,
+    SELECT {keys}total, errors, error_responses, requests, bytes_in, bytes_out, '200:' || ok || coalesce(others, '') AS status_codes,
       CAST(CAST(total - errors - error_responses AS FLOAT) / CAST(total AS FLOAT) * CAST(100 AS FLOAT) AS FLOAT) AS success_percent,
       bytes_in / nullif(requests, 0) AS bytes_in_mean, bytes_out / nullif(requests, 0) AS bytes_out_mean,
       {', '.join(f'coalesce({c}, 0) AS {c}' for c in latencies)}
-    FROM t LEFT JOIN {stats('request', 'NOT failed')} {using} LEFT JOIN {stats('processing', 'NOT failed AND status = 200')} {using}"""
+    FROM t LEFT JOIN o {using} LEFT JOIN {stats('request', 'NOT failed')} {using} LEFT JOIN {stats('processing', 'NOT failed AND status = 200')} {using}"""
 
 
 def _latency_sql(metric):
     return " || ', ' || ".join(sql.duration_text(f"{metric}_{s}") for s in ("mean_ms", "q50_ms", "q95_ms", "q99_ms", "max_ms"))
 
 
-def _lines_sql(source, lines):
-    return f"WITH s AS ({source}) " + " UNION ALL ".join(
-        f"SELECT {i} AS line_no, '{label}' AS label, {value} AS value FROM s" for i, (label, value) in enumerate(lines)
+def _lines_sql(source, lines, keys=""):
+    each = " UNION ALL ".join(
+        f"SELECT {keys}{i} AS line_no, '{label}' AS label, {value} AS value FROM s" for i, (label, value) in enumerate(lines)
     )
+    return f"WITH s AS ({source}) SELECT * FROM ({each}) WHERE value IS NOT NULL"
 
 
 def _bytes_sql(name):
@@ -196,6 +228,15 @@ def _download_sql():
     FROM b, f, {parts['request']}, {parts['processing']}"""
 
 
+_UPLOAD_LINES = [
+    (SUCCESS, "printf('%.2f %%', CAST(success_percent AS DOUBLE))"),
+    (REQUEST_LATENCIES, f"CASE WHEN requests > 0 THEN {_latency_sql('request')} END"),
+    (PROCESSING_LATENCIES, f"CASE WHEN requests > error_responses THEN {_latency_sql('processing')} END"),
+    (BYTES_IN, _bytes_sql("bytes_in")),
+    (BYTES_OUT, _bytes_sql("bytes_out")),
+    (STATUS_CODES, "status_codes"),
+]
+
 _CONVERSATION_URL = "'http://bundles.test/conversation/' || conv_id || '/' || "
 _BAD_TURN = "role = 'assistant' AND length(text) > 2000"
 
@@ -217,15 +258,14 @@ QUERIES = {
         _lines_sql(
             _upload_sql([]),
             [
-                ("Uploads [total]", "CAST(total AS VARCHAR)"),
-                ("Success [ratio]", "printf('%.2f %%', CAST(success_percent AS DOUBLE))"),
-                ("Requ. Latencies [mean, 50, 95, 99, max]", _latency_sql("request")),
-                ("Proc. Latencies [mean, 50, 95, 99, max]", _latency_sql("processing")),
-                ("Bytes In [total, mean]", _bytes_sql("bytes_in")),
-                ("Bytes Out [total, mean]", _bytes_sql("bytes_out")),
+                (UPLOADS_AT, "total || ', 4'"),
+                *_UPLOAD_LINES,
             ],
         ),
     ),
+    "upload_report_by_file": (
+        upload_report_by_file, _lines_sql(_upload_sql(["file"]), [(UPLOADS, "CAST(total AS VARCHAR)"), *_UPLOAD_LINES], "file, ")
+    ),
     "status_histogram": (
         statuses,
         f"""WITH log AS ({sql.REQUEST_LOG}) SELECT status, count(*) AS count FROM log WHERE NOT failed GROUP BY status
@@ -233,12 +273,14 @@ QUERIES = {
     ),
     "error_responses": (
         error_responses,
-        f"""SELECT bundle_no, status, CASE status WHEN 503 THEN 'throttled' END AS issue_code, CASE status WHEN 404 THEN 'not found' END AS other_error
+        f"""SELECT bundle_no, status, CASE WHEN status = 503 AND bundle_no % 5 <> 0 THEN 'throttled' END AS issue_code,
+          CASE WHEN status = 404 THEN 'not found' WHEN bundle_no % 5 = 0 THEN '{{"resourceType": "OperationOutcome", "issue": "x"}}' END AS other_error
         FROM ({sql.REQUEST_LOG}) WHERE status <> 200""",
     ),
     "error_response_texts": (
         error_texts,
-        f"""SELECT file, bundle_no, CASE status WHEN 404 THEN '    StatusCode  : 404' {_NL} '    Error       : not found' {_NL} '    '
+        f"""SELECT file, bundle_no, CASE WHEN status = 404 THEN '    StatusCode  : 404' {_NL} '    Error       : not found' {_NL} '    '
+          WHEN bundle_no % 5 = 0 THEN '    StatusCode  : 503' {_NL} '    Error       : {{"resourceType": "OperationOutcome", "issue": "x"}}' {_NL} '    '
           ELSE '    StatusCode  : 503' {_NL} '    Severity    : Error' {_NL} '    Code        : The system is not prepared to handle this request due to load management.' {_NL} '    ' END AS text
         FROM ({sql.REQUEST_LOG}) WHERE status <> 200""",
     ),
@@ -252,22 +294,37 @@ QUERIES = {
         _lines_sql(
             _download_sql(),
             [
-                ("Pages [total]", "CAST(pages AS VARCHAR)"),
-                ("Resources [total]", "CAST(resources AS VARCHAR)"),
-                ("Resources/Page [min, mean, max]", "resources_min || ', ' || resources_mean || ', ' || resources_max"),
-                ("Requ. Latencies [mean, 50, 95, 99, max]", _latency_sql("request")),
-                ("Proc. Latencies [mean, 50, 95, 99, max]", _latency_sql("processing")),
-                ("Bytes In [total, mean]", _bytes_sql("bytes_in")),
+                (PAGES, "CAST(pages AS VARCHAR)"),
+                (RESOURCES, "CAST(resources AS VARCHAR)"),
+                (PER_PAGE, "resources_min || ', ' || resources_mean || ', ' || resources_max"),
+                (REQUEST_LATENCIES, _latency_sql("request")),
+                (PROCESSING_LATENCIES, _latency_sql("processing")),
+                (BYTES_IN, _bytes_sql("bytes_in")),
             ],
         ),
     ),
+    "download_notices": (
+        notices,
+        f"""WITH b AS (SELECT '{{"resourceType": "Bundle"' || CASE WHEN EXISTS (SELECT 1 FROM conversations n WHERE n.conv_id = c.conv_id AND n.turn = c.turn + 1)
+              THEN ', "link": [{{"relation": "self", "url": "/"}}, {{"relation": "next", "url": "http://bundles.test/conversation/' || conv_id || '/' || (turn + 1) || '"}}]' ELSE '' END || '}}' AS body
+            FROM conversations c WHERE {_BAD_TURN}),
+          t AS (SELECT '{WARNINGS}' AS block, '  Severity    : Information' {_NL}
+              '  Code        : A message unrelated to the processing success of the completed operation (examples of the latter include things like reminders of password expiry, system maintenance times, etc.).' {_NL}
+              '  Diagnostics : order ' || o_orderkey {_NL} '  ' AS text FROM ({sql.ORDER_PAGES}) WHERE whole AND o_orderpriority = '5-LOW'
+            UNION ALL SELECT '{SERVER_ERROR}', '  StatusCode  : 404' {_NL} '  Error       : ' || body {_NL} '  ' FROM b)
+        SELECT block, text, count(*) AS pages FROM t GROUP BY block, text""",
+    ),
     "follow_pages": (
         conversation_chains,
         f"""WITH RECURSIVE t AS (SELECT conv_id, turn, length(text) AS chars, {_BAD_TURN} AS bad FROM conversations),
           walk AS (SELECT * FROM t WHERE turn = 0
             UNION ALL SELECT t.* FROM walk JOIN t ON t.conv_id = walk.conv_id AND t.turn = walk.turn + 1 WHERE NOT walk.bad)
         SELECT conv_id AS chain, turn AS page_no, {_CONVERSATION_URL}turn AS url, CAST(chars AS INTEGER) AS chars,
-          CASE WHEN bad THEN 'request to ' || {_CONVERSATION_URL}turn || ' had a non-ok response status (404)' END AS error FROM walk""",
+          CASE WHEN bad THEN 'request to ' || {_CONVERSATION_URL}turn || ' had a non-ok response status (404)' END AS error,
+          CASE WHEN bad AND NOT EXISTS (SELECT 1 FROM conversations c WHERE c.conv_id = walk.conv_id AND c.turn = walk.turn + 1)
+              THEN '{{"resourceType": "Bundle"}}'
+            WHEN bad THEN '{{"resourceType": "Bundle", "link": [{{"relation": "self", "url": "/"}}, {{"relation": "next", "url": "' ||
+              {_CONVERSATION_URL}(turn + 1) || '"}}]}}' END AS other_error FROM walk""",
     ),
     "follow_pages_long": (
         order_page_chain,

@@ -7,6 +7,7 @@ from sheafspark.functions.text import fmt_ratio, ratio
 from sheafspark.functions.urls import encode_query, parse_query
 from sheafspark.functions.versions import version_older
 from sheafspark.operators.capabilities import supports_interaction, supports_operation
+from sheafspark.operators.counts import with_total
 from sheafspark.operators.measure import (
     Group,
     Measure,
@@ -90,23 +91,33 @@ def flat_strata(spark, sf_dir):
     return _display_rows(stratum_rows(measure_counts(spark, sf_dir)))
 
 
-def many_strata(spark, sf_dir):
+def _many_counts(spark, sf_dir):
     measure = Measure([Group([Population("All")], [Stratifier("order", "OrderKey"), Stratifier("part", "PartKey")], "LineItem")])
     expressions = {"All": F.lit(True), "OrderKey": F.col("l_orderkey"), "PartKey": F.col("l_partkey")}
-    counts = evaluate_measure({"LineItem": w.table(spark, sf_dir, "lineitem")}, measure, expressions)
-    return stratum_rows(counts).select("stratifier_no", "stratum_no", "display", "count", "ratio")
+    return evaluate_measure({"LineItem": w.table(spark, sf_dir, "lineitem")}, measure, expressions)
+
+
+def many_strata(spark, sf_dir):
+    return stratum_rows(_many_counts(spark, sf_dir)).select("stratifier_no", "stratum_no", "display", "count", "ratio")
 
 
 def nested_report(spark, sf_dir):
-    report = measure_report(measure_counts(spark, sf_dir)).select(F.posexplode("group").alias("group_no", "g"))
+    report = measure_report(measure_counts(spark, sf_dir))
     return report.select(
         "group_no",
-        F.col("g.code.text").alias("group_code"),
-        F.transform("g.population", lambda p: p["count"]).cast("string").alias("populations"),
-        F.transform("g.stratifier", lambda s: F.size(s["stratum"])).cast("string").alias("strata"),
+        "group_code",
+        F.transform("population", lambda p: p["count"]).cast("string").alias("populations"),
+        "stratifier_no",
+        F.coalesce("strata", F.lit(0)).alias("strata"),
+        F.transform("stratum", lambda s: F.concat_ws("=", s["value"]["text"], F.get(s["population"], F.lit(0))["count"])).cast("string").alias("listed"),
     )
 
 
+def many_report_rows(spark, sf_dir):
+    rows = report_rows(measure_report(_many_counts(spark, sf_dir))).where("kind = 'text'")
+    return rows.select("stratifier_no", "stratum_no", "display", "count", "ratio")
+
+
 def ratio_texts(spark, sf_dir):
     rows = w.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
         F.count_if(F.col("l_returnflag") == "R").alias("part"), F.count("*").alias("whole")
@@ -135,32 +146,37 @@ def old_versions(spark, sf_dir):
 
 def async_results(spark, sf_dir):
     orders = w.table(spark, sf_dir, "orders")
-    status = F.col("o_orderstatus")
-    resource = F.concat(F.lit('{"resourceType":"MeasureReport","id":"'), F.col("o_orderkey").cast("string"), F.lit('"}'))
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    resource = F.concat(
+        F.lit('{"resourceType": "MeasureReport", "id":"'), F.col("o_orderkey").cast("string"), F.lit('", "score":1.50, "large":1e2, "note":"\\u00e9"}')
+    )
     entry = (
         F.when(status == "O", F.concat(F.lit('{"resource":'), resource, F.lit(',"response":{"status":"200"}}')))
         .when(
-            (status == "F") & (F.col("o_orderpriority") == "5-LOW"),
+            (status == "F") & (priority == "5-LOW"),
             F.lit('{"response":{"status":"400","outcome":{"resourceType":"OperationOutcome","issue":[{"severity":"error","code":"timeout"}]}}}'),
         )
+        .when((status == "F") & (priority == "3-MEDIUM"), F.lit('{"response":{"status":"500","outcome":{"issue":"x"}}}'))
         .when(status == "F", F.lit('{"response":{"status":"503 Busy"}}'))
-        .when(F.col("o_orderpriority") == "1-URGENT", F.lit("{}"))
-        .when(F.col("o_orderpriority") == "2-HIGH", F.lit('{"response":{"status":"200"}},{"response":{"status":"200"}}'))
+        .when(priority == "1-URGENT", F.lit("{}"))
+        .when(priority == "2-HIGH", F.lit('{"response":{"status":"200"}},{"response":{"status":"200"}}'))
         .otherwise(
             F.concat(F.lit('{"response":{"status":"201","location":"/MeasureReport/'), F.col("o_custkey").cast("string"), F.lit('"}}'))
         )
     )
-    kind = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("searchset")).otherwise(F.lit("batch-response"))
+    kind = F.when(priority == "4-NOT SPECIFIED", F.lit("searchset")).otherwise(F.lit("batch-response"))
     body = F.concat(F.lit('{"resourceType":"Bundle","type":"'), kind, F.lit('","entry":['), entry, F.lit("]}"))
+    body = F.when((status == "O") & (F.col("o_orderkey") % 10 == 0), F.lit("")).otherwise(body)
     return orders.select("o_orderkey", F.inline(F.array(unwrap_async(body))))
 
 
 def _question_answers(spark, sf_dir):
-    turns = w.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("batch_id"), "turn", "role", F.length("text").alias("chars"))
-    asked = turns.where(F.col("role") == "user").select("batch_id", F.floor(F.col("turn") / 2).alias("pos"), F.col("chars").alias("asked_chars"))
-    answered = turns.where(F.col("role") == "assistant").select(
-        "batch_id", F.floor((F.col("turn") - 1) / 2).alias("pos"), F.col("chars").alias("answered_chars")
+    """Every even turn as a request, every odd one as the response at the same place."""
+    turns = w.table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("batch_id"), "turn", F.floor(F.col("turn") / 2).alias("pos"), F.length("text").alias("chars")
     )
+    asked = turns.where(F.col("turn") % 2 == 0).select("batch_id", "pos", F.col("chars").alias("asked_chars"))
+    answered = turns.where(F.col("turn") % 2 == 1).select("batch_id", "pos", F.col("chars").alias("answered_chars"))
     return asked, answered
 
 
@@ -177,8 +193,9 @@ def segment_totals(spark, sf_dir):
     segments = customers.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"), F.min("c_acctbal").alias("low"))
     asked = segments.select(F.col("c_nationkey").alias("batch_id"), F.col("c_mktsegment").alias("pos"))
     status = F.when(F.col("low") < -900, F.lit("404 Not Found")).when(F.col("low") < 0, F.lit("200 OK")).when(F.col("low") < 500, F.lit("200"))
+    end = F.when(F.col("n") % 7 == 0, F.lit("")).otherwise(F.lit("}"))
     resource = F.when(
-        F.col("low") > -800, F.concat(F.lit('{"resourceType":"Bundle","type":"searchset","total":'), F.col("n").cast("string"), F.lit("}"))
+        F.col("low") > -800, F.concat(F.lit('{"resourceType":"Bundle","type":"searchset","total":'), F.col("n").cast("string"), end)
     )
     answered = segments.select(
         F.col("c_nationkey").alias("batch_id"), F.col("c_mktsegment").alias("pos"), status.alias("response_status"), resource.alias("resource")
@@ -186,6 +203,20 @@ def segment_totals(spark, sf_dir):
     return batch_totals(zip_by_position(asked, answered)).select("batch_id", "pos", "total", "error")
 
 
+def counts_without_zeros(spark, sf_dir):
+    """Counts of rich customers by segment, from batch totals; segments without any have a total of zero."""
+    customers = w.table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("type")).agg(
+        F.count_if((F.col("c_acctbal") > 9000) & F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).alias("n")
+    )
+    asked = customers.select(F.lit(0).alias("batch_id"), F.col("type").alias("pos"))
+    searchset = F.concat(F.lit('{"resourceType":"Bundle","total":'), F.col("n").cast("string"), F.lit("}"))
+    answered = customers.select(
+        F.lit(0).alias("batch_id"), F.col("type").alias("pos"), F.lit("200").alias("response_status"), searchset.alias("resource")
+    )
+    totals = batch_totals(zip_by_position(asked, answered))
+    return with_total(totals.select(F.col("pos").alias("resource_type"), F.col("total").alias("count")), by_name=True)
+
+
 def found_customers(spark, sf_dir):
     fields = {"segment": "c_mktsegment", "nation": "c_nationkey", "id": "c_custkey"}
     return search(w.table(spark, sf_dir, "customer"), "segment=BUILDING,MACHINERY&nation=1,2,3,x&nation=2,3,4", fields)
@@ -237,12 +268,17 @@ def encoded_queries(spark, sf_dir):
     return w.table(spark, sf_dir, "pages").select("page_id", encode_query(parse_query(words)).alias("query"))
 
 
+def _brand_params(spark, sf_dir):
+    """The parameters of all brands; one brand's report has no key."""
+    return w.metric_params(spark, sf_dir).withColumn("p_brand", F.when(F.col("p_brand") != "Brand#1", F.col("p_brand")))
+
+
 def labelled_params(spark, sf_dir):
-    return label_params(w.metric_params(spark, sf_dir), keys=["p_brand"]).select("p_brand", "pos", "name", "label", "place")
+    return label_params(_brand_params(spark, sf_dir), keys=["p_brand"]).select("p_brand", "pos", "name", "label", "place")
 
 
 def metric_lines(spark, sf_dir):
-    labelled = label_params(w.metric_params(spark, sf_dir), keys=["p_brand"]).withColumn(
+    labelled = label_params(_brand_params(spark, sf_dir), keys=["p_brand"]).withColumn(
         "value",
         fmt_param_value(F.col("quantity"), F.col("boolean"), F.col("decimal"), F.col("code"), F.col("string")),
     )
@@ -284,10 +320,10 @@ _TEXT_ROWS = """SELECT group_no + 1 AS group_no, coalesce(group_code, 'Group') A
     stratifier_code AS stratifier, stratum_no, stratum AS display, count, printf('%.2f %%', CAST(ratio AS DOUBLE)) AS ratio_text FROM n WHERE stratum IS NOT NULL"""
 
 _SEGMENTS = "SELECT c_nationkey, c_mktsegment, count(*) AS n, min(c_acctbal) AS low FROM customer GROUP BY ALL"
-_ASKED = "SELECT conv_id AS batch_id, turn // 2 AS pos, length(text) AS chars FROM conversations WHERE role = 'user'"
-_ANSWERED = "SELECT conv_id AS batch_id, (turn - 1) // 2 AS pos, length(text) AS chars FROM conversations WHERE role = 'assistant'"
+_ASKED = "SELECT conv_id AS batch_id, turn // 2 AS pos, length(text) AS chars FROM conversations WHERE turn % 2 = 0"
+_ANSWERED = "SELECT conv_id AS batch_id, turn // 2 AS pos, length(text) AS chars FROM conversations WHERE turn % 2 = 1"
 
-_PARTS = """SELECT p_brand, count(*) AS n, CAST(CAST(max(p_retailprice) AS DECIMAL(18,2)) AS VARCHAR) AS price, max(p_size) AS size FROM part GROUP BY p_brand"""
+_PARTS = """SELECT nullif(p_brand, 'Brand#1') AS p_brand, count(*) AS n, CAST(CAST(max(p_retailprice) AS DECIMAL(18,2)) AS VARCHAR) AS price, max(p_size) AS size FROM part GROUP BY 1"""
 _PARAMS = f"""SELECT p_brand, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS pos,
     unnest(['write-iops', 'score', 'score', 'read-latency-p50', 'seq-write-throughput', 'direct-io', 'rating', 'processing-duration', 'comment']) AS name,
     unnest(['write-iops', 'Score', 'score', 'Read Latency (p50)', 'Seq. Write Throughput', 'Direct I/O', 'Rating', 'Processing Duration', 'comment']) AS label,
@@ -321,13 +357,21 @@ QUERIES = {
         SELECT stratifier_no, CAST(row_number() OVER (PARTITION BY stratifier_no ORDER BY display) - 1 AS INTEGER) AS stratum_no, display, count,
           CAST(CAST(count * 100 AS FLOAT) / CAST((SELECT count(*) FROM lineitem) AS FLOAT) AS FLOAT) AS ratio FROM c""",
     ),
+    "report_rows_many": (
+        many_report_rows,
+        """WITH c AS (SELECT 0 AS stratifier_no, CAST(l_orderkey AS VARCHAR) AS display, count(*) AS count FROM lineitem GROUP BY l_orderkey
+            UNION ALL SELECT 1, CAST(l_partkey AS VARCHAR), count(*) FROM lineitem GROUP BY l_partkey)
+        SELECT stratifier_no, CAST(row_number() OVER (PARTITION BY stratifier_no ORDER BY display) - 1 AS INTEGER) AS stratum_no, display, count,
+          CAST(CAST(count * 100 AS FLOAT) / CAST((SELECT count(*) FROM lineitem) AS FLOAT) AS FLOAT) AS ratio FROM c""",
+    ),
     "measure_report": (
         nested_report,
         f"""WITH c AS ({_COUNTS}),
           g AS (SELECT group_no, any_value(group_code) AS group_code, string_agg(CAST(count AS VARCHAR), ', ' ORDER BY population_no) AS p FROM c WHERE stratifier_no IS NULL GROUP BY group_no),
-          s AS (SELECT group_no, stratifier_no, count(*) AS n FROM c WHERE stratifier_no IS NOT NULL AND population_no = 0 GROUP BY ALL),
-          t AS (SELECT group_no, string_agg(CAST(n AS VARCHAR), ', ' ORDER BY stratifier_no) AS s FROM s GROUP BY group_no)
-        SELECT group_no, group_code, '[' || p || ']' AS populations, '[' || coalesce(s, '') || ']' AS strata FROM g LEFT JOIN t USING (group_no)""",
+          s AS (SELECT group_no, stratifier_no, count(*) AS n, string_agg(coalesce(stratum, 'null') || '=' || count, ', ' ORDER BY stratum NULLS FIRST) AS l
+            FROM c WHERE stratifier_no IS NOT NULL AND population_no = 0 GROUP BY ALL)
+        SELECT group_no, group_code, '[' || p || ']' AS populations, CAST(NULL AS INTEGER) AS stratifier_no, 0 AS strata, NULL AS listed FROM g
+        UNION ALL SELECT group_no, group_code, '[' || p || ']', stratifier_no, n, '[' || l || ']' FROM g JOIN s USING (group_no)""",
     ),
     "ratio": (
         ratio_texts,
@@ -351,12 +395,15 @@ QUERIES = {
     ),
     "unwrap_async": (
         async_results,
-        """WITH e AS (SELECT *, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'expected batch-response bundle but the bundle type is: searchset'
+        """WITH e AS (SELECT *, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 10 = 0 THEN 'error while reading the async response bundle'
+            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'expected batch-response bundle but the bundle type is: searchset'
             WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN 'expected one entry in async response bundle but was 2 entries'
             WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'missing response in bundle entry'
             WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'Severity    : Error' || chr(10) || 'Code        : An internal timeout has occurred.' || chr(10)
+            WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN 'error while reading the outcome of an error response in the async response bundle'
             WHEN o_orderstatus = 'F' THEN 'error status: 503 Busy' END AS error FROM orders)
-        SELECT o_orderkey, CASE WHEN error IS NULL AND o_orderstatus = 'O' THEN '{"resourceType":"MeasureReport","id":"' || o_orderkey || '"}' END AS resource,
+        SELECT o_orderkey, CASE WHEN error IS NULL AND o_orderstatus = 'O'
+            THEN '{"resourceType": "MeasureReport", "id":"' || o_orderkey || '", "score":1.50, "large":1e2, "note":"\\u00e9"}' END AS resource,
           CASE WHEN error IS NULL AND o_orderstatus = 'P' THEN '/MeasureReport/' || o_custkey END AS location, error FROM e""",
     ),
     "zip_by_position": (
@@ -367,15 +414,23 @@ QUERIES = {
     ),
     "length_mismatches": (
         unequal_batches,
-        f"""SELECT batch_id, 'expect ' || q || ' bundle entries but got ' || a AS error FROM (SELECT conv_id AS batch_id, count(*) FILTER (role = 'user') AS q,
-          count(*) FILTER (role = 'assistant') AS a FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id) WHERE q <> a""",
+        f"""SELECT batch_id, 'expect ' || q || ' bundle entries but got ' || a AS error FROM (SELECT conv_id AS batch_id, count(*) FILTER (turn % 2 = 0) AS q,
+          count(*) FILTER (turn % 2 = 1) AS a FROM conversations GROUP BY conv_id) WHERE q <> a""",
     ),
     "batch_totals": (
         segment_totals,
-        f"""SELECT c_nationkey AS batch_id, c_mktsegment AS pos, CASE WHEN low >= -800 AND low < 500 AND low > -800 THEN n END AS total,
+        f"""SELECT c_nationkey AS batch_id, c_mktsegment AS pos, CASE WHEN low < 500 AND low > -800 AND n % 7 <> 0 THEN n END AS total,
           CASE WHEN low >= 500 THEN 'missing response in entry with index ' || c_mktsegment
             WHEN low < -900 THEN 'unexpected response status code 404 Not Found in entry with index ' || c_mktsegment
-            WHEN low <= -800 THEN 'missing resource in entry with index ' || c_mktsegment END AS error FROM ({_SEGMENTS})""",
+            WHEN low <= -800 THEN 'missing resource in entry with index ' || c_mktsegment
+            WHEN n % 7 = 0 THEN 'could not read the searchset in entry with index ' || c_mktsegment END AS error FROM ({_SEGMENTS})""",
+    ),
+    "counts_from_batch_totals": (
+        counts_without_zeros,
+        """WITH c AS (SELECT c_mktsegment AS resource_type, count(*) AS count FROM customer
+            WHERE c_acctbal > 9000 AND c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY 1)
+        SELECT CAST(row_number() OVER (ORDER BY resource_type) AS INTEGER) AS place, * FROM c
+        UNION ALL SELECT CAST((SELECT count(*) FROM c) + 1 AS INTEGER), 'total', CAST(coalesce(sum(count), 0) AS BIGINT) FROM c""",
     ),
     "search": (
         found_customers,

@@ -1,16 +1,14 @@
-"""Streams over landed files, and back-off timelines in batch and as a stream."""
+"""Streams over landed files."""
 
 from pyspark.sql import functions as F
 
-from sheafspark.operators.logstats import STATISTICS
-from sheafspark.operators.throttle import throttle_timeline
+from sheafspark.operators.logstats import STATISTICS, stats_of_cells, status_counts
 from sheafspark.plans import sql_text as sql
 from sheafspark.plans import workload as w
 from sheafspark.sources.sinks import export_ndjson
 from sheafspark.storage import scratch_path
 from sheafspark.streaming.bundles import stream_bundles, stream_pages, stream_unbundle, write_routed
-from sheafspark.streaming.logstats import run_upload_stats, stats_of_cells, status_counts
-from sheafspark.streaming.throttle import stream_throttle
+from sheafspark.streaming.logstats import read_cells, run_upload_stats
 
 
 def streamed_bundles(spark, sf_dir):
@@ -39,7 +37,7 @@ def _log_cells(spark, sf_dir):
     log.write.parquet(landed)
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 4).parquet(landed)
     run_upload_stats(stream, cells, scratch_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(cells)
+    return read_cells(spark, cells)
 
 
 def streamed_stats(spark, sf_dir):
@@ -50,37 +48,6 @@ def streamed_statuses(spark, sf_dir):
     return status_counts(_log_cells(spark, sf_dir))
 
 
-def back_off(spark, sf_dir):
-    return throttle_timeline(w.throttle_log(spark, sf_dir)).select("server", "seq", "status", "delay_s")
-
-
-def streamed_back_off(spark, sf_dir):
-    landed, delays = scratch_path(spark, "landed"), scratch_path(spark, "delays")
-    log = w.throttle_log(spark, sf_dir)
-    log.write.parquet(landed)
-    stream = stream_throttle(spark.readStream.schema(log.schema).parquet(landed))
-    query = (
-        stream.writeStream.format("parquet").option("path", delays).option("checkpointLocation", scratch_path(spark, "progress"))
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(delays).select("server", "seq", "status", "delay_s")
-
-
-_BACK_OFF = """WITH RECURSIVE log AS (SELECT user_id AS server, epoch_us(ts) // 5000 AS micros, event_id AS seq,
-    CASE event_type WHEN 'view' THEN 200 WHEN 'signup' THEN 503 WHEN 'purchase' THEN 504 WHEN 'click' THEN 404 ELSE 500 END AS status,
-    row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 5000, event_id) AS n FROM events),
-  walk AS (
-    SELECT server, n, seq, status, micros, CASE WHEN status IN (503, 504) THEN 1 ELSE 0 END AS delay_s, micros AS raised FROM log WHERE n = 1
-    UNION ALL
-    SELECT l.server, l.n, l.seq, l.status, l.micros,
-      CASE WHEN l.status = 200 THEN 0 WHEN l.status NOT IN (503, 504) THEN w.delay_s WHEN w.delay_s = 0 THEN 1
-        WHEN l.micros - w.raised < w.delay_s * 1000000 THEN w.delay_s ELSE least(w.delay_s * 2, 60) END,
-      CASE WHEN l.status IN (503, 504) AND (w.delay_s = 0 OR l.micros - w.raised >= w.delay_s * 1000000) THEN l.micros ELSE w.raised END
-    FROM walk w JOIN log l ON l.server = w.server AND l.n = w.n + 1)
-  SELECT server, seq, status, delay_s FROM walk"""
-
-
 def _streamed_stats_sql():
     parts = []
     for metric, condition in (("request", "NOT failed"), ("processing", "NOT failed AND status = 200")):
@@ -99,7 +66,7 @@ def _streamed_stats_sql():
 QUERIES = {
     "stream_bundles": (
         streamed_bundles,
-        f"SELECT CAST(strlen({sql.SERVICE_JSON}) + 9 AS INTEGER) AS bytes, count(*) AS bundles FROM orders GROUP BY 1",
+        f"SELECT CAST(strlen({sql.SERVICE_JSON}) AS INTEGER) AS bytes, count(*) AS bundles FROM orders GROUP BY 1",
     ),
     "stream_unbundle": (
         streamed_entries,
@@ -112,6 +79,4 @@ QUERIES = {
     "stream_status_counts": (
         streamed_statuses, f"SELECT status, count(*) AS count FROM ({sql.REQUEST_LOG}) WHERE NOT failed GROUP BY status"
     ),
-    "throttle_timeline": (back_off, _BACK_OFF),
-    "stream_throttle": (streamed_back_off, _BACK_OFF),
 }

@@ -24,8 +24,9 @@ def _json(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def patients(spark, sf_dir) -> DataFrame:
+def patients(spark, sf_dir, *keep: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
+        *keep,
         F.lit("Patient").alias("type"),
         F.col("c_custkey").alias("id"),
         _json(
@@ -86,12 +87,12 @@ def order_pages(spark, sf_dir) -> DataFrame:
         .otherwise(_json('{"resource": ', _service_request(), ', "search": {"mode": "match"}}'))
         .alias("entry"),
     )
-    facts = rows.groupBy("page_no").agg(
+    facts = [
         F.min_by("o_orderstatus", "o_orderkey").alias("first_status"),
         F.max("o_totalprice").alias("dearest"),
         F.min("o_totalprice").alias("cheapest"),
-    )
-    bundles = assemble_bundles(rows, ["page_no"], "o_orderkey", "entry", "searchset").join(facts, "page_no")
+    ]
+    bundles = assemble_bundles(rows, ["page_no"], "o_orderkey", "entry", "searchset", facts)
     url = F.concat(F.lit(SERVER + "ServiceRequest?page="), F.col("page_no").cast("string"))
     following = F.concat(F.lit(SERVER + "ServiceRequest?page="), (F.col("page_no") + 1).cast("string"))
     whole = F.concat(
@@ -143,13 +144,17 @@ def request_log(spark, sf_dir) -> DataFrame:
     """Events as answered and failed requests; the kind of event decides the status."""
     kind = F.col("event_type")
     outcome = '{"resourceType": "OperationOutcome", "issue": [{"severity": "error", "code": "throttled"}]}'
+    undecodable = '{"resourceType": "OperationOutcome", "issue": "x"}'
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("bundles-"), F.col("user_id").cast("string"), F.lit(".ndjson")).alias("file"),
         F.col("event_id").alias("bundle_no"),
         F.lit(0).cast("bigint").alias("start_bytes"),
         F.octet_length("props").cast("bigint").alias("end_bytes"),
         F.when(kind.isin("view", "click"), F.lit(200)).when(kind == "signup", F.lit(503)).when(kind == "purchase", F.lit(404)).alias("status"),
-        F.when(kind == "signup", F.lit(outcome)).when(kind == "purchase", F.lit("not found")).alias("error_body"),
+        F.when((kind == "signup") & (F.col("event_id") % 5 == 0), F.lit(undecodable))
+        .when(kind == "signup", F.lit(outcome))
+        .when(kind == "purchase", F.lit("not found"))
+        .alias("error_body"),
         (F.octet_length("props") * F.col("user_id")).cast("bigint").alias("bytes_out"),
         F.floor(F.col("value") * 100).cast("bigint").alias("bytes_in"),
         (F.col("value") / 10).alias("request_s"),
@@ -159,24 +164,6 @@ def request_log(spark, sf_dir) -> DataFrame:
     )
 
 
-def throttle_log(spark, sf_dir) -> DataFrame:
-    """Events as responses of the servers their users stand for, in compressed time."""
-    kind = F.col("event_type")
-    status = (
-        F.when(kind == "view", F.lit(200))
-        .when(kind == "signup", F.lit(503))
-        .when(kind == "purchase", F.lit(504))
-        .when(kind == "click", F.lit(404))
-        .otherwise(F.lit(500))
-    )
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("server"),
-        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 5000).alias("micros"),
-        F.col("event_id").alias("seq"),
-        status.alias("status"),
-    )
-
-
 def outcomes(spark, sf_dir) -> DataFrame:
     """``(event_id, issue)``: one issue by kind of event, a second one for large values."""
     kind = F.col("event_type")
@@ -235,17 +222,12 @@ def capabilities(spark, sf_dir) -> DataFrame:
 
 def type_capabilities(spark, sf_dir) -> DataFrame:
     """One document over the types of all resources; locations cannot be searched."""
-    types = resources(spark, sf_dir).groupBy("type").agg(F.count("*").alias("n"))
-    interaction = F.when(F.col("type") == "Location", F.lit("read")).otherwise(F.lit("search-type"))
-    # three types bound the list
-    listed = F.array_sort(
-        F.collect_list(
-            F.struct(F.col("n"), F.struct("type", F.array(F.struct(interaction.alias("code"))).alias("interaction")).alias("r"))
-        )
-    )
-    return types.agg(
-        F.array(F.struct(F.lit("server").alias("mode"), F.transform(F.reverse(listed), lambda x: x["r"]).alias("resource"))).alias("rest")
-    )
+
+    def offered(kind, code):
+        return F.struct(F.lit(kind).alias("type"), F.array(F.struct(F.lit(code).alias("code"))).alias("interaction"))
+
+    listed = F.array(offered("ServiceRequest", "search-type"), offered("Patient", "search-type"), offered("Location", "read"))
+    return spark.range(1).select(F.array(F.struct(F.lit("server").alias("mode"), listed.alias("resource"))).alias("rest"))
 
 
 def metric_params(spark, sf_dir) -> DataFrame:

@@ -1,5 +1,7 @@
 """Session settings for tests and the bench; on a cluster the session comes from the submitter."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -13,6 +15,7 @@ def local_session(cores="*", app="sheafspark", shuffle_partitions=8):
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sheafspark-"))
         # call sites of every column cost more than building it
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

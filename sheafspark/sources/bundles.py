@@ -56,9 +56,8 @@ def read_ndjson_text(spark: SparkSession, path: str, pattern: str = MULTI_PATTER
 def read_ndjson_bundles(spark: SparkSession, path: str, pattern: str = MULTI_PATTERN) -> DataFrame:
     """One bundle per non-empty line with its number and byte range in the file.
 
-    Empty lines count for ``bundle_no``. The text is scanned twice, for the
-    block totals and for the rows, and is not shuffled while the block table
-    is small enough to broadcast.
+    Empty lines count for ``bundle_no``. The text is scanned once and stored with the place of
+    each line in its file split.
     """
     lines = _files(spark.read, pattern).option("lineSep", "\n").text(path)
     located = locate_lines(lines, keep=["value"])

@@ -1,5 +1,7 @@
 """Byte ranges of delimiter-separated chunks in files and text columns."""
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -8,26 +10,26 @@ from pyspark.sql import functions as F
 
 from sheafspark.storage import written_table
 
-# Largest block table that is sent to every executor, as an estimate in bytes.
-BROADCAST_BYTES = 256 * 1024 * 1024
-
 _SPAN = "ARRAY<STRUCT<chunk_no: BIGINT, start_bytes: BIGINT, end_bytes: BIGINT>>"
 
 
-def _lines_of_splits(batches):
+_PLACE = "STRUCT<no_in_block: BIGINT, start_in_block: BIGINT>"
+
+
+def _places(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Numbers lines and adds up bytes inside each file split; one task holds whole splits in order."""
     file, block, lines, offset = None, None, 0, 0
-    for batch in batches:
-        if batch.num_rows == 0:
+    for files, blocks, sizes in columns:
+        if len(sizes) == 0:
+            yield pa.array([], pa.struct([("no_in_block", pa.int64()), ("start_in_block", pa.int64())]))
             continue
-        files, blocks = batch.column("file"), batch.column("block_start")
-        size = batch.column("bytes").to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        starts_split = np.ones(batch.num_rows, dtype=bool)
+        size = sizes.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        starts_split = np.ones(len(size), dtype=bool)
         starts_split[0] = files[0].as_py() != file or blocks[0].as_py() != block
         same = pc.and_(pc.equal(files[1:], files[:-1]), pc.equal(blocks[1:], blocks[:-1]))
         starts_split[1:] = ~same.to_numpy(zero_copy_only=False)
 
-        row = np.arange(batch.num_rows)
+        row = np.arange(len(size))
         before = np.cumsum(size) - size
         first = np.maximum.accumulate(np.where(starts_split, row, -1))
         continued = first < 0
@@ -36,10 +38,7 @@ def _lines_of_splits(batches):
 
         file, block = files[-1].as_py(), blocks[-1].as_py()
         lines, offset = int(no[-1]) + 1, int(start[-1] + size[-1])
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(no, pa.int64()), pa.array(start, pa.int64())],
-            names=[*batch.schema.names, "no_in_block", "start_in_block"],
-        )
+        yield pa.StructArray.from_arrays([pa.array(no, pa.int64()), pa.array(start, pa.int64())], ["no_in_block", "start_in_block"])
 
 
 def _with_block(lines, keep):
@@ -52,8 +51,9 @@ def _with_block(lines, keep):
 
 
 def _numbered(rows):
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(_lines_of_splits, f"{fields}, no_in_block BIGINT, start_in_block BIGINT")
+    """Adds the place of each line in its split; only names, numbers and lengths leave the JVM."""
+    place = F.arrow_udf(_places, _PLACE)(F.col("file"), F.col("block_start"), F.col("bytes"))
+    return rows.select("*", place.alias("place")).select(*rows.columns, "place.*")
 
 
 def _block_offsets(rows):
@@ -70,50 +70,35 @@ def _block_offsets(rows):
     )
 
 
-def _placed(numbered, blocks, keep):
-    """Adds the block offsets; the block side is broadcast only after its size is known."""
-    estimate = blocks.agg(F.sum(F.octet_length("block_file") + 64)).first()[0] or 0
-    if estimate <= BROADCAST_BYTES:
-        blocks = F.broadcast(blocks)
+def locate_lines(lines: DataFrame, keep: list[str]) -> DataFrame:
+    """``(file, chunk_no, start_bytes, end_bytes, keep)`` of each row of a text scan.
+
+    One scan: lines are stored with their place in the split, and the totals of splits come from there.
+    """
+    numbered = written_table(_numbered(_with_block(lines, keep)), "lines")
+    blocks = written_table(_block_offsets(numbered), "line-blocks")
     joined = numbered.join(
-        blocks,
-        (F.col("file") == F.col("block_file")) & (F.col("block_start") == F.col("block_at")),
-        "left",
+        blocks, (F.col("file") == F.col("block_file")) & (F.col("block_start") == F.col("block_at"))
     )
-    # both scans must cut the files alike; if the cluster resized in between, fail rather than drop rows
-    before = F.when(
-        F.col("lines_before").isNull(), F.raise_error(F.lit("file splits changed between two scans"))
-    ).otherwise(F.col("lines_before"))
     start = F.col("bytes_before") + F.col("start_in_block")
     return joined.select(
         "file",
-        (before + F.col("no_in_block") + 1).alias("chunk_no"),
+        (F.col("lines_before") + F.col("no_in_block") + 1).alias("chunk_no"),
         start.alias("start_bytes"),
         (start + F.col("bytes")).alias("end_bytes"),
         *keep,
     )
 
 
-def locate_lines(lines: DataFrame, keep: list[str]) -> DataFrame:
-    """Number and byte range of each row of a text scan, along with the ``keep`` columns."""
-    blocks = written_table(_block_offsets(_with_block(lines, [])), "line-blocks")
-    return _placed(_numbered(_with_block(lines, keep)), blocks, keep)
-
-
 def chunk_index(spark: SparkSession, path: str, delimiter: str = "\n", pattern: str = "*") -> DataFrame:
-    """``(file, chunk_no, start_bytes, end_bytes)`` of all chunks, empty ones included.
-
-    One scan: the line lengths are stored, and totals and ranges come from there.
-    """
+    """``(file, chunk_no, start_bytes, end_bytes)`` of all chunks, empty ones included."""
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .option("lineSep", delimiter)
         .text(path)
     )
-    numbered = written_table(_numbered(_with_block(lines, [])), "line-lengths")
-    blocks = written_table(_block_offsets(numbered), "line-blocks")
-    return _placed(numbered, blocks, [])
+    return locate_lines(lines, [])
 
 
 def _spans(texts, delimiter):

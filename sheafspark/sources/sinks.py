@@ -3,52 +3,70 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafspark.functions.json_text import compact_json
 from sheafspark.operators.numbering import number_rows
 
 
 def export_ndjson(df: DataFrame, path: str, resource: str = "resource", order_by: list[str] | None = None) -> None:
-    """One resource per line in a new directory of part files; fails if the path exists.
+    """One compact resource per line in a new directory of part files; fails if the path exists.
 
+    Rows without a resource give no line.
     With ``order_by`` the parts, read in name order, hold the rows in that order.
     """
     if order_by:
         df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    df.select(resource).write.mode("errorifexists").text(path)
+    lines = df.select(compact_json(F.col(resource)).alias(resource)).where(F.col(resource).isNotNull())
+    lines.write.mode("errorifexists").text(path)
+
+
+def _string(text: Column) -> Column:
+    """The text as a JSON string."""
+    listed = F.to_json(F.array(text))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
 def post_entry(resource: Column, url: Column) -> Column:
     """Bundle entry that carries a resource as written."""
     return F.concat(
-        F.lit('{"resource":'), resource, F.lit(',"request":{"method":"POST","url":"'), url, F.lit('"}}')
+        F.lit('{"resource":'), resource, F.lit(',"request":{"method":"POST","url":'), _string(url), F.lit("}}")
     )
 
 
 def count_entry(resource_type: Column) -> Column:
     """Bundle entry that asks for the number of resources of a type."""
-    return F.concat(F.lit('{"request":{"method":"GET","url":"'), resource_type, F.lit('?_summary=count"}}'))
+    return F.concat(
+        F.lit('{"request":{"method":"GET","url":'), _string(F.concat(resource_type, F.lit("?_summary=count"))), F.lit("}}")
+    )
 
 
-def assemble_bundles(df: DataFrame, keys: list[str], position: str, entry: str, bundle_type: str = "batch") -> DataFrame:
-    """One bundle text per key with its entries by position.
+def assemble_bundles(
+    df: DataFrame, keys: list[str], position: str, entry: str, bundle_type: str = "batch", more: list[Column] | None = None
+) -> DataFrame:
+    """One bundle text per key with its entries by position; rows without an entry are left out.
 
+    ``more`` are further aggregates of the same rows.
     The keys must bound the entries per bundle; ``make_bundles`` derives such keys.
     """
     entries = F.array_sort(F.collect_list(F.struct(position, entry)))
-    return df.groupBy(*keys).agg(
+    return df.where(F.col(entry).isNotNull()).groupBy(*keys).agg(
         F.concat(
             F.lit(f'{{"resourceType":"Bundle","type":"{bundle_type}","entry":['),
             F.array_join(F.transform(entries, lambda e: e[entry]), ","),
             F.lit("]}"),
         ).alias("bundle"),
         F.count("*").alias("entries"),
+        *(more or []),
     )
 
 
 def make_bundles(
     df: DataFrame, entry: str, order_by: list[str], size: int, keys: list[str] | None = None, bundle_type: str = "batch"
 ) -> DataFrame:
-    """``(keys, bundle_no, bundle, entries)``, ``size`` entries per bundle in the given order."""
+    """``(keys, bundle_no, bundle, entries)``, ``size`` entries per bundle in the given order.
+
+    Rows without an entry are left out before they are numbered.
+    """
     keys = keys or []
-    numbered = number_rows(df.select(*dict.fromkeys([*keys, *order_by, entry])), order_by, keys)
+    numbered = number_rows(df.where(F.col(entry).isNotNull()).select(*dict.fromkeys([*keys, *order_by, entry])), order_by, keys)
     placed = numbered.withColumn("bundle_no", F.floor((F.col("row_no") - 1) / size))
     return assemble_bundles(placed, [*keys, "bundle_no"], "row_no", entry, bundle_type)

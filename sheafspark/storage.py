@@ -2,26 +2,19 @@
 
 Operators that read an intermediate result more than once, or that iterate,
 write it to the shared folder the cluster names in ``spark.checkpoint.dir``
-and read it back. That cuts the lineage, survives the loss of executors and
+and read it back. Nothing is written to a machine's own temporary folder. That cuts the lineage, survives the loss of executors and
 freezes values such as partition ids that a second run could assign anew.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="sheafspark-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir().rstrip("/")
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the session's warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

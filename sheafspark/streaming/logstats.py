@@ -5,76 +5,34 @@ grows with the range of latencies, not with the log, and still yields exact
 nearest-rank statistics.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafspark.operators.durations import STATISTICS, statistics_of_histogram
-from sheafspark.operators.responses import result_class
-
-
-def log_cells(log: DataFrame) -> DataFrame:
-    """Aggregates a log, batch or stream, into ``(metric, class, status, ms, n, rest_ns, bytes_in, bytes_out)``."""
-    classed = log.withColumn("class", result_class(F.col("status"), F.col("transport_error")))
-
-    def cell(metric, seconds, counts_bytes):
-        ms = (seconds * 1000.0).cast("bigint")
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            ms.alias("ms"),
-            (F.floor(seconds * 1e9 + 0.5) - ms * 1_000_000).alias("rest"),
-            (F.col("bytes_in") if counts_bytes else F.lit(0).cast("bigint")).alias("in"),
-            (F.col("bytes_out") if counts_bytes else F.lit(0).cast("bigint")).alias("out"),
-        )
-
-    cells = F.array(
-        cell("request", F.col("request_s"), True),
-        F.when(F.col("class") == "ok", cell("processing", F.col("processing_s"), False)),
-    )
-    rows = classed.select("class", "status", F.explode(cells).alias("cell")).where(F.col("cell").isNotNull())
-    return rows.groupBy(F.col("cell.metric").alias("metric"), "class", "status", F.col("cell.ms").alias("ms")).agg(
-        F.count("*").alias("n"),
-        F.sum("cell.rest").alias("rest_ns"),
-        F.sum("cell.in").alias("bytes_in"),
-        F.sum("cell.out").alias("bytes_out"),
-    )
-
-
-def stats_of_cells(cells: DataFrame) -> DataFrame:
-    """``(metric, total, errors, error_responses, bytes_in, bytes_out, <statistics>)`` of the cells."""
-    answered = F.col("class") != "failed"
-    totals = cells.groupBy("metric").agg(
-        F.sum("n").alias("total"),
-        F.coalesce(F.sum(F.when(~answered, F.col("n"))), F.lit(0)).alias("errors"),
-        F.coalesce(F.sum(F.when(F.col("class") == "non_ok", F.col("n"))), F.lit(0)).alias("error_responses"),
-        F.coalesce(F.sum(F.when(answered, F.col("bytes_in"))), F.lit(0)).alias("bytes_in"),
-        F.coalesce(F.sum(F.when(answered, F.col("bytes_out"))), F.lit(0)).alias("bytes_out"),
-    )
-    histogram = cells.where(answered & F.col("ms").isNotNull()).groupBy("metric", "ms").agg(
-        F.sum("n").alias("n"), F.sum("rest_ns").alias("rest_ns")
-    )
-    latencies = statistics_of_histogram(histogram, ["metric"]).drop("n")
-    return totals.join(latencies, "metric", "left").select(
-        *totals.columns, *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in STATISTICS]
-    )
-
-
-def status_counts(cells: DataFrame) -> DataFrame:
-    """``(status, count)`` of the answered requests in the cells."""
-    answered = cells.where((F.col("metric") == "request") & (F.col("class") != "failed"))
-    return answered.groupBy("status").agg(F.sum("n").alias("count"))
+from sheafspark.operators.logstats import log_cells
 
 
 def run_upload_stats(log_stream: DataFrame, target: str, checkpoint: str):
-    """Keeps the cells of all requests so far in the table at ``target``, replaced after each batch."""
+    """Keeps the cells of all requests so far below ``target``; ``read_cells`` has the last whole ones.
+
+    Each batch has a folder of its own and is named in a second table once it is written, so a reader, or a crash in
+    between, never sees half of one. A repeated batch writes the same again.
+    """
 
-    def replace(cells, _batch):
-        cells.write.mode("overwrite").parquet(target)
+    def add(cells, batch):
+        cells.write.mode("overwrite").parquet(f"{target}/cells-{batch}")
+        cells.sparkSession.range(1).select(F.lit(batch).cast("long").alias("batch")).write.mode("append").parquet(f"{target}/written")
 
     return (
         log_cells(log_stream)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(replace)
+        .foreachBatch(add)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_cells(spark: SparkSession, target: str) -> DataFrame:
+    """The cells after the last batch that was written as a whole."""
+    last = spark.read.parquet(f"{target}/written").agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{target}/cells-{last}")

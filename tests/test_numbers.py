@@ -4,11 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sheafspark.operators import lookup
 from sheafspark.operators.durations import duration_columns, duration_stats
-from sheafspark.operators.logstats import download_stats, status_histogram, upload_stats
-from sheafspark.operators.lookup import join_lookup
-from sheafspark.operators.numbering import number_rows, running_count
+from sheafspark.operators.logstats import download_stats, render_download_stats, render_upload_stats, status_histogram, upload_stats
+from sheafspark.operators.numbering import number_rows
 from sheafspark.schemas import REQUEST_LOG
 
 
@@ -43,6 +41,20 @@ def test_single_values_and_empty_input(spark):
     assert stats([None, 2.0])[0] == 1
 
 
+def test_what_is_no_duration_is_left_out(spark):
+    values = [float("nan"), float("inf"), -float("inf"), 1e300, None, 1.0, 3.0]
+    got = duration_stats(spark.createDataFrame([(v,) for v in values], "s DOUBLE"), "s").first()
+    assert (got.n, got.mean_ms, got.q50_ms, got.max_ms) == (2, 2000, 3000, 3000)
+
+
+def test_cells_do_not_meet_in_one_task(spark):
+    rows = spark.range(200_000).select((F.col("id") / 7).alias("s"))
+    stats = duration_stats(rows, "s")
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "cells" not in plan
+    assert tuple(stats.first())[2:] == nearest_rank([i / 7 for i in range(200_000)])[2:]
+
+
 def test_groups_with_a_hot_one(spark):
     rng = random.Random(1)
     rows = [("hot" if i % 3 else f"k{i % 50}", rng.expovariate(1)) for i in range(9000)] + [(None, 5.0)]
@@ -63,7 +75,7 @@ def test_several_columns(spark):
 
 
 def log(spark, rows):
-    full = [("f", i, 0, 1, status, None, out, got, req, proc, err) for i, (status, out, got, req, proc, err) in enumerate(rows)]
+    full = [("f0", i, 0, 1, status, None, out, got, req, proc, err) for i, (status, out, got, req, proc, err) in enumerate(rows)]
     return spark.createDataFrame(full, REQUEST_LOG)
 
 
@@ -80,6 +92,26 @@ def test_upload_stats(spark):
     assert [tuple(r) for r in status_histogram(log(spark, rows)).collect()] == [(200, 2), (404, 1), (503, 1)]
 
 
+def test_the_log_is_read_once(spark, tmp_path):
+    rows = [(200, i, i, i / 100, i / 200, None) for i in range(100)] + [(503, 1, 1, 1.0, 1.0, None)]
+    log(spark, rows).write.parquet(str(tmp_path / "log"))
+    stats = upload_stats(spark.read.schema(REQUEST_LOG).parquet(str(tmp_path / "log")))
+    assert stats.first().status_codes == "200:100, 503:1"
+    # histogram cells were stored, and everything else comes from there
+    plan = stats._jdf.queryExecution().optimizedPlan().toString() + "".join(stats.inputFiles())
+    assert "log-cells" in plan and str(tmp_path) not in plan
+
+
+def test_report_lines(spark):
+    rows = [(200, 100, 10, 1.0, 0.5, None), (404, 1, 1, 2.0, 1.0, None), (None, 1, 1, 1.0, 1.0, "reset")]
+    lines = {r.label: r.value for r in render_upload_stats(upload_stats(log(spark, rows)), concurrency=2).collect()}
+    assert lines["Uploads [total, concurrency]"] == "3, 2" and lines["Status Codes [code:count]"] == "200:1, 404:1"
+    none = render_upload_stats(upload_stats(log(spark, rows[2:]), ["file"])).collect()
+    assert {r.file for r in none} == {"f0"} and not any("Latencies" in r.label for r in none)
+    empty = spark.createDataFrame([], "status INT, body STRING, request_s DOUBLE, processing_s DOUBLE, bytes_in BIGINT")
+    assert [r.label for r in render_download_stats(download_stats(empty)).collect()] == ["Pages [total]", "Resources [total]", "Bytes In [total, mean]"]
+
+
 def test_upload_stats_without_answers(spark):
     failed = log(spark, [(None, 1, 1, 1.0, 1.0, "reset")])
     got = upload_stats(failed).first()
@@ -114,22 +146,3 @@ def test_row_numbers_of_equal_rows(spark):
     got = number_rows(spark.range(2000).select(F.lit("same").alias("v")), ["v"]).collect()
     assert sorted(r.row_no for r in got) == list(range(1, 2001))
 
-
-def test_running_count(spark):
-    rows = [("a" if i % 4 else "b", i, i % 7 == 0) for i in range(1000)]
-    got = running_count(spark.createDataFrame(rows, "k STRING, i INT, flag BOOLEAN"), "flag", "seen", ["i"], ["k"]).collect()
-    seen, expected = {}, {}
-    for k, i, flag in rows:
-        seen[k] = seen.get(k, 0) + flag
-        expected[i] = seen[k]
-    assert {r.i: r.seen for r in got} == expected
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_ways_agree(spark, monkeypatch, how):
-    rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 20).cast("int").alias("k"), "id")
-    table = spark.createDataFrame([(k, k * k) for k in range(15)], "k INT, v INT")
-    small = sorted(tuple(r) for r in join_lookup(rows, table, ["k"], 15, how).fillna(-1).collect())
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 3)
-    large = sorted(tuple(r) for r in join_lookup(rows, table, ["k"], 15, how).fillna(-1).collect())
-    assert small == large

@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheafspark.functions.links import next_from_link_header
-from sheafspark.operators import lookup, paging
 from sheafspark.operators.paging import follow_pages
 
 SCHEMA = "request_url STRING, status INT, link_header STRING, body STRING"
@@ -18,18 +17,30 @@ def walk(spark, pages, starts=(("c", "/0"),)):
     return sorted((r.chain, r.page_no, r.url, r.error) for r in rows)
 
 
-@pytest.mark.parametrize("n, broadcast", [(1, True), (2, True), (5, True), (17, True), (70, True), (5, False), (17, False)])
-def test_chains_of_many_lengths(spark, monkeypatch, n, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
-        monkeypatch.setattr(paging, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("n", [1, 2, 5, 17, 70])
+def test_chains_of_many_lengths(spark, n):
     pages = [(f"/{i}", 200, None, linked(f"/{i + 1}") if i + 1 < n else "{}") for i in range(n)]
     assert walk(spark, pages) == [("c", i, f"/{i}", None) for i in range(n)]
 
 
-def test_a_page_landed_twice(spark):
-    pages = [("/0", 500, None, "x"), ("/0", 200, None, linked("/1")), ("/1", 200, None, "{}")]
-    assert walk(spark, pages) == [("c", 0, "/0", None), ("c", 0, "/0", None), ("c", 1, "/1", None)]
+def test_a_page_landed_twice_is_one_page(spark):
+    pages = [("/0", 500, None, "x"), ("/0", 200, None, linked("/1")), ("/0", 200, None, linked("/1")), ("/1", 200, None, "{}")]
+    assert walk(spark, pages) == [("c", 0, "/0", None), ("c", 1, "/1", None)]
+
+
+def test_decoded_errors(spark):
+    outcome = '{"resourceType": "OperationOutcome", "issue": [{"code": "timeout"}]}'
+    table = spark.createDataFrame([("/0", 503, None, outcome), ("/1", 500, None, "gone"), ("/2", 200, None, "{}")], SCHEMA)
+    starts = spark.createDataFrame([(i, f"/{i}") for i in range(3)], "chain INT, url STRING")
+    rows = {r.chain: r.error_response for r in follow_pages(table, starts).collect()}
+    assert rows[0].issue[0].code == "timeout" and rows[0].other_error is None
+    assert rows[1].issue is None and rows[1].other_error == "gone" and rows[2] is None
+
+
+@pytest.mark.parametrize("target, good", [("/a?b=%20", True), ("http://a/b", True), ("/a%2", False), ("/a%zz", False), ("/a\\u0007", False), ("a", False)])
+def test_next_links_are_request_uris(spark, target, good):
+    got = walk(spark, [("/0", 200, None, linked(target))])
+    assert (got[0][3] is None) == good
 
 
 def test_header_wins_over_body(spark):
