@@ -12,6 +12,13 @@ SLICE_BYTES = 1 << 20
 _WHITE = re.compile(rb"[\t-\r ]")
 
 
+def each(batches: Iterator) -> Iterator:
+    """The batches of a task; what Arrow holds and does not need goes back to the system after each."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
 def byte_column(column: pa.Array) -> pa.Array:
     """The texts as UTF-8 bytes; null becomes empty."""
     return pc.fill_null(column.cast(pa.binary()), b"")

@@ -9,11 +9,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from sheafspark.llm.arrow_text import byte_column, row_slices, white_space_blocks
+from sheafspark.llm.arrow_text import byte_column, each, row_slices, white_space_blocks
 
 #: Distinct words whose tokens a task keeps; beyond that it starts over.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 80_000
+#: Bytes of text whose ids and decoded text leave a task at a time.
+CODED_BYTES = 4 << 20
 _NONE = np.iinfo(np.int64).max
 
 
@@ -259,7 +262,7 @@ def encode(text: Column, tokenizer: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = WordBpe(tokenizer)
-        for column in columns:
+        for column in each(columns):
             yield _encoded(bpe, column)
 
     return ids(text)
@@ -274,7 +277,7 @@ def decode(ids: Column, tokenizer: str, skip_special_tokens: bool = False) -> Co
     @F.arrow_udf("string")
     def texts(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         strings = TokenStrings(tokenizer, skip_special_tokens)
-        for column in columns:
+        for column in each(columns):
             yield strings.decode(column)
 
     return texts(ids)
@@ -288,13 +291,18 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFr
     other columns stay.
     """
 
-    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
-    def coded(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        # both steps in one worker process
-        bpe, strings = WordBpe(tokenizer), TokenStrings(tokenizer)
-        for column in columns:
-            ids = _encoded(bpe, column)
-            yield pa.StructArray.from_arrays([ids, strings.decode(ids)], ["ids", "decoded"])
+    own = [c for c in docs.columns if c not in ("ids", "decoded")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(f"`{text}`").alias("text"))
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "decoded")])
-    return docs.select(row.alias("row"), coded(F.col(f"`{text}`")).alias("coded")).select("row.*", "coded.ids", "coded.decoded")
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # both steps in one worker process, and small batches out
+        bpe, strings = WordBpe(tokenizer), TokenStrings(tokenizer)
+        for batch in each(batches):
+            texts = byte_column(batch.column(1))
+            for start, stop in row_slices(texts, CODED_BYTES):
+                ids = _encoded(bpe, texts.slice(start, stop - start))
+                row = batch.column(0).slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([row, ids, strings.decode(ids)], ["row", "ids", "decoded"])
+
+    schema = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
+    return rows.mapInArrow(coded, schema).select(*[F.col("row")[c].alias(c) for c in own], "ids", "decoded")

@@ -8,12 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.llm.arrow_text import byte_column, row_slices
+from sheafspark.llm.arrow_text import byte_column, each, row_slices
 from sheafspark.llm.word_features import BUCKETS, Hasher, word_tokens
 from sheafspark.storage import written_table
 
 #: About so many labelled rows of each class are learned from; a larger class is thinned by a hash of the key.
-ROWS_PER_CLASS = 10_000
+ROWS_PER_CLASS = 8_000
 EPOCHS = 10
 #: Features of fewer rows of the sample are not learned.
 LEAST_ROWS = 3
@@ -87,7 +87,7 @@ def text_features(text: Column, tokens=word_tokens) -> Column:
     @F.arrow_udf("array<int>")
     def features(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = Hasher(tokens)
-        for column in columns:
+        for column in each(columns):
             column = byte_column(column)
             values, sizes = [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
             for start, stop in row_slices(column):
@@ -118,20 +118,23 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = sample.select("key", "label", "share", text_features(F.col("text")).alias("features"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, sizes, targets, weight = [], [], [], {0: 0.0, 1: 0.0}
+        parts, targets, weight = [], [], {0: 0.0, 1: 0.0}
         rows_with = np.zeros(BUCKETS, np.int32)
         for batch in batches:
             column = batch.column(3)
-            flat.append(column.flatten().to_numpy(zero_copy_only=False))
-            sizes += np.diff(column.offsets.to_numpy()).tolist()
-            rows_with += np.bincount(flat[-1], minlength=BUCKETS).astype(np.int32)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            parts.append((flat, column.offsets.to_numpy() - column.offsets[0].as_py()))
+            rows_with += np.bincount(flat, minlength=BUCKETS).astype(np.int32)
             targets += batch.column(1).to_pylist()
             for y, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 weight[y] += 1 / s
-        owner = np.repeat(np.arange(len(sizes)), sizes)
         kept = rows_with >= LEAST_ROWS
-        sizes = np.bincount(owner[np.concatenate([kept[f] for f in flat])], minlength=len(sizes)) if flat else np.empty(0, int)
-        features = np.split(np.concatenate([f[kept[f]] for f in flat]), np.cumsum(sizes)[:-1]) if flat else []
+        features = []
+        for flat, offsets in parts:  # one by one, as all of them together are large
+            wanted = kept[flat]
+            upto = np.append(0, np.cumsum(wanted, dtype=np.int32))[offsets]
+            features += np.split(flat[wanted], upto[1:-1])
+        parts.clear()
         model = Ftrl(BUCKETS)
         if weight[0] and weight[1]:
             for epoch in range(EPOCHS):
@@ -157,13 +160,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def score(text: Column, model: SparseModel, docs: DataFrame) -> Column:
     """The probability of class 1 for each whole text; null counts as empty, and an empty text has the bias only."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: executors need no installed copy of the class
+    shared = docs.sparkSession.sparkContext.broadcast((model.at, model.weights, model.bias))
 
     @F.arrow_udf("double")
     def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        weights, bias = shared.value.dense(), shared.value.bias
+        model = SparseModel(*shared.value)
+        weights, bias = model.dense(), model.bias
         hasher, wanted = Hasher(word_tokens), weights != 0
-        for column in columns:
+        for column in each(columns):
             column = byte_column(column)
             total = np.full(len(column), bias)
             for start, stop in row_slices(column):

@@ -10,7 +10,7 @@ from sheafspark.llm.arrow_text import SLICE_BYTES, white_space_blocks
 #: Hash buckets of all features together.
 BUCKETS = 1 << 20
 #: Distinct words whose hashes a task keeps; beyond that it starts over.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 80_000
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "¡¿«»“”„‘’…–—·"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
