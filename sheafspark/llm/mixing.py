@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from sheafspark.llm.arrow_text import byte_column
+from sheafspark.llm.arrow_text import byte_column, each
 from sheafspark.operators.numbering import number_rows
 from sheafspark.storage import written_table
 
@@ -24,8 +24,9 @@ def word_count(text: Column) -> Column:
     """Runs of anything but ASCII white space; null has none."""
 
     @F.arrow_udf("long")
-    def words(texts: pa.Array) -> pa.Array:
-        return pa.array([len(t.as_buffer().to_pybytes().split()) for t in byte_column(texts)], pa.int64())
+    def words(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in each(columns):
+            yield pa.array([len(t.as_buffer().to_pybytes().split()) for t in byte_column(texts)], pa.int64())
 
     return words(text)
 
@@ -121,7 +122,10 @@ class Flight:
 
 
 def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds ``decided`` to rows (block, n, size, probability, taken, left, row) that are sorted by block."""
+    """Adds ``decided`` to rows (block, n, size, probability, taken, left, ...) that are sorted by block.
+
+    Texts do not come here: what a task holds are numbers.
+    """
     block, flight, held = None, None, {}
 
     def with_column(batch, values):
@@ -185,16 +189,19 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
     """
     own = ("size", "source_size", "target", "copies")
     columns = [c for c in docs.columns if c not in own and (keep_text or c != text)]
-    sized = docs.select(
+    # the number finds a row again; a stored table gives it again, too
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        F.monotonically_increasing_id().alias("id"),
         F.col(f"`{source}`").alias("source"),
         F.col(f"`{key}`").alias("key"),
-        word_count(F.col(f"`{text}`")).alias("size"),
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        F.col(f"`{text}`").alias("text"),
     )
+    sized = written_table(rows.select("id", "source", "key", word_count(F.col("text")).alias("size")), "sized")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     targets = source_targets(written_table(by_source, "source-sizes"))
     targets = written_table(targets.withColumn("source_no", F.xxhash64("source", F.col("source").isNull())), "source-targets")
-    ready = sized.join(targets, sized.source.eqNullSafe(targets.source)).select("key", "size", "row", "source_size", "target", "source_no", "rows")
+    ready = sized.join(targets, sized.source.eqNullSafe(targets.source))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rest = expected - F.floor(expected)
     # rows of a source are dealt to its blocks by a hash, and fly there with the largest first
@@ -209,16 +216,17 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
             F.when(F.col("size") > 0, rest).otherwise(0.0).alias("probability"),
             (rest * F.col("source_size") / blocks).alias("taken"),
             ((1 - rest) * F.col("source_size") / blocks).alias("left"),
-            F.struct("row", "size", "source_size", "target", whole.alias("whole")).alias("row"),
+            "id",
+            "source_size",
+            "target",
+            whole.alias("whole"),
         )
         .repartition("block")
-        .sortWithinPartitions("block", F.desc("size"), "n")
+        .sortWithinPartitions("block", F.desc("size"), "n", "id")
     )
     flown = dealt.mapInArrow(_fly, StructType([*dealt.schema.fields, StructField("decided", DoubleType())]))
-    return flown.select(
-        *[F.col("row.row")[c].alias(c) for c in columns],
-        F.col("row.size").alias("size"),
-        F.col("row.source_size").alias("source_size"),
-        F.col("row.target").alias("target"),
-        (F.col("row.whole") + F.col("decided").cast("int")).alias("copies"),
+    copies = (F.col("whole") + F.col("decided").cast("int")).alias("copies")
+    taken = written_table(flown.select("id", "size", "source_size", "target", copies), "mix")
+    return rows.select("row", "id").join(taken, "id").select(
+        *[F.col("row")[c].alias(c) for c in columns], "size", "source_size", "target", "copies"
     )
