@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.llm.arrow_text import byte_column
+from sheafspark.llm.arrow_text import byte_column, each
 from sheafspark.storage import written_table
 
 #: Bits of the filter for each row, and the most words of 64 bits that a filter has (64 MB for each of two planes).
@@ -21,16 +21,11 @@ SEGMENT_WORDS = 1 << 14
 _BITS = 5
 
 
-def normal_sha256(text: Column) -> Column:
-    """SHA-256 of the text with A-Z lower-cased, as 32 bytes; null counts as empty."""
-
-    @F.arrow_udf("binary")
-    def digest(texts: pa.Array) -> pa.Array:
-        # bytes.lower() changes A-Z only
-        found = [hashlib.sha256(t.as_buffer().to_pybytes().lower()).digest() for t in byte_column(texts)]
-        return pa.array(found, pa.binary())
-
-    return digest(text)
+def _digests(texts: pa.Array) -> pa.Array:
+    """SHA-256 of each text with A-Z lower-cased, as 32 bytes; null counts as empty."""
+    # bytes.lower() changes A-Z only
+    found = [hashlib.sha256(t.as_buffer().to_pybytes().lower()).digest() for t in byte_column(texts)]
+    return pa.array(found, pa.binary())
 
 
 def _places(hashes: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,19 +64,19 @@ class RepeatFilter:
         self.once[own] |= once
 
 
-def repeat_filter(hashes: DataFrame, words: int) -> np.ndarray:
-    """The second filter's bits over all rows of the only column. Each task builds its own pair of filters.
+def repeat_filter(texts: DataFrame, words: int) -> np.ndarray:
+    """The second filter's bits over the hashes of all texts, the only column. Each task builds its own pair of filters.
 
     What the driver gets is at most ``MAX_WORDS`` words, whatever the number of rows.
     """
-    spark = hashes.sparkSession
+    spark = texts.sparkSession
     segment = min(SEGMENT_WORDS, words)
     schema = "segment long, once binary, twice binary"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = RepeatFilter(words)
-        for batch in batches:
-            own.add(batch.column(0))
+        for batch in each(batches):
+            own.add(_digests(batch.column(0)))
         for start in range(0, words, segment):
             once, twice = (x[start : start + segment] for x in (own.once, own.twice))
             if once.any():
@@ -110,7 +105,7 @@ def repeat_filter(hashes: DataFrame, words: int) -> np.ndarray:
             yield out(current, own)
 
     tasks = max(1, spark.sparkContext.defaultParallelism)
-    built = hashes.coalesce(tasks).mapInArrow(build, schema)
+    built = texts.coalesce(tasks).mapInArrow(build, schema)
     merged = built.repartition("segment").sortWithinPartitions("segment").mapInArrow(combine, "segment long, twice binary")
     bits = np.zeros(words, np.uint64)
     for row in merged.collect():
@@ -119,14 +114,18 @@ def repeat_filter(hashes: DataFrame, words: int) -> np.ndarray:
     return bits
 
 
-def _maybe_repeated(sha: Column, bits: Broadcast) -> Column:
-    @F.arrow_udf("boolean")
-    def test(hashes: pa.Array) -> pa.Array:
+def _hashed(text: Column, bits: Broadcast) -> Column:
+    """Struct of ``sha`` and of ``repeated``, which is false only for hashes of one row. One worker does both."""
+
+    @F.arrow_udf("struct<sha: binary, repeated: boolean>")
+    def test(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         twice = bits.value
-        at, mask = _places(hashes, len(twice))
-        return pa.array((twice[at] & mask) == mask)
+        for texts in each(columns):
+            hashes = _digests(texts)
+            at, mask = _places(hashes, len(twice))
+            yield pa.StructArray.from_arrays([hashes, pa.array((twice[at] & mask) == mask)], ["sha", "repeated"])
 
-    return test(sha)
+    return test(text)
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
@@ -142,15 +141,14 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_t
     spark = docs.sparkSession
     own = ("text_sha256", "keep_id", "group_size", "kept")
     columns = [c for c in docs.columns if c not in own and (keep_text or c != text)]
-    hashed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-        F.col(f"`{key}`").alias("key"),
-        normal_sha256(F.col(f"`{text}`")).alias("sha"),
-    )
     rows = docs.count()
     words = max(1, min(MAX_WORDS, rows * BITS_PER_ROW // 64 + 1))
-    bits = spark.sparkContext.broadcast(repeat_filter(hashed.select("sha"), words))
-    tested = hashed.withColumn("repeated", _maybe_repeated(F.col("sha"), bits))
+    bits = spark.sparkContext.broadcast(repeat_filter(docs.select(F.col(f"`{text}`")), words))
+    tested = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        F.col(f"`{key}`").alias("key"),
+        _hashed(F.col(f"`{text}`"), bits).alias("h"),
+    ).select("row", "key", "h.sha", "h.repeated")
     passed = tested.where(~F.col("repeated"))
     # the number tells rows with the same key apart
     again = tested.where("repeated").select("row", "key", "sha", F.monotonically_increasing_id().alias("n"))
