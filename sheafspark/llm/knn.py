@@ -15,7 +15,7 @@ from sheafspark.storage import written_table
 DATA_PIVOTS = 64
 MAX_GROUPS = 4096
 BLOCK_QUERIES = 1_000
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4_000
 
 
 def whole_components(vector: Column, scale: int = 256) -> Column:
@@ -122,7 +122,7 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_i
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, near = np.empty(0, np.int64), np.empty(0)
-        for batch in batches:  # the smallest few of each cell in this task
+        for batch in batches:  # the smallest few of each cell among the rows of a task
             cells, near = np.append(cells, batch.column(0).to_numpy()), np.append(near, batch.column(1).to_numpy())
             order = np.lexsort((near, cells))
             cells, near = cells[order], near[order]
@@ -130,7 +130,9 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_i
             cells, near = cells[place < wanted], near[place < wanted]
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(near)], ["cell", "far"])
 
-    smallest = data.select("cell", "far").mapInArrow(least, "cell long, far double").toPandas()
+    few = data.select("cell", "far").mapInArrow(least, "cell long, far double")
+    # a few distances of each pivot, whatever the number of tasks
+    smallest = few.repartition("cell").mapInArrow(least, "cell long, far double").toPandas()
     radius = queries.groupBy("cell").agg(F.max("far").alias("u")).toPandas()
     u = np.zeros(len(group_pivots))
     u[radius["cell"].to_numpy()] = radius["u"].to_numpy()
