@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.llm.arrow_text import byte_column, row_slices
+from sheafspark.llm.arrow_text import byte_column, each, row_slices
 from sheafspark.llm.toxicity import Ftrl, held_out, labelled_sample, sigmoid
 from sheafspark.llm.word_features import Hasher, shape_tokens
 from sheafspark.storage import written_table
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str) ->
 
     def view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = ContentView()
-        for batch in batches:
+        for batch in each(batches):
             texts = byte_column(batch.column(2))
             flat, sizes = content.features(texts)
             ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
@@ -213,15 +213,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str) ->
 
 def score(text: Column, lang: Column, model: Model, docs: DataFrame) -> Column:
     """The probability of good quality of each whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: executors need no installed copy of the class
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.arrow_udf("double")
     def scores(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        content = ContentView()
-        for texts, langs in columns:
+        content, model = ContentView(), Model()
+        vars(model).update(shared.value)
+        for texts, langs in each(columns):
             texts = byte_column(texts)
             flat, sizes = content.features(texts)
-            yield pa.array(shared.value.score(shared.value.logits(flat, sizes, _layouts(texts, langs))))
+            yield pa.array(model.score(model.logits(flat, sizes, _layouts(texts, langs))))
 
     return scores(text, lang)
 

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafspark.llm.arrow_text import each
 from sheafspark.storage import written_table
 
 #: A class counts if it occurs on so many pages of a host, and on this part of them.
@@ -229,7 +230,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = PageParser()
-        for batch in batches:
+        for batch in each(batches):
             sequences = [parser.parse(page.as_py())[1] for page in batch.column(2)]
             counted = [Counter(s) for s in sequences]
             columns = [sequences, [list(c) for c in counted], [list(c.values()) for c in counted]]
@@ -356,7 +357,7 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = PageParser()
-        for batch in batches:
+        for batch in each(batches):
             texts = [
                 main_text(parser.parse(page.as_py())[0], set(gone.as_py() or ()))
                 for page, gone in zip(batch.column(2), batch.column(3), strict=True)

@@ -21,7 +21,19 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
+#: Rows of an Arrow batch; texts are long, and a task holds a few batches at a time.
+BATCH_ROWS = 2_000
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the session, unless it has smaller ones already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -157,17 +169,20 @@ def pipeline_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pipeline_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that with the largest doc_id."""
+    _bounded(spark)
     row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     return exact_dedup(row, keep_text=False).where("kept").select("row.*")
 
 
 def pipeline_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked texts, that with the smallest doc_id."""
+    _bounded(spark)
     return simhash_survivors(docs)
 
 
 def pipeline_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; 0 times: not at all."""
+    _bounded(spark)
     row = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")
     mixed = mix(row, keep_text=False).where("copies > 0")
     return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
@@ -175,6 +190,7 @@ def pipeline_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pipeline_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last stage: the columns of documents with the token ids and the decoded text."""
+    _bounded(spark)
     return encode_decode(docs, WORD_BPE)
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.llm.arrow_text import SLICE_BYTES, byte_column, row_slices, white_space_blocks
+from sheafspark.llm.arrow_text import SLICE_BYTES, byte_column, each, row_slices, white_space_blocks
 
 #: Distinct words whose counts a task keeps; beyond that it starts over.
 KEPT_WORDS = 500_000
@@ -101,7 +101,7 @@ def n_tokens(text: Column, tokenizer: str) -> Column:
     @F.arrow_udf("long")
     def lengths(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = LengthEncoder(tokenizer)
-        for column in columns:
+        for column in each(columns):
             yield encoder.lengths(column)
 
     return lengths(text)
