@@ -227,6 +227,7 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
     flown = dealt.mapInArrow(_fly, StructType([*dealt.schema.fields, StructField("decided", DoubleType())]))
     copies = (F.col("whole") + F.col("decided").cast("int")).alias("copies")
     taken = written_table(flown.select("id", "size", "source_size", "target", copies), "mix")
-    return rows.select("row", "id").join(taken, "id").select(
+    # whole rows move in the same way at every size
+    return rows.select("row", "id").join(taken.hint("merge"), "id").select(
         *[F.col("row")[c].alias(c) for c in columns], "size", "source_size", "target", "copies"
     )

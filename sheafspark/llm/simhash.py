@@ -215,7 +215,8 @@ def simhash_survivors(docs: DataFrame, key: str = "doc_id", text: str = "text")
     found = _components(prints)
     kept = found.groupBy("root").agg(F.min("least").alias("least")).select("least.n")
     kept = written_table(kept, "kept-rows")
-    return rows.select("row", "n").join(kept, "n", "left_semi").select("row.*")
+    # whole rows move in the same way at every size
+    return rows.select("row", "n").join(kept.hint("merge"), "n", "left_semi").select("row.*")
 
 
 def whole_ball_rows(radius: int = RADIUS) -> int:
