@@ -1,10 +1,9 @@
 """JSON text kept as written: whitespace removal and cutting out entries."""
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_cut import cut_all, cut_response
+from sheafspark.functions.json_cut import cut_all
 from sheafspark.schemas import ENTRY_TEXT
 
 # A string literal, or a run of whitespace between tokens. All quantifiers are
@@ -45,26 +44,31 @@ def exact_entries(body: Column) -> Column:
     return F.arrow_udf(cut_all, ENTRY_TEXT)(body, is_object(body))
 
 
-def _responses(bodies: pa.Array) -> pa.Array:
-    rows = []
-    for body in bodies.to_pylist():
-        try:
-            rows.append(cut_response(body))
-        except ValueError:
-            rows.append(None)
-    return pa.array(rows, _RESPONSE_TYPE)
+_ENVELOPE = "type STRING, entry ARRAY<STRUCT<response: STRUCT<status: STRING, location: STRING, outcome: STRING>>>, _corrupt STRING"
 
 
-_RESPONSE = (
-    "STRUCT<type: STRING, entries: INT, resource: STRING, answered: BOOLEAN, status: STRING, location: STRING, outcome: STRING>"
-)
-_RESPONSE_TYPE = pa.struct(
-    [(n, pa.string()) for n in ("type",)]
-    + [("entries", pa.int32()), ("resource", pa.string()), ("answered", pa.bool_())]
-    + [(n, pa.string()) for n in ("status", "location", "outcome")]
-)
+def exact_response(body: Column) -> Column:
+    """The type, the number of entries and the first entry's parts of a batch response; null if unreadable.
 
+    The resource is the text as written, cut in batches; the JSON functions read the rest.
+    """
 
-def exact_response(body: Column) -> Column:
-    """The type, the number of entries and the first entry's parts of a batch response, as written; null if unreadable."""
-    return F.arrow_udf(_responses, _RESPONSE)(body)
+    def parts(both):
+        envelope, entries = both["envelope"], both["entries"]
+        response = F.get(envelope["entry"], F.lit(0))["response"]
+        readable = body.rlike(r"^\s*\{") & envelope["_corrupt"].isNull() & entries.isNotNull()
+        return F.when(
+            readable,
+            F.struct(
+                envelope["type"].alias("type"),
+                F.size(entries).alias("entries"),
+                F.get(entries, F.lit(0))["resource"].alias("resource"),
+                response.isNotNull().alias("answered"),
+                response["status"].alias("status"),
+                response["location"].alias("location"),
+                response["outcome"].alias("outcome"),
+            ),
+        )
+
+    envelope = F.from_json(body, _ENVELOPE, _STRICT)
+    return using(F.struct(envelope.alias("envelope"), exact_entries(body).alias("entries")), parts)
