@@ -16,8 +16,11 @@ from sheafspark.storage import written_table
 #: A class counts if it occurs on so many pages of a host, and on this part of them.
 LEAST_PAGES = 4
 LEAST_SHARE = 0.05
-#: Text outside a marked article is template text if it stands on all of at least so many pages of a host.
+#: Text is template text if its class is valid and stands on this part of the pages of a host that has at least so many;
+#: the class that frames the pages stands on the larger part.
 TEXT_PAGES = 8
+TEXT_SHARE = 0.5
+FRAME_SHARE = 0.8
 
 # Names of HTML elements, and words of class, id and role attributes.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -67,7 +70,8 @@ _LETTERS = re.compile(r"[a-z]+")
 
 
 def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text) - (1 << 63)
+    """An even number; tokens of texts are odd."""
+    return (xxhash.xxh64_intdigest(text) & ~1) - (1 << 63)
 
 
 class Element:
@@ -88,7 +92,7 @@ class Block:
         self.text, self.path, self.boiler, self.main, self.linked = text, path, boiler, main, linked
 
     def token(self) -> int:
-        return _hash(f"{self.path} {self.text}")
+        return _hash(f"{self.path} {self.text}") | 1
 
 
 _ROOT = Element("", 0, False, 0, False)
@@ -144,7 +148,7 @@ class PageParser:
                 if text:
                     top = stack[-1]
                     blocks.append(Block(text, top.path, top.boiler, top.main, 2 * linked > chars))
-                    if not top.boiler and not top.main:
+                    if not top.boiler:
                         tokens.append(blocks[-1].token())
                 runs.clear()
             linked = chars = 0
@@ -209,14 +213,16 @@ class PageParser:
 def main_text(blocks: list[Block], template: set[int]) -> str:
     """The text of the slots that hold the article.
 
-    Inside a marked article only its own boilerplate elements are left out. A page without one gives the blocks that are
-    neither template text of its host nor mostly links.
+    The template of the host says which texts are no slot, marks choose among the slots; a marked part that is template
+    text only is kept. Mostly linked text of a page without marks is left out as well.
     """
     free = [b for b in blocks if not b.boiler]
     level = max((b.main for b in free), default=0)
+    marked = [b for b in free if b.main == level]
+    own = [b for b in marked if b.token() not in template]
     if level:
-        return "\n".join(b.text for b in free if b.main == level)
-    return "\n".join(b.text for b in free if not b.linked and b.token() not in template)
+        return "\n".join(b.text for b in own or marked)
+    return "\n".join(b.text for b in own if not b.linked)
 
 
 def host_of(url: Column) -> Column:
@@ -258,7 +264,7 @@ def equivalence_classes(tokens: DataFrame) -> DataFrame:
         F.sum(F.xxhash64("page", "t.counts").cast(exact)).alias("v1"),
         F.sum(F.xxhash64("t.counts", "page", F.lit(1)).cast(exact)).alias("v2"),
     )
-    sizes = written_table(tokens.groupBy("host").agg(F.count("*").alias("pages")), "host-pages")
+    sizes = written_table(tokens.where(F.size("sequence") > 0).groupBy("host").agg(F.count("*").alias("pages")), "host-pages")
     frequent = vectors.where(F.col("support") >= LEAST_PAGES).join(sizes, "host")
     frequent = frequent.where(F.col("support") >= F.col("pages") * LEAST_SHARE)
     return frequent.groupBy("host", "pages", "support", "times", F.xxhash64("v1", "v2").alias("class")).agg(
@@ -267,12 +273,14 @@ def equivalence_classes(tokens: DataFrame) -> DataFrame:
 
 
 def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page and class: the order of its members, and the slot of the page's class it lies in."""
+    """For each page and class: the order of its members, and the slot of the host's frame it lies in, if the page has it."""
     for batch in batches:
         out = []
         for host, sequence, classes in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             of = {m: c["class"] for c in classes for m in c["members"]}
-            root = next((c for c in classes if c["support"] == c["pages"] == c["times"]), None)
+            frames = [c for c in classes if c["support"] == c["times"] >= FRAME_SHARE * c["pages"]]
+            root = max(frames, key=lambda c: (c["support"], len(c["members"]), c["class"]), default=None)
+            framed = root is None or root["members"][0] in set(sequence)
             seen: dict[int, list[int]] = {}
             slots: dict[int, set[int]] = {}
             slot = 0
@@ -290,17 +298,19 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # ordered: the members repeat one and the same order
                 regular = order == first * (len(order) // len(first))
                 within = slots.get(own, {0})
-                out.append((host, own, _hash(repr(first)) if regular else None, min(within) if len(within) == 1 else None))
-        columns = list(zip(*out, strict=True)) or [()] * 4
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "class", "order", "slot"])
+                out.append((host, own, _hash(repr(first)) if regular else None, min(within) if len(within) == 1 else None, framed))
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        names = ["host", "class", "order", "slot", "framed"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def host_templates(tokens: DataFrame) -> DataFrame:
     """(host, pages, nodes): the nested valid classes of each host, for a stored table of :func:`page_tokens`.
 
-    A class is valid if its members keep one order on all pages and, apart from the class that frames every page, lie
-    within one slot between two neighbouring members of that class. A node has its class, support, slot and members.
+    The frame is the class that stands once on most pages, and on FRAME_SHARE of them at least. A class is valid if its
+    members keep one order on all pages and, apart from the frame, lie within one slot between two neighbouring members
+    of the frame on all pages that have it. A node has its class, support, slot and members.
     """
     classes = written_table(equivalence_classes(tokens), "token-classes")
     by_host = classes.groupBy("host").agg(
@@ -308,19 +318,19 @@ def host_templates(tokens: DataFrame) -> DataFrame:
     )
     by_host = written_table(by_host, "host-classes")
     checked = tokens.select("host", "sequence").join(by_host, "host").select("host", "sequence", "classes")
-    orders = checked.mapInArrow(_orders, "host string, class long, order long, slot long")
+    orders = checked.mapInArrow(_orders, "host string, class long, order long, slot long, framed boolean")
     valid = (
         orders.groupBy("host", "class")
         .agg(
             F.min("order").alias("lo"),
             F.max("order").alias("hi"),
-            F.min("slot").alias("slot"),
-            F.max("slot").alias("slot_hi"),
+            F.min(F.expr("CASE WHEN framed THEN slot END")).alias("slot"),
+            F.max(F.expr("CASE WHEN framed THEN slot END")).alias("slot_hi"),
             F.count("order").alias("n"),
-            F.count("slot").alias("n_slot"),
+            F.count_if(F.col("framed") & F.col("slot").isNull()).alias("n_split"),
             F.count("*").alias("all"),
         )
-        .where("lo = hi AND n = all AND slot = slot_hi AND n_slot = all")
+        .where("lo = hi AND n = all AND slot <=> slot_hi AND n_split = 0")
         .select("host", "class", "slot")
     )
     nodes = classes.join(valid, ["host", "class"])
@@ -328,10 +338,13 @@ def host_templates(tokens: DataFrame) -> DataFrame:
 
 
 def template_texts(templates: DataFrame) -> DataFrame:
-    """(host, dropped): members of the class that frames all pages, for hosts with enough pages."""
+    """(host, dropped): texts of the valid classes on TEXT_SHARE of the pages, nested ones too, and all members of the
+    frame, for hosts with enough pages."""
     node = templates.where(F.col("pages") >= TEXT_PAGES).select("host", "pages", F.explode("nodes").alias("n"))
-    framing = node.where((F.col("n.support") == F.col("pages")) & (F.col("n.times") == F.col("pages")))
-    return framing.groupBy("host").agg(F.flatten(F.collect_list("n.members")).alias("dropped"))
+    frequent = node.where(F.col("n.support") >= F.col("pages") * TEXT_SHARE)
+    frame = (F.col("n.support") == F.col("n.times")) & (F.col("n.support") >= F.col("pages") * FRAME_SHARE)
+    gone = F.when(frame, F.col("n.members")).otherwise(F.filter("n.members", lambda m: m.bitwiseAND(F.lit(1).cast("long")) == 1))
+    return frequent.groupBy("host").agg(F.flatten(F.collect_list(gone)).alias("dropped"))
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
@@ -340,7 +353,7 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     Text blocks are ended by block elements and line breaks; character references are decoded, white space becomes one
     space, and blocks are joined by one line break. Scripts, styles, menus, headers, footers, sidebars, notices,
     adverts, forms and reader comments are left out, by element and by the words of class, id and role; so is what
-    templates of the host show to be no slot, on pages that mark no article. Null and empty pages give the empty text;
+    the template of the host shows to be no slot. Null and empty pages give the empty text;
     pages without a host are read without a template. Repeated rows give repeated rows; an empty table an empty table.
     """
     read = pages.select(
@@ -352,7 +365,6 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     numbered = read.where(F.col("host").isNotNull()).select("host", F.xxhash64("key", "url").alias("page"), "html")
     tokens = written_table(page_tokens(numbered), "page-tokens")
     dropped = written_table(template_texts(host_templates(tokens)), "host-template-texts")
-    # only what a page without an article needs travels; the framing tags themselves are no text
     joined = read.join(dropped, "host", "left").select("key", "url", "html", "dropped")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -100,6 +100,21 @@ def test_template_nodes(spark, stored):
     assert sorted(dropped[0].dropped) == sorted(framing[0].members)
 
 
+def test_template_decides_on_marked_pages(stored):
+    page = "<body><main><p>Read us daily</p><div>{}</div><p>own {}</p>{}</main></body>"
+    rows = [(i, f"http://h.example/{i}", page.format("<p>a</p><p>Follow us</p>" if i % 3 else "", i, "" if i % 5 else "<p>rare</p>")) for i in range(20)]
+    rows += [(20, "http://h.example/20", ""), (21, "http://h.example/21", None), (22, "http://h.example/22", "<p>no frame</p>")]
+    got = {r.page_id: r.text for r in extract_main_text(stored(rows, SCHEMA)).collect()}
+    # on most pages, not all of them; two pages have no tokens
+    assert all(got[i] == (f"own {i}" if i % 5 else f"own {i}\nrare") for i in range(20))
+    assert (got[20], got[21], got[22]) == ("", "", "no frame")
+
+
+def test_copies_of_a_marked_page_keep_their_text(stored):
+    rows = extract_main_text(stored([(i, f"http://h.example/{i}", "<article><p>a</p></article>") for i in range(12)], SCHEMA)).collect()
+    assert [r.text for r in rows] == ["a"] * 12
+
+
 def test_unordered_classes_are_not_valid(stored):
     def page(i):
         parts = ["<p>same one</p>", "<p>same two</p>"]
