@@ -40,6 +40,17 @@ _WORDS = frozenset(
     "copyright disclaimer alert alertdialog dialog contentinfo complementary menubar skip".split()
 )
 _OUTSIDE = frozenset("header banner masthead".split())
+# Inside marked text only whole names of class and role count, and few of id.
+_PARTS = _WORDS | frozenset(
+    "ad-container ad-slot ad-unit ad-wrapper comment-form comment-list comments-area comments-section cookie-banner "
+    "cookie-notice disqus_thread newsletter-signup related-articles related-links related-posts share-buttons share-links "
+    "social-share".split()
+)
+_IDS = frozenset("breadcrumb breadcrumbs comment-list comments cookie-notice disqus_thread newsletter pagination respond sidebar".split())
+_CONTAINERS = frozenset("blockquote center details div dl fieldset figure ol section table ul".split())
+_NO_ID = frozenset("h1 h2 h3 h4 h5 h6 section".split())
+_CODE = frozenset("code kbd samp tt var".split())
+_NEGATED = re.compile(r"(?:no|not|non|has|with|without|is|hide|show)[-_]")
 _MAIN = frozenset(
     "main content article post story main-content page-content article-body article-content post-body post-content "
     "entry-content story-body articlebody".split()
@@ -69,6 +80,18 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']
 _LETTERS = re.compile(r"[a-z]+")
 
 
+def _named_boilerplate(tag: str, values: dict[str, str], main: int) -> bool:
+    """Whether class, id and role name an element boilerplate; inside marked text only whole names of containers do."""
+    named = {n for k in ("class", "role") for n in values.get(k, "").split()}
+    ids = set() if tag in _NO_ID else set(values.get("id", "").split())
+    if main:
+        inline = tag not in _BLOCK
+        return (inline or tag in _CONTAINERS) and bool(named & (_PARTS - _OUTSIDE) or (not inline and ids & _IDS))
+    if tag not in _BLOCK:
+        return bool(named & _PARTS)
+    return any(w in _WORDS or w in _OUTSIDE for n in named | ids if not _NEGATED.match(n) for w in _LETTERS.findall(n))
+
+
 def _hash(text: str) -> int:
     """An even number; tokens of texts are odd."""
     return (xxhash.xxh64_intdigest(text) & ~1) - (1 << 63)
@@ -86,10 +109,11 @@ class Element:
 class Block:
     """A run of text between block borders."""
 
-    __slots__ = ("text", "path", "boiler", "main", "linked")
+    __slots__ = ("text", "path", "boiler", "main", "linked", "part")
 
-    def __init__(self, text: str, path: int, boiler: bool, main: int, linked: bool):
+    def __init__(self, text: str, path: int, boiler: bool, main: int, linked: bool, part: int):
         self.text, self.path, self.boiler, self.main, self.linked = text, path, boiler, main, linked
+        self.part = part  # the number of the outermost marked element it lies in
 
     def token(self) -> int:
         return _hash(f"{self.path} {self.text}") | 1
@@ -107,13 +131,12 @@ class PageParser:
     def __init__(self):
         self.memo: dict = {}
 
-    def _opened(self, parent: Element, tag: str, attributes: str, first_main: bool) -> Element:
-        key = (parent.path, parent.boiler, parent.main, parent.named, tag, attributes, first_main)
+    def _opened(self, parent: Element, tag: str, attributes: str, first_main: bool, code: bool = False) -> Element:
+        key = (parent.path, parent.boiler, parent.main, parent.named, tag, attributes, first_main, code)
         found = self.memo.get(key)
         if found is None:
             values = {m[0].lower(): (m[1] or m[2] or m[3]).lower() for m in _ATTRIBUTE.findall(attributes)}
             names = " ".join(v for k, v in values.items() if k != "itemprop")
-            words = set(_LETTERS.findall(names))
             main, boiler, named = parent.main, parent.boiler, parent.named
             if tag == "article" or (tag not in _BOILERPLATE and values.get("role") == "article"):
                 main = 2
@@ -121,11 +144,13 @@ class PageParser:
                 main = max(main, 1)
             elif tag in ("div", "section", "td") and set(names.split()) & _MAIN:
                 main = max(main, 1)
-            if main and first_main and boiler and named and tag in ("article", "main"):
+            sure = "role" in values or "itemprop" in values or values.get("id") in _MAIN
+            sure = (main and tag in ("article", "main")) or (main > parent.main and sure)
+            if sure and first_main and boiler and named:
                 boiler = False  # a wrapper's class does not make the page's first article boilerplate
             elif tag in _BOILERPLATE or (tag == "header" and not main):
                 boiler = True
-            elif tag not in _NEUTRAL and (words & (_WORDS if not main else _WORDS - _OUTSIDE) or (not main and words & _OUTSIDE)):
+            elif tag not in _NEUTRAL and not code and _named_boilerplate(tag, values, main):
                 boiler, named = True, named or not boiler
             names = re.sub(r"\d+", "0", names)
             found = Element(tag, _hash(f"{parent.path} {tag} {names}"), boiler, main, named)
@@ -138,7 +163,7 @@ class PageParser:
         stack, blocks, tokens = [_ROOT], [], []
         runs: list[str] = []
         muted: list = []  # name and depth of an inline boilerplate element
-        links = linked = chars = 0
+        links = linked = chars = part = code = 0
         first_main = True
 
         def close_block():
@@ -147,7 +172,7 @@ class PageParser:
                 text = " ".join(html.unescape("".join(runs)).split())
                 if text:
                     top = stack[-1]
-                    blocks.append(Block(text, top.path, top.boiler, top.main, 2 * linked > chars))
+                    blocks.append(Block(text, top.path, top.boiler, top.main, 2 * linked > chars, part if top.main else 0))
                     if not top.boiler:
                         tokens.append(blocks[-1].token())
                 runs.clear()
@@ -179,18 +204,22 @@ class PageParser:
             if tag == "a":
                 links = 0 if end else 1
             if tag not in _BLOCK and tag not in _BOILERPLATE:
-                # inline elements do not end a block, but their class can make boilerplate of them
+                # inline elements do not end a block, but their class can make boilerplate of them, except in code
+                if tag in _CODE:
+                    code = max(0, code + (-1 if end else 1))
                 if muted and tag == muted[0]:
                     muted[1:] = [muted[1] + (-1 if end else 1)]
                     if not muted[1]:
                         muted.clear()
                 elif not muted and not end and tag not in _VOID and "=" in (attributes or ""):
                     if self._opened(stack[-1], tag, attributes, False).boiler and not stack[-1].boiler:
-                        muted[:] = [tag, 1]
+                        if not code and all(e.tag != "pre" for e in stack):
+                            muted[:] = [tag, 1]
                 continue
             close_block()
             muted.clear()
             if end:
+                code = 0
                 if any(e.tag == tag for e in stack):
                     while stack.pop().tag != tag:
                         pass
@@ -201,8 +230,10 @@ class PageParser:
                 stack.pop()
             if tag in _VOID:
                 continue
-            links = 0
-            stack.append(self._opened(stack[-1], tag, attributes or "", first_main))
+            links = code = 0
+            outer = stack[-1].main
+            stack.append(self._opened(stack[-1], tag, attributes or "", first_main, any(e.tag == "pre" for e in stack)))
+            part += 1 if stack[-1].main and not outer else 0
             if stack[-1].main and not stack[-1].boiler:
                 first_main = False
             tokens.append(stack[-1].path)
@@ -214,15 +245,17 @@ def main_text(blocks: list[Block], template: set[int]) -> str:
     """The text of the slots that hold the article.
 
     The template of the host says which texts are no slot, marks choose among the slots; a marked part that is template
-    text only is kept. Mostly linked text of a page without marks is left out as well.
+    text only is kept. Around an article, the rest of the marked part it lies in counts as well. On a page without marks
+    mostly linked text is left out, unless there is a template of the host, which then decides.
     """
     free = [b for b in blocks if not b.boiler]
     level = max((b.main for b in free), default=0)
-    marked = [b for b in free if b.main == level]
+    parts = {b.part for b in free if b.main == level}
+    marked = [b for b in free if b.main == level or (b.main and b.part in parts)]
     own = [b for b in marked if b.token() not in template]
     if level:
         return "\n".join(b.text for b in own or marked)
-    return "\n".join(b.text for b in own if not b.linked)
+    return "\n".join(b.text for b in own if template or not b.linked)
 
 
 def host_of(url: Column) -> Column:

@@ -64,6 +64,30 @@ def test_small_pages(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><h2 id='related-work'>Related</h2><section id='discussion'><p>a</p></section><h2 id='alert-rules'>b</h2></article>", "Related\na\nb"),
+        ("<h2 id='search-algorithms'>Search</h2><section id='discussion'><p>a</p></section>", "Search\na"),
+        ("<article><pre><code>x <span class='hljs-comment'># a</span> <span class='token comment'># b</span></code></pre></article>", "x # a # b"),
+        ("<article><p>see <code>x <span class='comment'># a</span></code> <span class='ad'>buy</span></p></article>", "see x # a"),
+        ("<div class='layout no-sidebar'><p>out</p><div id='content'><p>in</p></div></div>", "in"),
+        ("<div class='layout sidebar'><p>out</p><div id='content'><p>in</p></div></div>", "in"),
+        ("<div class='sidebar content'><main><p>in</p></main></div>", "in"),
+        ("<div class='content'>x</div><main><h1>Title</h1><article><p>a</p></article><p>end</p></main>", "Title\na\nend"),
+        ("<article><div class='comment-system'>a</div><div class='comments'>b</div><div class='related-posts'>c</div></article>", "a"),
+    ],
+)
+def test_article_text_is_not_dropped_by_loose_words(page, text):
+    assert text_of(page) == text
+
+
+def test_link_blocks_are_left_out_where_they_repeat(stored):
+    page = "<body><ul><li><a href=/>Home</a></ul><p>own {}</p><p><a href=x>source {}</a></p></body>"
+    rows = extract_main_text(stored([(i, f"http://h.example/{i}", page.format(i, i)) for i in range(12)], SCHEMA)).collect()
+    assert {r.page_id: r.text for r in rows} == {i: f"own {i}\nsource {i}" for i in range(12)}
+
+
 def host_pages(n, host="one.example"):
     return [
         (
