@@ -22,6 +22,8 @@ EPOCHS = 6
 CONFIDENCE = 0.95
 TAKEN = 0.1
 BUCKETS = 1 << 16
+#: Longer words are read in overlapping windows of so many characters.
+WINDOW = 64
 THRESHOLD = 0.5
 _LANGS = 8
 
@@ -30,7 +32,7 @@ class ContentView:
     """What stands in a text: hashed kinds of words, pairs of them, and how often a word follows itself."""
 
     def __init__(self):
-        self.hasher = Hasher(shape_tokens, BUCKETS - 4)
+        self.hasher = Hasher(shape_tokens, BUCKETS - 4, WINDOW)
 
     def features(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Features of all texts in one array, and their number by text."""

@@ -1,6 +1,7 @@
 """Hashed features of texts: words, stems, n-grams and skip-grams, each counted once a text."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import xxhash
@@ -11,6 +12,8 @@ from sheafspark.llm.arrow_text import SLICE_BYTES, white_space_blocks
 BUCKETS = 1 << 20
 #: Distinct words whose hashes a task keeps; beyond that it starts over.
 KEPT_WORDS = 80_000
+#: Words that a task turns into features at a time.
+CHUNK_WORDS = 1 << 17
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "¡¿«»“”„‘’…–—·"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -29,7 +32,7 @@ def word_tokens(word: str) -> list[str]:
 def shape_tokens(word: str) -> list[str]:
     """The kinds of characters in the word, runs of letters and digits as one, and the last three other ones."""
     kinds, last = [], ""
-    for c in word[:64]:
+    for c in word:
         kind = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c
         if kind != last or kind not in "aA0":
             kinds.append(kind)
@@ -37,13 +40,38 @@ def shape_tokens(word: str) -> list[str]:
     return ["s" + "".join(kinds), "e" + "".join(k for k in kinds if k not in "aA0")[-3:], ""]
 
 
+def windows(words: list[bytes], longest: int) -> Iterator[bytes]:
+    """The words; one of more than ``longest`` characters as windows of so many, each half over the one before."""
+    for word in words:
+        if len(word) <= longest or len(text := word.decode()) <= longest:
+            yield word
+        else:
+            for start in range(0, len(text) - longest // 2, longest // 2):
+                yield text[start : start + longest].encode()
+
+
 class Hasher:
-    """Turns texts into (text number, feature) pairs without repeats; words are memoised."""
+    """Turns texts into (text number, feature) pairs without repeats; words are memoised.
 
-    def __init__(self, tokens: Callable[[str], list[str]], buckets: int = BUCKETS):
-        self.tokens, self.buckets = tokens, np.uint64(buckets)
+    With ``longest``, longer words are read as a sequence of :func:`windows`.
+    """
+
+    def __init__(self, tokens: Callable[[str], list[str]], buckets: int = BUCKETS, longest: int | None = None):
+        self.tokens, self.buckets, self.longest = tokens, np.uint64(buckets), longest
         self.clear()
 
+    def _words(self, text: bytes) -> list[bytes]:
+        words = text.split()
+        if self.longest and max(map(len, words), default=0) > self.longest:
+            return list(windows(words, self.longest))
+        return words
+
+    def _chunks(self, text: bytes) -> Iterator[list[bytes]]:
+        for block in white_space_blocks(text):
+            words = windows(block.split(), self.longest) if self.longest else iter(block.split())
+            while chunk := list(islice(words, CHUNK_WORDS)):
+                yield chunk
+
     def clear(self) -> None:
         self.known, self.hashes = {}, np.empty((0, 3), np.uint64)
 
@@ -77,12 +105,12 @@ class Hasher:
         parts = []
         if len(texts) == 1 and len(texts[0]) > SLICE_BYTES:
             tail: list[bytes] = []
-            for block in white_space_blocks(texts[0]):
-                words = tail + block.split()  # pairs reach over the cut
+            for chunk in self._chunks(texts[0]):
+                words = tail + chunk  # pairs reach over the cut
                 tail = words[-2:]
                 parts.append(self._kept(*self._features(words, np.zeros(len(words), np.int64)), wanted))
         else:
-            split = [t.split() for t in texts]
+            split = [self._words(t) for t in texts]
             owner = np.repeat(np.arange(len(texts)), list(map(len, split)))
             parts.append(self._kept(*self._features([w for s in split for w in s], owner), wanted))
         whole = np.unique(np.concatenate(parts))

@@ -4,10 +4,11 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sheafspark.llm import cotraining, toxicity
-from sheafspark.llm.word_features import Hasher, word_tokens
+from sheafspark.llm.word_features import Hasher, windows, word_tokens
 
 BAD = ["blarg", "snorf", "quibz"]
 
@@ -90,6 +91,19 @@ def test_features_do_not_depend_on_the_cut():
     assert (np.unique(features) == cut).all() and len(cut) > 8900
 
 
+def test_no_part_of_a_long_word_is_left_unread():
+    def found(text):
+        return set(cotraining.ContentView().features(pa.array([text.encode()]))[0].tolist())
+
+    clean = "a" * 64
+    for tail in ("%$#7" * 50, "東京" * 40 + "%", "x" * 3_000_000 + "%%%"):
+        assert found(clean + tail) - found(clean)
+        assert found(clean + tail) != found(clean + tail[:-1] + "€")
+    words = [b"ab", ("é%7" * 50).encode()]
+    cut = [w.decode() for w in windows(words, 64)]
+    assert cut[0] == "ab" and max(map(len, cut)) == 64 and cut[1] + "".join(w[32:] for w in cut[2:]) == "é%7" * 50
+
+
 def test_ftrl_keeps_noise_at_zero():
     random = np.random.default_rng(1)
     model = toxicity.Ftrl(1000)
