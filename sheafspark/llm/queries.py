@@ -42,8 +42,8 @@ def op1_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality(docs, _table(spark, sf_dir, "labels")).drop("text", "lang")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality(docs, _table(spark, sf_dir, "labels"), with_text=False).drop("lang", "source")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,27 @@ def test_quality_on_held_out_rows(marked):
     assert all(r.kept == (r.predicted == 1) == (r.score >= 0.5) for r in rows)
 
 
+def test_views_label_all_unlabelled_rows(spark, stored, monkeypatch):
+    # one in 100 rows is of a kind that a small sample of unlabelled rows does not hold
+    rows = [([k % 5 + 10], [0.0] * cotraining.NUMBERS, 1, 1, k) for k in range(30_000)]
+    rows += [([7], [0.0] * cotraining.NUMBERS, 1, 1, 30_000 + k) for k in range(300)]
+    pool = stored(rows, "flat array<int>, numbers array<double>, lang int, source int, id long")
+    model = cotraining.Model()
+    model.content[7], model.content[10] = -9.0, 6.0
+    monkeypatch.setattr(cotraining, "PSEUDO_ROWS", 1 << 30)
+    every = cotraining.pseudo_labels(pool, len(rows), model, 0).collect()
+    assert {r.id for r in every if r.label == 0} == set(range(30_000, 30_300))
+    good = [r.id for r in every if r.label == 1]  # a tenth of the pool of the 6000 rows with the same confidence
+    assert all(k % 5 == 0 for k in good) and 2_800 < len(good) < 3_250
+    assert {r.taught for r in every} == {1}
+
+
+def test_languages_and_sources_have_slots_of_their_own(stored):
+    docs = stored([(k, "a b", lang, f"s{k % 2}") for k, lang in enumerate(["fr", "de", "es", "it", None, "sv"])], "doc_id long, text string, lang string, source string")
+    views = cotraining.views_of(docs, "doc_id", "text", "lang", "source", []).collect()
+    assert sorted(r.lang for r in views) == [0, 2, 3, 4, 5, 6] and sorted(r.source for r in views) == [2] * 3 + [3] * 3
+
+
 def test_held_out_labels_teach_nothing(marked, stored):
     docs, labels, known = marked
     turned = [(i, q, t if zlib.crc32(str(i).encode()) % 3 != 1 else 1 - t) for i, (q, t) in known.items()]
