@@ -1,11 +1,11 @@
 """The registered queries of this subpackage, with the SQL that some of them are compared with."""
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafspark.llm.bpe import encode_decode
+from sheafspark.llm.centroids import cluster_vectors, with_inertia
 from sheafspark.llm.cotraining import quality
 from sheafspark.llm.exact_dedup import exact_dedup
 from sheafspark.llm.html_templates import extract_main_text
@@ -16,9 +16,8 @@ from sheafspark.llm.simhash import simhash_groups, simhash_survivors
 from sheafspark.llm.token_counts import token_counts
 from sheafspark.llm.toxicity import toxicity
 
-#: Folder of the public vocabulary files, the same on every machine.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+#: A public vocabulary file, in the same place on every machine.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 #: Rows of an Arrow batch; texts are long, and a task holds a few batches at a time.
@@ -160,6 +159,51 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
     )
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = cluster_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return with_inertia(assigned, centroids)
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5, width: int = 64) -> str:
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT row_no, any_value(vec_id) AS vec_id, any_value(e) AS e, min(struct_pack(d := d, c := c)) AS best
+  FROM (
+    SELECT row_no, vec_id, e, c, list_sum(list_transform(list_zip(e, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+    FROM v CROSS JOIN c{n})
+  GROUP BY row_no)""")
+        if n < rounds:
+            steps.append(f"""
+c{n + 1} AS MATERIALIZED (
+  SELECT c{n}.c, coalesce(moved.m, c{n}.m) AS m
+  FROM c{n} LEFT JOIN (
+    SELECT c, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS m
+    FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n
+      FROM (SELECT best.c AS c, unnest(e) AS x, unnest(range({width})) AS i FROM a{n}) GROUP BY c, i)
+    GROUP BY c) AS moved ON c{n}.c = moved.c)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id, e) - 1 AS c, e AS m FROM v
+  QUALIFY c < {k}),
+{",".join(steps)}
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c{rounds}.m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.c = c{rounds}.c
+"""
+
+
+OP12_SQL = _centroid_sql()
+
+
 def pipeline_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
@@ -205,4 +249,5 @@ QUERIES = {
     "op10_toxicity": (op10_toxicity, None),
     "op7_token_counts": (op7_token_counts, None),
     "op9_bpe": (op9_bpe, None),
+    "op12_centroids": (op12_centroids, OP12_SQL),
 }

@@ -6,7 +6,7 @@ from sheafspark.llm import queries
 
 
 def test_registered_queries():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in registry.queries()) == 1 for n in names)
     assert registry.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "simhash near-dedup", "mixing", "bpe"]
