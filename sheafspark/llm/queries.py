@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafspark.llm.bit_codes import approximate_neighbours
 from sheafspark.llm.bpe import encode_decode
 from sheafspark.llm.centroids import cluster_vectors, with_inertia
 from sheafspark.llm.cotraining import quality
@@ -159,6 +160,11 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
     )
 
 
+def op11_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return approximate_neighbours(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned, centroids = cluster_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return with_inertia(assigned, centroids)
@@ -249,5 +255,6 @@ QUERIES = {
     "op10_toxicity": (op10_toxicity, None),
     "op7_token_counts": (op7_token_counts, None),
     "op9_bpe": (op9_bpe, None),
+    "op11_bit_codes": (op11_bit_codes, None),
     "op12_centroids": (op12_centroids, OP12_SQL),
 }
