@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sheafspark.llm.bit_codes import approximate_neighbours
 from sheafspark.llm.bpe import encode_decode
 from sheafspark.llm.centroids import cluster_vectors, with_inertia
+from sheafspark.llm.conversations import COUNTS, damaged, repair
 from sheafspark.llm.cotraining import quality
 from sheafspark.llm.exact_dedup import exact_dedup
 from sheafspark.llm.html_templates import extract_main_text
@@ -170,6 +171,12 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_inertia(assigned, centroids)
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    summary, _ = repair(rows, messages=False)
+    return summary.select(F.col("conv").alias("conv_id"), *COUNTS, "audit", "repaired_sha256")
+
+
 def _centroid_sql(k: int = 40, rounds: int = 5, width: int = 64) -> str:
     steps = []
     for n in range(rounds + 1):
@@ -256,5 +263,6 @@ QUERIES = {
     "op7_token_counts": (op7_token_counts, None),
     "op9_bpe": (op9_bpe, None),
     "op11_bit_codes": (op11_bit_codes, None),
+    "op13_conversations": (op13_conversations, None),
     "op12_centroids": (op12_centroids, OP12_SQL),
 }
