@@ -177,6 +177,84 @@ def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select(F.col("conv").alias("conv_id"), *COUNTS, "audit", "repaired_sha256")
 
 
+def _repair_sql() -> str:
+    """A recursive query over the rows of a conversation, with the best whole string for each state of the pattern."""
+    follow = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+    keep = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    ways: dict[int, list[str]] = {0: [], 1: [], 2: [], 3: []}
+
+    def way(state, cost, letters, messages, where="true"):
+        added = "".join(f" || [{m}]" for m in messages)
+        return (
+            f"CASE WHEN s{state}.c IS NOT NULL AND {where} THEN "
+            f"struct_pack(c := s{state}.c + {cost}, a := s{state}.a || '{letters}', m := s{state}.m{added}) END"
+        )
+
+    for start in ways:
+        ways[start].append(way(start, 2, "D", []))
+        state, cost, letters, added = start, 0, "", []
+        for _ in range(3):
+            role, after = follow[state]
+            ways[after].append(way(start, f"{cost + 1} + extra", letters + "R", [*added, f"'{role}:' || text"], "NOT gone"))
+            for (held, initial), to in keep.items():
+                if held == state:
+                    own = [*added, "role || ':' || text"]
+                    ways[to].append(way(start, f"{cost} + extra", letters + "K", own, f"NOT gone AND initial = '{initial}'"))
+            state, cost, letters, added = after, cost + 5, letters + "I", [*added, f"'{role}:'"]
+    least = lambda some: f"list_min(list_filter([{', '.join(some)}], lambda x: x IS NOT NULL))"
+    steps = ",\n  ".join(f"{least(some)} AS s{state}" for state, some in ways.items())
+    ends = [way(0, 0, "", []), way(3, 0, "", []), way(2, 5, "I", ["'assistant:'"]), way(1, 10, "II", ["'user:'", "'assistant:'"])]
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS t
+  FROM range(256) AS r(n)),
+keyed AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT))) % 20 AS fault
+  FROM conversations, crc),
+named AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+damaged AS (
+  SELECT g, turn, CASE fault WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+    unnest(CASE fault WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM keyed JOIN named ON keyed.conv_id IS NOT DISTINCT FROM named.conv_id),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy) AS i,
+    rtrim(text, {white}) AS ended, left(role, 1) AS initial
+  FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again FROM placed),
+judged AS MATERIALIZED (
+  SELECT *, ended = '' AS blank, ended <> '' AND again AS duplicate,
+    ended <> '' AND NOT again AND right(ended, 1) NOT IN ('.', '!', '?') AS truncated,
+    ended = '' OR again AS gone, CASE WHEN right(ended, 1) IN ('.', '!', '?') THEN 0 ELSE 5 END AS extra,
+    i > 1 AND coalesce(lag(initial) OVER (PARTITION BY g ORDER BY i), '') || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM seen),
+states AS (
+  SELECT g, CAST(0 AS BIGINT) AS i, struct_pack(c := CAST(0 AS BIGINT), a := '', m := CAST([] AS VARCHAR[])) AS s0,
+    CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, m VARCHAR[])) AS s1, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, m VARCHAR[])) AS s2,
+    CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, m VARCHAR[])) AS s3
+  FROM named
+  UNION ALL
+  SELECT states.g, judged.i, {steps}
+  FROM states JOIN judged ON states.g = judged.g AND judged.i = states.i + 1),
+ended AS (SELECT g, {least(ends)} AS best FROM states QUALIFY i = max(i) OVER (PARTITION BY g)),
+counted AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY g)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+  sha256(array_to_string(best.m, chr(10))) AS repaired_sha256
+FROM named JOIN ended USING (g) LEFT JOIN counted USING (g)
+"""
+
+
+OP13_SQL = _repair_sql()
+
+
 def _centroid_sql(k: int = 40, rounds: int = 5, width: int = 64) -> str:
     steps = []
     for n in range(rounds + 1):
@@ -263,6 +341,6 @@ QUERIES = {
     "op7_token_counts": (op7_token_counts, None),
     "op9_bpe": (op9_bpe, None),
     "op11_bit_codes": (op11_bit_codes, None),
-    "op13_conversations": (op13_conversations, None),
+    "op13_conversations": (op13_conversations, OP13_SQL),
     "op12_centroids": (op12_centroids, OP12_SQL),
 }
