@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sheafspark.llm.arrow_text import byte_column, each
+from sheafspark.llm.row_places import placed
 from sheafspark.operators.numbering import number_rows
 from sheafspark.storage import written_table
 
@@ -189,10 +190,10 @@ def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str
     """
     own = ("size", "source_size", "target", "copies")
     columns = [c for c in docs.columns if c not in own and (keep_text or c != text)]
-    # the number finds a row again; a stored table gives it again, too
+    docs, place = placed(docs)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-        F.monotonically_increasing_id().alias("id"),
+        place.alias("id"),
         F.col(f"`{source}`").alias("source"),
         F.col(f"`{key}`").alias("key"),
         F.col(f"`{text}`").alias("text"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sheafspark.llm.arrow_text import byte_column, each
 from sheafspark.llm.components import connected_components
+from sheafspark.llm.row_places import placed
 from sheafspark.storage import written_table
 
 SHINGLE_WORDS = 4
@@ -208,8 +209,8 @@ def simhash_survivors(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     Of rows with the smallest key one stays, a null key being the largest. All columns are kept as they are.
     """
-    # the number tells rows with the same key apart; a stored table gives it again
-    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n"), F.col(f"`{text}`").alias("text"))
+    docs, place = placed(docs)  # tells rows with the same key apart
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), place.alias("n"), F.col(f"`{text}`").alias("text"))
     order = F.struct(F.col(f"row.`{key}`").isNull().alias("without"), F.col(f"row.`{key}`").alias("key"), "n")
     prints = written_table(rows.select(order.alias("order"), fingerprint(F.col("text")).alias("fp")), "fingerprints")
     found = _components(prints)
