@@ -1,11 +1,8 @@
-"""JSON text kept as written: whitespace removal and cutting out entries."""
+"""JSON text kept as written: whitespace removal."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_cut import cut_all
-from sheafspark.schemas import ENTRY_TEXT
-
 # A string literal, or a run of whitespace between tokens. All quantifiers are
 # possessive: Java then matches long strings in a loop instead of recursing.
 _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
@@ -22,53 +19,3 @@ def using(value: Column, build) -> Column:
 def compact_json(text: Column) -> Column:
     """Drops insignificant whitespace; numbers, escapes and key order stay untouched."""
     return F.regexp_replace(text, _STRING_OR_SPACE, "$1")
-
-
-# strict JSON: what other readers refuse is refused here, too
-_STRICT = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-
-
-def is_object(text: Column) -> Column:
-    """Whether the text starts as an object and parses; a document nested very deeply counts as not parsing."""
-    parsed = F.from_json(text, f"entry {ENTRY_TEXT}, _corrupt STRING", _STRICT)
-    readable = using(parsed, lambda p: p["_corrupt"].isNull())
-    return F.coalesce(text.rlike(r"^\s*\{") & readable, F.lit(False))
-
-
-def exact_entries(body: Column) -> Column:
-    """Entries with exact resource text; null where the body is no JSON bundle.
-
-    The JVM checks the syntax and whole batches are cut on their bytes; the engine bounds a batch by bytes.
-    Bodies that do not parse are judged one by one.
-    """
-    return F.arrow_udf(cut_all, ENTRY_TEXT)(body, is_object(body))
-
-
-_ENVELOPE = "type STRING, entry ARRAY<STRUCT<response: STRUCT<status: STRING, location: STRING, outcome: STRING>>>, _corrupt STRING"
-
-
-def exact_response(body: Column) -> Column:
-    """The type, the number of entries and the first entry's parts of a batch response; null if unreadable.
-
-    The resource is the text as written, cut in batches; the JSON functions read the rest.
-    """
-
-    def parts(both):
-        envelope, entries = both["envelope"], both["entries"]
-        response = F.get(envelope["entry"], F.lit(0))["response"]
-        readable = body.rlike(r"^\s*\{") & envelope["_corrupt"].isNull() & entries.isNotNull()
-        return F.when(
-            readable,
-            F.struct(
-                envelope["type"].alias("type"),
-                F.size(entries).alias("entries"),
-                F.get(entries, F.lit(0))["resource"].alias("resource"),
-                response.isNotNull().alias("answered"),
-                response["status"].alias("status"),
-                response["location"].alias("location"),
-                response["outcome"].alias("outcome"),
-            ),
-        )
-
-    envelope = F.from_json(body, _ENVELOPE, _STRICT)
-    return using(F.struct(envelope.alias("envelope"), exact_entries(body).alias("entries")), parts)

@@ -5,8 +5,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_text import exact_response, using
+from sheafspark.functions.json_text import using
 from sheafspark.functions.outcomes import fmt_outcome, read_outcome
+from sheafspark.sources.exact_json import read_exact
 
 
 class SplitResults(NamedTuple):
@@ -41,36 +42,54 @@ def decode_error(body: Column) -> Column:
     )
 
 
-def unwrap_async(body: Column) -> Column:
-    """Struct ``(resource, location, error)`` of the batch response an asynchronous request ends with.
+_ENVELOPE = (
+    "type STRING, entry ARRAY<STRUCT<resource: STRING, response: STRUCT<status: STRING, location: STRING, outcome: STRING>>>"
+)
 
-    The resource is the text as written.
+
+def unwrap_async(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """Adds ``resource, location, error`` of the batch response an asynchronous request ends with, in place of the body.
+
+    The resource is the text as written; bodies are stored when this is called, see ``read_exact``.
     """
-    return using(exact_response(body), _unwrapped)
+    read = read_exact(bodies, body, _ENVELOPE, "responses")
+    kept = [c for c in read.columns if c != "parsed"]
+    entry = F.get("parsed.entry", F.lit(0))
+    first = read.select(
+        *kept, "parsed", entry["resource"].alias("_resource"), entry["response"].alias("_response"),
+        read_outcome(entry["response"]["outcome"]).alias("_outcome"),
+    )
+    error = _response_error(F.col("parsed"), F.col("_response"), F.col("_outcome"))
+    judged = first.select(*kept, "_resource", "_response.location", error.alias("error"))
+    good = F.col("error").isNull()
+    return judged.select(
+        *kept,
+        F.when(good, F.col("_resource")).alias("resource"),
+        F.when(good & F.col("_resource").isNull(), F.col("location")).alias("location"),
+        "error",
+    )
 
 
-def _unwrapped(bundle):
+def _response_error(bundle, response, outcome):
     kind = F.coalesce(bundle["type"], F.lit(""))
-    status = F.coalesce(bundle["status"], F.lit(""))
-    outcome = read_outcome(bundle["outcome"])
-    error = (
+    status = F.coalesce(response["status"], F.lit(""))
+    entries = F.coalesce(F.size(bundle["entry"]), F.lit(0))
+    return (
         F.when(bundle.isNull(), F.lit("error while reading the async response bundle"))
         .when(
             kind != "batch-response",
             F.concat(F.lit("expected batch-response bundle but the bundle type is: "), kind),
         )
         .when(
-            bundle["entries"] != 1,
+            entries != 1,
             F.concat(
-                F.lit("expected one entry in async response bundle but was "),
-                bundle["entries"].cast("string"),
-                F.lit(" entries"),
+                F.lit("expected one entry in async response bundle but was "), entries.cast("string"), F.lit(" entries")
             ),
         )
-        .when(~bundle["answered"], F.lit("missing response in bundle entry"))
+        .when(response.isNull(), F.lit("missing response in bundle entry"))
         .when(
             ~status.startswith("2"),
-            F.when(bundle["outcome"].isNull(), F.concat(F.lit("error status: "), status))
+            F.when(response["outcome"].isNull(), F.concat(F.lit("error status: "), status))
             .when(
                 ~outcome["readable"],
                 F.lit("error while reading the outcome of an error response in the async response bundle"),
@@ -78,12 +97,6 @@ def _unwrapped(bundle):
             .otherwise(fmt_outcome(outcome["issue"])),
         )
     )
-    resource = bundle["resource"]
-    return F.struct(
-        F.when(error.isNull(), resource).alias("resource"),
-        F.when(error.isNull() & resource.isNull(), bundle["location"]).alias("location"),
-        error.alias("error"),
-    )
 
 
 def zip_by_position(requests: DataFrame, responses: DataFrame, batch: str = "batch_id", position: str = "pos") -> DataFrame:

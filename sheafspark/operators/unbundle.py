@@ -5,9 +5,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_text import compact_json, exact_entries, using
+from sheafspark.functions.json_text import compact_json, using
 from sheafspark.functions.outcomes import parse_outcome, read_outcome
 from sheafspark.schemas import ENTRY_TEXT, ENTRY_TYPE
+from sheafspark.sources.exact_json import read_exact
 
 
 class Unbundled(NamedTuple):
@@ -24,6 +25,14 @@ def _entries(body, schema):
     return F.when(body == "", empty).when(body.rlike(r"^\s*\{"), entries)
 
 
+def exact_entries(pages: DataFrame, body: str) -> DataFrame:
+    """Pages with ``_entries`` in place of the body, resources as exact text; null where the body is no bundle."""
+    read = read_exact(pages.withColumn("_blank", F.col(body) == ""), body, f"entry {ENTRY_TEXT}", "bodies")
+    empty = F.array().cast(ENTRY_TEXT)
+    entries = F.when(F.col("_blank"), empty).when(F.col("parsed").isNotNull(), F.coalesce(F.col("parsed.entry"), empty))
+    return read.withColumn("_entries", entries).drop("_blank", "parsed")
+
+
 def is_outcome(entry):
     return F.coalesce(entry["search"]["mode"] == "outcome", F.lit(False))
 
@@ -76,13 +85,12 @@ def route_entries(pages: DataFrame, body: str = "body", exact: bool = True, stri
     decoded); the last two are errors with ``strict``. Writing
     this table partitioned by ``kind`` yields all outputs in one pass.
 
-    ``exact`` keeps numbers and escapes as written. Without it the JSON
-    functions cut the resources and write numbers in their own way, which
-    suffices for routing and counting.
+    ``exact`` keeps numbers and escapes as written: bodies are stored when this is called and the JSON
+    file source cuts the resources. Without it the JSON functions cut them and write numbers in their
+    own way, which suffices for routing and counting.
     """
-    text = F.col(body)
-    rows = pages.withColumn("_entries", exact_entries(text) if exact else _entries(text, ENTRY_TEXT))
-    return _kinds(rows.drop(body), strict, F.col(named) if named else F.lit(None).cast("string"))
+    rows = exact_entries(pages, body) if exact else pages.withColumn("_entries", _entries(F.col(body), ENTRY_TEXT)).drop(body)
+    return _kinds(rows, strict, F.col(named) if named else F.lit(None).cast("string"))
 
 
 def route_file_entries(entries: DataFrame, strict: bool = False) -> DataFrame:

@@ -167,7 +167,7 @@ def async_results(spark, sf_dir):
     kind = F.when(priority == "4-NOT SPECIFIED", F.lit("searchset")).otherwise(F.lit("batch-response"))
     body = F.concat(F.lit('{"resourceType":"Bundle","type":"'), kind, F.lit('","entry":['), entry, F.lit("]}"))
     body = F.when((status == "O") & (F.col("o_orderkey") % 10 == 0), F.lit("")).otherwise(body)
-    return orders.select("o_orderkey", F.inline(F.array(unwrap_async(body))))
+    return unwrap_async(orders.select("o_orderkey", body.alias("body")))
 
 
 def _question_answers(spark, sf_dir):

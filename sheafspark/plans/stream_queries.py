@@ -7,7 +7,7 @@ from sheafspark.plans import sql_text as sql
 from sheafspark.plans import workload as w
 from sheafspark.sources.sinks import export_ndjson
 from sheafspark.storage import scratch_path
-from sheafspark.streaming.bundles import stream_bundles, stream_pages, stream_unbundle, write_routed
+from sheafspark.streaming.bundles import run_unbundle, stream_bundles, stream_pages
 from sheafspark.streaming.logstats import read_cells, run_upload_stats
 
 
@@ -26,8 +26,8 @@ def streamed_bundles(spark, sf_dir):
 def streamed_entries(spark, sf_dir):
     landed, routed = scratch_path(spark, "landed"), scratch_path(spark, "routed")
     w.order_pages(spark, sf_dir).write.parquet(landed)
-    stream = stream_unbundle(stream_pages(spark, landed).select("request_url", "body"))
-    write_routed(stream, routed, scratch_path(spark, "progress")).awaitTermination()
+    stream = stream_pages(spark, landed).select("request_url", "body")
+    run_unbundle(stream, routed, scratch_path(spark, "progress")).awaitTermination()
     return spark.read.parquet(routed).select("request_url", "entry_no", "kind", F.md5("resource").alias("digest"))
 
 

@@ -26,19 +26,14 @@ def stream_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(PAGES).parquet(path)
 
 
-def stream_unbundle(stream: DataFrame, body: str = "body", exact: bool = True) -> DataFrame:
-    """``route_entries`` of each page as it arrives; stateless, so it appends."""
-    return route_entries(stream, body, exact)
-
-
-def write_routed(routed: DataFrame, path: str, checkpoint: str):
-    """Writes resources, outcomes and malformed pages in one pass, as subfolders by ``kind``."""
-    return (
-        routed.writeStream.format("parquet")
-        .partitionBy("kind")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def run_unbundle(stream: DataFrame, path: str, checkpoint: str, body: str = "body", exact: bool = True):
+    """Writes ``route_entries`` of each page as it arrives: resources, outcomes and malformed pages in one pass.
+
+    Each batch of the stream has a folder ``batch=n`` with subfolders by ``kind``; a repeated batch writes its folder again.
+    """
+
+    def add(pages, batch):
+        routed = route_entries(pages, body, exact)
+        routed.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/batch={batch}")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add).trigger(availableNow=True).start()

@@ -4,13 +4,11 @@ import hashlib
 import json
 import os
 
-import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sheafspark.functions.json_cut import cut_all, cut_entries, cut_response
 from sheafspark.functions.json_text import compact_json
 from sheafspark.operators.counts import count_resources, page_types, render_counts, resource_types
 from sheafspark.operators.unbundle import route_file_entries, split_kinds, unbundle
@@ -22,6 +20,7 @@ from sheafspark.sources.bundles import (
     read_single_bundles,
     source_summary,
 )
+from sheafspark.sources.exact_json import read_exact
 from sheafspark.sources.sinks import count_entry, export_ndjson, make_bundles, post_entry
 
 MATCH = '{"resource": {"resourceType": "Patient", "id": "0"}, "search": {"mode": "match"}}'
@@ -130,56 +129,68 @@ json_values = st.recursive(
 )
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.dictionaries(st.text(max_size=4), json_values, max_size=3), max_size=4), st.sampled_from([None, 1, "\t"]))
-def test_cutting_keeps_every_resource(resources, space):
-    text = json.dumps({"link": [], "entry": [{"fullUrl": "x", "resource": r} for r in resources], "z": 1}, indent=space)
-    cut = cut_entries(text)
-    assert [(e["resource"], e["search"]["mode"]) for e in cut_all(pa.array([text]), pa.array([True])).to_pylist()[0]] == cut
-    assert [json.loads(resource) for resource, _ in cut] == resources
-    assert all(resource in text for resource, _ in cut)
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.lists(json_values, max_size=2), st.integers(0, 60), st.sampled_from('{}[],:" 1a'))
-def test_damaged_text_is_found(values, place, char):
-    text = json.dumps({"entry": [{"resource": {"v": v}} for v in values]})
-    damaged = text[:place] + char + text[place + 1 :]
-    try:
-        json.loads(damaged)
-    except ValueError:
-        assert cut_all(pa.array([damaged, text]), pa.array([False, True])).to_pylist()[0] is None
-    rows = cut_all(pa.array([None, "", text, text]), pa.array([None, False, True, False])).to_pylist()
-    assert rows[0] is None and rows[1] == [] and rows[2] == rows[3] and len(rows[2]) == len(values)
-
-
-ENTRIES = st.lists(
-    st.one_of(
-        st.none(),
-        st.dictionaries(
-            st.sampled_from(["resource", "search", "fullUrl", 'a"b', "entry"]),
-            st.one_of(json_values, st.fixed_dictionaries({"mode": st.sampled_from(["match", "outcome", None, 'x"y'])})),
-            max_size=4,
-        ).filter(lambda e: e.get("search") is None or (isinstance(e["search"], dict) and isinstance(e["search"].get("mode"), (str, type(None))))),
-    ),
-    max_size=4,
-)
+BODIES = "entry ARRAY<STRUCT<resource: STRING, search: STRUCT<mode: STRING>>>"
+
+
+def read_all(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "n INT, body STRING")
+    read = {r.n: r.parsed for r in read_exact(rows, "body", BODIES).collect()}
+    return [read[n] for n in range(len(texts))]
 
 
-@settings(max_examples=300, deadline=None)
-@given(ENTRIES, json_values, st.sampled_from([None, 1]), st.booleans())
-def test_batches_are_cut_like_single_texts(entries, other, space, ascii_only):
-    text = json.dumps({"link": other, "entry": entries, "x": {"entry": [1]}}, indent=space, ensure_ascii=ascii_only)
-    rows = cut_all(pa.array(["{}", text, text + "  "]), pa.array([True, True, True])).to_pylist()
-    want = [((e or {}).get("resource"), ((e or {}).get("search") or {}).get("mode")) for e in entries]
-    for row in rows[1:]:
-        assert [(None if e["resource"] is None else json.loads(e["resource"]), e["search"]["mode"]) for e in row] == want
-        assert all(e["resource"] is None or e["resource"] in text for e in row)
+@settings(max_examples=8, deadline=None)
+@given(st.data())
+def test_every_resource_stays_as_written(spark, data):
+    objects = st.dictionaries(st.text(max_size=4), json_values, max_size=3)
+    pages = data.draw(st.lists(st.tuples(st.lists(objects, max_size=4), st.sampled_from([None, 1, "\t"]), st.booleans()), min_size=30, max_size=30))
+    texts = [
+        json.dumps({"link": [], "entry": [{"fullUrl": "x", "resource": r} for r in found], "z": {"entry": [1]}}, indent=space, ensure_ascii=plain)
+        for found, space, plain in pages
+    ]
+    for (found, *_), text, parsed in zip(pages, texts, read_all(spark, texts), strict=True):
+        assert [json.loads(e.resource) for e in parsed.entry] == found
+        assert all(e.resource in text for e in parsed.entry)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.data())
+def test_damaged_text_is_found(spark, data):
+    pages = data.draw(st.lists(st.tuples(st.lists(json_values, max_size=2), st.integers(0, 60), st.sampled_from('{}[],:" 1a\n')), min_size=30, max_size=30))
+    texts = []
+    for values, place, char in pages:
+        text = json.dumps({"entry": [{"resource": {"v": v}} for v in values]})
+        texts.append(text[:place] + char + text[place + 1 :])
+    for text, parsed in zip(texts, read_all(spark, texts), strict=True):
+        try:
+            json.loads(text)
+        except ValueError:
+            assert parsed is None, text
 
 
-def test_responses_keep_their_text():
-    got = cut_response('{"type": "batch-response", "entry": [{"response": {"status": "200"}, "resource": {"v": 1.50 }}, null]}')
-    assert (got["type"], got["entries"], got["resource"], got["status"], got["answered"]) == ("batch-response", 2, '{"v": 1.50 }', "200", True)
+@pytest.mark.parametrize(
+    "text",
+    ['{"entry":[]} x', "{},{}", '{}],"x":[{}', '{},{"m":true}],"x":[{}', '{"a":"x\ny"}', '{"a":"\x1e"}', "null", "5", "[{}]", "", " ", None, "{'a':1}",
+     '{"a":NaN}', '{"a":01}', '{"entry":5}', '{"entry":[{"search":5}]}', '{"a":1}}', '{"a":1}\n,"kept":{"c0":"9"'],
+)
+def test_only_whole_objects_are_read(spark, text):
+    good = '{"entry":[{"resource":{"n":1.50}}]}'
+    rows = spark.createDataFrame([(1, "a\n\"b\x1e", text), (2, None, good)], "n INT, kept STRING, body STRING")
+    read = {r.n: r for r in read_exact(rows, "body", BODIES).collect()}
+    assert (read[1].kept, read[1].parsed) == ("a\n\"b\x1e", None)
+    assert read[2].kept is None and read[2].parsed.entry[0].resource == '{"n":1.50}'
+
+
+def test_columns_beside_the_text_stay(spark):
+    rows = spark.sql(
+        """SELECT * FROM VALUES
+        (1, 0.1D, DOUBLE('NaN'), TIMESTAMP '2020-10-25 02:30:00.123456', DATE '1900-01-01', X'00ff', 1.50BD, true, NULL, named_struct('a', 1, 'b', array('x', NULL))),
+        (2, NULL, -0D, NULL, NULL, NULL, NULL, NULL, 'q"', NULL)
+        AS t(n, d, nan, at, day, bin, dec, flag, text, nested)"""
+    )
+    read = read_exact(rows.withColumn("body", F.lit("{}")), "body", BODIES).drop("parsed")
+    assert read.dtypes == rows.dtypes
+    assert sorted(map(str, read.collect())) == sorted(map(str, rows.collect()))
+    assert read_exact(rows.select(F.lit('{"entry":[]}').alias("body")), "body", BODIES).collect()[0].parsed.entry == []
 
 
 def fill(folder):

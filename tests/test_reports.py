@@ -110,7 +110,7 @@ def test_decoding_errors(spark):
     ],
 )
 def test_async_responses(spark, body, expected):
-    rows = spark.createDataFrame([(body,)], "b STRING").select(F.inline(F.array(unwrap_async(F.col("b")))))
+    rows = unwrap_async(spark.createDataFrame([(body,)], "b STRING"), "b")
     assert tuple(rows.first()) == expected
 
 

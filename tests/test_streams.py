@@ -1,7 +1,7 @@
 from sheafspark.operators.logstats import stats_of_cells, status_counts, status_histogram, upload_stats
 from sheafspark.plans import workload
 from sheafspark.storage import scratch_path
-from sheafspark.streaming.bundles import stream_bundles, stream_unbundle, write_routed
+from sheafspark.streaming.bundles import run_unbundle, stream_bundles
 from sheafspark.streaming.logstats import read_cells, run_upload_stats
 
 def test_running_statistics_equal_the_batch(spark, sf_dir, tmp_path):
@@ -31,9 +31,9 @@ def test_stream_of_bundles(spark, tmp_path):
     (folder / "a.ndjson").write_text(good + "\n\nbroken\n")
     (folder / "deep" / "b.ndjson").write_text(good)
     (folder / "c.json").write_text(good)
-    routed = stream_unbundle(stream_bundles(spark, str(folder), files_per_trigger=1), body="value")
+    bundles = stream_bundles(spark, str(folder), files_per_trigger=1)
     out = str(tmp_path / "out")
-    write_routed(routed, out, str(tmp_path / "progress")).awaitTermination()
+    run_unbundle(bundles, out, str(tmp_path / "progress"), body="value").awaitTermination()
     rows = spark.read.parquet(out).groupBy("kind", "resource").count().collect()
     assert {(r.kind, r.resource): r["count"] for r in rows} == {
         ("resource", '{"resourceType":"A","n":1.50}'): 2,
