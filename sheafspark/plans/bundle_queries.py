@@ -15,6 +15,7 @@ from sheafspark.sources.bundles import (
     read_single_bundles,
 )
 from sheafspark.sources.chunks import chunk_index, split_chunks
+from sheafspark.sources.large_json import large_file_entries
 from sheafspark.sources.pages import read_capabilities, read_pages
 from sheafspark.sources.sinks import assemble_bundles, count_entry, export_ndjson, make_bundles, post_entry
 from sheafspark.storage import scratch_path
@@ -114,6 +115,21 @@ def ndjson_entries(spark, sf_dir):
     return routed.select("kind", F.get_json_object("resource", "$.resourceType").alias("resource_type"), "resource")
 
 
+def large_bundle_entries(spark, sf_dir):
+    """All orders in one bundle in one file."""
+    path = scratch_path(spark, "large")
+    head = '{"resourceType":"Bundle","meta":{"tag":[{"code":"}"}]},"link":[{"relation":"self","url":"x{"}],"entry":[{}'
+    ends = spark.range(2).select(
+        (F.col("id") * 2).alias("part"), F.lit(0).cast("long").alias("id"), F.when(F.col("id") == 0, head).otherwise("]}").alias("value")
+    )
+    orders = w.requests_for_service(spark, sf_dir).select(
+        F.lit(1).cast("long").alias("part"), "id", F.concat(F.lit(","), post_entry(F.col("resource"), F.col("type"))).alias("value")
+    )
+    ends.unionByName(orders).orderBy("part", "id").coalesce(1).select("value").write.text(path)
+    routed = route_file_entries(large_file_entries(spark, path, "part-*"))
+    return routed.select(F.col("file_entry_no").alias("entry_no"), "kind", "resource")
+
+
 def file_chunk_index(spark, sf_dir):
     path = scratch_path(spark, "chunks")
     w.table(spark, sf_dir, "documents").select("text").write.text(path)
@@ -266,6 +282,10 @@ QUERIES = {
         UNION ALL SELECT 'resource', 'ServiceRequest', {sql.SERVICE_JSON} FROM orders
         UNION ALL SELECT 'resource', 'Location', {sql.LOCATION_JSON} FROM nation""",
     ),
+    "large_bundle_entries": (
+        large_bundle_entries,
+        f"SELECT row_number() OVER (ORDER BY o_orderkey) AS entry_no, 'resource' AS kind, {sql.SERVICE_JSON} AS resource FROM orders",
+    ),
     "file_chunk_index": (
         file_chunk_index,
         """SELECT CAST(strlen(chunk) AS BIGINT) AS chunk_bytes, count(*) AS chunks
