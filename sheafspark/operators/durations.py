@@ -12,6 +12,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafspark.storage import written_table
+
 # A block spans 4096 milliseconds and thus holds at most 4096 histogram cells.
 _BLOCK_BITS = 12
 
@@ -52,10 +54,10 @@ def _same_group(by: list[str]) -> Column:
 
 
 def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
-    """``(by, n, mean_ms, q50_ms, q95_ms, q99_ms, max_ms)``.
+    """``(by, n, mean_ms, q50_ms, q95_ms, q99_ms, max_ms)`` of a stored table ``(by, ms, n, rest_ns)``.
 
     A group's window sees one row of sums for each 4096 ms of its value range. Only the blocks that hold
-    a rank, three at most, meet their cells again.
+    a rank, three at most, meet their cells again. A millisecond may have several cells.
     """
     cells = histogram.select(*by, "ms", "n", "rest_ns", F.shiftright("ms", _BLOCK_BITS).alias("block"))
     in_block = F.col("ms") - F.shiftleft("block", _BLOCK_BITS)
@@ -71,27 +73,34 @@ def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
         "before", F.coalesce(F.sum("block_n").over(earlier), F.lit(0))
     )
     total = F.col("total")
-    ranks = F.array(F.floor(total / 2), *[_rank(total, quantile) for quantile in QUANTILES.values()])
-    here = F.filter(
-        F.transform(ranks, lambda rank, i: F.struct(i.alias("which"), (rank - F.col("before")).alias("rank"))),
-        lambda r: (r["rank"] >= 0) & (r["rank"] < F.col("block_n")),
-    )
-    held = placed.select(*[F.col(k).alias(f"_of_{k}") for k in by], F.col("block").alias("_block"), F.inline(here))
-    near = cells.join(held, _same_group(by) & (F.col("block") == F.col("_block")))
-    upto = Window.partitionBy(*by, "which").orderBy("ms")
-    found = near.withColumn("seen", F.sum("n").over(upto)).where(F.col("seen") > F.col("rank"))
-    names = ["q50_ms", *QUANTILES]
-    picked = found.groupBy(*by).agg(*[F.min(F.when(F.col("which") == i, F.col("ms"))).alias(n) for i, n in enumerate(names)])
+    ranks = [F.floor(total / 2), *[_rank(total, quantile) for quantile in QUANTILES.values()]]
+    # one block holds a rank
+    held = []
+    for which, rank in enumerate(ranks):
+        here = rank - F.col("before")
+        inside = (here >= 0) & (here < F.col("block_n"))
+        held.append(F.max(F.when(inside, F.struct(F.lit(which).alias("which"), F.col("block").alias("_block"), here.alias("rank")))))
     # sums are exact, in decimals where they may exceed a long, so the mean does not depend on the order of rows
     wide = "decimal(20,0)"
     block_start = F.shiftleft("block", _BLOCK_BITS).cast(wide) * F.col("block_n").cast(wide)
     all_ms = F.sum(block_start) + F.sum(F.col("block_ms").cast(wide))
     nanos = all_ms.cast("decimal(32,0)") * F.lit(1_000_000).cast("decimal(7,0)") + F.sum(F.col("block_rest").cast(wide))
     mean = nanos.cast("double") / 1e9 / F.sum("block_n") * 1000.0
-    sums = blocks.groupBy(*by).agg(F.sum("block_n").alias("n"), mean.cast("bigint").alias("mean_ms"), F.max("block_max").alias("max_ms"))
-    # a union and one aggregate over two rows of a group, since without groups there is no key to join on
-    both = sums.unionByName(picked, allowMissingColumns=True)
-    stats = both.groupBy(*by).agg(*[F.max(c).alias(c) for c in ["n", *STATISTICS]])
+    # the three ranks of a group go with its sums to the cells of their blocks
+    sums = placed.groupBy(*by).agg(
+        F.sum("block_n").alias("total"), mean.cast("bigint").alias("mean_ms"), F.max("block_max").alias("max_ms"),
+        F.array(*held).alias("held"),
+    )
+    held = sums.where(F.col("total") > 0).select(*[F.col(k).alias(f"_of_{k}") for k in by], "total", "mean_ms", "max_ms", F.inline("held"))
+    near = cells.join(held, _same_group(by) & (F.col("block") == F.col("_block")))
+    near = near.repartition(*by) if by else near.repartition(1)
+    found = near.withColumn("seen", F.sum("n").over(Window.partitionBy(*by, "which").orderBy("ms")))
+    reached = F.col("seen") > F.col("rank")
+    names = ["q50_ms", *QUANTILES]
+    picked = {name: F.min(F.when(reached & (F.col("which") == i), F.col("ms"))) for i, name in enumerate(names)}
+    carried = {"n": F.max("total"), "mean_ms": F.max("mean_ms"), "max_ms": F.max("max_ms")}
+    both = {**carried, **picked}
+    stats = found.groupBy(*by).agg(*[both[name].alias(name) for name in ["n", *STATISTICS]])
     if by:
         return stats
     return stats.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in stats.columns])
@@ -100,10 +109,11 @@ def statistics_of_histogram(histogram: DataFrame, by: list[str]) -> DataFrame:
 def duration_stats(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """Mean, median, 95 % and 99 % nearest rank and maximum of seconds, in whole milliseconds.
 
-    What is no duration, such as null and NaN, is left out. Without ``by`` an empty input gives zeros.
+    What is no duration, such as null and NaN, is left out. Without ``by`` an empty input gives zeros. The input is
+    read once, when this is called, and its histogram stored.
     """
     by = by or []
-    return statistics_of_histogram(duration_histogram(df, value, by), by)
+    return statistics_of_histogram(written_table(duration_histogram(df, value, by), "durations"), by)
 
 
 def duration_columns(df: DataFrame, values: list[str], by: list[str]) -> DataFrame:

@@ -5,27 +5,27 @@ from pyspark.sql import functions as F
 
 from sheafspark.functions.outcomes import fmt_error_response, fmt_outcomes
 from sheafspark.functions.text import duration_text, fmt_bytes, indent, success_ratio, two_decimals
-from sheafspark.operators.durations import STATISTICS, duration_columns, statistics_of_histogram, whole_and_rest
+from sheafspark.operators.durations import STATISTICS, statistics_of_histogram, whole_and_rest
 from sheafspark.operators.responses import result_class
 from sheafspark.operators.unbundle import carried_types
 from sheafspark.storage import written_table
 
 
-def _with_latencies(totals: DataFrame, latencies: DataFrame, by: list[str]) -> DataFrame:
-    """Adds ``request_<statistic>`` and ``processing_<statistic>`` columns to the totals of the same groups.
+_METRICS = ("request", "processing")
+
+
+def _with_latencies(totals: DataFrame, cells: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``request_<statistic>`` and ``processing_<statistic>`` columns from the timed cells of the same groups.
 
     A union and one aggregate over a few rows per group, since without groups there is no key to join on.
     """
+    latencies = statistics_of_histogram(cells.where(F.col("ms").isNotNull()), [*by, "metric"])
     statistics = F.struct(*STATISTICS)
-    spread = latencies.select(
-        *by, *[F.when(F.col("metric") == m, statistics).alias(f"_{m}") for m in ("request", "processing")]
-    )
+    spread = latencies.select(*by, *[F.when(F.col("metric") == m, statistics).alias(f"_{m}") for m in _METRICS])
     values = [c for c in totals.columns if c not in by]
     rows = totals.unionByName(spread, allowMissingColumns=True)
-    both = rows.groupBy(*by).agg(*[F.max(c).alias(c) for c in [*values, "_request", "_processing"]])
-    return both.selectExpr(
-        *by, *values, *[f"coalesce(_{m}.{s}, 0) AS {m}_{s}" for m in ("request", "processing") for s in STATISTICS]
-    )
+    both = rows.groupBy(*by).agg(*[F.max(c).alias(c) for c in [*values, *[f"_{m}" for m in _METRICS]]])
+    return both.selectExpr(*by, *values, *[f"coalesce(_{m}.{s}, 0) AS {m}_{s}" for m in _METRICS for s in STATISTICS])
 
 
 def log_cells(log: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -71,16 +71,11 @@ def _answered_sums() -> list[Column]:
     ]
 
 
-def _latencies(cells: DataFrame, by: list[str]) -> DataFrame:
-    timed = cells.where((F.col("class") != "failed") & F.col("ms").isNotNull())
-    histogram = timed.groupBy(*by, "ms").agg(F.sum("n").alias("n"), F.sum("rest_ns").alias("rest_ns"))
-    return statistics_of_histogram(histogram, by)
-
-
 def stats_of_cells(cells: DataFrame) -> DataFrame:
-    """``(metric, total, errors, error_responses, bytes_in, bytes_out, <statistics>)`` of the cells."""
+    """``(metric, total, errors, error_responses, bytes_in, bytes_out, <statistics>)`` of the stored cells."""
     totals = cells.groupBy("metric").agg(*_answered_sums())
-    return totals.join(_latencies(cells, ["metric"]).drop("n"), "metric", "left").select(
+    timed = cells.where((F.col("class") != "failed") & F.col("ms").isNotNull())
+    return totals.join(statistics_of_histogram(timed, ["metric"]).drop("n"), "metric", "left").select(
         *totals.columns, *[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in STATISTICS]
     )
 
@@ -91,16 +86,6 @@ def status_counts(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
     return answered.groupBy(*(by or []), "status").agg(F.sum("n").alias("count"))
 
 
-def _status_texts(cells: DataFrame, by: list[str]) -> DataFrame:
-    """``(by, status_codes)``: the counts as ``code:count``, 200 first even without any, then by code."""
-    counts = status_counts(cells, by)
-    # a group has few status codes
-    listed = F.array_sort(F.collect_list(F.when(F.col("status") != 200, F.struct("status", "count"))))
-    texts = F.transform(listed, lambda s: F.concat_ws(":", s["status"].cast("string"), s["count"].cast("string")))
-    ok = F.coalesce(F.max(F.when(F.col("status") == 200, F.col("count"))), F.lit(0)).cast("string")
-    return counts.groupBy(*by).agg(F.array_join(F.concat(F.array(F.concat(F.lit("200:"), ok)), texts), ", ").alias("status_codes"))
-
-
 def upload_stats(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Totals, success ratio, bytes, latencies and status codes of a request log, one row (per group).
 
@@ -110,20 +95,25 @@ def upload_stats(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     """
     by = by or []
     cells = written_table(log_cells(log, by), "log-cells")
-    counted = cells.where(F.col("metric") == "request").groupBy(*by).agg(*_answered_sums())
+    requests = cells.where(F.col("metric") == "request")
+    answered = F.col("class") != "failed"
+    by_status = requests.groupBy(*by, "class", "status").agg(*[F.sum(c).alias(c) for c in ("n", "bytes_in", "bytes_out")])
+    # a group has few status codes: 200 first even without any, then by code
+    others = F.array_sort(F.collect_list(F.when(answered & (F.col("status") != 200), F.struct("status", "n"))))
+    texts = F.transform(others, lambda s: F.concat_ws(":", s["status"].cast("string"), s["n"].cast("string")))
+    ok = F.coalesce(F.max(F.when(answered & (F.col("status") == 200), F.col("n"))), F.lit(0)).cast("string")
+    codes = F.array_join(F.concat(F.array(F.concat(F.lit("200:"), ok)), texts), ", ")
+    counted = by_status.groupBy(*by).agg(*_answered_sums(), codes.alias("status_codes"))
     counted = counted.withColumn("requests", F.col("total") - F.col("errors"))
-    requests = F.nullif(F.col("requests"), F.lit(0))
+    some = F.nullif(F.col("requests"), F.lit(0))
     totals = counted.select(
-        "*",
+        *[c for c in counted.columns if c != "status_codes"],
         success_ratio(F.col("total"), F.col("errors"), F.col("error_responses")).alias("success_percent"),
-        (F.col("bytes_in") / requests).alias("bytes_in_mean"),
-        (F.col("bytes_out") / requests).alias("bytes_out_mean"),
+        (F.col("bytes_in") / some).alias("bytes_in_mean"),
+        (F.col("bytes_out") / some).alias("bytes_out_mean"),
+        "status_codes",
     )
-    totals = totals.unionByName(_status_texts(cells, by), allowMissingColumns=True)
-    values = [c for c in totals.columns if c not in by]
-    totals = totals.groupBy(*by).agg(*[F.max(c).alias(c) for c in values])
-    totals = totals.withColumn("status_codes", F.coalesce("status_codes", F.lit("200:0")))
-    return _with_latencies(totals, _latencies(cells, [*by, "metric"]), by)
+    return _with_latencies(totals, cells.where(answered), by)
 
 
 def status_histogram(log: DataFrame) -> DataFrame:
@@ -147,29 +137,42 @@ def download_stats(pages: DataFrame, by: list[str] | None = None, ok: int = 200)
     by = by or []
     good = F.coalesce(F.col("status") == ok, F.lit(False))
     found = F.greatest(F.size(carried_types(F.col("body"))), F.lit(0))
+    # a page is a cell for each metric; its facts go with that of the request, also where that has no time
+    times = [F.when(good, F.col(f"{m}_s")) for m in _METRICS]
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), *_timed(seconds)) for m, seconds in zip(_METRICS, times, strict=True)])
     rows = pages.select(
         *by,
         good.alias("_good"),
         F.when(good, found.cast("bigint")).alias("_found"),
         F.when(good, F.col("bytes_in")).alias("_bytes"),
+        F.inline(cells),
     )
-    counted = rows.groupBy(*by).agg(
-        F.count("*").alias("pages"),
-        F.count_if(F.col("_good")).alias("requests"),
-        F.coalesce(F.sum("_found"), F.lit(0)).alias("resources"),
-        F.min("_found").alias("resources_min"),
-        F.max("_found").alias("resources_max"),
-        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes_in"),
+    found = {"requests": F.count_if(F.col("_good")), "resources": F.sum("_found"), "bytes_in": F.sum("_bytes")}
+    ends = {"resources_min": F.min, "resources_max": F.max}
+    cells = rows.groupBy(*by, "metric", "ms").agg(
+        F.count("*").alias("n"),
+        F.sum("rest_ns").alias("rest_ns"),
+        *[value.alias(name) for name, value in found.items()],
+        *[end("_found").alias(name) for name, end in ends.items()],
+    )
+    cells = written_table(cells, "page-cells")
+    counted = cells.where(F.col("metric") == "request").groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("pages"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in found],
+        *[end(name).alias(name) for name, end in ends.items()],
     )
-    requests = F.nullif(F.col("requests"), F.lit(0))
+    some = F.nullif(F.col("requests"), F.lit(0))
     totals = counted.select(
-        "*",
-        F.floor(F.col("resources") / requests).alias("resources_mean"),
-        (F.col("bytes_in") / requests).alias("bytes_in_mean"),
+        *by, "pages", "requests", "resources", "resources_min", "resources_max", "bytes_in",
+        F.floor(F.col("resources") / some).alias("resources_mean"),
+        (F.col("bytes_in") / some).alias("bytes_in_mean"),
     )
-    timed = pages.where(good).select(*by, F.col("request_s").alias("request"), F.col("processing_s").alias("processing"))
-    latencies = duration_columns(timed, ["request", "processing"], by)
-    return _with_latencies(totals, latencies, by)
+    return _with_latencies(totals, cells, by)
+
+
+def _timed(seconds: Column) -> list[Column]:
+    ms, rest = whole_and_rest(seconds.cast("double"))
+    return [ms.alias("ms"), rest.alias("rest_ns")]
 
 
 def _latency_text(metric):

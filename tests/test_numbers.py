@@ -55,6 +55,23 @@ def test_cells_do_not_meet_in_one_task(spark):
     assert tuple(stats.first())[2:] == nearest_rank([i / 7 for i in range(200_000)])[2:]
 
 
+def test_the_input_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.range(1000).select((F.col("id") / 7).alias("s"), (F.col("id") % 3).alias("k")).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.read.parquet(path).mapInArrow(counted, "s double, k long")
+    for by in ([], ["k"]):
+        stats = duration_stats(rows, "s", by)
+        assert stats.collect() and not any(path in f for f in stats.inputFiles())
+    assert reads.value == 2000
+
+
 def test_groups_with_a_hot_one(spark):
     rng = random.Random(1)
     rows = [("hot" if i % 3 else f"k{i % 50}", rng.expovariate(1)) for i in range(9000)] + [(None, 5.0)]

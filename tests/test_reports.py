@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,40 +27,60 @@ from sheafspark.operators.responses import batch_totals, decode_error, length_mi
 from sheafspark.operators.search import history, search
 from sheafspark.schemas import CAPABILITIES, ISSUE, MEASURE_REPORT
 
-HEAD = "Severity    : Fatal\nCode        : Content invalid against the specification or a profile.\n"
-
-
 def issue(severity=None, code=None, text=None, coding=None, diagnostics=None, expression=None):
     details = None if text is None and coding is None else (text, coding)
     return (severity, code, details, diagnostics, expression)
 
 
-@pytest.mark.parametrize(
-    "issues, other, expected",
-    [
-        ([], None, ""),
-        (None, "other error", "Error       : other error\n"),
-        (None, "other\nerror", "Error       : other\n              error\n"),
-        ([issue()], None, HEAD),
-        ([issue(text="a text")], None, HEAD + "Details     : a text\n"),
-        ([issue(coding=[("c-9",), (None,)])], None, HEAD + "Details     : c-9\n"),
-        ([issue(diagnostics="d")], None, HEAD + "Diagnostics : d\n"),
-        ([issue(expression=["a"])], None, HEAD + "Expression  : a\n"),
-        ([issue(expression=["a", "b"])], None, HEAD + "Expression  : a, b\n"),
-        ([issue(), issue()], None, HEAD + "---\n" + HEAD),
-        ([issue("error", "value", "", [], "", [])], None, "Severity    : Error\nCode        : An element or header value is invalid.\n"),
-    ],
-)
-def test_error_responses(spark, issues, other, expected):
-    rows = spark.createDataFrame([(400, issues, other)], f"status INT, issue ARRAY<{ISSUE}>, other STRING")
-    text = rows.select(fmt_error_response(F.col("status"), F.col("issue"), F.col("other"))).first()[0]
-    assert text == "StatusCode  : 400\n" + expected
+def labelled(pairs):
+    """Lines of label and value; what has no value has no line."""
+    return "".join(f"{label}{' ' * (12 - len(label))}: {value}\n" for label, value in pairs if value)
+
+
+def plain_issue(severity, code, details, diagnostics, expression):
+    text, coding = details or (None, None)
+    codes = [("Details", c) for (c,) in coding or []]
+    kind = CODE_DEFINITION[code or "invalid"]
+    said = [("Severity", (severity or "fatal").capitalize()), ("Code", kind), ("Details", text), *codes]
+    return labelled([*said, ("Diagnostics", diagnostics), ("Expression", ", ".join(expression or []))])
+
+
+def plain_response(status, issues, other):
+    told = "---\n".join(plain_issue(*i) for i in issues or [])
+    return labelled([("StatusCode", status)]) + told + labelled([("Error", (other or "").replace("\n", "\n" + " " * 14))])
+
+
+def made_issue(chance):
+    words = [None, "", "mmol/l", "a: b", "über 3", "---"]
+    return issue(
+        chance.choice([None, "fatal", "error", "warning", "information"]),
+        chance.choice([None, *CODE_DEFINITION]),
+        chance.choice(words),
+        chance.choice([None, [], [(chance.choice(words),) for _ in range(chance.randint(1, 3))]]),
+        chance.choice(words),
+        chance.choice([None, [], ["Patient.name"], ["Bundle.entry[2]", "Patient.birthDate"]]),
+    )
+
+
+def test_error_responses(spark):
+    chance = random.Random(3)
+    made = [
+        (chance.choice([400, 404, 422, 503]), chance.choice([None, [made_issue(chance) for _ in range(chance.randint(0, 3))]]),
+         chance.choice([None, "", "<html>gateway</html>", "line 1\nline 2\n\nline 4"]))
+        for _ in range(200)
+    ]
+    rows = spark.createDataFrame([(n, *m) for n, m in enumerate(made)], f"n INT, status INT, issue ARRAY<{ISSUE}>, other STRING")
+    texts = rows.orderBy("n").select(fmt_error_response(F.col("status"), F.col("issue"), F.col("other"))).collect()
+    for (text,), response in zip(texts, made, strict=True):
+        assert text == plain_response(*response)
+    assert sum(len(text.split("---\n")) > 2 for (text,) in texts) > 10
 
 
 def test_outcome_lists(spark):
-    rows = spark.createDataFrame([([([issue()],), ([issue(code="timeout")],)],)], f"o ARRAY<STRUCT<issue: ARRAY<{ISSUE}>>>")
+    lists = [[issue("warning", "lock-error")], [], [issue(code="timeout", text="slow"), issue()]]
+    rows = spark.createDataFrame([([(i,) for i in lists],)], f"o ARRAY<STRUCT<issue: ARRAY<{ISSUE}>>>")
     text = rows.select(fmt_outcomes(F.col("o"))).first()[0]
-    assert text == HEAD + "---\nSeverity    : Fatal\nCode        : An internal timeout has occurred.\n"
+    assert text == "---\n".join("---\n".join(plain_issue(*i) for i in some) for some in lists)
 
 
 def test_issues(spark):
