@@ -1,5 +1,6 @@
 """Queries over bundles: building, reading, unbundling and counting."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sheafspark.functions.json_text import compact_json
@@ -18,7 +19,7 @@ from sheafspark.sources.chunks import chunk_index, split_chunks
 from sheafspark.sources.large_json import large_file_entries
 from sheafspark.sources.pages import read_capabilities, read_pages
 from sheafspark.sources.sinks import assemble_bundles, count_entry, export_ndjson, make_bundles, post_entry
-from sheafspark.storage import scratch_path
+from sheafspark.storage import scratch_path, written_table
 
 
 def _typed_pages(spark, sf_dir):
@@ -99,11 +100,17 @@ def ndjson_round_trip(spark, sf_dir):
     rows = w.resources(spark, sf_dir)
     rows = rows.unionByName(rows.where("type = 'Location'").withColumn("resource", F.lit(None).cast("string")))
     export_ndjson(rows, path, order_by=["type", "id"])
-    lines = read_ndjson_bundles(spark, path, "part-*")
-    return lines.select(
+    lines = written_table(read_ndjson_bundles(spark, path, "part-*"), "lines")
+    # the parts one behind the other, as one file
+    parts = lines.groupBy("file").agg(F.max("bundle_no").alias("lines"), (F.max("end_bytes") + 1).alias("size"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("file", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("lines", "size")])
+    return lines.join(parts, "file").select(
         F.get_json_object("value", "$.resourceType").alias("resource_type"),
         F.get_json_object("value", "$.id").alias("id"),
-        (F.col("end_bytes") - F.col("start_bytes")).alias("range_bytes"),
+        (F.col("bundle_no") + F.col("lines_before")).alias("bundle_no"),
+        (F.col("start_bytes") + F.col("size_before")).alias("start_bytes"),
+        (F.col("end_bytes") + F.col("size_before")).alias("end_bytes"),
         F.octet_length("value").cast("bigint").alias("value_bytes"),
     )
 
@@ -132,9 +139,12 @@ def large_bundle_entries(spark, sf_dir):
 
 def file_chunk_index(spark, sf_dir):
     path = scratch_path(spark, "chunks")
-    w.table(spark, sf_dir, "documents").select("text").write.text(path)
+    docs = w.table(spark, sf_dir, "documents").select((F.col("doc_id") % 4).alias("bucket"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.repartition("bucket").sortWithinPartitions("bucket", "doc_id")
+    docs.select("bucket", "text").write.partitionBy("bucket").text(path)  # one file a bucket
     chunks = chunk_index(spark, path, pattern="part-*")
-    return chunks.groupBy((F.col("end_bytes") - F.col("start_bytes")).alias("chunk_bytes")).agg(F.count("*").alias("chunks"))
+    bucket = F.regexp_extract("file", r"bucket=(\d+)/", 1).cast("bigint")
+    return chunks.select(bucket.alias("bucket"), "chunk_no", "start_bytes", "end_bytes")
 
 
 def document_chunks(spark, sf_dir):
@@ -143,15 +153,15 @@ def document_chunks(spark, sf_dir):
 
 def discovered_files(spark, sf_dir):
     path = scratch_path(spark, "files")
-    names = w.table(spark, sf_dir, "customer").select("c_name")
-    names.write.json(f"{path}/plain")
-    names.write.option("compression", "gzip").json(f"{path}/packed")
-    names.write.option("compression", "bzip2").json(f"{path}/nested/packed")
-    names.write.text(f"{path}/ignored")
-    ending = F.regexp_extract("path", r"(\.json(\.gz|\.bz2)?)$", 1)
-    return discover_bundles(spark, path).groupBy("kind", ending.alias("ending")).agg(
-        F.sum(F.when(ending == ".json", F.col("length"))).alias("plain_bytes"), (F.count("*") > 0).alias("found")
-    )
+    names = w.table(spark, sf_dir, "customer").select("c_nationkey", "c_name").repartition("c_nationkey")
+    for folder, compression in (("plain", "none"), ("packed", "gzip"), ("nested/packed", "bzip2")):
+        names.write.partitionBy("c_nationkey").option("compression", compression).json(f"{path}/{folder}")  # one file a nation
+    names.write.partitionBy("c_nationkey").text(f"{path}/ignored")
+    names.write.partitionBy("c_nationkey").option("compression", "gzip").text(f"{path}/ignored-packed")
+    # a part's own name is not known beforehand
+    name = F.regexp_replace(F.substring_index("path", path.rsplit("/", 1)[1] + "/", -1), r"/part-.*?(\.json)", "/*$1")
+    length = F.when(name.endswith(".json"), F.col("length"))
+    return discover_bundles(spark, path).select("kind", name.alias("name"), length.alias("length"))
 
 
 def single_bundle_files(spark, sf_dir):
@@ -274,7 +284,9 @@ QUERIES = {
         f"""WITH r AS (SELECT 'Patient' AS resource_type, CAST(c_custkey AS VARCHAR) AS id, {sql.PATIENT_JSON} AS j FROM customer
           UNION ALL SELECT 'ServiceRequest', CAST(o_orderkey AS VARCHAR), {sql.SERVICE_JSON} FROM orders
           UNION ALL SELECT 'Location', CAST(n_nationkey AS VARCHAR), {sql.LOCATION_JSON} FROM nation)
-        SELECT resource_type, id, CAST(strlen(j) AS BIGINT) AS range_bytes, CAST(strlen(j) AS BIGINT) AS value_bytes FROM r""",
+        SELECT resource_type, id, row_number() OVER o AS bundle_no, CAST(sum(strlen(j) + 1) OVER o - strlen(j) - 1 AS BIGINT) AS start_bytes,
+          CAST(sum(strlen(j) + 1) OVER o - 1 AS BIGINT) AS end_bytes, CAST(strlen(j) AS BIGINT) AS value_bytes
+        FROM r WINDOW o AS (ORDER BY resource_type, CAST(id AS BIGINT) ROWS UNBOUNDED PRECEDING)""",
     ),
     "ndjson_entries": (
         ndjson_entries,
@@ -288,8 +300,11 @@ QUERIES = {
     ),
     "file_chunk_index": (
         file_chunk_index,
-        """SELECT CAST(strlen(chunk) AS BIGINT) AS chunk_bytes, count(*) AS chunks
-        FROM (SELECT unnest(string_split(text, chr(10))) AS chunk FROM documents) GROUP BY 1""",
+        """WITH p AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+          c AS (SELECT doc_id % 4 AS bucket, doc_id, generate_subscripts(p, 1) AS n, unnest(p) AS chunk FROM p)
+        SELECT bucket, row_number() OVER o AS chunk_no, CAST(sum(strlen(chunk) + 1) OVER o - strlen(chunk) - 1 AS BIGINT) AS start_bytes,
+          CAST(sum(strlen(chunk) + 1) OVER o - 1 AS BIGINT) AS end_bytes
+        FROM c WINDOW o AS (PARTITION BY bucket ORDER BY doc_id, n ROWS UNBOUNDED PRECEDING)""",
     ),
     "split_chunks": (
         document_chunks,
@@ -302,8 +317,10 @@ QUERIES = {
     ),
     "discover_bundles": (
         discovered_files,
-        """SELECT 'single' AS kind, '.json' AS ending, CAST(sum(strlen(c_name) + 14) AS BIGINT) AS plain_bytes, true AS found FROM customer
-        UNION ALL SELECT 'single', '.json.gz', NULL, true UNION ALL SELECT 'single', '.json.bz2', NULL, true""",
+        """WITH n AS (SELECT c_nationkey AS k, CAST(sum(strlen(c_name) + 14) AS BIGINT) AS length FROM customer GROUP BY k)
+        SELECT 'single' AS kind, 'plain/c_nationkey=' || k || '/*.json' AS name, length FROM n
+        UNION ALL SELECT 'single', 'packed/c_nationkey=' || k || '/*.json.gz', NULL FROM n
+        UNION ALL SELECT 'single', 'nested/packed/c_nationkey=' || k || '/*.json.bz2', NULL FROM n""",
     ),
     "single_bundle_files": (
         single_bundle_files,

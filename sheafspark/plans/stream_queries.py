@@ -14,13 +14,13 @@ from sheafspark.streaming.logstats import read_cells, run_upload_stats
 def streamed_bundles(spark, sf_dir):
     landed, copied = scratch_path(spark, "landed"), scratch_path(spark, "copied")
     export_ndjson(w.requests_for_service(spark, sf_dir), landed)
-    stream = stream_bundles(spark, landed, "part-*").select(F.octet_length("value").alias("bytes"))
+    stream = stream_bundles(spark, landed, "part-*").select("value")
     query = (
         stream.writeStream.format("parquet").option("path", copied).option("checkpointLocation", scratch_path(spark, "progress"))
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return spark.read.parquet(copied).groupBy("bytes").agg(F.count("*").alias("bundles"))
+    return spark.read.parquet(copied).select(F.md5("value").alias("digest"), F.octet_length("value").alias("bytes"))
 
 
 def streamed_entries(spark, sf_dir):
@@ -66,7 +66,7 @@ def _streamed_stats_sql():
 QUERIES = {
     "stream_bundles": (
         streamed_bundles,
-        f"SELECT CAST(strlen({sql.SERVICE_JSON}) AS INTEGER) AS bytes, count(*) AS bundles FROM orders GROUP BY 1",
+        f"SELECT md5({sql.SERVICE_JSON}) AS digest, CAST(strlen({sql.SERVICE_JSON}) AS INTEGER) AS bytes FROM orders",
     ),
     "stream_unbundle": (
         streamed_entries,

@@ -1,9 +1,11 @@
 import os
+import random
 
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sheafspark.sources.bundles import read_ndjson_bundles
 from sheafspark.sources.chunks import _spans, chunk_index, split_chunks
@@ -109,3 +111,26 @@ def test_ndjson_bundles(spark, tmp_path, small_splits):
         mine = sorted((r.bundle_no, r.start_bytes, r.end_bytes, r.value) for r in rows if r.file.endswith("/" + name))
         assert mine == expected
 
+
+
+def test_offsets_of_broken_utf8_are_those_of_the_bytes(spark, tmp_path):
+    """Lines that are no UTF-8: the text source hands out their bytes as they are."""
+    rng = random.Random(4)
+    lines = [bytes(rng.choice(b"ab\xff\xc3\xe9\x80\r ") for _ in range(rng.randrange(40))) for _ in range(3000)]
+    content = b"\n".join(lines)
+    (tmp_path / "latin.ndjson").write_bytes(content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = chunk_index(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    at, wanted = 0, []
+    for n, line in enumerate(content.split(b"\n"), start=1):
+        wanted.append((n, at, at + len(line)))
+        at += len(line) + 1
+    if wanted[-1][1] == wanted[-1][2]:
+        wanted.pop()  # nothing behind the last delimiter
+    assert sorted((r.chunk_no, r.start_bytes, r.end_bytes) for r in rows) == wanted
+    read = read_ndjson_bundles(spark, str(tmp_path)).select("start_bytes", F.hex("value").alias("bytes")).collect()
+    assert {r.start_bytes: bytes.fromhex(r.bytes) for r in read} == {a: content[a:b] for _, a, b in wanted if a < b}
