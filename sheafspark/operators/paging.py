@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafspark.functions.json_text import using
@@ -61,13 +61,16 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
     the links by ones that reach as far, so a chain of n pages takes log n rounds over
     (url, next url) pairs. Page bodies join once at the end.
     """
-    # of a page landed twice, one without error counts
-    best = page_links(pages, url).groupBy("url").agg(F.min(F.struct("error", "next_url")).alias("link"))
-    links = written_table(best.select("url", "link.next_url", "link.error"), "page-links")
+    links = written_table(chosen_landings(pages, url), "page-links")
+    places = starts.select("chain", "url", F.lit(0).cast("bigint").alias("page_no")).distinct()
+    reached = walk(places, links)
+    return with_pages(reached, links, pages, url)
+
+
+def walk(places: DataFrame, links: DataFrame) -> DataFrame:
+    """The places ``(chain, url, page_no)`` and all that chains reach from there along stored links, each url once."""
     hops = links.where(F.col("next_url").isNotNull()).select("url", F.col("next_url").alias("target"))
-    reached = written_table(
-        starts.select("chain", "url", F.lit(0).cast("bigint").alias("page_no")).distinct(), "reached-pages"
-    )
+    reached = written_table(places, "reached-pages")
     known, step = reached.count(), 1
     while True:
         further = [reached]
@@ -78,8 +81,8 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
                 )
             )
         # a page reached again keeps its first place, so the walk of a cycle stops growing
-        places = reduce(DataFrame.unionByName, further).groupBy("chain", "url")
-        reached = written_table(places.agg(F.min("page_no").alias("page_no")), "reached-pages")
+        joined = reduce(DataFrame.unionByName, further).groupBy("chain", "url")
+        reached = written_table(joined.agg(F.min("page_no").alias("page_no")), "reached-pages")
         now = reached.count()
         if now == known:
             break
@@ -89,16 +92,38 @@ def follow_pages(pages: DataFrame, starts: DataFrame, url: str = "request_url")
         for _ in range(FAN - 1):
             jumps = jumps.join(ahead, "target").select("url", F.col("after").alias("target"))
         hops = written_table(jumps, "page-hops")
+    return reached
+
+
+def chosen_landings(pages: DataFrame, url: str = "request_url") -> DataFrame:
+    """``(url, next_url, error, digest, landings)``: of a page landed several times one, without error if there is one.
+
+    Bodies are decoded here only; what is shuffled are urls and the digest that finds the page again.
+    """
+    said = _with_links(pages, url).select(F.col(url).alias("url"), "_link.*", _digest(pages).alias("digest"))
+    best = said.groupBy("url").agg(F.min(F.struct("error", "next_url", "digest")).alias("best"), F.count("*").alias("landings"))
+    return best.select("url", "best.next_url", "best.error", "best.digest", "landings")
+
+
+def _digest(pages: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in pages.columns])
+
+
+def with_pages(reached: DataFrame, links: DataFrame, pages: DataFrame, url: str = "request_url") -> DataFrame:
+    """The rows of ``follow_pages`` for the places ``(chain, url, page_no)`` that chains have reached."""
     found = reached.join(links.withColumn("_landed", F.lit(True)), "url", "left")
-    landed = found.where(F.col("_landed")).select("chain", "page_no", "url", "error", "next_url")
     missing = found.where(F.col("_landed").isNull()).select("chain", "page_no", "url")
     missing = missing.withColumn("error", F.concat(F.lit("no page for "), F.col("url")))
+    landed = found.where(F.col("_landed")).select("chain", "page_no", "url", "error", "digest", "landings")
+    landed = written_table(landed, "landed-pages")
     details = [c for c in pages.columns if c not in (url, "chain", "page_no", "url", "error", "error_response")]
-    shown = _with_links(pages, url).select(F.col(url).alias("url"), "_link", F.struct(*details).alias("_page")).join(landed, "url")
-    # the landing the link came from; of several that say the same, one
-    shown = shown.where(F.col("_link.error").eqNullSafe(F.col("error")) & F.col("_link.next_url").eqNullSafe(F.col("next_url")))
-    one = shown.groupBy("url", "chain", "page_no", "error").agg(F.min_by("_page", F.xxhash64("_page")).alias("_page"))
+    content = pages.select(F.col(f"`{url}`").alias("url"), _digest(pages).alias("digest"), F.struct(*details).alias("_page"))
+    shown = landed.where("landings = 1").join(content, ["url", "digest"]).select("url", "chain", "page_no", "error", "_page")
+    again = landed.where("landings > 1")
+    if not again.isEmpty():  # the same page may have landed twice as it is; one of those
+        several = content.join(again, ["url", "digest"])
+        shown = shown.unionByName(several.groupBy("url", "chain", "page_no", "error").agg(F.first("_page").alias("_page")))
     bad = F.col("status") != 200
-    one = one.select("chain", "page_no", "url", "error", "_page.*")
+    one = shown.select("chain", "page_no", "url", "error", "_page.*")
     one = one.withColumn("error_response", F.when(bad & F.col("error").isNotNull(), decode_error(F.col("body"))))
     return one.unionByName(missing, allowMissingColumns=True).select("chain", "page_no", "url", "error", "error_response", *details)

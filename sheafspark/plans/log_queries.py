@@ -248,6 +248,16 @@ _BOTH_ISSUES = f"SELECT event_id, severity, code FROM ({_ISSUES}) UNION ALL SELE
 _TRANSIENT = "code IN ('transient', 'lock-error', 'no-store', 'timeout', 'incomplete', 'throttled')"
 _NL = "|| chr(10) ||"
 
+FOLLOWED_SQL = f"""WITH RECURSIVE t AS (SELECT conv_id, turn, length(text) AS chars, {_BAD_TURN} AS bad FROM conversations),
+          walk AS (SELECT * FROM t WHERE turn = 0
+            UNION ALL SELECT t.* FROM walk JOIN t ON t.conv_id = walk.conv_id AND t.turn = walk.turn + 1 WHERE NOT walk.bad)
+        SELECT conv_id AS chain, turn AS page_no, {_CONVERSATION_URL}turn AS url, CAST(chars AS INTEGER) AS chars,
+          CASE WHEN bad THEN 'request to ' || {_CONVERSATION_URL}turn || ' had a non-ok response status (404)' END AS error,
+          CASE WHEN bad AND NOT EXISTS (SELECT 1 FROM conversations c WHERE c.conv_id = walk.conv_id AND c.turn = walk.turn + 1)
+              THEN '{{"resourceType": "Bundle"}}'
+            WHEN bad THEN '{{"resourceType": "Bundle", "link": [{{"relation": "self", "url": "/"}}, {{"relation": "next", "url": "' ||
+              {_CONVERSATION_URL}(turn + 1) || '"}}]}}' END AS other_error FROM walk"""
+
 QUERIES = {
     "duration_stats": (event_durations, sql.durations("events", "value", ["event_type"])),
     "duration_stats_global": (price_durations, sql.durations("lineitem", "l_extendedprice", [])),
@@ -316,15 +326,7 @@ QUERIES = {
     ),
     "follow_pages": (
         conversation_chains,
-        f"""WITH RECURSIVE t AS (SELECT conv_id, turn, length(text) AS chars, {_BAD_TURN} AS bad FROM conversations),
-          walk AS (SELECT * FROM t WHERE turn = 0
-            UNION ALL SELECT t.* FROM walk JOIN t ON t.conv_id = walk.conv_id AND t.turn = walk.turn + 1 WHERE NOT walk.bad)
-        SELECT conv_id AS chain, turn AS page_no, {_CONVERSATION_URL}turn AS url, CAST(chars AS INTEGER) AS chars,
-          CASE WHEN bad THEN 'request to ' || {_CONVERSATION_URL}turn || ' had a non-ok response status (404)' END AS error,
-          CASE WHEN bad AND NOT EXISTS (SELECT 1 FROM conversations c WHERE c.conv_id = walk.conv_id AND c.turn = walk.turn + 1)
-              THEN '{{"resourceType": "Bundle"}}'
-            WHEN bad THEN '{{"resourceType": "Bundle", "link": [{{"relation": "self", "url": "/"}}, {{"relation": "next", "url": "' ||
-              {_CONVERSATION_URL}(turn + 1) || '"}}]}}' END AS other_error FROM walk""",
+        FOLLOWED_SQL,
     ),
     "follow_pages_long": (
         order_page_chain,

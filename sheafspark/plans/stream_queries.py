@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from sheafspark.operators.logstats import STATISTICS, stats_of_cells, status_counts
 from sheafspark.plans import sql_text as sql
 from sheafspark.plans import workload as w
+from sheafspark.plans.log_queries import FOLLOWED_SQL
 from sheafspark.sources.sinks import export_ndjson
 from sheafspark.storage import scratch_path
 from sheafspark.streaming.bundles import run_unbundle, stream_bundles, stream_pages
 from sheafspark.streaming.logstats import read_cells, run_upload_stats
+from sheafspark.streaming.paging import begin_walk, followed_pages, run_walk
 
 
 def streamed_bundles(spark, sf_dir):
@@ -31,6 +33,20 @@ def streamed_entries(spark, sf_dir):
     return spark.read.parquet(routed).select("request_url", "entry_no", "kind", F.md5("resource").alias("digest"))
 
 
+def arriving_chains(spark, sf_dir):
+    """Pages of conversations in three batches, out of order."""
+    landed, target = scratch_path(spark, "landed"), scratch_path(spark, "walk")
+    pages = w.conversation_pages(spark, sf_dir)
+    for n in range(3):
+        pages.where(F.pmod(F.xxhash64("request_url"), F.lit(3)) == n).coalesce(1).write.mode("append").parquet(landed)
+    turns = w.table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    begin_walk(turns.select(F.col("conv_id").alias("chain"), w.conversation_url(F.col("conv_id"), F.lit(0)).alias("url")), target)
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    run_walk(stream, target, scratch_path(spark, "progress")).awaitTermination()
+    walked = followed_pages(spark.read.parquet(landed), target)
+    return walked.select("chain", "page_no", "url", "error", "chars", F.col("error_response.other_error").alias("other_error"))
+
+
 def _log_cells(spark, sf_dir):
     landed, cells = scratch_path(spark, "landed"), scratch_path(spark, "cells")
     log = w.request_log(spark, sf_dir)
@@ -75,6 +91,7 @@ QUERIES = {
             ELSE {sql.SERVICE_JSON} END) AS digest FROM ({sql.ORDER_PAGES}) WHERE whole
         UNION ALL SELECT DISTINCT {sql.PAGE_URL}, CAST(NULL AS INTEGER), 'malformed', NULL FROM ({sql.ORDER_PAGES}) WHERE NOT whole""",
     ),
+    "stream_follow_pages": (arriving_chains, FOLLOWED_SQL),
     "stream_upload_stats": (streamed_stats, _streamed_stats_sql()),
     "stream_status_counts": (
         streamed_statuses, f"SELECT status, count(*) AS count FROM ({sql.REQUEST_LOG}) WHERE NOT failed GROUP BY status"

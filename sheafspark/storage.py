@@ -12,9 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the session's warehouse."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the session's warehouse.
+
+    A warehouse on a local disk serves a local session only: on a cluster every machine would see its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; {folder} is local to each")
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -22,6 +30,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _file_system(spark, path)
+    return files.exists(folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
 def written_table(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and returns the stored table."""
     path = scratch_path(df.sparkSession, label)

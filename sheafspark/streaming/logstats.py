@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafspark.operators.logstats import log_cells
+from sheafspark.storage import delete_path, path_exists
 
 #: Tables of one level that are summed up into one of the next.
 FAN_IN = 8
@@ -38,15 +39,9 @@ def _read(spark: SparkSession, target: str, parts: list[Part]) -> DataFrame:
     return spark.read.parquet(*[f"{target}/{p.folder}" for p in parts])
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
-
-
 def _lists(spark: SparkSession, target: str) -> dict[int, list[Part]]:
     """The tables that count after each of the last batches; a few rows."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/lists")
-    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+    if not path_exists(spark, f"{target}/lists"):
         return {}
     rows = spark.read.schema("level int, first long, last long, batch long").json(f"{target}/lists").collect()
     found: dict[int, list[Part]] = {}
@@ -77,9 +72,9 @@ def add_batch(log: DataFrame, batch: int, target: str) -> None:
     # the list before this one stays readable, for readers under way and for a repeated batch
     old = sorted(lists)[:-1]
     for part in {*made, *(p for n in old for p in lists[n])} - {*parts, *before}:
-        _delete(spark, f"{target}/{part.folder}")
+        delete_path(spark, f"{target}/{part.folder}")
     for n in old:
-        _delete(spark, f"{target}/lists/batch={n}")
+        delete_path(spark, f"{target}/lists/batch={n}")
 
 
 def run_upload_stats(log_stream: DataFrame, target: str, checkpoint: str):

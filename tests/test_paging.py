@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from sheafspark.functions.links import next_from_link_header
 from sheafspark.operators.paging import follow_pages
+from sheafspark.streaming.paging import add_pages, begin_walk, followed_pages
 
 SCHEMA = "request_url STRING, status INT, link_header STRING, body STRING"
 
@@ -94,3 +95,26 @@ def test_many_chains_share_pages(spark):
 def test_link_headers(spark, header, target):
     got = spark.createDataFrame([(header,)], "h STRING").select(next_from_link_header(F.col("h"))).first()[0]
     assert got == target
+
+
+def test_chains_go_on_as_pages_arrive(spark, tmp_path):
+    pages = [(f"/a{i}", 200, None, linked(f"/a{i + 1}") if i < 11 else "{}") for i in range(12)]
+    pages += [("/b0", 200, None, linked("/b1")), ("/b1", 200, None, linked("/b2")), ("/b2", 200, None, linked("/b0"))]  # a cycle
+    pages += [("/c0", 200, None, linked("/a7")), ("/d0", 503, None, "busy"), ("/e0", 200, None, linked("/gone"))]
+    order = [5, 1, 12, 3, 0, 14, 9, 16, 2, 7, 13, 17, 15, 4, 6, 8, 11, 10]
+    parts = [[pages[i] for i in order[n : n + 5]] for n in range(0, 20, 5)]
+    parts += [[("/d0", 200, None, linked("/d1"))], [("/d1", 200, None, "{}")]]  # landed again without error
+    starts = spark.createDataFrame([(c, f"/{c}0") for c in "abcdef"], "chain STRING, url STRING")
+    target, landed = str(tmp_path / "walk"), []
+    begin_walk(starts, target)
+
+    def rows(found):
+        return sorted((r.chain, r.page_no, r.url, r.error, r.body) for r in found.collect())
+
+    for batch, part in enumerate(parts):
+        landed += part
+        for _ in range(2 if batch in (0, 2) else 1):  # a batch comes again
+            add_pages(spark.createDataFrame(part, SCHEMA), batch, target)
+        if batch in (1, 3, 5):
+            table = spark.createDataFrame(landed, SCHEMA)
+            assert rows(followed_pages(table, target)) == rows(follow_pages(table, starts))
