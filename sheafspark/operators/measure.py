@@ -18,6 +18,10 @@ PART_STRATA = 1_000
 # Stratifiers counted in one scan; a grouping id has 64 bits.
 STRATIFIERS_PER_SCAN = 48
 
+# With more stratifiers, rows are looked at that tell how much combining equal ones first would save: from this share of
+# different combinations on it saves nothing.
+COMBINED_FROM, LOOKED_AT, WORTH = 4, 20_000, 0.5
+
 # Fixed value: shown for a missing system, code or display.
 MISSING = "–"
 
@@ -105,6 +109,15 @@ def _with_expressions(df, named, arguments):
     return df.sparkSession.sql(f"SELECT *, {select} FROM {{basis}}", args=arguments, basis=rows)
 
 
+def _combinations_pay(members, strata):
+    """Whether the members have few combinations of strata, judged by some of them; the counts are the same either way."""
+    if len(strata) < COMBINED_FROM:
+        return False
+    some = members.select(F.struct(*strata).alias("s")).limit(LOOKED_AT)
+    seen = some.agg(F.count("*").alias("rows"), F.count_distinct("s").alias("combinations")).first()
+    return seen.combinations <= WORTH * seen.rows
+
+
 def _basis_counts(df, groups, stratifiers, with_totals, library, arguments):
     """Counts of all groups over one basis in one scan.
 
@@ -118,13 +131,18 @@ def _basis_counts(df, groups, stratifiers, with_totals, library, arguments):
     members = rows.where(reduce(or_, [F.col(p) for p in populations.values()])).select(
         *populations.values(), *[F.col(s).cast("string").alias(s) for s in strata.values()]
     )
+    columns = [F.col(s) for s in strata.values()]
+    counts = [F.count_if(p).alias(f"_n{p}") for p in populations.values()]
+    numbers, nothing = list(populations.values()), F.lit(False)
+    if _combinations_pay(members, list(strata.values())):
+        # the grouping sets expand each row once for each stratifier: here each combination instead
+        members = members.groupBy(*strata.values()).agg(*counts)
+        numbers, nothing = [f"_n{p}" for p in numbers], F.lit(0).cast("bigint")
+        counts = [F.sum(n).alias(n) for n in numbers]
     # a row of no population, so that a group without members still has its total of zero
     nobody = df.sparkSession.range(1).select(
-        *[F.lit(False).alias(p) for p in populations.values()],
-        *[F.lit(None).cast("string").alias(s) for s in strata.values()],
+        *[nothing.alias(n) for n in numbers], *[F.lit(None).cast("string").alias(s) for s in strata.values()]
     )
-    columns = [F.col(s) for s in strata.values()]
-    counts = [F.count_if(p).alias(f"_n{p}") for p in populations.values()]
     everyone = members.unionByName(nobody)
     if columns:
         # the grouping id tells a null stratum from the total
@@ -169,7 +187,8 @@ def evaluate_measure(
 
     ``tables`` maps a basis type to its rows; an empty group type means Patient.
     ``library`` maps expression names to columns or SQL text. Groups of one basis
-    share a scan and an aggregate over grouping sets. A null stratum is a stratum of its own.
+    share a scan and an aggregate over grouping sets; with several stratifiers a few rows are looked at first, and where
+    these have few combinations of strata, the sets are made of combinations. A null stratum is a stratum of its own.
     """
     validate_measure(measure)
     _check_names(tables, measure, library)

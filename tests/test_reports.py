@@ -275,6 +275,27 @@ def test_large_reports_come_in_parts(spark, monkeypatch):
     assert stratum_rows(counts).where("kind = 'text'").count() == 9
 
 
+def test_combinations_give_the_same_counts(spark, monkeypatch):
+    rows = spark.range(3000).select(
+        "id", *[F.when(F.col("id") % (i + 5) != 0, (F.col("id") * (i + 1)) % 3).alias(f"c{i}") for i in range(6)]
+    )
+    library = {"All": F.lit(True), "Even": "id % 2 = 0", **{f"C{i}": F.col(f"c{i}") for i in range(6)}}
+    definition = Measure([Group([Population("All"), Population("Even")], [Stratifier(f"c{i}", f"C{i}") for i in range(6)]), Group([Population("Even")])])
+
+    def counts():
+        found = evaluate_measure({"Patient": rows}, definition, library)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        return sorted(map(str, found.collect())), plan[plan.index("Expand") :].count("Aggregate")
+
+    combined, below = counts()
+    assert below == 1  # what is expanded are sums
+    monkeypatch.setattr(module, "WORTH", -1.0)
+    plain, below = counts()
+    assert below == 0 and combined == plain
+    none = evaluate_measure({"Patient": rows.where("id < 0")}, definition, library).collect()
+    assert sorted((r.group_no, r.population_no, r["count"]) for r in none) == [(0, 0, 0), (0, 1, 0), (1, 0, 0)]
+
+
 def test_unknown_names(spark):
     everyone = Measure([Group([Population("All")], [Stratifier("a", "A")], "Order")])
     with pytest.raises(ValueError, match=r"error in group\[0\]: unknown type `Order`"):
