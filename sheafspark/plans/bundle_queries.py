@@ -18,7 +18,7 @@ from sheafspark.sources.bundles import (
 from sheafspark.sources.chunks import chunk_index, split_chunks
 from sheafspark.sources.large_json import large_file_entries
 from sheafspark.sources.pages import read_capabilities, read_pages
-from sheafspark.sources.sinks import assemble_bundles, count_entry, export_ndjson, make_bundles, post_entry
+from sheafspark.sources.sinks import assemble_bundles, count_entry, export_ndjson, export_ordered, make_bundles, post_entry, read_ordered
 from sheafspark.storage import scratch_path, written_table
 
 
@@ -115,6 +115,13 @@ def ndjson_round_trip(spark, sf_dir):
     )
 
 
+def ordered_export(spark, sf_dir):
+    path = scratch_path(spark, "ordered")
+    export_ordered(w.resources(spark, sf_dir), path, ["type", "id"])
+    read = read_ordered(spark, path)
+    return read.select("row_no", "start_bytes", "end_bytes", F.md5("resource").alias("digest"))
+
+
 def ndjson_entries(spark, sf_dir):
     path = scratch_path(spark, "ndjson")
     export_ndjson(_typed_pages(spark, sf_dir).select(F.regexp_replace("body", "\n", " ").alias("resource")), path)
@@ -288,6 +295,15 @@ QUERIES = {
           CAST(sum(strlen(j) + 1) OVER o - 1 AS BIGINT) AS end_bytes, CAST(strlen(j) AS BIGINT) AS value_bytes
         FROM r WINDOW o AS (ORDER BY resource_type, CAST(id AS BIGINT) ROWS UNBOUNDED PRECEDING)""",
     ),
+    "ordered_export": (
+        ordered_export,
+        f"""WITH r AS (SELECT 'Patient' AS type, c_custkey AS id, {sql.PATIENT_JSON} AS j FROM customer
+          UNION ALL SELECT 'ServiceRequest', o_orderkey, {sql.SERVICE_JSON} FROM orders
+          UNION ALL SELECT 'Location', n_nationkey, {sql.LOCATION_JSON} FROM nation)
+        SELECT row_number() OVER o AS row_no, CAST(sum(strlen(j) + 1) OVER o - strlen(j) - 1 AS BIGINT) AS start_bytes,
+          CAST(sum(strlen(j) + 1) OVER o - 1 AS BIGINT) AS end_bytes, md5(j) AS digest
+        FROM r WINDOW o AS (ORDER BY type, id ROWS UNBOUNDED PRECEDING)""",
+    ),
     "ndjson_entries": (
         ndjson_entries,
         f"""SELECT 'resource' AS kind, 'Patient' AS resource_type, {sql.PATIENT_JSON} AS resource FROM customer

@@ -1,10 +1,12 @@
 """Writing resources and building bundles."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheafspark.functions.json_text import compact_json
-from sheafspark.operators.numbering import number_rows
+from sheafspark.operators.numbering import number_rows, sliced_rows
+from sheafspark.sources.chunks import locate_lines
+from sheafspark.storage import path_exists
 
 
 def export_ndjson(df: DataFrame, path: str, resource: str = "resource", order_by: list[str] | None = None) -> None:
@@ -19,6 +21,52 @@ def export_ndjson(df: DataFrame, path: str, resource: str = "resource", order_by
     lines.write.mode("errorifexists").text(path)
 
 
+#: Below an ordered export: its parts in order. Readers of text pass over the name.
+MANIFEST = "_manifest"
+
+
+def export_ordered(df: DataFrame, path: str, order_by: list[str], resource: str = "resource") -> None:
+    """Like ``export_ndjson`` with an order, and a list of the parts that is written last; fails if the path exists.
+
+    The list has a row for each folder ``part=n``: its first and last key, rows, and the bytes it has in the parts one
+    behind the other. Without it an export is not whole, and ``read_ordered`` refuses it. Rows are stored in their order
+    first, since a second run of the range partitioning could cut the parts elsewhere.
+    """
+    kept = [c for c in order_by if c != resource]
+    lines = df.select(*kept, compact_json(F.col(f"`{resource}`")).alias(resource)).where(F.col(resource).isNotNull())
+    stored = sliced_rows(lines, order_by, [])
+    part = F.lpad(F.col("_slice").cast("string"), 10, "0").alias("part")
+    parts = stored.select(part, "_slice", "_place", resource).repartition("_slice").sortWithinPartitions("part", "_place")
+    parts.select("part", resource).write.mode("errorifexists").partitionBy("part").text(path)
+    key = F.struct(*order_by)
+    listed = stored.groupBy(part).agg(
+        F.min_by(key, "_place").alias("first_key"), F.max_by(key, "_place").alias("last_key"),
+        F.count("*").alias("rows"), F.sum(F.octet_length(resource) + 1).alias("bytes"),
+    )
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    before = {f"{c}_before": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in ("rows", "bytes")}
+    listed.withColumns(before).write.parquet(f"{path}/{MANIFEST}")
+
+
+def ordered_parts(spark: SparkSession, path: str) -> DataFrame:
+    """The list of an ordered export's parts; an error if the export is not whole."""
+    if not path_exists(spark, f"{path}/{MANIFEST}/_SUCCESS"):
+        raise ValueError(f"the export to {path} is not whole: it has no list of its parts")
+    return spark.read.parquet(f"{path}/{MANIFEST}")
+
+
+def read_ordered(spark: SparkSession, path: str, resource: str = "resource") -> DataFrame:
+    """``(row_no, start_bytes, end_bytes, resource)`` of an ordered export, numbered from 1 over all parts."""
+    parts = ordered_parts(spark, path).select("part", "rows_before", "bytes_before")
+    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
+    located = locate_lines(lines, ["value"]).withColumn("part", F.regexp_extract("file", r"/part=(\d+)/[^/]*$", 1))
+    return located.join(parts, "part").select(
+        (F.col("chunk_no") + F.col("rows_before")).alias("row_no"),
+        *[(F.col(c) + F.col("bytes_before")).alias(c) for c in ("start_bytes", "end_bytes")],
+        F.col("value").alias(resource),
+    )
+
+
 def _string(text: Column) -> Column:
     """The text as a JSON string."""
     listed = F.to_json(F.array(text))

@@ -21,7 +21,15 @@ from sheafspark.sources.bundles import (
     source_summary,
 )
 from sheafspark.sources.exact_json import read_exact
-from sheafspark.sources.sinks import count_entry, export_ndjson, make_bundles, post_entry
+from sheafspark.sources.sinks import (
+    count_entry,
+    export_ndjson,
+    export_ordered,
+    make_bundles,
+    ordered_parts,
+    post_entry,
+    read_ordered,
+)
 
 MATCH = '{"resource": {"resourceType": "Patient", "id": "0"}, "search": {"mode": "match"}}'
 OUTCOME = (
@@ -261,6 +269,28 @@ def test_export_refuses_an_existing_path(spark, tmp_path):
         export_ndjson(rows, path)
 
 
+def test_ordered_exports_are_whole_or_refused(spark, tmp_path):
+    rows = spark.range(1000).select((F.lit(999) - F.col("id")).alias("n"), F.lit("é").alias("é"))
+    rows = rows.withColumn("resource", F.when(F.col("n") % 10 != 3, F.concat(F.lit('{ "n" : '), F.col("n").cast("string"), F.lit(', "t": "é"}'))))
+    path = str(tmp_path / "out")
+    export_ordered(rows, path, ["n"])
+    read = read_ordered(spark, path).orderBy("row_no").collect()
+    wanted = [n for n in range(1000) if n % 10 != 3]
+    assert [json.loads(r.resource)["n"] for r in read] == wanted and [r.row_no for r in read] == list(range(1, 901))
+    parts = ordered_parts(spark, path).orderBy("part").collect()
+    assert [(p.first_key.n, p.last_key.n) for p in parts] == [(wanted[p.rows_before], wanted[p.rows_before + p.rows - 1]) for p in parts]
+    text = b"".join(open(f, "rb").read() for p in parts for f in sorted((tmp_path / "out" / f"part={p.part}").glob("part-*")))
+    assert [text[r.start_bytes : r.end_bytes].decode() for r in read] == [r.resource for r in read]
+    assert (parts[-1].bytes_before + parts[-1].bytes, len(text)) == (len(text), read[-1].end_bytes + 1)
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        export_ordered(rows, path, ["n"])
+    export_ndjson(rows, str(tmp_path / "parts"), order_by=["n"])  # parts without a list, as a job that ended early leaves them
+    with pytest.raises(ValueError, match="is not whole"):
+        read_ordered(spark, str(tmp_path / "parts"))
+    export_ordered(rows.where("n < 0"), str(tmp_path / "none"), ["n"])
+    assert read_ordered(spark, str(tmp_path / "none")).collect() == []
+
+
 def test_making_bundles(spark):
     rows = spark.range(10).select(
         (F.col("id") % 2).alias("k"), "id", post_entry(F.format_string('{"n":1.50,"id":%d}', "id"), F.lit("Patient")).alias("entry")
