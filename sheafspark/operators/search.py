@@ -8,21 +8,30 @@ from urllib.parse import parse_qsl
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafspark.sources.resources import DOCUMENT
+
 
 def _matches(df, field, value):
     """Equality with any of the comma-separated values.
 
     For a column the values are cast to its type, so the predicate reaches the
-    scan; a value of another type matches nothing. For a path ``$.…`` the text
-    in the ``resource`` column is compared.
+    scan; a value of another type matches nothing. A path ``$.…`` looks into the
+    ``document`` of landed resources, where there is one, else into the ``resource``
+    text; ``$.…:type`` compares values of that type, such as numbers.
     """
     values = value.split(",")
     if field.startswith("$"):
-        return F.get_json_object("resource", field).isin(values)
-    kind = df.schema[field].dataType.simpleString()
+        path, _, kind = field.partition(":")
+        kind = kind or "string"
+        if DOCUMENT in df.columns:
+            found = F.try_variant_get(F.col(DOCUMENT), path, kind)
+        else:
+            found = F.get_json_object("resource", path).try_cast(kind)
+    else:
+        found, kind = F.col(field), df.schema[field].dataType.simpleString()
     if kind == "string":
-        return F.col(field).isin(values)
-    return F.col(field).isin([F.lit(v).try_cast(kind) for v in values])
+        return found.isin(values)
+    return found.isin([F.lit(v).try_cast(kind) for v in values])
 
 
 def search(
@@ -30,7 +39,7 @@ def search(
 ) -> DataFrame:
     """Resources of a type (or all) that meet a query such as ``gender=female&city=A,B``.
 
-    ``fields`` maps query keys to columns or to paths in the ``resource`` text.
+    ``fields`` maps query keys to columns or to paths in resources, see ``land_resources``.
     A comma means or, a repeated key means and. ``_summary=count`` returns the
     number of matches as ``count``.
     """

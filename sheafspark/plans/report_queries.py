@@ -24,6 +24,8 @@ from sheafspark.operators.responses import batch_totals, length_mismatches, unwr
 from sheafspark.operators.search import history, search
 from sheafspark.plans import sql_text as sql
 from sheafspark.plans import workload as w
+from sheafspark.sources.resources import land_resources, read_resources
+from sheafspark.storage import scratch_path
 
 MEASURE = Measure(
     [
@@ -222,6 +224,17 @@ def found_customers(spark, sf_dir):
     return search(w.table(spark, sf_dir, "customer"), "segment=BUILDING,MACHINERY&nation=1,2,3,x&nation=2,3,4", fields)
 
 
+def found_landed_resources(spark, sf_dir):
+    """Patients with the least or largest balance, written in other ways than in their resource."""
+    path = scratch_path(spark, "resources")
+    land_resources(w.patients(spark, sf_dir).withColumnRenamed("type", "resource_type"), path)
+    ends = w.table(spark, sf_dir, "customer").agg(F.min("c_acctbal").alias("a"), F.max("c_acctbal").alias("b")).first()
+    fields = {"balance": "$.balance:decimal(18,2)", "segment": "$.segment"}
+    segments = "BUILDING,MACHINERY,HOUSEHOLD,FURNITURE,AUTOMOBILE"
+    query = f"balance={ends.a:.4f},{ends.b:.2f}&segment={segments}"
+    return search(read_resources(spark, path), query, fields, "Patient").select("resource_type", "id")
+
+
 def found_resources(spark, sf_dir):
     rows = w.resources(spark, sf_dir).withColumnRenamed("type", "resource_type")
     return search(rows, "segment=BUILDING%2CFURNITURE", {"segment": "$.segment"}, "Patient").select("resource_type", "id")
@@ -440,6 +453,11 @@ QUERIES = {
         found_resources,
         "SELECT 'Patient' AS resource_type, c_custkey AS id FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')",
     ),
+    "search_landed_resources": (
+        found_landed_resources,
+        """SELECT 'Patient' AS resource_type, c_custkey AS id FROM customer
+        WHERE c_acctbal IN (SELECT min(c_acctbal) FROM customer UNION ALL SELECT max(c_acctbal) FROM customer)""",
+    ),
     "search_count": (found_count, "SELECT count(*) AS count FROM orders"),
     "history_system": (system_history, "SELECT role AS resource_type, conv_id AS id, turn AS version FROM conversations"),
     "history_type": (

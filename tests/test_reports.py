@@ -25,6 +25,7 @@ from sheafspark.operators.measure import (
 from sheafspark.operators.metrics import label_params, render_metrics
 from sheafspark.operators.responses import batch_totals, decode_error, length_mismatches, unwrap_async, zip_by_position
 from sheafspark.operators.search import history, search
+from sheafspark.sources.resources import land_resources, read_resources
 from sheafspark.schemas import CAPABILITIES, ISSUE, MEASURE_REPORT
 
 def issue(severity=None, code=None, text=None, coding=None, diagnostics=None, expression=None):
@@ -168,6 +169,21 @@ def test_capabilities(spark):
     assert tuple(found) == (True, False)
 
 
+def test_paths_in_landed_resources(spark, tmp_path):
+    texts = ['{"n": 1.50, "s": "a", "in": {"x": [1, 2]}}', '{"n": 15e-1, "s": "1.5"}', '{"n": "1.5"}', '{"n": null}', "no json", None]
+    rows = spark.createDataFrame([(i, "A", t) for i, t in enumerate(texts)], "id INT, resource_type STRING, resource STRING")
+    land_resources(rows, str(tmp_path / "landed"))
+    landed = read_resources(spark, str(tmp_path / "landed"))
+    fields = {"n": "$.n:double", "s": "$.s", "second": "$.in.x[1]:int"}
+    for query, ids in (("n=1.5", [0, 1, 2]), ("n=1.500,7", [0, 1, 2]), ("s=a,b", [0]), ("s=1.5&n=1.5", [1]), ("second=2", [0]), ("n=x", [])):
+        for table in (landed, rows):
+            assert sorted(r.id for r in search(table, query, fields).collect()) == ids, query
+    scanned = search(landed, "s=a", fields).select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "resource#" not in scanned[scanned.index("ReadSchema") :] and "resource:" not in scanned[scanned.index("ReadSchema") :]
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        land_resources(rows, str(tmp_path / "landed"))
+
+
 PATIENT_GROUP = {"type": "Patient", "population": [{"expression": "All"}]}
 
 
