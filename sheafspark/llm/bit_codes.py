@@ -243,17 +243,18 @@ def approximate_neighbours(
 def _block(index: DataFrame, codes: Codes, held: pa.Table, k: int, epsilon: float) -> DataFrame:
     """The k best of a block of queries over the whole index."""
     ids, points = held.column("id").to_numpy(), matrix(held.column("v").combine_chunks(), codes.width)
-    sent = index.sparkSession.sparkContext.broadcast((codes, ids, points))
+    # plain values: executors need no installed copy of the class
+    sent = index.sparkSession.sparkContext.broadcast((codes.width, codes.centres, ids, points))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, ids, points = sent.value
-        search = Search(codes, ids, points, k, epsilon)
+        width, centres, ids, points = sent.value
+        search = Search(Codes(width, centres), ids, points, k, epsilon)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
                 packed = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(part.num_rows, -1)
                 scalars = [part.column(i).to_numpy() for i in (3, 4, 5, 6)]
-                search.rows(part.column(0).to_numpy(), matrix(part.column(1), codes.width), packed, *scalars)
+                search.rows(part.column(0).to_numpy(), matrix(part.column(1), width), packed, *scalars)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in search.found()], ["query_id", "no", "vec_id", "score"])
 
     found = index.mapInArrow(search, "query_id long, no long, vec_id long, score double")
