@@ -1,5 +1,7 @@
 """Text columns inside Arrow functions: whole texts, cut into slices so that memory stays bounded."""
 
+import contextlib
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -12,8 +14,19 @@ SLICE_BYTES = 1 << 20
 _WHITE = re.compile(rb"[\t-\r ]")
 
 
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system; workers live longer than their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries keep their own counsel
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def each(batches: Iterator) -> Iterator:
-    """The batches of a task; what Arrow holds and does not need goes back to the system after each."""
+    """The batches of a task; what Arrow holds and does not need goes back to the system after each.
+
+    What earlier tasks of the worker have left goes back first.
+    """
+    give_back()
     for batch in batches:
         yield batch
         pa.default_memory_pool().release_unused()

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafspark.llm.arrow_text import byte_column, each, row_slices
+from sheafspark.llm.arrow_text import byte_column, each, give_back, row_slices
 from sheafspark.llm.word_features import BUCKETS, Hasher, word_tokens
 from sheafspark.storage import written_table
 
@@ -147,6 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         weights = model.weights(slice(None))
         at = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(weights[at], bias))], ["at", "weight"])
+        del features, model, weights
+        give_back()
 
     # the sample is bounded; steps follow each other, in an order that reruns repeat
     ordered = rows.repartition(1).sortWithinPartitions(F.xxhash64("key"), "key", F.size("features"))
