@@ -55,6 +55,7 @@ _MAIN = frozenset(
     "main content article post story main-content page-content article-body article-content post-body post-content "
     "entry-content story-body articlebody".split()
 )
+_ARTICLE = 2
 _NEUTRAL = frozenset("html body main article".split())
 _CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -69,7 +70,7 @@ _KEEPS_P = frozenset("br option title head html body".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|math|object|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|template|iframe|svg|object|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)([^>]*)(?:>|\Z)"
@@ -245,14 +246,14 @@ def main_text(blocks: list[Block], template: set[int]) -> str:
     """The text of the slots that hold the article.
 
     The template of the host says which texts are no slot, marks choose among the slots; a marked part that is template
-    text only is kept. Around an article, the rest of the marked part it lies in counts as well. On a page without marks
+    text only is kept, and so is all text of an article: headings such as "Method" may repeat on a site. Around an article, the rest of the marked part it lies in counts as well. On a page without marks
     mostly linked text is left out, unless there is a template of the host, which then decides.
     """
     free = [b for b in blocks if not b.boiler]
     level = max((b.main for b in free), default=0)
     parts = {b.part for b in free if b.main == level}
     marked = [b for b in free if b.main == level or (b.main and b.part in parts)]
-    own = [b for b in marked if b.token() not in template]
+    own = [b for b in marked if b.main == _ARTICLE or b.token() not in template]
     if level:
         return "\n".join(b.text for b in own or marked)
     return "\n".join(b.text for b in own if template or not b.linked)

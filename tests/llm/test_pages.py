@@ -134,6 +134,18 @@ def test_template_decides_on_marked_pages(stored):
     assert (got[20], got[21], got[22]) == ("", "", "no frame")
 
 
+def test_headings_that_repeat_inside_articles_stay(stored):
+    page = "<body><div>Home</div><article><h2>Ingredients</h2><p>{0} eggs</p><h2>Method</h2><p>stir {0} times</p></article></body>"
+    rows = extract_main_text(stored([(i, f"http://h.example/{i}", page.format(i)) for i in range(12)], SCHEMA)).collect()
+    assert {r.page_id: r.text for r in rows} == {i: f"Ingredients\n{i} eggs\nMethod\nstir {i} times" for i in range(12)}
+
+
+def test_formulas_and_noscript_are_text(stored):
+    page = "<article><p>Let <math><mi>x</mi></math> be<script>no</script></p><noscript><p>plain</p></noscript></article>"
+    rows = extract_main_text(stored([(1, "http://h.example/1", page)], SCHEMA)).collect()
+    assert [r.text for r in rows] == ["Let x be\nplain"]
+
+
 def test_copies_of_a_marked_page_keep_their_text(stored):
     rows = extract_main_text(stored([(i, f"http://h.example/{i}", "<article><p>a</p></article>") for i in range(12)], SCHEMA)).collect()
     assert [r.text for r in rows] == ["a"] * 12
