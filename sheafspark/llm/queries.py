@@ -1,5 +1,7 @@
 """The registered queries of this subpackage, with the SQL that some of them are compared with."""
 
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from sheafspark.llm.toxicity import toxicity
 
 #: A public vocabulary file, in the same place on every machine.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZERS = os.path.dirname(WORD_BPE)
 
 
 #: Rows of an Arrow batch; texts are long, and a task holds a few batches at a time.
