@@ -207,7 +207,8 @@ class WordBpe:
         return ids, np.array([len(ids)])
 
     def _gather(self, words: list[bytes], words_by_text: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = self.words.gather(self._lookup(words))
+        found = self._lookup(words)  # may start the kept words over
+        ids, sizes = self.words.gather(found)
         if words_by_text is None:
             return ids, np.array([len(ids)])
         upto = np.cumsum(np.append(0, sizes))[np.cumsum([0, *words_by_text])]

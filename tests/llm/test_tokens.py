@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from sheafspark.llm import queries
+from sheafspark.llm import bpe, queries
 from sheafspark.llm.arrow_text import row_slices, white_space_blocks
 from sheafspark.llm.bpe import MergeTable, WordBpe, encode_decode
 from sheafspark.llm.token_counts import LengthEncoder, drops_white_space, token_counts
@@ -40,6 +40,23 @@ def test_all_characters():
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(t) for t in texts]
 
 
+def test_kept_words_start_over(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 20)
+    coder = WordBpe(PATH)
+    for n in range(5):
+        texts = [f"the w{n}x{i} of word {i}" for i in range(30)]
+        for batch in (texts, [texts[3], "the", f"zebra{n} the 'S", ""], [" ".join(reversed(texts)) + f" new{n}"]):
+            ids, sizes = coder.encode([t.encode() for t in batch])
+            assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [whole(t) for t in batch]
+
+
+def test_more_words_than_a_task_keeps(documents):
+    words = [f"w{i:x}" for i in range(bpe.KEPT_WORDS + 40_000)]
+    texts = [" ".join(words[i : i + 20_000]) for i in range(0, len(words), 10_000)]
+    for r in encode_decode(documents(texts).coalesce(1), PATH).collect():
+        assert r.ids == whole(r.text) and r.decoded == LIBRARY.decode(r.ids, skip_special_tokens=False)
+
+
 def test_merge_rounds_equal_single_merges():
     vocab = {s: i for i, s in enumerate(["a", "b", "c", "aa", "ab", "bc", "aab", "abc", "aaaa"])}
     merges = [["a", "a"], ["b", "c"], ["a", "b"], ["aa", "b"], ["a", "bc"], ["aa", "aa"]]
