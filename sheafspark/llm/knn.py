@@ -1,6 +1,5 @@
 """Exact search for the largest inner products: a kNN join over Voronoi cells."""
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,13 @@ CHUNK_ROWS = 4_000
 def whole_components(vector: Column, scale: int = 256) -> Column:
     """floor(scale * x) of each component x as a double; null if the vector or a component is null or not finite."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.when(finite, F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double")))
+
+    def whole(x: Column) -> Column:
+        scaled = F.lit(float(scale)) * x.cast("double")
+        # larger ones are whole already, and floor gives a long
+        return F.when(F.abs(scaled) < 2.0**52, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    return F.when(finite, F.transform(vector, whole))
 
 
 def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
@@ -66,13 +71,16 @@ def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))[:k]]
 
 
-def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def knn_join(
+    vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", repeated: bool = False
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows with the highest inner product for each query row.
 
     Components count as floor(256 x). Queries are rows of ``vectors`` for which ``is_query`` holds; candidates are all
     rows with another key. Ties go to the smaller key. Rows with a null key, a null vector or components that are null
-    or not finite take no part; a row repeated with the same key and vector counts once. Shorter vectors are filled up
-    with zeros. With fewer candidates all are returned; an empty table or no query gives an empty table.
+    or not finite take no part. A row repeated with the same key and vector counts once; with ``repeated`` each of them
+    counts, as a candidate and as a query with its own answer. Shorter vectors are filled up with zeros. With fewer
+    candidates all are returned; an empty table or no query gives an empty table. A score that no long holds raises.
 
     Data goes to the cell of its nearest pivot, queries to groups around pivots of their own. For each group, summaries
     of the cells (least and largest distance to the pivot, the smallest few distances) bound the distance of the k-th
@@ -80,12 +88,15 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_i
     against chunks of data; the best of each chunk meet by query.
     """
     rows = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), whole_components(F.col(f"`{vector}`")).alias("v"), is_query.alias("q"))
-    rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull()).groupBy("id", "v").agg(F.max("q").alias("q"))
-    rows = written_table(rows.select("id", "v", F.coalesce("q", F.lit(False)).alias("q")), "vectors")
+    rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
+    rows = rows.groupBy("id", "v").agg(F.count("*").alias("m"), F.count_if("q").alias("asks"))
+    # k of equal candidates are enough; the numbers of rows stay as they are written
+    times = [F.least("m", F.lit(k)).alias("m"), "asks"] if repeated else [F.lit(1).alias("m"), F.least("asks", F.lit(1)).alias("asks")]
+    rows = written_table(rows.select("id", "v", *times, F.monotonically_increasing_id().alias("no")), "vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     facts = rows.agg(
         F.count("*").alias("n"),
-        F.count_if("q").alias("queries"),
+        F.count_if(F.col("asks") > 0).alias("queries"),
         F.max(F.size("v")).alias("width"),
         F.max(norm).alias("radius2"),
     ).first()
@@ -101,7 +112,7 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_i
 
     data_pivots = _lifted(pivots(rows, DATA_PIVOTS), radius2)
     groups = min(MAX_GROUPS, -(-facts.queries // BLOCK_QUERIES))
-    group_pivots = np.hstack([pivots(rows.where("q"), groups), np.zeros((min(groups, facts.queries), 1))])
+    group_pivots = np.hstack([pivots(rows.where("asks > 0"), groups), np.zeros((min(groups, facts.queries), 1))])
 
     def assign(batches: Iterator[pa.RecordBatch], points=data_pivots, lift=True) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,14 +122,17 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_i
                 far = _distances(own, points)
                 cell = far.argmin(1)
                 near = pa.array(far[np.arange(len(own)), cell])
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell), near], ["id", "v", "cell", "far"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), near], [*batch.schema.names, "cell", "far"])
 
     def assign_queries(batches):
         return assign(batches, group_pivots, False)
 
-    placed = "id long, v array<double>, cell long, far double"
-    data = written_table(rows.select("id", "v").mapInArrow(assign, placed), "data-cells")
-    queries = written_table(rows.where("q").select("id", "v").mapInArrow(assign_queries, placed), "query-groups")
+    data = rows.select("id", "v", F.col("m").cast("int"))
+    data = data.mapInArrow(assign, "id long, v array<double>, m int, cell long, far double")
+    data = written_table(data, "data-cells")
+    queries = rows.where("asks > 0").select("id", "v", "no", "asks")
+    queries = queries.mapInArrow(assign_queries, "id long, v array<double>, no long, asks long, cell long, far double")
+    queries = written_table(queries, "query-groups")
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, near = np.empty(0, np.int64), np.empty(0)
@@ -145,23 +159,24 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_i
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, far = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            cell, far = batch.column("cell").to_numpy(), batch.column("far").to_numpy()
             for group in range(len(low)):
                 needed = np.flatnonzero((far >= low[group, cell]) & (far <= high[group, cell]))
                 if len(needed):
                     part = batch.take(pa.array(needed))
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), pa.array(np.full(len(needed), group))], ["id", "v", "cell"]
-                    )
+                    columns = [*part.columns[:3], pa.array(np.full(len(needed), group))]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "v", "m", "cell"])
 
     chunks = -(-facts.n // CHUNK_ROWS)
     sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("blocks"))
     blocks = F.broadcast(sizes)  # at most MAX_GROUPS rows
     chunk = F.pmod(F.xxhash64("id"), F.lit(chunks)).alias("chunk")
     block = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).alias("block")
-    near = data.mapInArrow(replicate, "id long, v array<double>, cell long").join(blocks, "cell")
-    near = near.select("id", "v", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), chunk)
-    asking = queries.join(blocks, "cell").select("id", "v", "cell", block, F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    near = data.mapInArrow(replicate, "id long, v array<double>, m int, cell long").join(blocks, "cell")
+    near = near.select("id", "v", "m", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), chunk)
+    # the keys of both sides have the same type: an int and a long of the same value go to different partitions
+    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<long>")).alias("chunk")
+    asking = queries.join(blocks, "cell").select("id", "v", "no", "asks", "cell", block, every_chunk)
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -169,13 +184,19 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_i
             asked, own = (_matrix(t.column("v").combine_chunks(), width) for t in (left, right))
             ids = right.column("id").to_numpy()
             scores = _scores(asked, own)
-            for n, query in enumerate(left.column("id").to_pylist()):
-                no = zlib.crc32(asked[n].tobytes())
-                out += [(query, no, int(ids[p]), int(scores[n, p])) for p in _best(scores[n], ids, query, k)]
-        columns = list(zip(*out, strict=True)) or [()] * 4
-        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("query_id", "no", "vec_id", "score"), columns, strict=True)})
+            times = right.column("m").to_numpy()
+            for n, (query, no, asks) in enumerate(zip(*(left.column(c).to_pylist() for c in ("id", "no", "asks")), strict=True)):
+                best = _best(scores[n], ids, query, k)
+                best = np.repeat(best, times[best])[:k]
+                out += [(query, no, asks, int(ids[p]), int(scores[n, p])) for p in best]
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        names = ("query_id", "no", "asks", "vec_id", "score")
+        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(names, columns, strict=True)})
 
     keys = ("cell", "block", "chunk")
-    best = asking.groupBy(*keys).cogroup(near.groupBy(*keys)).applyInArrow(solve, "query_id long, no long, vec_id long, score long")
+    best = asking.groupBy(*keys).cogroup(near.groupBy(*keys))
+    best = best.applyInArrow(solve, "query_id long, no long, asks long, vec_id long, score long")
     order = Window.partitionBy("query_id", "no").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    answers = F.explode(F.sequence(F.lit(1), "asks"))  # equal queries have equal answers
+    return best.select("query_id", "rank", "vec_id", "score", answers).drop("col")

@@ -118,7 +118,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return knn_join(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return knn_join(vectors, F.col("vec_id") % 50 == 0, repeated=True)
 
 
 OP6_SQL = """

@@ -41,6 +41,42 @@ def test_equals_brute_force(stored, monkeypatch, sizes):
     assert sorted(tuple(r) for r in got.collect()) == slow(rows, step=10)
 
 
+def test_many_groups_and_chunks_in_many_partitions(spark, stored, monkeypatch):
+    for name, value in {"BLOCK_QUERIES": 7, "CHUNK_ROWS": 60, "DATA_PIVOTS": 5}.items():
+        monkeypatch.setattr(knn, name, value)
+    random = np.random.default_rng(11)
+    rows = [(i, random.normal(size=8).tolist()) for i in range(400)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = knn.knn_join(stored([(*r, 0) for r in rows], SCHEMA), F.col("vec_id") % 10 == 0)
+        assert sorted(tuple(r) for r in got.collect()) == slow(rows, step=10)
+    finally:
+        spark.conf.unset(coalesce)
+
+
+def test_query_counts_repeated_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 40)
+    random = np.random.default_rng(12)
+    rows = [(i, random.normal(size=4).tolist()) for i in range(200)]
+    rows += rows[40:60] + [rows[7]] * 9 + [rows[100]]  # candidates, one more often than the answers hold, and queries
+    spark.createDataFrame([(*r, 0) for r in rows], SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
+    whole = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows]
+    wanted = []
+    for i, q in whole:
+        if i % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in whole if j != i)[:5]
+            wanted += [(i, n, j, -s) for n, (s, j) in enumerate(scored, start=1)]
+    assert len(wanted) == 30
+    assert sorted(tuple(r) for r in queries.op6_voronoi_knn(spark, str(tmp_path)).collect()) == sorted(wanted)
+
+
+def test_components_beyond_a_long(stored):
+    rows = [(0, [2 / 256, -1 / 256]), (1, [1.0e17, 2.0e17]), (2, [-1.0, 0.0])]
+    got = knn.knn_join(stored([(*r, 0) for r in rows], SCHEMA), F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 1, 1, 0), (0, 2, 2, -512)]
+
+
 def test_odd_rows(stored):
     nan, inf = float("nan"), float("inf")
     rows = [
